@@ -27,6 +27,8 @@ from ledgerline.plans.reports import LoadContext, finish, load_os, os_parsed, sd
 from ledgerline.plans.sql_fixtures import OS_BASE, SD_BASE, SD_LOADED
 from ledgerline.spec import SD_SPEC
 from ledgerline.sources.csv_text import decode_as, detect_encoding, parse_cells, repair_line
+from ledgerline.sources.workbooks import decode_workbooks, workbook_files
+from ledgerline.plans.reports import sd_workbook_parsed
 
 # Fixed parameters of the registered checks.
 CUTOFF = _dt.date(2000, 1, 1)
@@ -424,3 +426,81 @@ FROM rows_os WHERE FECHA_CREA <= DATE '2000-01-01'
 """)
 def q_load_os(spark, sf):
     return load_os(rv.os_raw(spark, sf), CTX)
+
+
+# ---------------------------------------------------------------- workbooks
+
+@register("xlsx_scan", """
+SELECT 'book_' || CAST(s_suppkey // 100 AS VARCHAR) || '.xlsx' AS source_file, 'xlsx' AS source_format,
+       'S' || CAST(s_suppkey % 2 AS VARCHAR) AS sheet,
+       CAST(s_suppkey AS VARCHAR) AS ID, s_name AS NAME, CAST(s_nationkey AS VARCHAR) AS NATION,
+       CASE WHEN s_acctbal = trunc(s_acctbal) THEN CAST(CAST(s_acctbal AS BIGINT) AS VARCHAR)
+            ELSE CAST(s_acctbal AS VARCHAR) END AS BALANCE,
+       strftime(TIMESTAMP '2000-01-01 00:00:00' + to_days(CAST(s_suppkey AS INTEGER))
+                + to_seconds(s_suppkey % 86400), '%Y-%m-%d %H:%M:%S') AS SINCE
+FROM supplier
+""")
+def q_xlsx_scan(spark, sf):
+    s = rv.table(spark, sf, "supplier")
+    k = F.col("s_suppkey")
+    since = (F.lit("2000-01-01 00:00:00").cast("timestamp_ntz")
+             + F.make_dt_interval(k.cast("int"), F.lit(0), F.lit(0), (k % 86400).cast("decimal(18,6)")))
+    rows = s.select("s_suppkey", "s_name", "s_nationkey", "s_acctbal", since.alias("s_since"),
+                    F.expr("s_suppkey div 100").alias("book"), (k % 2).alias("sheet"))
+    files = workbook_files(rows, "book", "sheet", ["s_suppkey", "s_name", "s_nationkey", "s_acctbal", "s_since"])
+    cells = decode_workbooks(files, [0, 1, 2, 3, 4])
+    return cells.select("source_file", "source_format", "sheet",
+                        *[F.get("cells", i).alias(n) for i, n in enumerate(["ID", "NAME", "NATION", "BALANCE", "SINCE"])])
+
+
+def sd_workbook_source(spark, sf):
+    """SD workbooks (18 source columns, typed cells) derived from the tables."""
+    base = rv.order_customer(spark, sf)
+    k = F.col("k")
+    od = F.col("o_orderdate").cast("date")
+    at = lambda d: d.cast("timestamp_ntz")
+    rows = base.select(
+        k, F.expr("k div 2000").alias("book"), (k % 2).alias("sheet"),
+        rv._doc_type(k).alias("TIPO_DOCUMENTO"),
+        F.lpad(F.col("c_custkey").cast("string"), 11, "0").alias("PID"),
+        F.col("c_name").alias("NOMBRE"), F.lit("X").alias("AP_PATERNO"), F.lit("Y").alias("AP_MATERNO"),
+        F.concat("c_name", F.lit(" SA")).alias("RAZON_SOCIAL"),
+        F.when(k % 13 == 0, F.lit(None).cast("timestamp_ntz"))
+         .otherwise(at(F.date_sub(od, (F.lit(7300) + k % 9000).cast("int")))).alias("F_NACIMIENTO"),
+        F.col("o_orderstatus").alias("TIPO_ENTIDAD"),
+        F.when(k % 19 == 0, F.lit(None).cast("timestamp_ntz"))
+         .otherwise(at(od) + F.make_dt_interval(F.lit(0), F.lit(10), F.lit(11), F.lit(12))).alias("F_REGISTRO"),
+        F.col("o_orderpriority").alias("FUENTE_DATO"), F.col("n_name").alias("NACIONALIDAD"),
+        F.col("c_mktsegment").alias("NOM_REL"), F.col("c_nationkey").alias("AGEN_FAMIL"),
+        F.concat(F.lit("BK "), F.col("c_nationkey").cast("string")).alias("NOMBRE_BK"),
+        at(F.date_add(od, 30)).alias("VALIDO_DESDE"),
+        F.when(k % 3 == 0, F.lit(None).cast("string")).when(k % 3 == 1, F.lit(""))
+         .otherwise(F.date_format(F.date_add(od, 365), "yyyy-MM-dd")).alias("VALIDO_HASTA"),
+        F.concat(F.lit("U"), (k % 50).cast("string")).alias("USU"),
+        at(F.date_add(od, 1)).alias("REGISTRATION_DATE"))
+    columns = rows.columns[3:]
+    return workbook_files(rows, "book", "sheet", columns)
+
+
+@register("load_sd_workbook", """
+WITH b AS (
+  SELECT o.o_orderkey AS k, CAST(o.o_orderdate AS DATE) AS od, o.o_orderstatus, o.o_orderpriority,
+         c.c_custkey, c.c_name, c.c_mktsegment, c.c_nationkey, n.n_name
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
+)
+SELECT DISTINCT
+  CASE k % 6 WHEN 0 THEN 'RUC' WHEN 1 THEN 'PT' WHEN 2 THEN 'CE' WHEN 3 THEN 'DNI' WHEN 4 THEN 'RUC' END AS TIPO_DOC,
+  lpad(CAST(c_custkey AS VARCHAR), 11, '0') AS NRO_DOC, c_name || ' SA' AS NOMBRE_CLIENTE,
+  CASE WHEN k % 13 = 0 THEN NULL ELSE od - CAST(7300 + k % 9000 AS INTEGER) END AS FECHA_NAC,
+  o_orderstatus AS TIPO_ENTIDAD, CAST(od AS TIMESTAMP) + INTERVAL '10:11:12' AS FECHA_REG,
+  o_orderpriority AS FUENTE, n_name AS NACIONALIDAD, c_mktsegment AS RAMOS,
+  CAST(c_nationkey AS VARCHAR) AS COD_BROKER, 'BK ' || CAST(c_nationkey AS VARCHAR) AS BROKER,
+  'U' || CAST(k % 50 AS VARCHAR) AS USUARIO,
+  CASE WHEN k % 3 IN (0, 1) THEN 'A' ELSE 'C' END AS AGENCIAMIENTO,
+  TIMESTAMP '2024-06-30 12:00:00' AS FECHA_DATA, 'etl-host/loader' AS USUARIO_DATA
+FROM b WHERE k % 19 <> 0 AND od <= DATE '2000-01-01'
+""")
+def q_load_sd_workbook(spark, sf):
+    cells = decode_workbooks(sd_workbook_source(spark, sf), SD_SPEC.positions)
+    raw = cells.select("source_format", *[F.get("cells", i).alias(n) for i, n in enumerate(SD_SPEC.raw_names)])
+    return finish(sd_workbook_parsed(raw, CTX, F.col("source_format")), SD_SPEC, CTX)

@@ -77,8 +77,8 @@ def sd_workbook_parsed(raw: DataFrame, ctx: LoadContext, source_format: str | Co
     folder mixing both kinds parses each row by its own file's rule.
     """
     fmt = F.lower(source_format) if isinstance(source_format, Column) else F.lit(source_format.lower())
-    df = strip_all(raw.select(*keep, *SD_SPEC.raw_names), list(SD_SPEC.raw_names))
-    is_text = fmt == F.lit("xlsx")
+    df = strip_all(raw.select(*keep, *SD_SPEC.raw_names, fmt.alias("__fmt")), list(SD_SPEC.raw_names))
+    is_text = F.col("__fmt") == F.lit("xlsx")
     return df.withColumns({
         "TIPO_DOC": normalize_doc_type("TIPO_DOC"),
         "AGENCIAMIENTO": flag_blank("VALIDO_HASTA", "A", "C"),
@@ -86,7 +86,7 @@ def sd_workbook_parsed(raw: DataFrame, ctx: LoadContext, source_format: str | Co
                       .otherwise(excel_serial_to_date("FECHA_NAC")),
         "FECHA_REG": F.when(is_text, parse_timestamp_iso("FECHA_REG", strict=True))
                       .otherwise(excel_serial_to_timestamp("FECHA_REG", compat=compat)),
-    })
+    }).drop("__fmt")
 
 
 def os_parsed(raw: DataFrame, ctx: LoadContext, keep: tuple[str, ...] = ()) -> DataFrame:

@@ -14,6 +14,7 @@ from __future__ import annotations
 import datetime as _dt
 import getpass
 import socket
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation
@@ -109,7 +110,7 @@ def observe_parsed(parsed: DataFrame, spec: ReportSpec, ctx: LoadContext,
     parse and realignment are evaluated once per row rather than once in a
     pushed-down filter and again in the projection.
     """
-    name = observation if observation is not None else f"{spec.name.lower()}_parsed"
+    name = observation if observation is not None else f"{spec.name.lower()}_parsed_{uuid.uuid4().hex[:12]}"
     return parsed.observe(name, *pre_cutoff_metrics(spec.date_column, ctx.cutoff))
 
 

@@ -28,8 +28,16 @@ def _col(c: Column | str) -> Column:
 
 
 def strip_unicode(c: Column | str) -> Column:
-    """Remove Unicode white space at both ends; whitespace-only becomes ''."""
-    return F.btrim(_col(c), F.lit(UNICODE_WHITESPACE))
+    """Remove Unicode white space at both ends; whitespace-only becomes ''.
+
+    Trimming with a character set copies the string on every call, so it
+    runs only for cells whose first or last character is white space (a
+    one-character look-up per end); clean cells pass through untouched.
+    """
+    c = _col(c)
+    chars = list(UNICODE_WHITESPACE)
+    edge = F.substring(c, 1, 1).isin(chars) | F.substring(c, -1, 1).isin(chars)
+    return F.when(edge, F.btrim(c, F.lit(UNICODE_WHITESPACE))).otherwise(c)
 
 
 def classify_contains(c: Column | str, rules: Sequence[tuple[str, str]]) -> Column:

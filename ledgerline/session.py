@@ -18,6 +18,11 @@ REQUIRED_CONF = {
 }
 
 
+# Generated whole-stage methods of wide report rows exceed HotSpot's 8 KB
+# JIT limit and would run interpreted; allow the JIT to compile them.
+JIT_FLAG = "-XX:-DontCompileHugeMethods"
+
+
 def build_session(master: str | None = None, app: str = "ledgerline",
                   shuffle_partitions: int | None = None,
                   extra: dict[str, str] | None = None) -> SparkSession:
@@ -30,7 +35,12 @@ def build_session(master: str | None = None, app: str = "ledgerline",
         builder = builder.config(k, v)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    for k, v in (extra or {}).items():
+    extra = dict(extra or {})
+    for key in ("spark.driver.extraJavaOptions", "spark.executor.extraJavaOptions"):
+        opts = extra.get(key, "")
+        if JIT_FLAG not in opts:
+            extra[key] = (opts + " " + JIT_FLAG).strip()
+    for k, v in extra.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     apply_required_conf(spark)
@@ -38,9 +48,16 @@ def build_session(master: str | None = None, app: str = "ledgerline",
 
 
 def apply_required_conf(spark: SparkSession) -> None:
-    """Pin the runtime settings on an existing session."""
+    """Pin the runtime settings on an existing session.
+
+    When the JVM was started without the JIT flag, whole-stage code beyond
+    the JIT limit is split back into per-operator code, which the JIT does
+    compile.
+    """
     for k, v in REQUIRED_CONF.items():
         spark.conf.set(k, v)
+    if JIT_FLAG not in (spark.conf.get("spark.driver.extraJavaOptions", "") or ""):
+        spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -10,7 +10,8 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 @pytest.fixture(scope="session")
 def spark():
     from ledgerline.session import build_session
-    s = build_session("local[*]", app="ledgerline-tests", shuffle_partitions=8)
+    s = build_session("local[*]", app="ledgerline-tests", shuffle_partitions=8,
+                      extra={"spark.driver.memory": "4g"})
     s.sparkContext.setLogLevel("ERROR")
     if not (s.conf.get("spark.checkpoint.dir", None) or s.sparkContext.getCheckpointDir()):
         d = tempfile.mkdtemp(prefix="ledgerline-test-ckpt-")

@@ -44,7 +44,7 @@ from ledgerline.sinks.targets import ParquetTarget  # noqa: E402
 from ledgerline.sources.csv_text import read_lines, read_report_csv, parse_cells, repair_line  # noqa: E402
 from ledgerline.spec import SD_SPEC  # noqa: E402
 
-REGISTERED = ["load_sd", "load_os", "realign_clean", "csv_wrapped_repair", "load_sd_workbook", "xlsx_scan"]
+REGISTERED = ["load_sd", "load_sd_csv_folder", "load_os", "realign_clean", "csv_wrapped_repair", "load_sd_workbook", "xlsx_scan"]
 
 
 def noop(df):
@@ -65,16 +65,6 @@ def timed(fn, name=None):
     return time.time() - t, out
 
 
-def write_csv_reports(raw, folder, files):
-    """Raw SD cells as CSV report files with a header; one line in ten wrapped in quotes."""
-    names = list(SD_SPEC.raw_names)
-    line = F.to_csv(F.struct(*[F.col(n) for n in names]), {"nullValue": "", "quote": '"', "escape": '"'})
-    wrapped = F.concat(F.lit('"'), F.replace(line, F.lit('"'), F.lit('""')), F.lit('"'))
-    out = raw.select(F.when(F.col("row_id") % 10 == 0, wrapped).otherwise(line).alias(",".join(names)))
-    (out.repartition(files).write.mode("overwrite").option("header", True).option("sep", "\u0001")
-        .option("quote", "").option("escape", "").csv(folder))
-
-
 def main():
     sf = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
@@ -89,7 +79,7 @@ def main():
     raw_pq, csv_dir = f"{scratch}/sd_raw.parquet", f"{scratch}/Reporte_SD"
     rv.sd_raw_wide(spark, sf).repartition(cpus * 2).write.mode("overwrite").parquet(raw_pq)
     raw = spark.read.parquet(raw_pq)
-    write_csv_reports(raw, csv_dir, cpus * 2)
+    rv.write_csv_reports(raw, SD_SPEC.raw_names, csv_dir, cpus * 2)
     n_raw = raw.count()
 
     q = {}

@@ -172,3 +172,20 @@ def os_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     assert raw.columns[1:] == list(OS_SPEC.raw_names)
     return _twice_every_17th(raw, F.col("row_id"))
+
+
+def write_csv_reports(raw: DataFrame, names, folder: str, files: int, wrap_every: int = 10,
+                      key: str = "row_id") -> str:
+    """Write raw cells as CSV report files (header line, comma separated,
+    RFC quoting; every ``wrap_every``-th line wrapped whole in quotes).
+
+    The lines are formed by Spark and written as text through the CSV
+    writer with quoting off, so each file gets its header line.
+    """
+    names = list(names)
+    line = F.to_csv(F.struct(*[F.col(n) for n in names]), {"nullValue": "", "quote": '"', "escape": '"'})
+    wrapped = F.concat(F.lit('"'), F.replace(line, F.lit('"'), F.lit('""')), F.lit('"'))
+    out = raw.select(F.when(F.col(key) % wrap_every == 0, wrapped).otherwise(line).alias(",".join(names)))
+    (out.repartition(files).write.mode("overwrite").option("header", True).option("sep", "\u0001")
+        .option("quote", "").option("escape", "").csv(folder))
+    return folder

@@ -28,7 +28,9 @@ from ledgerline.plans.sql_fixtures import OS_BASE, SD_BASE, SD_LOADED
 from ledgerline.spec import SD_SPEC
 from ledgerline.sources.csv_text import decode_as, detect_encoding, parse_cells, repair_line
 from ledgerline.sources.workbooks import decode_workbooks, workbook_files
-from ledgerline.plans.reports import sd_workbook_parsed
+from ledgerline.plans.reports import sd_workbook_parsed, load_sd_text
+from ledgerline.session import scratch_path
+from ledgerline.sources.csv_text import read_report_csv
 
 # Fixed parameters of the registered checks.
 CUTOFF = _dt.date(2000, 1, 1)
@@ -504,3 +506,18 @@ def q_load_sd_workbook(spark, sf):
     cells = decode_workbooks(sd_workbook_source(spark, sf), SD_SPEC.positions)
     raw = cells.select("source_format", *[F.get("cells", i).alias(n) for i, n in enumerate(SD_SPEC.raw_names)])
     return finish(sd_workbook_parsed(raw, CTX, F.col("source_format")), SD_SPEC, CTX)
+
+
+# ---------------------------------------------------------------- CSV report folders
+
+@register("load_sd_csv_folder", f"""
+WITH {SD_BASE}, {SD_LOADED}
+SELECT * FROM loaded
+""")
+def q_load_sd_csv_folder(spark, sf):
+    """SD view written as CSV report files (a quarter of the lines wrapped in
+    quotes) to the shared folder, then read back as a folder and loaded."""
+    folder = rv.write_csv_reports(rv.sd_raw(spark, sf), SD_SPEC.raw_names,
+                                  scratch_path(spark, "csv-sd"), files=4, wrap_every=4)
+    cells, _ = read_report_csv(spark, folder, SD_SPEC.raw_names)
+    return load_sd_text(cells, CTX)

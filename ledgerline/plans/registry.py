@@ -23,14 +23,16 @@ from ledgerline.operators.columns import select_positions, strip_all
 from ledgerline.operators.cutoff import audit_frame, dedupe, keep_until, newest
 from ledgerline.operators.realign import realign
 from ledgerline.plans import raw_views as rv
-from ledgerline.plans.reports import LoadContext, finish, load_os, os_parsed, sd_text_parsed
+from ledgerline.plans.reports import (
+    LoadContext, finish, load_os, load_sd_text, sd_text_parsed, sd_workbook_parsed,
+)
 from ledgerline.plans.sql_fixtures import OS_BASE, SD_BASE, SD_LOADED
-from ledgerline.spec import SD_SPEC
-from ledgerline.sources.csv_text import decode_as, detect_encoding, parse_cells, repair_line
-from ledgerline.sources.workbooks import decode_workbooks, workbook_files
-from ledgerline.plans.reports import sd_workbook_parsed, load_sd_text
 from ledgerline.session import scratch_path
-from ledgerline.sources.csv_text import read_report_csv
+from ledgerline.sources.csv_text import (
+    decode_as, detect_encoding, parse_cells, read_report_csv, repair_line,
+)
+from ledgerline.sources.workbooks import decode_workbooks, workbook_files
+from ledgerline.spec import SD_SPEC
 
 # Fixed parameters of the registered checks.
 CUTOFF = _dt.date(2000, 1, 1)

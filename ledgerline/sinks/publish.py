@@ -19,7 +19,6 @@ import time
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
 
 from ledgerline.operators.cutoff import newest, post_dedupe_metrics
 from ledgerline.plans.reports import LoadContext, finish
@@ -132,4 +131,4 @@ def audit_text(audit: dict) -> list[str]:
     return lines
 
 
-__all__ = ["publish", "run_reports", "LoadResult", "LoadError", "AlreadyLoaded", "AUDIT_DDL", "audit_text", "F"]
+__all__ = ["publish", "run_reports", "LoadResult", "LoadError", "AlreadyLoaded", "AUDIT_DDL", "audit_text"]

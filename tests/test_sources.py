@@ -5,7 +5,6 @@ import os
 
 import pytest
 from pyspark.errors import PySparkException
-from pyspark.sql import functions as F
 
 from ledgerline.operators.columns import ColumnCountError
 from ledgerline.sources.csv_text import profile_files, read_report_csv

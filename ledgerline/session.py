@@ -79,3 +79,30 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared folder, for staged tables."""
     base = shared_dir(spark).rstrip("/")
     return f"{base}/{name}-{os.getpid()}-{os.urandom(4).hex()}"
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``ledgerline`` importable in Python workers (``mapInPandas`` and
+    ``applyInPandas`` tasks), once per application, via ``addPyFile``."""
+    import io
+    import zipfile
+
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.join("ledgerline", os.path.relpath(full, pkg)))
+    path = os.path.join(tempfile.mkdtemp(prefix="ledgerline-pyfiles-"), "ledgerline.zip")
+    with open(path, "wb") as fh:
+        fh.write(buf.getvalue())
+    sc.addPyFile(path)
+    _SHIPPED.add(sc.applicationId)

@@ -14,6 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerline.session import ship_package
 from ledgerline.sources.files import SourceError, list_files
 from ledgerline.sources.xlsx import Workbook, WorkbookError, sheet_records
 
@@ -34,9 +35,17 @@ def _decode(path: str, content: bytes, positions: Sequence[int]):
         raise WorkbookError(f"{e} (file: {path})") from e
 
 
-def decode_workbooks(files: DataFrame, positions: Sequence[int]) -> DataFrame:
-    """``files`` has ``path`` and ``content`` (as from ``binaryFile``)."""
+def decode_workbooks(files: DataFrame, positions: Sequence[int], spread: int | None = None) -> DataFrame:
+    """``files`` has ``path`` and ``content`` (as from ``binaryFile``).
+
+    Decoding is CPU-bound per file; ``spread`` hash-partitions the file
+    records over that many tasks first (one shuffle of the compressed
+    bytes), for folders with few files relative to the cores.
+    """
     positions = [int(p) for p in positions]
+    ship_package(files.sparkSession)
+    if spread:
+        files = files.repartition(spread, "path")
 
     def run(batches):
         for pdf in batches:
@@ -69,7 +78,11 @@ def read_workbooks(spark: SparkSession, folder: str, positions: Sequence[int], n
         raise SourceError(f".xls workbooks are not supported: {', '.join(sorted(old))}")
     files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.[xX][lL][sS][xX]")
              .option("recursiveFileLookup", "false").load(folder))
-    rows = decode_workbooks(files, positions)
+    n_files = listed.count()
+    cores = spark.sparkContext.defaultParallelism
+    # many files already spread over the scan's partitions; few files do not
+    spread = min(n_files, cores) if 1 < n_files < 4 * cores else None
+    rows = decode_workbooks(files, positions, spread)
     if partitions:
         rows = rows.repartition(partitions)
     return rows.select("source_file", "source_format", "sheet", "row_no",
@@ -100,6 +113,7 @@ def workbook_files(df: DataFrame, book_key: str, sheet_key: str, columns: Sequen
 
     cols = list(columns)
     head = list(header or cols)
+    ship_package(df.sparkSession)
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
         book = pdf[book_key].iloc[0]
@@ -111,4 +125,7 @@ def workbook_files(df: DataFrame, book_key: str, sheet_key: str, columns: Sequen
             sheets.append((f"S{sheet}", rows))
         return pd.DataFrame({"path": [f"book_{book}.xlsx"], "content": [write_workbook(sheets, shared)]})
 
-    return df.groupBy(book_key).applyInPandas(build, "path string, content binary")
+    # an explicit partition count is kept by AQE (a coalesced shuffle would put
+    # all books in one or two tasks); the grouping reuses this partitioning
+    spread = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(spread, book_key).groupBy(book_key).applyInPandas(build, "path string, content binary")

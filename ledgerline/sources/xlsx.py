@@ -54,7 +54,7 @@ def render_datetime(serial: float, date1904: bool = False) -> str:
     base = EPOCH_1904 if date1904 else EPOCH_1900
     ms = round(serial * 86_400_000)
     t = base + _dt.timedelta(milliseconds=ms)
-    s = t.strftime("%Y-%m-%d %H:%M:%S")
+    s = f"{t.year:04d}-{t.month:02d}-{t.day:02d} {t.hour:02d}:{t.minute:02d}:{t.second:02d}"
     return s + (f".{t.microsecond:06d}".rstrip("0") if t.microsecond else "")
 
 
@@ -156,13 +156,10 @@ class Workbook:
                 el.clear()
 
 
-def sheet_records(book: Workbook, path: str, positions: Sequence[int]
-                  ) -> Iterator[tuple[int, list[str | None]]]:
-    """Data rows of one sheet as (row number, cells at ``positions``).
-
-    The used range starts at the first non-empty row and column (the header
-    row); rows missing inside the range come out as all-null rows.
-    """
+def sheet_records_reference(book: Workbook, path: str, positions: Sequence[int]
+                            ) -> Iterator[tuple[int, list[str | None]]]:
+    """Straightforward (element tree, whole sheet in memory) version of
+    ``sheet_records``; kept as the brute-force check for the streaming one."""
     rows = [(r, cells) for r, cells in book.rows(path) if cells]
     if not rows:
         return
@@ -180,6 +177,167 @@ def sheet_records(book: Workbook, path: str, positions: Sequence[int]
         expected = r + 1
 
 
+# Streaming decoder: the sheet part is read in chunks of whole <row> elements,
+# twice: once to find the used range (first/last row and column holding a
+# value), once to render only the requested cells.  Memory stays bounded by
+# one chunk, whatever the sheet size.
+_P = rb"(?:[A-Za-z_][\w.-]*:)?"
+_ROW = re.compile(rb"<" + _P + rb"row\b([^>]*?)(?:/>|>(.*?)</" + _P + rb"row>)", re.S)
+# a cell: (column letters, attributes, body); cells without r="" get letters b""
+_CELL = re.compile(rb"<" + _P + rb"c\b(?=(?:[^>]*?\br=\"([A-Z]+)\d+\")?)([^>]*?)(?:/>|>(.*?)</" + _P + rb"c>)", re.S)
+# cells holding a value: (column letters, row number)
+_VALUED = re.compile(rb"<" + _P + rb"c\b[^>]*?\br=\"([A-Z]+)(\d+)\"[^>]*?(?<!/)>\s*(?:<" + _P + rb"f\b[^>]*?(?:/>|>.*?</"
+                     + _P + rb"f>)\s*)?<" + _P + rb"(?:v|is)\b", re.S)
+_ROW_END = re.compile(rb"</" + _P + rb"row>")
+_A_ROWNUM = re.compile(rb'\br="(\d+)"')
+_A_T = re.compile(rb'\bt="(\w+)"')
+_A_S = re.compile(rb'\bs="(\d+)"')
+_V = re.compile(rb"<" + _P + rb"v(?:\s[^>]*)?>(.*?)</" + _P + rb"v>", re.S)
+_T = re.compile(rb"<" + _P + rb"t(?:\s[^>]*)?>(.*?)</" + _P + rb"t>", re.S)
+_RPH = re.compile(rb"<" + _P + rb"rPh\b.*?</" + _P + rb"rPh>", re.S)
+_ENTITY = re.compile(r"&(#x[0-9A-Fa-f]+|#[0-9]+|amp|lt|gt|quot|apos);")
+_NAMED = {"amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'"}
+CHUNK = 1 << 22
+
+
+def _unescape(text: str) -> str:
+    if "&" not in text:
+        return text
+
+    def rep(m):
+        e = m.group(1)
+        if e[0] == "#":
+            return chr(int(e[2:], 16) if e[1] in "xX" else int(e[1:]))
+        return _NAMED[e]
+    return _ENTITY.sub(rep, text)
+
+
+def _row_chunks(book: Workbook, path: str) -> Iterator[bytes]:
+    """The sheet part in pieces that end on a complete row element."""
+    with book.zf.open(path) as fh:
+        rest = b""
+        while True:
+            data = fh.read(CHUNK)
+            buf = rest + data
+            if not data:
+                if buf:
+                    yield buf
+                return
+            last = None
+            for last in _ROW_END.finditer(buf):
+                pass
+            if last is None:
+                rest = buf
+                continue
+            yield buf[:last.end()]
+            rest = buf[last.end():]
+
+
+def _attr(attrs: bytes, key: bytes, pattern) -> bytes | None:
+    """Attribute value; fast path for the usual `` key="..."`` spelling."""
+    i = attrs.find(key)
+    if i >= 0:
+        j = i + len(key)
+        return attrs[j:attrs.index(b'"', j)]
+    m = pattern.search(attrs)
+    return m.group(1) if m else None
+
+
+def _cell_value(book: Workbook, attrs: bytes, inner: bytes) -> str | None:
+    kind = _attr(attrs, b' t="', _A_T) or b"n"
+    if kind == b"inlineStr":
+        body = _RPH.sub(b"", inner)
+        parts = _T.findall(body)
+        return _unescape(b"".join(parts).decode("utf-8")) if parts or b"is" in inner else None
+    if inner.startswith(b"<v>") and inner.endswith(b"</v>"):
+        raw_b = inner[3:-4]
+    else:
+        v = _V.search(inner)
+        if v is None:
+            return None
+        raw_b = v.group(1)
+    if kind == b"s":
+        return book.shared[int(raw_b)]
+    raw = _unescape(raw_b.decode("utf-8"))
+    if kind in (b"str", b"e"):
+        return raw
+    if kind == b"b":
+        return "true" if raw.strip() == "1" else "false"
+    if raw == "":
+        return None
+    num = float(raw)
+    si = _attr(attrs, b' s="', _A_S)
+    si = int(si) if si else 0
+    if si < len(book.date_styles) and book.date_styles[si]:
+        return render_datetime(num, book.date1904)
+    return render_number(num)
+
+
+def _used_range(book: Workbook, path: str) -> tuple[int, int, int, int] | None:
+    """(first row, last row, first column, last column) of cells holding a value."""
+    r0 = r1 = None
+    letters: set[bytes] = set()
+    for chunk in _row_chunks(book, path):
+        found = _VALUED.findall(chunk)
+        if not found:
+            continue
+        if r0 is None:
+            r0 = int(found[0][1])
+        r1 = int(found[-1][1])
+        letters.update(f[0] for f in found)
+    if r0 is None:
+        return None
+    cols = [column_index(x.decode()) for x in letters]
+    return r0, r1, min(cols), max(cols)
+
+
+def sheet_records(book: Workbook, path: str, positions: Sequence[int]
+                  ) -> Iterator[tuple[int, list[str | None]]]:
+    """Data rows of one sheet as (row number, cells at ``positions``).
+
+    The used range starts at the first row and column holding a value; its
+    first row is the header.  Rows missing inside the range come out as
+    all-null rows; nothing after the last row holding a value is emitted.
+    Cells are expected to carry their ``r`` reference (all common writers
+    emit it); a sheet without references is read by the element-tree path.
+    """
+    rng = _used_range(book, path)
+    if rng is None:
+        yield from sheet_records_reference(book, path, positions)
+        return
+    first_row, last_row, first_col, last_col = rng
+    width = last_col - first_col + 1
+    if positions and max(positions) >= width:
+        raise WorkbookError(f"wrong number of columns: {width}; needed: {max(positions) + 1}")
+    wanted = {_col_letters(first_col + p).encode(): i for i, p in enumerate(positions)}
+    n = len(positions)
+    expected = first_row + 1
+    rn = 0
+    for chunk in _row_chunks(book, path):
+        for m in _ROW.finditer(chunk):
+            num = _A_ROWNUM.search(m.group(1))
+            rn = int(num.group(1)) if num else rn + 1
+            if rn <= first_row:
+                continue
+            if rn > last_row:
+                return
+            cells: list[str | None] = [None] * n
+            body = m.group(2)
+            if body:
+                for letters, attrs, inner in _CELL.findall(body):
+                    i = wanted.get(letters)
+                    if i is not None and inner:
+                        cells[i] = _cell_value(book, attrs, inner)
+            while expected < rn:
+                yield expected, [None] * n
+                expected += 1
+            yield rn, cells
+            expected = rn + 1
+    while expected <= last_row:
+        yield expected, [None] * n
+        expected += 1
+
+
 # ---------------------------------------------------------------- writer (fixtures)
 
 def _col_letters(i: int) -> str:

@@ -68,10 +68,10 @@ def q_strip_all(spark, sf):
     n = rv.table(spark, sf, "nation")
     padded = c.join(n, c.c_nationkey == n.n_nationkey).select(
         "c_custkey",
-        F.concat(F.lit("\t  "), "c_name", F.lit(" \n")).alias("c_name"),
+        F.concat(F.lit("\t\u00a0 "), "c_name", F.lit("\u2003\n")).alias("c_name"),
         F.concat(F.lit("\u3000"), "n_name", F.lit(" \r\n")).alias("n_name"),
         F.concat(F.lit("\u0085"), "c_mktsegment").alias("c_mktsegment"),
-        F.lit(" \t  ").alias("blank"))
+        F.lit(" \t\u00a0 ").alias("blank"))
     return strip_all(padded)
 
 

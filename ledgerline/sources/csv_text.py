@@ -7,7 +7,7 @@
 * Cells are parsed with ``from_csv``: short rows are null-filled, extra cells
   dropped; an unquoted empty cell is null and a quoted empty cell is ''.
 * The encoding of each file is decided from its own bytes: a UTF-16 byte
-  order mark, else valid UTF-8, else ISO-8859-1.
+  order mark (little or big endian), else valid UTF-8, else ISO-8859-1.
 """
 
 from __future__ import annotations
@@ -62,14 +62,16 @@ def parse_cells(line: Column, names: Sequence[str]) -> Column:
 def detect_encoding(content: Column) -> Column:
     """Encoding of a byte column: UTF-16 BOM, else valid UTF-8, else ISO-8859-1."""
     head = F.hex(F.substring(content, 1, 2))
-    return (F.when(head.isin("FFFE", "FEFF"), F.lit("UTF-16"))
+    return (F.when(head == "FFFE", F.lit("UTF-16LE")).when(head == "FEFF", F.lit("UTF-16BE"))
              .when(F.is_valid_utf8(content.cast("string")), F.lit("UTF-8"))
              .otherwise(F.lit("ISO-8859-1")))
 
 
 def decode_as(content: Column, encoding: Column) -> Column:
+    body = F.substring(content, 3, 1 << 30)  # after the byte-order mark
     return (F.when(encoding == "UTF-8", F.decode(content, "UTF-8"))
-             .when(encoding == "UTF-16", F.decode(content, "UTF-16"))
+             .when(encoding == "UTF-16LE", F.decode(body, "UTF-16LE"))
+             .when(encoding == "UTF-16BE", F.decode(body, "UTF-16BE"))
              .otherwise(F.decode(content, "ISO-8859-1")))
 
 
@@ -99,16 +101,20 @@ def profile_files(spark: SparkSession, paths: Sequence[str] | str) -> list[FileP
     agg = t.groupBy("path").agg(
         F.count(F.lit(1)).alias("lines"),
         F.bool_and(F.is_valid_utf8("value")).alias("utf8"),
-        F.bool_or(F.hex(F.substring(raw, 1, 2)).isin("FFFE", "FEFF") & first_block).alias("utf16"),
+        F.max(F.when(first_block & F.hex(F.substring(raw, 1, 2)).isin("FFFE", "FEFF"),
+                     F.hex(F.substring(raw, 1, 2)))).alias("bom16"),
         F.min_by(F.when(first_block, raw), F.when(first_block, F.col("pos"))).alias("header"),
         F.count_if(is_wrapped(F.col("value"))).alias("wrapped"),
     )
     out = []
     for r in agg.collect():
-        enc = "UTF-16" if r.utf16 else ("UTF-8" if r.utf8 else "ISO-8859-1")
+        enc = {"FFFE": "UTF-16LE", "FEFF": "UTF-16BE"}.get(r.bom16) or ("UTF-8" if r.utf8 else "ISO-8859-1")
         header = bytes(r.header or b"")
-        text = header.decode("utf-16" if enc == "UTF-16" else ("utf-8" if enc == "UTF-8" else "latin-1"),
-                             errors="replace").lstrip("\ufeff")
+        codec = {"UTF-16LE": "utf-16-le", "UTF-16BE": "utf-16-be", "UTF-8": "utf-8"}.get(enc, "latin-1")
+        if enc.startswith("UTF-16"):
+            header = header[2:]
+            header = header[: len(header) // 2 * 2]
+        text = header.decode(codec, errors="replace").lstrip("\ufeff").rstrip("\r\x00")
         out.append(FileProfile(r.path, r.lines, enc, text, r.wrapped))
     return sorted(out, key=lambda p: p.path)
 

@@ -56,6 +56,15 @@ def test_latin1_and_utf8_files(spark, scratch):
     assert enc == {"l.csv": "ISO-8859-1", "u.csv": "UTF-8"}
 
 
+def test_utf16_and_utf8_bom_files(spark, scratch):
+    write(f"{scratch}/le.csv", "h1,h2,h3\n\u00f1,b,c\nd,e,f\n".encode("utf-16"))
+    write(f"{scratch}/be.csv", "\ufeffh1,h2,h3\ng,h,i\n".encode("utf-16-be"))
+    write(f"{scratch}/bom.csv", "h1,h2,h3\nx,y,z\n".encode("utf-8-sig"))
+    df, facts = read_report_csv(spark, scratch, NAMES)
+    assert rows(df) == [("d", "e", "f"), ("g", "h", "i"), ("x", "y", "z"), ("\u00f1", "b", "c")]
+    assert facts["encodings"] == {"UTF-16BE": 1, "UTF-16LE": 1, "UTF-8": 1}
+
+
 def test_wrong_width_fails(spark, scratch):
     write(f"{scratch}/w.csv", b"h1,h2\n1,2\n")
     with pytest.raises(ColumnCountError, match="allowed: 3"):

@@ -32,7 +32,7 @@ from ledgerline.sources.csv_text import (
     decode_as, detect_encoding, parse_cells, read_report_csv, repair_line,
 )
 from ledgerline.sources.workbooks import decode_workbooks, workbook_files
-from ledgerline.spec import SD_SPEC
+from ledgerline.spec import OS_SPEC, SD_SPEC
 
 # Fixed parameters of the registered checks.
 CUTOFF = _dt.date(2000, 1, 1)
@@ -523,3 +523,23 @@ def q_load_sd_csv_folder(spark, sf):
                                   scratch_path(spark, "csv-sd"), files=4, wrap_every=4)
     cells, _ = read_report_csv(spark, folder, SD_SPEC.raw_names)
     return load_sd_text(cells, CTX)
+
+
+_LOAD_OS_SQL = f"""
+WITH {OS_BASE}
+SELECT DISTINCT ID, TIPO_DOC, NRO_DOC, NOMBRE_CLIENTE, FECHA_CREA, FECHA_CARTA, BROKER, USUARIO_CREA,
+       USUARIO_CARTA, ESTADO_CARTA, TIMESTAMP '2024-06-30 12:00:00' AS FECHA_DATA,
+       'etl-host/loader' AS USUARIO_DATA
+FROM rows_os WHERE FECHA_CREA <= DATE '2000-01-01'
+"""
+
+
+@register("load_os_workbook", _LOAD_OS_SQL)
+def q_load_os_workbook(spark, sf):
+    """OS view written as workbooks (text cells, one book per 2,000 orders, two
+    sheets each), decoded by position and loaded."""
+    raw = rv.os_raw(spark, sf).withColumns({"book": F.expr("row_id div 2000"), "sheet": F.col("row_id") % 2})
+    files = workbook_files(raw, "book", "sheet", ["row_id", *OS_SPEC.raw_names], shared=False)
+    cells = decode_workbooks(files, [i + 1 for i in OS_SPEC.positions])
+    named = cells.select(*[F.get("cells", i).alias(n) for i, n in enumerate(OS_SPEC.raw_names)])
+    return load_os(named, CTX)

@@ -45,7 +45,7 @@ from ledgerline.sinks.targets import ParquetTarget  # noqa: E402
 from ledgerline.sources.csv_text import read_lines, read_report_csv, parse_cells, repair_line  # noqa: E402
 from ledgerline.spec import SD_SPEC  # noqa: E402
 
-REGISTERED = ["load_sd", "load_sd_csv_folder", "load_os", "realign_clean", "csv_wrapped_repair", "load_sd_workbook", "xlsx_scan"]
+REGISTERED = ["load_sd", "load_sd_csv_folder", "load_os", "load_os_workbook", "realign_clean", "csv_wrapped_repair", "load_sd_workbook", "xlsx_scan"]
 
 
 def noop(df):

@@ -130,6 +130,13 @@ def read_lines(spark: SparkSession, paths: Sequence[str], encoding: str) -> Data
                      F.col("_metadata.file_name").alias("source_file"))
 
 
+def decode_line_per_line(line: Column) -> Column:
+    """A line read byte-for-byte as ISO-8859-1, re-decoded as UTF-8 when its
+    bytes are valid UTF-8 (and kept as ISO-8859-1 text otherwise)."""
+    raw = F.encode(line, "ISO-8859-1")
+    return F.when(F.is_valid_utf8(raw.cast("string")), F.decode(raw, "UTF-8")).otherwise(line)
+
+
 def read_report_csv(spark: SparkSession, folder_or_paths: str | Sequence[str], names: Sequence[str],
                     encoding: str = "auto", compat: bool = False, check: bool = True
                     ) -> tuple[DataFrame, dict]:
@@ -139,7 +146,23 @@ def read_report_csv(spark: SparkSession, folder_or_paths: str | Sequence[str], n
     dict of per-read facts for the audit (files, encodings, read mode).
     ``check`` runs the per-file profile: exact header width, no empty file,
     and (with ``encoding='auto'``) the encoding of each file.
+
+    ``encoding='per-line'`` with ``check=False`` reads in a single pass, with
+    no profile: each line is UTF-8 when its bytes are valid UTF-8, else
+    ISO-8859-1.  It differs from the per-file rule only for ISO-8859-1 lines
+    whose bytes happen to form valid UTF-8.
     """
+    if encoding == "per-line" and not check:
+        paths = folder_or_paths if isinstance(folder_or_paths, str) else list(folder_or_paths)
+        if isinstance(paths, str):
+            paths = [r.path for r in list_files(spark, paths, ("csv",)).select("path").collect()]
+        lines = read_lines(spark, paths, "ISO-8859-1")
+        cells = lines.select("source_file", parse_cells(repair_line(decode_line_per_line(F.col("line")), compat),
+                                                        names).alias("c"))
+        return (cells.select("source_file", *[F.col("c")[n].alias(n) for n in names]),
+                {"files": len(paths), "read_mode": "unchecked", "encodings": {"per-line": len(paths)}})
+    if encoding == "per-line":
+        encoding = "auto"
     if isinstance(folder_or_paths, str):
         paths = [r.path for r in list_files(spark, folder_or_paths, ("csv",)).select("path").collect()]
     else:

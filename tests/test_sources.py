@@ -65,6 +65,14 @@ def test_utf16_and_utf8_bom_files(spark, scratch):
     assert facts["encodings"] == {"UTF-16BE": 1, "UTF-16LE": 1, "UTF-8": 1}
 
 
+def test_single_pass_per_line_encoding(spark, scratch):
+    write(f"{scratch}/l.csv", "h1,h2,h3\ncaf\xe9,ni\xf1o,x\n\"7,\"\"a, b\"\"\"\n".encode("latin-1"))
+    write(f"{scratch}/u.csv", "h1,h2,h3\ncaf\u00e9,ni\u00f1o,y\n".encode("utf-8"))
+    df, facts = read_report_csv(spark, scratch, NAMES, encoding="per-line", check=False)
+    assert rows(df) == [("7", "a, b", None), ("caf\u00e9", "ni\u00f1o", "x"), ("caf\u00e9", "ni\u00f1o", "y")]
+    assert facts["read_mode"] == "unchecked"
+
+
 def test_wrong_width_fails(spark, scratch):
     write(f"{scratch}/w.csv", b"h1,h2\n1,2\n")
     with pytest.raises(ColumnCountError, match="allowed: 3"):

@@ -23,54 +23,90 @@ BATCH_ROWS = 20_000
 WORKBOOK_SUFFIXES = ("xlsx", "xls")
 
 
-def _decode(path: str, content: bytes, positions: Sequence[int]):
+def _decode(path: str, content: bytes, positions: Sequence[int], only_sheet: int | None = None):
     fmt = path.rsplit(".", 1)[-1].lower()
     name = path.rsplit("/", 1)[-1]
     try:
         book = Workbook(content)
-        for sheet, part in book.sheets():
+        for i, (sheet, part) in enumerate(book.sheets()):
+            if only_sheet is not None and i != only_sheet:
+                continue
             for row_no, cells in sheet_records(book, part, positions):
                 yield name, fmt, sheet, row_no, cells
     except WorkbookError as e:
         raise WorkbookError(f"{e} (file: {path})") from e
 
 
-def decode_workbooks(files: DataFrame, positions: Sequence[int], spread: int | None = None) -> DataFrame:
+def split_sheets(files: DataFrame) -> DataFrame:
+    """One record per sheet: ``(path, content, sheet_index)``.
+
+    Lets a workbook with many sheets be decoded by many tasks (each task gets
+    the workbook bytes and decodes one sheet); only ``workbook.xml`` is read
+    here.
+    """
+    ship_package(files.sparkSession)
+
+    def run(batches):
+        for pdf in batches:
+            out = []
+            for path, content in zip(pdf["path"], pdf["content"]):
+                try:
+                    n = len(Workbook(bytes(content)).sheets())
+                except WorkbookError as e:
+                    raise WorkbookError(f"{e} (file: {path})") from e
+                out.extend((path, content, i) for i in range(n))
+            yield pd.DataFrame(out, columns=["path", "content", "sheet_index"])
+
+    return files.select("path", "content").mapInPandas(run, "path string, content binary, sheet_index int")
+
+
+def decode_workbooks(files: DataFrame, positions: Sequence[int], spread: int | None = None,
+                     per_sheet: bool = False) -> DataFrame:
     """``files`` has ``path`` and ``content`` (as from ``binaryFile``).
 
     Decoding is CPU-bound per file; ``spread`` hash-partitions the file
     records over that many tasks first (one shuffle of the compressed
-    bytes), for folders with few files relative to the cores.
+    bytes), for folders with few files relative to the cores.  With
+    ``per_sheet`` the unit of work is one sheet instead of one workbook.
     """
     positions = [int(p) for p in positions]
     ship_package(files.sparkSession)
-    if spread:
-        files = files.repartition(spread, "path")
+    if per_sheet:
+        files = split_sheets(files)
+        if spread:
+            files = files.repartition(spread, "path", "sheet_index")
+    else:
+        files = files.select("path", "content", F.lit(None).cast("int").alias("sheet_index"))
+        if spread:
+            files = files.repartition(spread, "path")
 
     def run(batches):
         for pdf in batches:
-            for path, content in zip(pdf["path"], pdf["content"]):
+            for path, content, only in zip(pdf["path"], pdf["content"], pdf["sheet_index"]):
+                only = None if only is None or only != only else int(only)
                 buf, seen = [], 0
-                for rec in _decode(path, bytes(content), positions):
+                for rec in _decode(path, bytes(content), positions, only):
                     buf.append(rec)
                     seen += 1
                     if len(buf) >= BATCH_ROWS:
                         yield pd.DataFrame(buf, columns=["source_file", "source_format", "sheet", "row_no", "cells"])
                         buf = []
-                if not seen:
+                if not seen and only is None:
                     raise WorkbookError(f"workbook has no data rows (file: {path})")
                 if buf:
                     yield pd.DataFrame(buf, columns=["source_file", "source_format", "sheet", "row_no", "cells"])
 
-    return files.select("path", "content").mapInPandas(run, ROW_SCHEMA)
+    return files.select("path", "content", "sheet_index").mapInPandas(run, ROW_SCHEMA)
 
 
 def read_workbooks(spark: SparkSession, folder: str, positions: Sequence[int], names: Sequence[str],
-                   partitions: int | None = None) -> DataFrame:
+                   partitions: int | None = None, per_sheet: bool = False) -> DataFrame:
     """Read every ``.xlsx`` of a folder into named string cells (by position).
 
     ``.xls`` (BIFF) files are rejected up front: there is no decoder for them.
     ``partitions`` spreads decoded rows over more tasks (one extra shuffle).
+    ``per_sheet`` decodes each sheet in its own task (for workbooks with many
+    large sheets); a workbook without any data row is then not reported.
     """
     listed = list_files(spark, folder, WORKBOOK_SUFFIXES)
     old = [r.name for r in listed.filter(F.col("suffix") == "xls").select("name").collect()]
@@ -82,7 +118,9 @@ def read_workbooks(spark: SparkSession, folder: str, positions: Sequence[int], n
     cores = spark.sparkContext.defaultParallelism
     # many files already spread over the scan's partitions; few files do not
     spread = min(n_files, cores) if 1 < n_files < 4 * cores else None
-    rows = decode_workbooks(files, positions, spread)
+    if per_sheet:
+        spread = cores
+    rows = decode_workbooks(files, positions, spread, per_sheet)
     if partitions:
         rows = rows.repartition(partitions)
     return rows.select("source_file", "source_format", "sheet", "row_no",

@@ -114,6 +114,16 @@ def test_workbook_two_sheets_gaps_and_dates(spark, scratch):
     ]
 
 
+def test_workbook_per_sheet_equals_per_book(spark, scratch):
+    sheets = [(f"s{i}", [["h0", "h1"]] + [[f"r{i}-{j}", j] for j in range(40)]) for i in range(6)]
+    write(f"{scratch}/many.xlsx", write_workbook(sheets))
+    a = read_workbooks(spark, scratch, [1, 0], ["B", "A"])
+    b = read_workbooks(spark, scratch, [1, 0], ["B", "A"], per_sheet=True)
+    cols = ["source_file", "sheet", "row_no", "A", "B"]
+    assert sorted(a.select(cols).collect()) == sorted(b.select(cols).collect())
+    assert b.count() == 240
+
+
 def test_workbook_header_only_fails(spark, scratch):
     write(f"{scratch}/e.xlsx", write_workbook([("s", [["h0", "h1"]])]))
     with pytest.raises(PySparkException, match="no data rows"):

@@ -86,7 +86,7 @@ def main():
         spark.conf.set("spark.checkpoint.dir", f"{scratch}/ckpt")
         spark.sparkContext.setCheckpointDir(f"{scratch}/ckpt")
 
-    raw_pq, csv_dir = f"{scratch}/sd_raw.parquet", f"{scratch}/Reporte_SD"
+    raw_pq, csv_dir = f"{scratch}/sd_raw.parquet", f"{scratch}/sd_reports"
     rv.sd_raw_wide(spark, sf).repartition(cpus * 2).write.mode("overwrite").parquet(raw_pq)
     raw = spark.read.parquet(raw_pq)
     rv.write_csv_reports(raw, SD_SPEC.raw_names, csv_dir, cpus * 2)

@@ -125,3 +125,17 @@ def test_cutoff_parameter():
     assert parse_cutoff("31-01-2024") == dt.date(2024, 1, 31)
     with pytest.raises(ValueError):
         parse_cutoff("2024-01-31")
+
+
+def test_strict_date_of_blank_fails_but_null_passes(spark):
+    df = spark.createDataFrame([("",)], "v string")
+    with pytest.raises(PySparkException):
+        df.select(parse_date_dmy("v", strict=True)).collect()
+    nul = spark.createDataFrame([(None,)], "v string")
+    assert nul.select(parse_date_dmy("v", strict=True)).first()[0] is None
+
+
+def test_dash_is_not_date_shaped(spark):
+    """The shape pattern needs the whole dd-mm-yyyy form or an empty cell."""
+    assert one_col(spark, ["-"], date_shape) == [False]
+    assert one_col(spark, ["--/--/----"], lambda c: parse_date_dmy(c, strict=False)) == [None]

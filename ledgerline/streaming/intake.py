@@ -19,21 +19,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ledgerline.sources.csv_text import LINE_SEP_TOKEN, parse_cells, repair_line
+from ledgerline.sources.csv_text import LINE_SEP_TOKEN, decode_line_per_line, parse_cells, repair_line
 from ledgerline.sources.files import suffix_glob
 
 
 def csv_report_stream(spark: SparkSession, folder: str, names: Sequence[str],
                       encoding: str = "UTF-8", max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming frame of named string cells from CSV report files in ``folder``."""
+    """Streaming frame of named string cells from CSV report files in ``folder``.
+
+    ``encoding`` is a charset, or ``'per-line'`` (UTF-8 where a line's bytes
+    are valid UTF-8, else ISO-8859-1), since a stream has no profile pass.
+    """
+    per_line = encoding == "per-line"
     reader = (spark.readStream.schema("line string").option("header", True).option("sep", LINE_SEP_TOKEN)
-              .option("quote", "").option("encoding", encoding)
+              .option("quote", "").option("encoding", "ISO-8859-1" if per_line else encoding)
               .option("pathGlobFilter", suffix_glob(("csv",))))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     lines = reader.csv(folder)
+    line = F.rtrim(F.col("line"), F.lit("\r"))
+    if per_line:
+        line = decode_line_per_line(line)
     cells = lines.select(F.col("_metadata.file_name").alias("source_file"),
-                         parse_cells(repair_line(F.rtrim(F.col("line"), F.lit("\r"))), names).alias("c"))
+                         parse_cells(repair_line(line), names).alias("c"))
     return cells.select("source_file", *[F.col("c")[n].alias(n) for n in names])
 
 

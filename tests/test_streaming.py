@@ -17,7 +17,7 @@ def test_intake_loads_new_files_once(spark, scratch):
     os.makedirs(src)
     with open(f"{src}/a.csv", "w") as f:
         f.write(HEADER + ROW.format(n=1, vh="") + ROW.format(n=1, vh="") + ROW.format(n=2, vh="07/01/2024"))
-    stream = csv_report_stream(spark, src, SD_SPEC.raw_names)
+    stream = csv_report_stream(spark, src, SD_SPEC.raw_names, encoding="per-line")
     load = lambda b: load_sd_text(b, CTX)
     start_intake(stream, load, out, ck).awaitTermination(120)
     first = spark.read.parquet(out)

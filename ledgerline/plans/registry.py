@@ -346,9 +346,9 @@ FROM s
 """)
 def q_chunk_plan(spark, sf):
     o = _orders(spark, sf)
-    per = o.groupBy(F.col("o_orderstatus").alias("grp")).agg(F.count(F.lit(1)).alias("n"))
-    total = o.agg(F.count(F.lit(1)).alias("n")).select(F.lit("ALL").alias("grp"), "n")
-    both = per.unionByName(total)
+    # per status and the whole table in one scan (grouping sets), not two
+    both = o.rollup("o_orderstatus").agg(F.count(F.lit(1)).alias("n"), F.grouping("o_orderstatus").alias("g"))
+    both = both.select(F.when(F.col("g") == 1, F.lit("ALL")).otherwise(F.col("o_orderstatus")).alias("grp"), "n")
     return both.withColumns(chunk_columns(F.col("n")))
 
 

@@ -311,6 +311,7 @@ def sheet_records(book: Workbook, path: str, positions: Sequence[int]
         raise WorkbookError(f"wrong number of columns: {width}; needed: {max(positions) + 1}")
     wanted = {_col_letters(first_col + p).encode(): i for i, p in enumerate(positions)}
     n = len(positions)
+    shared = book.shared
     expected = first_row + 1
     rn = 0
     for chunk in _row_chunks(book, path):
@@ -326,8 +327,17 @@ def sheet_records(book: Workbook, path: str, positions: Sequence[int]
             if body:
                 for letters, attrs, inner in _CELL.findall(body):
                     i = wanted.get(letters)
-                    if i is not None and inner:
-                        cells[i] = _cell_value(book, attrs, inner)
+                    if i is None or not inner:
+                        continue
+                    # fast paths: shared string, and plain number without a style
+                    if inner[:3] == b"<v>" and inner[-4:] == b"</v>":
+                        if b' t="s"' in attrs:
+                            cells[i] = shared[int(inner[3:-4])]
+                            continue
+                        if b' t="' not in attrs and b' s="' not in attrs:
+                            cells[i] = render_number(float(inner[3:-4]))
+                            continue
+                    cells[i] = _cell_value(book, attrs, inner)
             while expected < rn:
                 yield expected, [None] * n
                 expected += 1

@@ -68,17 +68,32 @@ def _cell(name: str) -> Column:
     return F.col(CELL_COLUMNS[name])
 
 
-def _condition(rule: Rule) -> Column:
+def _flag(name: str) -> str:
+    return f"__shaped_{name}"
+
+
+def _condition(rule: Rule, flags: bool = False) -> Column:
+    shaped = (lambda n: F.col(_flag(n))) if flags else (lambda n: date_shape(_cell(n)))
     cond = None
     for name in rule.dated:
-        c = date_shape(_cell(name))
+        c = shaped(name)
         cond = c if cond is None else cond & c
     for name in rule.undated:
-        c = ~date_shape(_cell(name))
+        c = ~shaped(name)
         cond = c if cond is None else cond & c
     return cond
 
 
+def tested_cells(rules=RULES) -> list[str]:
+    """Cells whose date shape the rules test, in first-use order."""
+    out: list[str] = []
+    for r in rules:
+        for n in (*r.dated, *r.undated):
+            if n not in out:
+                out.append(n)
+    return out
+
+
 def _target(spec) -> Column:
     if spec is None:
         return F.lit(None).cast("string")
@@ -92,11 +107,14 @@ def _target(spec) -> Column:
     return _cell(spec)
 
 
-def shift_kind(rules=RULES) -> Column:
-    """0 for a clean row, else the kind of the first matching rule."""
+def shift_kind(rules=RULES, flags: bool = False) -> Column:
+    """0 for a clean row, else the kind of the first matching rule.
+
+    With ``flags`` the conditions read precomputed ``__shaped_<cell>`` columns.
+    """
     expr = None
     for rule in rules:
-        cond = _condition(rule)
+        cond = _condition(rule, flags)
         expr = F.when(cond, F.lit(rule.kind)) if expr is None else expr.when(cond, F.lit(rule.kind))
     return expr.otherwise(F.lit(0))
 
@@ -108,7 +126,10 @@ def realign(df: DataFrame, kind_column: str | None = None, rules=RULES) -> DataF
     pass through.  With ``kind_column`` the detected kind is kept.
     """
     kind_col = kind_column or "__shift_kind"
-    marked = df.withColumn(kind_col, shift_kind(rules))
+    # each tested cell's shape once per row (a cell appears in up to 3 rules)
+    names = tested_cells(rules)
+    shaped = df.withColumns({_flag(n): date_shape(_cell(n)) for n in names})
+    marked = shaped.withColumn(kind_col, shift_kind(rules, flags=True)).drop(*[_flag(n) for n in names])
     k = F.col(kind_col)
     moved = {}
     for i, target in enumerate(CELLS):

@@ -12,8 +12,6 @@
 
 from __future__ import annotations
 
-import csv as _csv
-import io
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -21,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.operators.columns import check_column_count
-from ledgerline.sources.files import SourceError, list_files
+from ledgerline.sources.files import SourceError, list_files, suffix_glob
 
 # Reader options.  The null sentinel makes an unquoted empty cell
 # null while a quoted empty cell stays ''.
@@ -80,22 +78,29 @@ class FileProfile:
     path: str
     lines: int
     encoding: str
-    header: str
+    header_cells: int
     wrapped_lines: int
 
-    @property
-    def header_cells(self) -> int:
-        row = next(_csv.reader(io.StringIO(self.header)), [])
-        return len(row)
 
+_QUOTED_FIELD = r'"(?:[^"]|"")*"'
 
-def profile_files(spark: SparkSession, paths: Sequence[str] | str) -> list[FileProfile]:
-    """One pass over all lines: per file line count, encoding, header and
-    wrapped-line count.  Only one small row per file reaches the driver."""
-    t = spark.read.text(paths if isinstance(paths, str) else list(paths))
-    t = t.select("value", F.col("_metadata.file_path").alias("path"),
-                 F.col("_metadata.file_block_start").alias("block"),
-                 F.monotonically_increasing_id().alias("pos"))
+
+def _sources(spark: SparkSession, src: str | Sequence[str], fmt: str):
+    """A reader for a folder (non-recursive, ``*.csv`` any case) or a file list."""
+    r = spark.read.format(fmt)
+    if isinstance(src, str):
+        return r.option("pathGlobFilter", suffix_glob(("csv",))).option("recursiveFileLookup", "false"), src
+    return r, list(src)
+
+
+def profile_frame(spark: SparkSession, src: str | Sequence[str]) -> DataFrame:
+    """One row per file, computed by one pass over all lines: ``path``,
+    ``lines``, ``encoding``, ``header_cells`` (width of the header line) and
+    ``wrapped`` (quote-wrapped lines).  Nothing is collected here."""
+    reader, where = _sources(spark, src, "text")
+    t = reader.load(where).select(
+        "value", F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("pos"))
     raw = F.col("value").cast("binary")
     first_block = F.col("block") == 0
     agg = t.groupBy("path").agg(
@@ -106,26 +111,39 @@ def profile_files(spark: SparkSession, paths: Sequence[str] | str) -> list[FileP
         F.min_by(F.when(first_block, raw), F.when(first_block, F.col("pos"))).alias("header"),
         F.count_if(is_wrapped(F.col("value"))).alias("wrapped"),
     )
-    out = []
-    for r in agg.collect():
-        enc = {"FFFE": "UTF-16LE", "FEFF": "UTF-16BE"}.get(r.bom16) or ("UTF-8" if r.utf8 else "ISO-8859-1")
-        header = bytes(r.header or b"")
-        codec = {"UTF-16LE": "utf-16-le", "UTF-16BE": "utf-16-be", "UTF-8": "utf-8"}.get(enc, "latin-1")
-        if enc.startswith("UTF-16"):
-            header = header[2:]
-            header = header[: len(header) // 2 * 2]
-        text = header.decode(codec, errors="replace").lstrip("\ufeff").rstrip("\r\x00")
-        out.append(FileProfile(r.path, r.lines, enc, text, r.wrapped))
-    return sorted(out, key=lambda p: p.path)
-
-
-def read_lines(spark: SparkSession, paths: Sequence[str], encoding: str) -> DataFrame:
-    """Data lines (header dropped) of files in one encoding, with file lineage."""
-    reader = (spark.read.schema("line string").option("header", True).option("sep", LINE_SEP_TOKEN)
+    enc = (F.when(F.col("bom16") == "FFFE", F.lit("UTF-16LE")).when(F.col("bom16") == "FEFF", F.lit("UTF-16BE"))
+            .when(F.col("utf8"), F.lit("UTF-8")).otherwise(F.lit("ISO-8859-1")))
+    # the header line split on raw "\n" bytes: for UTF-16 drop the BOM and the odd trailing byte
+    h = F.col("header")
+    h16 = F.substring(h, 3, 1 << 30)
+    h16 = F.substring(h16, 1, (F.length(h16) / 2).cast("int") * 2)
+    text = (F.when(F.col("encoding") == "UTF-16LE", F.decode(h16, "UTF-16LE"))
+             .when(F.col("encoding") == "UTF-16BE", F.decode(h16, "UTF-16BE"))
+             .when(F.col("encoding") == "UTF-8", F.decode(h, "UTF-8"))
+             .otherwise(F.decode(h, "ISO-8859-1")))
+    text = F.regexp_replace(text, "^\ufeff|[\r\u0000]+$", "")
+    width = F.size(F.split(F.regexp_replace(text, _QUOTED_FIELD, "q"), ","))
+    return (agg.withColumn("encoding", enc).withColumn("header_text", text)
+               .select("path", "lines", "encoding", width.alias("header_cells"), "wrapped"))
+
+
+def profile_files(spark: SparkSession, paths: Sequence[str] | str) -> list[FileProfile]:
+    """The per-file profile as a list (for inspection and tests)."""
+    rows = profile_frame(spark, paths).collect()
+    return sorted((FileProfile(r.path, r.lines, r.encoding, r.header_cells, r.wrapped) for r in rows),
+                  key=lambda p: p.path)
+
+
+def read_lines(spark: SparkSession, paths: str | Sequence[str], encoding: str) -> DataFrame:
+    """Data lines (header dropped) of files in one encoding, with file lineage.
+
+    ``paths`` is a folder (its ``*.csv`` files) or a list of files."""
+    reader, where = _sources(spark, paths, "csv")
+    reader = (reader.schema("line string").option("header", True).option("sep", LINE_SEP_TOKEN)
               .option("quote", "").option("encoding", encoding))
     if encoding.upper().startswith("UTF-16"):
         reader = reader.option("lineSep", "\n")
-    df = reader.csv(list(paths))
+    df = reader.load(where)
     return df.select(F.rtrim(F.col("line"), F.lit("\r")).alias("line"),
                      F.col("_metadata.file_name").alias("source_file"))
 
@@ -144,49 +162,61 @@ def read_report_csv(spark: SparkSession, folder_or_paths: str | Sequence[str], n
 
     Returns the frame (``source_file`` + one column per name) and a small
     dict of per-read facts for the audit (files, encodings, read mode).
-    ``check`` runs the per-file profile: exact header width, no empty file,
-    and (with ``encoding='auto'``) the encoding of each file.
+    ``check`` runs the per-file profile pass: exact header width, no empty
+    file, and (with ``encoding='auto'``) the encoding of each file.  Only a
+    summary row per encoding reaches the driver; file names only when a check
+    fails (a few examples) or when a folder mixes encodings.
 
     ``encoding='per-line'`` with ``check=False`` reads in a single pass, with
     no profile: each line is UTF-8 when its bytes are valid UTF-8, else
     ISO-8859-1.  It differs from the per-file rule only for ISO-8859-1 lines
     whose bytes happen to form valid UTF-8.
     """
+    src = folder_or_paths if isinstance(folder_or_paths, str) else list(folder_or_paths)
+    if isinstance(src, str):
+        list_files(spark, src, ("csv",))  # missing folder / no CSV files are errors
+    elif not src:
+        raise SourceError("no CSV files to read")
+
+    def cells_of(lines: DataFrame) -> DataFrame:
+        parsed = lines.select("source_file", parse_cells(repair_line(F.col("line"), compat), names).alias("c"))
+        return parsed.select("source_file", *[F.col("c")[n].alias(n) for n in names])
+
     if encoding == "per-line" and not check:
-        paths = folder_or_paths if isinstance(folder_or_paths, str) else list(folder_or_paths)
-        if isinstance(paths, str):
-            paths = [r.path for r in list_files(spark, paths, ("csv",)).select("path").collect()]
-        lines = read_lines(spark, paths, "ISO-8859-1")
-        cells = lines.select("source_file", parse_cells(repair_line(decode_line_per_line(F.col("line")), compat),
-                                                        names).alias("c"))
-        return (cells.select("source_file", *[F.col("c")[n].alias(n) for n in names]),
-                {"files": len(paths), "read_mode": "unchecked", "encodings": {"per-line": len(paths)}})
+        lines = read_lines(spark, src, "ISO-8859-1")
+        lines = lines.withColumn("line", decode_line_per_line(F.col("line")))
+        return cells_of(lines), {"files": None, "read_mode": "unchecked", "encodings": {"per-line": None}}
     if encoding == "per-line":
         encoding = "auto"
-    if isinstance(folder_or_paths, str):
-        paths = [r.path for r in list_files(spark, folder_or_paths, ("csv",)).select("path").collect()]
-    else:
-        paths = list(folder_or_paths)
-    if not paths:
-        raise SourceError("no CSV files to read")
-    by_enc: dict[str, list[str]] = {}
-    facts = {"files": len(paths), "read_mode": "plain", "encodings": {}}
-    if check or encoding == "auto":
-        for p in profile_files(spark, paths):
-            if p.lines <= 1:
-                raise SourceError(f"CSV file has no data rows: {p.path}")
-            if check:
-                check_column_count(p.header_cells, len(names), p.path)
-            enc = p.encoding if encoding == "auto" else encoding
-            by_enc.setdefault(enc, []).append(p.path)
-            if p.wrapped_lines:
-                facts["read_mode"] = "repaired"
-    else:
-        by_enc[encoding] = paths
-    facts["encodings"] = {k: len(v) for k, v in by_enc.items()}
-    parts = [read_lines(spark, ps, enc) for enc, ps in sorted(by_enc.items())]
+    if not check and encoding != "auto":
+        return cells_of(read_lines(spark, src, encoding)), {"files": None, "read_mode": "unchecked",
+                                                            "encodings": {encoding: None}}
+
+    prof = profile_frame(spark, src)
+    n = len(names)
+    summary = prof.groupBy("encoding").agg(
+        F.count(F.lit(1)).alias("files"), F.sum("wrapped").alias("wrapped"),
+        F.count_if(F.col("lines") <= 1).alias("empty"),
+        F.count_if(F.col("header_cells") != n).alias("bad_width")).collect()
+    if check and any(r.empty for r in summary):
+        bad = [r.path for r in prof.filter(F.col("lines") <= 1).select("path").limit(5).collect()]
+        raise SourceError(f"CSV file has no data rows: {', '.join(sorted(bad))}")
+    if check and any(r.bad_width for r in summary):
+        r = prof.filter(F.col("header_cells") != n).select("path", "header_cells").first()
+        check_column_count(r.header_cells, n, r.path)
+    facts = {"files": sum(r.files for r in summary),
+             "read_mode": "repaired" if any(r.wrapped for r in summary) else "plain",
+             "encodings": {r.encoding: r.files for r in summary}}
+    if encoding != "auto":
+        facts["encodings"] = {encoding: facts["files"]}
+        return cells_of(read_lines(spark, src, encoding)), facts
+    if len(summary) == 1:
+        return cells_of(read_lines(spark, src, summary[0].encoding)), facts
+    groups: dict[str, list[str]] = {}
+    for r in prof.select("path", "encoding").collect():  # mixed folder: file names per encoding
+        groups.setdefault(r.encoding, []).append(r.path)
+    parts = [read_lines(spark, ps, enc) for enc, ps in sorted(groups.items())]
     lines = parts[0]
     for p in parts[1:]:
         lines = lines.unionByName(p)
-    cells = lines.select("source_file", parse_cells(repair_line(F.col("line"), compat), names).alias("c"))
-    return cells.select("source_file", *[F.col("c")[n].alias(n) for n in names]), facts
+    return cells_of(lines), facts

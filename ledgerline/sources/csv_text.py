@@ -106,12 +106,11 @@ def profile_frame(spark: SparkSession, src: str | Sequence[str]) -> DataFrame:
     agg = t.groupBy("path").agg(
         F.count(F.lit(1)).alias("lines"),
         F.bool_and(F.is_valid_utf8("value")).alias("utf8"),
-        F.max(F.when(first_block & F.hex(F.substring(raw, 1, 2)).isin("FFFE", "FEFF"),
-                     F.hex(F.substring(raw, 1, 2)))).alias("bom16"),
         F.min_by(F.when(first_block, raw), F.when(first_block, F.col("pos"))).alias("header"),
         F.count_if(is_wrapped(F.col("value"))).alias("wrapped"),
     )
-    enc = (F.when(F.col("bom16") == "FFFE", F.lit("UTF-16LE")).when(F.col("bom16") == "FEFF", F.lit("UTF-16BE"))
+    bom16 = F.hex(F.substring(F.col("header"), 1, 2))  # byte-order mark of the file's first line only
+    enc = (F.when(bom16 == "FFFE", F.lit("UTF-16LE")).when(bom16 == "FEFF", F.lit("UTF-16BE"))
             .when(F.col("utf8"), F.lit("UTF-8")).otherwise(F.lit("ISO-8859-1")))
     # the header line split on raw "\n" bytes: for UTF-16 drop the BOM and the odd trailing byte
     h = F.col("header")

@@ -73,6 +73,13 @@ def test_single_pass_per_line_encoding(spark, scratch):
     assert facts["read_mode"] == "unchecked"
 
 
+def test_latin1_line_starting_like_a_bom_stays_latin1(spark, scratch):
+    write(f"{scratch}/l.csv", b"h1,h2,h3\n\xff\xfex,b,c\n")
+    df, facts = read_report_csv(spark, scratch, NAMES)
+    assert facts["encodings"] == {"ISO-8859-1": 1}
+    assert rows(df) == [("\u00ff\u00fex", "b", "c")]
+
+
 def test_wrong_width_fails(spark, scratch):
     write(f"{scratch}/w.csv", b"h1,h2\n1,2\n")
     with pytest.raises(ColumnCountError, match="allowed: 3"):

@@ -28,7 +28,9 @@ CSV_OPTIONS = {"sep": ",", "quote": '"', "escape": '"', "nullValue": NULL_SENTIN
                "mode": "PERMISSIVE"}
 # Separator for reading whole lines as one cell (quoting off); never in report text.
 LINE_SEP_TOKEN = "\u0001\u0002\u0003"
-WRAPPED_LINE = r'^"(?:[^"]|"")*"$'
+# possessive runs: a plain (?:[^"]|"")* recurses once per character in Java's
+# regex engine and overflows the stack on long lines
+WRAPPED_LINE = r'^"(?:[^"]++|"")*+"$'
 
 
 def is_wrapped(line: Column) -> Column:
@@ -82,7 +84,7 @@ class FileProfile:
     wrapped_lines: int
 
 
-_QUOTED_FIELD = r'"(?:[^"]|"")*"'
+_QUOTED_FIELD = r'"(?:[^"]++|"")*+"'
 
 
 def _sources(spark: SparkSession, src: str | Sequence[str], fmt: str):

@@ -80,6 +80,16 @@ def test_latin1_line_starting_like_a_bom_stays_latin1(spark, scratch):
     assert rows(df) == [("\u00ff\u00fex", "b", "c")]
 
 
+def test_long_wrapped_line_whole_text(spark, scratch):
+    text = "word, " * 25000  # 150,000 characters in one cell
+    line = '"1,""' + text.replace('"', '""') + '"",3"'
+    write(f"{scratch}/long.csv", ("h1,h2,h3\n" + line + "\n").encode("utf-8"))
+    df, facts = read_report_csv(spark, scratch, NAMES)
+    got = df.collect()
+    assert len(got) == 1 and got[0]["b"] == text and got[0]["c"] == "3"
+    assert facts["read_mode"] == "repaired"
+
+
 def test_wrong_width_fails(spark, scratch):
     write(f"{scratch}/w.csv", b"h1,h2\n1,2\n")
     with pytest.raises(ColumnCountError, match="allowed: 3"):

@@ -36,18 +36,22 @@ def _source_kind(spark: SparkSession, folder: str) -> str:
 
 
 def parsed_report(spark: SparkSession, report: str, folder: str, ctx: LoadContext,
-                  source: str = "auto", encoding: str = "auto", compat: bool = False
-                  ) -> tuple[DataFrame, str]:
-    """Parsed (pre cut-off) rows of one report folder, and the read mode."""
+                  source: str = "auto", encoding: str = "auto", compat: bool = False,
+                  check: bool = True, per_sheet: bool = False) -> tuple[DataFrame, str]:
+    """Parsed (pre cut-off) rows of one report folder, and the read mode.
+
+    ``encoding``/``check`` go to the CSV reader (``'per-line'`` with
+    ``check=False`` is the single-pass read); ``per_sheet`` to the workbook
+    reader."""
     spec = SPECS[report]
     kind = _source_kind(spark, folder) if source == "auto" else source
     if kind == "csv":
         names = spec.raw_names
-        cells, facts = read_report_csv(spark, folder, names, encoding=encoding, compat=compat)
+        cells, facts = read_report_csv(spark, folder, names, encoding=encoding, compat=compat, check=check)
         if report == "SD":
             return sd_text_parsed(cells, ctx), facts["read_mode"]
         return os_parsed(cells, ctx), facts["read_mode"]
-    cells = read_workbooks(spark, folder, spec.positions, spec.raw_names)
+    cells = read_workbooks(spark, folder, spec.positions, spec.raw_names, per_sheet=per_sheet)
     if report == "SD":
         return sd_workbook_parsed(cells, ctx, F.col("source_format"), compat=compat), "workbook"
     return os_parsed(cells, ctx), "workbook"
@@ -55,9 +59,10 @@ def parsed_report(spark: SparkSession, report: str, folder: str, ctx: LoadContex
 
 def load_report(spark: SparkSession, report: str, folder: str, cutoff, target, guard: str = "fail",
                 source: str = "auto", load_ts: _dt.datetime | None = None, load_user: str | None = None,
-                encoding: str = "auto", compat: bool = False) -> LoadResult:
+                encoding: str = "auto", compat: bool = False, check: bool = True,
+                per_sheet: bool = False) -> LoadResult:
     ctx = LoadContext.of(cutoff, load_ts, load_user)
-    parsed, mode = parsed_report(spark, report, folder, ctx, source, encoding, compat)
+    parsed, mode = parsed_report(spark, report, folder, ctx, source, encoding, compat, check, per_sheet)
     return publish(spark, parsed, SPECS[report], ctx, target, guard=guard, read_mode=mode)
 
 

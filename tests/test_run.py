@@ -35,6 +35,9 @@ def test_load_report_workbooks_then_guard(spark, scratch):
     target = ParquetTarget(f"{scratch}/DATA_SD")
     res = load_report(spark, "SD", src, "15-01-2024", target, load_ts=TS, load_user="u")
     a = res.audit
+    again = load_report(spark, "SD", src, "15-01-2024", ParquetTarget(f"{scratch}/SD2"), load_ts=TS,
+                        load_user="u", per_sheet=True).audit
+    assert {k: again[k] for k in ("n_in", "n_out", "excluded")} == {k: a[k] for k in ("n_in", "n_out", "excluded")}
     assert a["n_in"] == 50 and a["status"] == "loaded" and a["read_mode"] == "workbook"
     out = target.read(spark)
     assert out.columns == SD_SPEC.output_names
@@ -55,5 +58,8 @@ def test_load_report_csv_os(spark, scratch):
     target = ParquetTarget(f"{scratch}/DATA_OS")
     res = load_report(spark, "OS", src, "31-01-2024", target, load_ts=TS, load_user="u")
     rows = target.read(spark).collect()
+    single = load_report(spark, "OS", src, "31-01-2024", ParquetTarget(f"{scratch}/OS2"), load_ts=TS,
+                         load_user="u", encoding="per-line", check=False)
+    assert single.audit["n_out"] == 1 and single.audit["read_mode"] == "unchecked"
     assert len(rows) == 1 and rows[0].ID == 1 and rows[0].USUARIO_CREA is None
     assert res.audit["excluded"] == 1 and res.audit["read_mode"] == "plain"

@@ -72,3 +72,31 @@ def test_strip_and_shape_match_python(spark):
         v = vals[r.i]
         assert r.s == (None if v is None else v.strip(UNICODE_WHITESPACE)), repr(v)
         assert r.d == py_shape(v), repr(v)
+
+
+def test_csv_round_trip_with_wrapped_lines(spark, scratch):
+    """Random cells written with Python's csv module (RFC quoting), every third
+    line wrapped whole in quotes, read back unchanged."""
+    import csv
+    import io
+
+    from ledgerline.sources.csv_text import read_report_csv
+
+    rnd = random.Random(3)
+    pool = ["a", "b c", "x,y", 'say "hi"', '"q"', "", "ñandú", ",", '""', "z" * 50]
+    names = ["c0", "c1", "c2", "c3"]
+    rows = [[rnd.choice(pool) for _ in names] for _ in range(400)]
+    lines = []
+    for i, r in enumerate(rows):
+        buf = io.StringIO()
+        csv.writer(buf, lineterminator="").writerow(r)
+        line = buf.getvalue()
+        lines.append('"' + line.replace('"', '""') + '"' if i % 3 == 0 else line)
+    with open(f"{scratch}/r.csv", "w", encoding="utf-8") as f:
+        f.write(",".join(names) + "\n" + "\n".join(lines) + "\n")
+    df, _ = read_report_csv(spark, scratch, names)
+    key = lambda t: tuple((v is not None, v or "") for v in t)
+    got = sorted((tuple(r[n] for n in names) for r in df.collect()), key=key)
+    # Python's writer leaves an empty cell unquoted: it reads back as null
+    want = sorted((tuple(None if v == "" else v for v in r) for r in rows), key=key)
+    assert got == want

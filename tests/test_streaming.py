@@ -30,3 +30,20 @@ def test_intake_loads_new_files_once(spark, scratch):
     both = spark.read.parquet(out)
     assert both.count() == 3
     assert both.select("batch").distinct().count() == 2
+
+
+def test_report_intake_writes_audit_per_batch(spark, scratch):
+    from ledgerline.plans.reports import sd_text_parsed
+    from ledgerline.streaming.intake import start_report_intake
+
+    src, out, ck = f"{scratch}/in", f"{scratch}/out", f"{scratch}/ck"
+    os.makedirs(src)
+    late = ROW.format(n=9, vh="").replace("05/01/2024", "05/01/2025")  # after the cut-off
+    with open(f"{src}/a.csv", "w") as f:
+        f.write(HEADER + ROW.format(n=1, vh="") + ROW.format(n=1, vh="") + late)
+    stream = csv_report_stream(spark, src, SD_SPEC.raw_names)
+    start_report_intake(stream, SD_SPEC, sd_text_parsed, CTX, out, ck).awaitTermination(120)
+    assert spark.read.parquet(out).count() == 1
+    a = spark.read.parquet(f"{out}/_audit").first()
+    assert (a.n_in, a.n_out, a.excluded, a.null_date_rows) == (3, 1, 1, 0)
+    assert a.first_date == dt.date(2024, 1, 5) and a.last_date == dt.date(2025, 1, 5)

@@ -20,6 +20,17 @@ from ledgerline.sources.xlsx import Workbook, WorkbookError, sheet_records
 
 ROW_SCHEMA = "source_file string, source_format string, sheet string, row_no int, cells array<string>"
 BATCH_ROWS = 20_000
+# Each input record holds a whole workbook, so Arrow batches into the Python
+# workers are capped at a few records (the setting is per session; it is only
+# ever lowered).
+WORKBOOKS_PER_BATCH = 8
+
+
+def _bound_arrow_batches(spark: SparkSession) -> None:
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    cur = int(spark.conf.get(key, "10000"))
+    if cur <= 0 or cur > WORKBOOKS_PER_BATCH:
+        spark.conf.set(key, str(WORKBOOKS_PER_BATCH))
 WORKBOOK_SUFFIXES = ("xlsx", "xls")
 
 
@@ -45,6 +56,7 @@ def split_sheets(files: DataFrame) -> DataFrame:
     here.
     """
     ship_package(files.sparkSession)
+    _bound_arrow_batches(files.sparkSession)
 
     def run(batches):
         for pdf in batches:
@@ -71,6 +83,7 @@ def decode_workbooks(files: DataFrame, positions: Sequence[int], spread: int | N
     """
     positions = [int(p) for p in positions]
     ship_package(files.sparkSession)
+    _bound_arrow_batches(files.sparkSession)
     if per_sheet:
         files = split_sheets(files)
         if spread:

@@ -320,7 +320,9 @@ def _vector_values(book: Workbook, attrs, inner) -> list:
     shared_mask = pc.and_(pc.equal(kind, "s"), has_v).to_numpy(zero_copy_only=False)
     if shared_mask.any():
         idx = pc.cast(pc.filter(v, pa.array(shared_mask)), pa.int64())
-        out[shared_mask] = pa.array(book.shared, pa.string()).take(idx).to_numpy(zero_copy_only=False)
+        if getattr(book, "_shared_arrow", None) is None:
+            book._shared_arrow = pa.array(book.shared, pa.string())  # once per workbook, not per chunk
+        out[shared_mask] = book._shared_arrow.take(idx).to_numpy(zero_copy_only=False)
         done |= shared_mask
 
     num_mask = pc.and_(pc.equal(kind, "n"), has_v).to_numpy(zero_copy_only=False)

@@ -26,7 +26,7 @@ from ledgerline.plans import raw_views as rv
 from ledgerline.plans.reports import (
     LoadContext, finish, load_os, load_sd_text, sd_text_parsed, sd_workbook_parsed,
 )
-from ledgerline.plans.sql_fixtures import OS_BASE, SD_BASE, SD_LOADED
+from ledgerline.plans.sql_fixtures import OS_LOADED, SD_BASE, SD_LOADED
 from ledgerline.session import scratch_path
 from ledgerline.sources.csv_text import (
     decode_as, detect_encoding, parse_cells, read_report_csv, repair_line,
@@ -421,13 +421,7 @@ def q_load_sd(spark, sf):
     return finish(sd_text_parsed(rv.sd_raw(spark, sf), CTX), SD_SPEC, CTX)
 
 
-@register("load_os", f"""
-WITH {OS_BASE}
-SELECT DISTINCT ID, TIPO_DOC, NRO_DOC, NOMBRE_CLIENTE, FECHA_CREA, FECHA_CARTA, BROKER, USUARIO_CREA,
-       USUARIO_CARTA, ESTADO_CARTA, TIMESTAMP '2024-06-30 12:00:00' AS FECHA_DATA,
-       'etl-host/loader' AS USUARIO_DATA
-FROM rows_os WHERE FECHA_CREA <= DATE '2000-01-01'
-""")
+@register("load_os", OS_LOADED)
 def q_load_os(spark, sf):
     return load_os(rv.os_raw(spark, sf), CTX)
 
@@ -525,16 +519,7 @@ def q_load_sd_csv_folder(spark, sf):
     return load_sd_text(cells, CTX)
 
 
-_LOAD_OS_SQL = f"""
-WITH {OS_BASE}
-SELECT DISTINCT ID, TIPO_DOC, NRO_DOC, NOMBRE_CLIENTE, FECHA_CREA, FECHA_CARTA, BROKER, USUARIO_CREA,
-       USUARIO_CARTA, ESTADO_CARTA, TIMESTAMP '2024-06-30 12:00:00' AS FECHA_DATA,
-       'etl-host/loader' AS USUARIO_DATA
-FROM rows_os WHERE FECHA_CREA <= DATE '2000-01-01'
-"""
-
-
-@register("load_os_workbook", _LOAD_OS_SQL)
+@register("load_os_workbook", OS_LOADED)
 def q_load_os_workbook(spark, sf):
     """OS view written as workbooks (text cells, one book per 2,000 orders, two
     sheets each), decoded by position and loaded."""

@@ -83,3 +83,12 @@ rows_os AS (
   SELECT * FROM clean UNION ALL SELECT * FROM clean WHERE k % 17 = 0
 )
 """
+
+# The loaded OS report: cut-off 2000-01-01, the run stamp of the registered checks.
+OS_LOADED = f"""
+WITH {OS_BASE}
+SELECT DISTINCT ID, TIPO_DOC, NRO_DOC, NOMBRE_CLIENTE, FECHA_CREA, FECHA_CARTA, BROKER, USUARIO_CREA,
+       USUARIO_CARTA, ESTADO_CARTA, TIMESTAMP '2024-06-30 12:00:00' AS FECHA_DATA,
+       'etl-host/loader' AS USUARIO_DATA
+FROM rows_os WHERE FECHA_CREA <= DATE '2000-01-01'
+"""

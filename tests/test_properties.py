@@ -100,3 +100,34 @@ def test_csv_round_trip_with_wrapped_lines(spark, scratch):
     # Python's writer leaves an empty cell unquoted: it reads back as null
     want = sorted((tuple(None if v == "" else v for v in r) for r in rows), key=key)
     assert got == want
+
+
+def test_serial_dates_against_numpy(spark):
+    """Default: serial text of whole-second timestamps round-trips exactly.
+    Compat: seconds equal numpy float32 arithmetic, truncated."""
+    import datetime as dt
+
+    import numpy as np
+
+    from ledgerline.functions.dates import excel_serial_seconds, excel_serial_to_timestamp
+
+    rnd = random.Random(9)
+    epoch = dt.datetime(1899, 12, 30)
+    stamps = [dt.datetime(1950, 1, 1) + dt.timedelta(seconds=rnd.randint(0, 80 * 365 * 86400)) for _ in range(2000)]
+    serials = []
+    for t in stamps:
+        days = (t.date() - epoch.date()).days
+        secs = t.hour * 3600 + t.minute * 60 + t.second
+        serials.append(f"{days}.{(secs * 10**10 + 43200) // 86400:010d}")
+    serials += [str(rnd.randint(1, 60000)) for _ in range(200)]  # whole-number serials
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(serials)], "i int, s string")
+    out = df.select("i", excel_serial_to_timestamp("s").alias("ts"),
+                    excel_serial_seconds("s", compat=True).alias("cs")).collect()
+    for r in out:
+        s = serials[r.i]
+        if r.i < len(stamps):
+            assert r.ts == stamps[r.i], s
+        else:
+            assert r.ts == epoch + dt.timedelta(days=int(s))
+        frac = np.float32("0." + s.split(".")[-1])
+        assert r.cs == int(frac * np.float32(86400)), s

@@ -63,3 +63,19 @@ def test_load_report_csv_os(spark, scratch):
     assert single.audit["n_out"] == 1 and single.audit["read_mode"] == "unchecked"
     assert len(rows) == 1 and rows[0].ID == 1 and rows[0].USUARIO_CREA is None
     assert res.audit["excluded"] == 1 and res.audit["read_mode"] == "plain"
+
+
+def test_command_line(spark, scratch, capsys):
+    import json
+
+    from ledgerline.plans.run import main
+
+    src = f"{scratch}/os"
+    os.makedirs(src)
+    with open(f"{src}/o.csv", "w") as f:
+        f.write(",".join(OS_SPEC.raw_names) + "\n1,DNI,007,ANA,05/01/2024,,BK,,U2,OK\n")
+    assert main(["--os", src, "--cutoff", "31-01-2024", "--target-dir", f"{scratch}/wh"]) == 0
+    audits = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert audits[0]["report"] == "OS" and audits[0]["n_out"] == 1 and audits[0]["status"] == "loaded"
+    assert main(["--os", src, "--cutoff", "31-01-2024", "--target-dir", f"{scratch}/wh", "--guard", "skip"]) == 0
+    assert json.loads(capsys.readouterr().out.strip().splitlines()[-1])[0]["status"] == "skipped"

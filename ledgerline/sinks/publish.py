@@ -45,6 +45,12 @@ class LoadResult:
     def audit_frame(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame([self.audit], AUDIT_DDL)
 
+    def schema_frame(self, spark: SparkSession) -> DataFrame:
+        """The staged table's resolved schema as rows (position, column, type)."""
+        fields = spark.read.parquet(self.staged_path).schema.fields
+        return spark.createDataFrame([(i, f.name, f.dataType.simpleString()) for i, f in enumerate(fields)],
+                                     "position int, column string, type string")
+
     def preview(self, spark: SparkSession, spec: ReportSpec, n: int = 20) -> DataFrame:
         """Newest rows of the staged load (top-k, no full sort)."""
         staged = spark.read.parquet(self.staged_path)

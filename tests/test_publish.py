@@ -47,6 +47,9 @@ def test_publish_one_pass_audit_and_guard(spark, scratch):
     prev = res.preview(spark, SD_SPEC).collect()
     assert len(prev) == 20 and prev[0].FECHA_REG >= prev[-1].FECHA_REG
     assert res.audit_frame(spark).count() == 1
+    sch = res.schema_frame(spark).orderBy("position").collect()
+    assert [r.column for r in sch] == SD_SPEC.output_names
+    assert {r.column: r.type for r in sch}["FECHA_REG"] == "timestamp_ntz"
 
     with pytest.raises(AlreadyLoaded):
         publish(spark, parsed, SD_SPEC, CTX, target, guard="fail")

@@ -134,6 +134,8 @@ def audit_text(audit: dict) -> list[str]:
              f"last date {audit['report']}: {fmt(audit.get('last_date'))}"]
     if audit.get("excluded"):
         lines.append(f"rows excluded {audit['report']}: {audit['excluded']}")
+    secs = int(audit.get("elapsed_s") or 0)
+    lines.append(f"elapsed: {secs // 60} min, {secs % 60} s")
     return lines
 
 

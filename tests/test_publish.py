@@ -87,3 +87,12 @@ def test_run_reports_stops_after_failure():
         raise RuntimeError("x")
     with pytest.raises(LoadError):
         run_reports([("SD", boom), ("OS", lambda: None)])
+
+
+def test_audit_text():
+    from ledgerline.sinks.publish import audit_text
+    a = {"report": "SD", "first_date": dt.date(2024, 1, 30), "last_date": dt.date(2024, 2, 1), "excluded": 3,
+         "elapsed_s": 125}
+    assert audit_text(a) == ["first date SD: 30-01-2024", "last date SD: 01-02-2024", "rows excluded SD: 3",
+                             "elapsed: 2 min, 5 s"]
+    assert audit_text({"report": "OS", "excluded": 0})[-1] == "elapsed: 0 min, 0 s"

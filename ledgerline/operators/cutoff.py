@@ -73,3 +73,36 @@ def newest(df: DataFrame, date_column: str, columns: list[str], n: int = 20,
     """The ``n`` newest rows (a top-k report; Spark plans TakeOrderedAndProject)."""
     order = [F.col(date_column).desc()] + [F.col(c).asc_nulls_last() for c in (tie_breakers or columns)]
     return df.select(*columns).orderBy(*order).limit(n)
+
+
+def audit_one_scan(parsed: DataFrame, report: str, date_column: str, cutoff: _dt.date,
+                   columns: list[str]) -> DataFrame:
+    """The same one-row audit as ``audit_frame`` from a single scan of ``parsed``.
+
+    All parsed rows are grouped by the output ``columns`` (which include the
+    date column); that grouping is the de-duplication, and one global
+    aggregate over the groups gives both the pre-cut-off counts (sums of the
+    group sizes) and the post-de-duplication ones (the kept groups).
+    """
+    groups = parsed.groupBy(*columns).agg(F.count(F.lit(1)).alias("__n"))
+    d = _day(date_column)
+    n = F.col("__n")
+    kept = d <= F.lit(cutoff)
+    out = groups.agg(
+        F.sum(n).cast("bigint").alias("n_in"),
+        F.count_if(kept).cast("bigint").alias("n_out"),
+        F.sum(F.when(d > F.lit(cutoff), n).otherwise(F.lit(0))).cast("bigint").alias("excluded"),
+        F.sum(F.when(d.isNull(), n).otherwise(F.lit(0))).cast("bigint").alias("null_date_rows"),
+        F.min(F.when(kept, d)).alias("first_date"),
+        F.max(d).alias("last_date"),
+    )
+    return out.select(
+        F.lit(report).alias("report"),
+        F.coalesce("n_in", F.lit(0)).cast("bigint").alias("n_in"), "n_out",
+        F.coalesce("excluded", F.lit(0)).cast("bigint").alias("excluded"),
+        F.coalesce("null_date_rows", F.lit(0)).cast("bigint").alias("null_date_rows"),
+        "first_date", "last_date",
+        format_dmy("first_date").alias("first_date_text"),
+        format_dmy("last_date").alias("last_date_text"),
+        F.when(F.col("excluded") > 0, F.lit("warn")).otherwise(F.lit("info")).alias("level"),
+    )

@@ -20,7 +20,7 @@ from ledgerline.functions.dates import (
 from ledgerline.functions.text import blank_to_null, date_shape, flag_blank, normalize_doc_type
 from ledgerline.operators.chunks import chunk_columns
 from ledgerline.operators.columns import select_positions, strip_all
-from ledgerline.operators.cutoff import audit_frame, dedupe, keep_until, newest
+from ledgerline.operators.cutoff import audit_one_scan, dedupe, keep_until, newest
 from ledgerline.operators.realign import realign
 from ledgerline.plans import raw_views as rv
 from ledgerline.plans.reports import (
@@ -293,7 +293,8 @@ FROM pre, post
 """)
 def q_audit_sd(spark, sf):
     parsed = sd_text_parsed(rv.sd_raw(spark, sf), CTX)
-    return audit_frame(parsed, finish(parsed, SD_SPEC, CTX), "SD", SD_SPEC.date_column, CUTOFF)
+    body = [c for c in SD_SPEC.output_names if c not in ("FECHA_DATA", "USUARIO_DATA")]
+    return audit_one_scan(parsed, "SD", SD_SPEC.date_column, CUTOFF, body)
 
 
 @register("dedupe_rows", """

@@ -96,3 +96,18 @@ def test_audit_text():
     assert audit_text(a) == ["first date SD: 30-01-2024", "last date SD: 01-02-2024", "rows excluded SD: 3",
                              "elapsed: 2 min, 5 s"]
     assert audit_text({"report": "OS", "excluded": 0})[-1] == "elapsed: 0 min, 0 s"
+
+
+def test_one_scan_audit_equals_two_pass(spark):
+    from ledgerline.operators.cutoff import audit_one_scan
+
+    dates = [dt.date(2024, 1, 30), dt.date(2024, 1, 31), dt.date(2024, 1, 31), dt.date(2024, 2, 1), None]
+    df = spark.createDataFrame([(d, "x") for d in dates], "d date, v string")
+    cutoff = dt.date(2024, 1, 31)
+    two = audit_frame(df, keep_until(df, "d", cutoff).dropDuplicates(), "X", "d", cutoff).first()
+    one = audit_one_scan(df, "X", "d", cutoff, ["d", "v"]).first()
+    assert one == two
+    parsed = sd_text_parsed(rv.sd_raw(spark, SF), CTX)
+    body = [c for c in SD_SPEC.output_names if c not in ("FECHA_DATA", "USUARIO_DATA")]
+    assert (audit_one_scan(parsed, "SD", "FECHA_REG", CTX.cutoff, body).first()
+            == audit_frame(parsed, finish(parsed, SD_SPEC, CTX), "SD", "FECHA_REG", CTX.cutoff).first())

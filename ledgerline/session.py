@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -63,12 +64,16 @@ def apply_required_conf(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this must already be set to shared storage.  Only when it
-    is unset (local tests) is a private scratch folder created and set.
+    On a cluster this must already be set to shared storage; a missing
+    setting is an error there.  Only a local master, where driver and
+    executors are one process, gets a private scratch folder.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if conf_dir:
         return conf_dir
+    master = spark.sparkContext.master
+    if not re.match(r"local(\[|$)", master):
+        raise ValueError(f"spark.checkpoint.dir must name a shared folder when the master is {master}")
     path = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)

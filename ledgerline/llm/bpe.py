@@ -303,8 +303,8 @@ def encode(df: DataFrame, vocabulary_path: str, id_col: str = "doc_id", text_col
     return src.mapInArrow(run, T.StructType(fields))
 
 
-def slices(texts: pa.Array, limit: int = 4 << 20) -> Iterator[tuple[int, list[str | None]]]:
-    """Runs of texts of about ``limit`` characters, with the row each starts at."""
+def slices(texts: pa.Array, limit: int = 4 << 20) -> Iterator[tuple[int, list]]:
+    """Runs of texts or bytes of about ``limit`` length, with the row each starts at."""
     rows, size, at = [], 0, 0
     for value in texts:
         value = value.as_py()

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import bpe, dac, quality
+from ledgerline.llm import bpe, dac, quality, warc
 from ledgerline.llm.common import prepare, table
 from ledgerline.session import scratch_path
 
@@ -89,3 +89,25 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     dac.write_tokens(table(spark, sf_dir, "documents"), path, word_bpe())
     return dac.read_with_starts(spark, path).select(
         "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+OP3_SQL = """
+with p as (select page_id, coalesce(html, '') as html from pages),
+d as (select page_id, cast(strlen(html) as bigint) as payload_bytes, sha1(html) as h from p),
+f as (select h, payload_bytes, min(page_id) as first from d group by all)
+select page_id, payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         cast(1 + ((cast('0x' || substr(h, cast(1 + 5 * (i // 4) as integer), 5) as bigint) >> (15 - 5 * (i % 4))) & 31) as integer),
+         1)), '') as payload_digest,
+       case when page_id = first then 'response' else 'revisit' end as record_type,
+       case when page_id = first then null else first end as refers_to
+from d join f using (h, payload_bytes)
+"""
+
+
+@register("op3_warc", OP3_SQL)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Captures of every page, written as WARC archives, read back and assembled."""
+    path = scratch_path(spark, "warc")
+    warc.write_archives(table(spark, sf_dir, "pages"), path)
+    return warc.captures(spark, path)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import bpe, dac, quality, warc
+from ledgerline.llm import bpe, dac, html_text, quality, warc
 from ledgerline.llm.common import prepare, table
 from ledgerline.session import scratch_path
 
@@ -111,3 +111,9 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "warc")
     warc.write_archives(table(spark, sf_dir, "pages"), path)
     return warc.captures(spark, path)
+
+
+@register("op1_html_text")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_text.extract(table(spark, sf_dir, "pages"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import bpe, dac, html_text, quality, warc
+from ledgerline.llm import bpe, dac, decontaminate, html_text, quality, warc
 from ledgerline.llm.common import prepare, table
 from ledgerline.session import scratch_path
 
@@ -117,3 +117,9 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+@register("op10_decontaminate")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document that holds a benchmark item, with the item."""
+    return decontaminate.contaminated_pairs(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import bpe, dac, decontaminate, html_text, quality, warc
+from ledgerline.llm import bpe, dac, decontaminate, html_text, licenses, quality, secrets, warc
 from ledgerline.llm.common import prepare, table
 from ledgerline.session import scratch_path
 
@@ -123,3 +123,15 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document that holds a benchmark item, with the item."""
     return decontaminate.contaminated_pairs(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@register("op2_secrets")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document."""
+    return secrets.digest(secrets.scan(table(spark, sf_dir, "documents")))
+
+
+@register("op8_licenses")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence notices and texts found in every document."""
+    return licenses.summary(licenses.scan(table(spark, sf_dir, "documents")))

@@ -265,8 +265,11 @@ def segment_starts(spark: SparkSession, path: str) -> DataFrame:
     return inner.join(shards, "shard").select("shard", "number", (F.col("base") + F.col("inner")).alias("first"))
 
 
-def read_with_starts(spark: SparkSession, path: str) -> DataFrame:
-    """Documents with ``start``, the number of tokens of all documents before."""
-    docs = read_documents(spark, path)
-    return docs.join(segment_starts(spark, path), ["shard", "number"]) \
-        .select("doc_id", (F.col("first") + F.col("offset")).alias("start"), "n_tokens", "ids")
+def with_starts(documents: DataFrame, starts: DataFrame) -> DataFrame:
+    """Documents with ``start``, the number of tokens of all documents before.
+
+    Give it the columns that are needed, without ``ids`` where a digest will
+    do: the join moves what it is given.
+    """
+    return documents.join(starts, ["shard", "number"]).withColumn("start", F.col("first") + F.col("offset")) \
+        .drop("shard", "number", "place", "offset", "first")

@@ -87,8 +87,8 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token-id files of all documents, written and read back."""
     path = scratch_path(spark, "token-files")
     dac.write_tokens(table(spark, sf_dir, "documents"), path, word_bpe())
-    return dac.read_with_starts(spark, path).select(
-        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+    docs = dac.read_documents(spark, path).withColumn("ids_crc32", F.crc32("ids")).drop("ids", "place")
+    return dac.with_starts(docs, dac.segment_starts(spark, path)).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
 OP3_SQL = """

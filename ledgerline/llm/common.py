@@ -36,15 +36,23 @@ def fresh(taken: Iterable[str], base: str) -> str:
     return name
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back, which cuts its lineage.
+def staged(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """Write ``df`` to the shared folder and read it back, which cuts its lineage; also the folder written.
 
-    The files survive lost executors; clearing them is left to the folder's retention.
+    The files survive lost executors.  What a result no longer reads is
+    removed with :func:`unstage`; the rest is left to the folder's retention.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def unstage(spark: SparkSession, *paths: str) -> None:
+    """Remove staged tables, through Spark's own file systems."""
+    for path in paths:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def col(name: str) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import bpe, dac, decontaminate, html_text, licenses, quality, secrets, warc
+from ledgerline.llm import bpe, dac, decontaminate, html_text, licenses, ngram_join, quality, secrets, warc
 from ledgerline.llm.common import prepare, table
 from ledgerline.session import scratch_path
 
@@ -135,3 +135,33 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence notices and texts found in every document."""
     return licenses.summary(licenses.scan(table(spark, sf_dir, "documents")))
+
+
+OP5_SQL = r"""
+with recursive t as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') as w from documents),
+s as (select doc_id, list_sort(list_distinct(case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')]
+        else list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) end)) as g from t),
+c as (select g, min(doc_id) as rep, len(g) as n from s group by g),
+x as (select rep, n, unnest(g) as gram from c),
+f as (select gram, count(*) as df from x group by gram having count(*) > 1),
+y as (select rep, n, gram, row_number() over (partition by rep order by df, gram) as place, count(*) over (partition by rep) as held
+      from x join f using (gram)),
+p as (select * from y where place <= held - ceil(0.75 * n) + 1),
+cand as (select distinct a.rep as a, b.rep as b, a.n as na, b.n as nb from p a join p b on a.gram = b.gram and a.rep < b.rep
+         where 100 * least(a.n, b.n) >= 75 * greatest(a.n, b.n)),
+link as (select a, b from cand join x xa on xa.rep = a join x xb on xb.rep = b and xb.gram = xa.gram
+         group by a, b, na, nb having 100 * count(*) >= 75 * (na + nb - count(*))),
+sides as (select a, b from link union select b, a from link),
+reach(node, root) as (select rep, rep from c where n > 0 union select b.b, r.root from reach r join sides b on b.a = r.node where b.b > r.root),
+comp as (select node, min(root) as root from reach group by node)
+select s.doc_id, cast(len(s.g) as bigint) as n_shingles, cast(coalesce(comp.root, s.doc_id) as bigint) as component_id
+from s left join c on c.g = s.g and c.n > 0 left join comp on comp.node = c.rep
+"""
+
+
+@register("op5_ngram_join", OP5_SQL)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose word 5-gram sets have a Jaccard similarity of 0.75 or more."""
+    return ngram_join.join_components(table(spark, sf_dir, "documents"))

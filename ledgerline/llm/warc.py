@@ -120,7 +120,7 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
     spark = pages.sparkSession
     src = pages.select(col(id_col).cast("bigint").alias("id"), col(url_col).cast("string").alias("url"),
                        F.coalesce(col(payload_col).cast("string"), F.lit("")).cast("binary").alias("payload"))
-    again = staged(revisits(src, min_payload_bytes), "revisits").distinct()
+    again = staged(revisits(src, min_payload_bytes).distinct(), "revisits")[0]
     if again.count() <= REVISIT_BROADCAST_ROWS:  # counted; beyond that both sides are shuffled
         again = F.broadcast(again)
     full = src.withColumn("sha", F.sha1("payload")).alias("p").join(
@@ -241,7 +241,7 @@ def page_id_of(metadata_fields):
 
 def captures(spark: SparkSession, path: str) -> DataFrame:
     """Per capture of the archives: page_id, payload_bytes, payload_digest, record_type, refers_to (a page id)."""
-    rows = staged(assemble(read_records(spark, path)).select(
+    rows, _ = staged(assemble(read_records(spark, path)).select(
         "transaction_id", page_id_of(F.col("metadata.fields")).alias("page_id"), "response.payload_bytes",
         "response.payload_digest", "response.record_type", F.col("response.refers_to").alias("refers_id")), "captures")
     named = rows.where("record_type = 'response'").groupBy(F.col("transaction_id").alias("refers_id")) \

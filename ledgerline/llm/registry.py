@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import bpe, dac, decontaminate, html_text, licenses, ngram_join, quality, secrets, warc
+from ledgerline.llm import bpe, dac, decontaminate, html_text, licenses, ngram_join, quality, repeats, secrets, warc
 from ledgerline.llm.common import prepare, table
 from ledgerline.session import scratch_path
 
@@ -165,3 +165,10 @@ from s left join c on c.g = s.g and c.n > 0 left join comp on comp.node = c.rep
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose word 5-gram sets have a Jaccard similarity of 0.75 or more."""
     return ngram_join.join_components(table(spark, sf_dir, "documents"))
+
+
+@register("op6_repeats")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the 400-byte strings that occur elsewhere."""
+    out = repeats.dedup(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))

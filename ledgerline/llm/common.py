@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.session import scratch_path, ship_package
+from ledgerline.session import apply_required_conf, scratch_path, ship_package
 
 # White space of every word rule here: space and U+0009 to U+000D.
 SPACE_CHARS = " \t\n\x0b\x0c\r"
@@ -19,6 +19,7 @@ ARROW_BATCH_BYTES = 8 << 20
 
 def prepare(spark: SparkSession) -> None:
     """Make the package importable in Python workers and bound their batches by bytes."""
+    apply_required_conf(spark)
     ship_package(spark)
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BATCH_BYTES))
 
@@ -27,6 +28,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def word_bpe() -> str:
+    """Path of the public word-level BPE vocabulary."""
+    import public_tokenizers
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 def fresh(taken: Iterable[str], base: str) -> str:
     """A column name that clashes with none of ``taken`` (names are case-insensitive)."""
     used = {c.lower() for c in taken}

@@ -8,19 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.llm import bpe, dac, decontaminate, html_text, licenses, ngram_join, quality, repeats, secrets, warc
-from ledgerline.llm.common import prepare, table
+from ledgerline.llm.common import prepare, table, word_bpe
 from ledgerline.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
-def word_bpe() -> str:
-    """Path of the public word-level BPE vocabulary."""
-    import public_tokenizers
-    return public_tokenizers.path("word_bpe_49k.json")
-
-
 def register(name: str, oracle: str | None = None):
     def deco(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,11 +14,12 @@ them, then by value.  It is cut two ways:
   pair, the overlap of each fragment of the order is counted separately and
   summed per pair.
 
-Groups of many similar classes are not expanded into all pairs: members are
-first compared to one leader per n-gram, links are closed into components, and
-only pairs that are still in different components are compared, until every
-pair that shares such an n-gram is linked, connected or refuted.  So the
-components are exact.
+Groups of many similar classes are not expanded into all pairs.  Members are
+first compared to one leader, and links are closed into components.  Then only
+n-grams whose classes are still apart count; the classes outside the largest
+component of such a group are compared with all of the group, in blocks of
+bounded size that give links, not pairs.  Every pair that shares such an n-gram
+is then linked, connected or refuted, so the components are exact.
 
 Very frequent n-grams are found before anything is shuffled, by task, and
 pre-aggregated; at most ``HOT_LIMIT`` of them can reach the threshold that is
@@ -55,9 +56,8 @@ FRAGMENTS = 8              # parts of the order whose overlaps are counted separ
 FLUSH = 1 << 20            # n-grams that a task cuts into bucket segments at once
 HOT_SHARE = 0.02           # share of a task's classes from which an n-gram counts as frequent there
 HOT_LIMIT = 1_000_000
-LEADER_ROUNDS = 3          # rounds before the remaining pairs are counted
-PAIR_FACTOR = 4            # remaining pairs per class that are compared outright
-MAX_LEADER_ROUNDS = 30
+BLOCK_GRAMS = 1 << 18      # n-grams of the queries that a task of the last comparison holds
+PART_GRAMS = 1 << 20       # and of the classes that they meet there
 LOW_BITS = 48              # bits of an n-gram's hash that travel to its bucket
 HOT_DF = np.uint32(2**32 - 1)
 
@@ -315,55 +315,150 @@ def verified(pairs: DataFrame, classes: DataFrame, least: int) -> DataFrame:
     return both.where(F.lit(100) * F.col("o") >= F.lit(least) * (F.col("na") + F.col("nb") - F.col("o"))).select("a", "b")
 
 
-def similar_components(classes: DataFrame, least: int) -> tuple[DataFrame | None, list[str]]:
-    """(node, component) of linked classes, and the folders it reads."""
+def with_components(entries: DataFrame, comp: DataFrame | None) -> DataFrame:
+    if comp is None:
+        return entries.withColumn("comp", F.col("cls"))
+    return entries.join(comp.select(F.col("node").alias("cls"), "component"), "cls", "left") \
+        .select("gram", "cls", "n", F.coalesce("component", "cls").alias("comp"))
+
+
+def open_entries(entries: DataFrame) -> DataFrame:
+    """Entries of the n-grams whose classes are not all connected, each with the n-gram's leader (its least class)."""
+    leaders = entries.groupBy("gram").agg(
+        F.min("comp").alias("low"), F.max("comp").alias("top"),
+        F.min(F.struct(F.col("cls").alias("lead"), F.col("n").alias("n_lead"))).alias("l")).where("low < top")
+    return entries.join(leaders.select("gram", "l.lead", "l.n_lead"), "gram")
+
+
+def blocks_to_compare(entries: DataFrame) -> DataFrame:
+    """(cls, comp, part of its group to be compared in, side): who meets whom in the last comparison.
+
+    Classes that share open n-grams, also through others, are a group.  Its
+    classes outside the group's largest component are the queries; they meet
+    all classes of the group, in blocks of queries and parts of the group of
+    bounded size.
+    """
+    members = entries.groupBy("cls").agg(F.min("n").alias("n"), F.min("comp").alias("comp"))
+    groups = components(entries.select(F.col("cls").alias("a"), F.col("lead").alias("b")))
+    members = members.join(groups.select(F.col("node").alias("cls"), F.col("component").alias("grp")), "cls")
+    per_comp = members.groupBy("grp", "comp").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("n"))
+    plan = per_comp.groupBy("grp").agg(F.max(F.struct("c", "n", "comp")).alias("main"), F.sum("n").alias("n"))
+    plan = plan.select("grp", F.col("main.comp").alias("main"), F.ceil((F.col("n") - F.col("main.n")) / BLOCK_GRAMS).cast("int").alias("blocks"),
+                       F.ceil(F.col("n") / PART_GRAMS).cast("int").alias("parts")).where("blocks > 0")
+    placed = members.join(plan, "grp")
+    spread = lambda n: F.pmod(F.xxhash64("cls", "grp"), n).cast("int")
+    queries = placed.where("comp <> main").select(
+        "cls", "comp", "grp", spread(F.col("blocks")).alias("block"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
+        F.lit(True).alias("query"))
+    others = placed.select(
+        "cls", "comp", "grp", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), spread(F.col("parts")).alias("part"),
+        F.lit(False).alias("query"))
+    return queries.unionByName(others)
+
+
+LINKS = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
+
+
+def compared_block(rows: dict[str, list], least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links between components that the similar classes of one block make: overlaps of each fragment, summed per
+    pair.  Of links that close a circle within the block one is left out."""
+    side, cls, comp, size, fragment = (np.array(rows[c]) for c in ("query", "cls", "comp", "n", "fragment"))
+    found: list[np.ndarray] = []
+
+    def gathered(at: np.ndarray):
+        keys, first, owner = np.unique(cls[at], return_index=True, return_inverse=True)
+        return keys, comp[at][first], size[at][first], owner
+
+    x_at, y_at = np.flatnonzero(side), np.flatnonzero(~side)
+    x_keys, x_comp, x_n, x_owner = gathered(x_at)
+    index = {}
+    for f in np.unique(fragment[x_at]).tolist():
+        own = np.flatnonzero(fragment[x_at] == f)
+        grams = np.concatenate([rows["grams"][x_at[i]] for i in own])
+        owner = np.repeat(x_owner[own], [len(rows["grams"][x_at[i]]) for i in own])
+        order = np.argsort(grams)
+        index[f] = grams[order], owner[order]
+    y_keys = np.unique(cls[y_at])
+    step = max(1, (1 << 22) // (len(x_keys) * 64 + 1))
+    by_class = y_at[np.argsort(cls[y_at], kind="stable")]
+    bounds = np.searchsorted(cls[by_class], y_keys[::step])
+    for lo, hi in zip(bounds.tolist(), [*bounds[1:].tolist(), len(by_class)]):
+        at = by_class[lo:hi]
+        keys, comps, n, owner = gathered(at)
+        overlap = np.zeros(len(x_keys) * len(keys), np.int64)
+        for f, (grams, of) in index.items():
+            own = np.flatnonzero(fragment[at] == f)
+            if not len(own):
+                continue
+            g = np.concatenate([rows["grams"][at[i]] for i in own])
+            o = np.repeat(owner[own], [len(rows["grams"][at[i]]) for i in own])
+            left = np.searchsorted(grams, g)
+            hits = np.searchsorted(grams, g, side="right") - left
+            pos = np.repeat(left - np.cumsum(hits) + hits, hits) + np.arange(hits.sum())
+            overlap += np.bincount(of[pos] * len(keys) + np.repeat(o, hits), minlength=len(overlap))
+        overlap = overlap.reshape(len(x_keys), len(keys))
+        ok = (100 * overlap >= least * (x_n[:, None] + n[None, :] - overlap)) & (x_comp[:, None] != comps[None, :])
+        i, j = np.nonzero(ok)
+        found.append(np.unique(np.stack([x_comp[i], comps[j]]), axis=1))
+    root: dict[int, int] = {}
+
+    def top(c: int) -> int:
+        while root.get(c, c) != c:
+            root[c] = root.get(root[c], root[c])
+            c = root[c]
+        return c
+
+    out = []
+    for a, b in np.concatenate(found, axis=1).T.tolist():
+        if top(a) != top(b):
+            root[top(b)] = top(a)
+            out.append((a, b))
+    links = np.array(out, np.int64).reshape(-1, 2)
+    return links[:, 0], links[:, 1]
+
+
+def compared_blocks(tasks: DataFrame, classes: DataFrame, least: int) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(list(batches))
+        rows = {c: table[c].to_pylist() for c in ("query", "cls", "comp", "n", "fragment")}
+        grams = table["grams"].combine_chunks()
+        ends, flat = grams.offsets.to_numpy(), grams.values.to_numpy()
+        rows["grams"] = [flat[a:b] for a, b in zip(ends, ends[1:])]
+        a, b = compared_block(rows, least) if any(rows["query"]) and not all(rows["query"]) else ([], [])
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], LINKS.names)
+    return tasks.join(classes.select("cls", "n", "fragment", "grams"), "cls") \
+        .groupBy("grp", "block", "part").applyInArrow(run, LINKS).distinct()
+
+
+def similar_components(classes: DataFrame, least: int) -> DataFrame | None:
+    """(node, component) of linked classes, or None if there are none."""
     spark = classes.sparkSession
     entries, entries_path = staged(classes.where("prefix is not null").select(F.explode("prefix").alias("gram"), "cls", "n"), "prefixes")
-    comp, comp_path, n_classes = None, None, entries.select("cls").distinct().count()
-    links, link_paths = None, []
-
-    def fits():
-        return F.lit(100) * F.least("n", "n_lead") >= F.lit(least) * F.greatest("n", "n_lead")
-
-    rounds, progress = 0, True
-    while True:
-        now = entries.withColumn("comp", F.col("cls")) if comp is None else entries.join(
-            comp.select(F.col("node").alias("cls"), "component"), "cls", "left") \
-            .select("gram", "cls", "n", F.coalesce("component", "cls").alias("comp"))
-        # n-grams whose classes are not all connected yet
-        open_grams = now.groupBy("gram").agg(
-            F.min("comp").alias("low"), F.max("comp").alias("top"), F.count(F.lit(1)).alias("d"),
-            F.min(F.struct(F.xxhash64("cls", F.lit(rounds)).alias("h"), F.col("cls").alias("lead"), F.col("n").alias("n_lead"),
-                           F.col("comp").alias("comp_lead"))).alias("l")).where("low < top")
-        tasks, tasks_path = staged(now.join(open_grams.select("gram", "d", "l.lead", "l.n_lead", "l.comp_lead"), "gram"), "open")
-        odd = tasks.where("comp <> comp_lead")
-        size = odd.agg(F.sum("d"), F.count(F.lit(1))).first()
-        if not size[1]:
-            unstage(spark, tasks_path)
-            break
-        last = rounds >= LEADER_ROUNDS and size[0] <= PAIR_FACTOR * n_classes or rounds >= MAX_LEADER_ROUNDS or rounds >= LEADER_ROUNDS and not progress
-        if last:
-            # every class outside its leader's component against all classes of the n-gram in other components
-            rest = tasks.select("gram", F.col("cls").alias("lead"), F.col("n").alias("n_lead"), F.col("comp").alias("comp_other"))
-            pairs = odd.select("gram", "cls", "n", "comp").join(rest, "gram").where("comp <> comp_other").where(fits())
-        else:
-            pairs = odd.where(fits()).groupBy("cls", "lead").agg(F.count(F.lit(1)).alias("c")) \
-                .groupBy("cls").agg(F.max_by("lead", F.struct("c", "lead")).alias("lead"))
-        pairs = pairs.select(F.least("cls", "lead").alias("a"), F.greatest("cls", "lead").alias("b")).distinct()
-        found, found_path = staged(verified(pairs, classes, least), "similar")
-        link_paths.append(found_path)
-        links = found if links is None else links.unionByName(found)
-        progress = not found.isEmpty()
-        if progress:
-            if comp_path:
-                unstage(spark, comp_path)
-            comp, comp_path = staged(components(links), "components")
-        unstage(spark, tasks_path)
-        rounds += 1
-        if last:
-            break
-    unstage(spark, entries_path, *link_paths)
-    return comp, [comp_path] if comp_path else []
+    paths = [entries_path]
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        out, path = staged(df, name)
+        paths.append(path)
+        return out
+
+    # first round: every class with the leader that it shares most n-grams with
+    near = F.lit(100) * F.least("n", "n_lead") >= F.lit(least) * F.greatest("n", "n_lead")
+    pairs = open_entries(with_components(entries, None)).where("cls <> lead").where(near) \
+        .groupBy("cls", "lead").agg(F.count(F.lit(1)).alias("c")) \
+        .groupBy("cls").agg(F.max_by("lead", F.struct("c", "lead")).alias("lead")) \
+        .select(F.least("cls", "lead").alias("a"), F.greatest("cls", "lead").alias("b")).distinct()
+    links = kept(verified(pairs, classes, least), "similar")
+    comp = None if links.isEmpty() else kept(components(links), "components")
+    # second round: what is still apart and shares an n-gram, exhaustively
+    rest = kept(open_entries(with_components(entries, comp)), "open")
+    if not rest.isEmpty():
+        more = kept(compared_blocks(kept(blocks_to_compare(rest), "blocks"), classes, least), "similar")
+        if not more.isEmpty():
+            links = links.unionByName(more)
+            comp = components(links)
+    out = None if comp is None else staged(comp, "components")[0]
+    unstage(spark, *paths)
+    return out
 
 
 def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = SHINGLE,
@@ -389,7 +484,7 @@ def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         by_rows(lambda rows: count_bucket(rows, buckets), SHARED), SHARED)
     held, held_path = staged(counted.groupBy("part").applyInArrow(
         by_rows(lambda rows: class_rows(rows, least), CLASSES), CLASSES), "shingle-classes")
-    comp, _ = similar_components(held, least)
+    comp = similar_components(held, least)
     unstage(spark, held_path)
     named = classes.select("cls", "rep")
     if comp is not None:

@@ -65,8 +65,8 @@ def test_components_match_brute_force(spark, seed):
     assert sorted(map(tuple, J.join_components(df).collect()), key=str) == brute(rows)
 
 
-def test_frequent_ngrams_and_outright_pairs(spark, monkeypatch):
-    """Frequent n-grams last in the order, and the rest compared without leader rounds."""
+def test_frequent_ngrams_and_many_blocks(spark, monkeypatch):
+    """Frequent n-grams last in the order, and groups cut into many blocks."""
     rows = corpus(7)
     base = " ".join(f"w{i}" for i in range(120))
     rows += [(1000 + i, base.replace(f"w{7 * i % 120} ", f"v{i} ")) for i in range(90)]
@@ -74,8 +74,8 @@ def test_frequent_ngrams_and_outright_pairs(spark, monkeypatch):
     hot = J.profile(df, 5).where("gram is not null and n >= 64").count()
     assert hot > 50
     assert sorted(map(tuple, J.join_components(df).collect()), key=str) == brute(rows)
-    monkeypatch.setattr(J, "LEADER_ROUNDS", 0)
-    monkeypatch.setattr(J, "PAIR_FACTOR", 10**6)
+    monkeypatch.setattr(J, "BLOCK_GRAMS", 300)
+    monkeypatch.setattr(J, "PART_GRAMS", 500)
     assert sorted(map(tuple, J.join_components(df).collect()), key=str) == brute(rows)
 
 

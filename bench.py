@@ -5,9 +5,9 @@ sf0.1) is written once as CSV report files (one in ten lines quote-wrapped)
 and as Parquet, in a fresh scratch folder.
 
 Timed:
-  load_sd_csv        folder of CSV files -> profile -> repair/parse -> SD load -> staged
-                     write with Observations -> guard -> Parquet append (end to end)
-  load_sd_csv_single_pass  the same without the per-file profile pass (per-line encoding, no checks)
+  load_sd_csv        folder of CSV files -> profile -> repair/parse -> SD load -> guard -> staged
+                     write with Observations -> files moved to the target (end to end)
+  load_sd_csv_per_line  the same with the encoding decided per line
   load_sd_raw        SD load from the raw Parquet cells (no CSV), forced with a noop write
   realign_only       trim + realignment only
   csv_repair_only    CSV lines -> repair -> positional parse only
@@ -103,11 +103,11 @@ def main():
     q["load_sd_csv"], res = timed(load_csv, "load_sd_csv")
     audit = res.audit
 
-    def load_csv_single_pass():
-        cells, _ = read_report_csv(spark, csv_dir, SD_SPEC.raw_names, encoding="per-line", check=False)
+    def load_csv_per_line():
+        cells, facts = read_report_csv(spark, csv_dir, SD_SPEC.raw_names, encoding="per-line")
         return publish(spark, sd_text_parsed(cells, ctx), SD_SPEC, ctx,
-                       ParquetTarget(f"{scratch}/DATA_SD_{time.time_ns()}"), read_mode="unchecked")
-    q["load_sd_csv_single_pass"], _ = timed(load_csv_single_pass, "load_sd_csv_single_pass")
+                       ParquetTarget(f"{scratch}/DATA_SD_{time.time_ns()}"), read_mode=facts["read_mode"])
+    q["load_sd_csv_per_line"], _ = timed(load_csv_per_line, "load_sd_csv_per_line")
 
     q["load_sd_raw"], _ = timed(lambda: noop(finish(sd_text_parsed(raw, ctx), SD_SPEC, ctx)), "load_sd_raw")
     q["realign_only"], _ = timed(lambda: noop(realign(strip_all(raw, list(SD_SPEC.raw_names)))), "realign_only")

@@ -11,7 +11,11 @@ from ledgerline.functions.text import strip_unicode
 
 
 class ColumnCountError(ValueError):
-    pass
+    """``files`` holds the offending files as a DataFrame, where there are any."""
+
+    def __init__(self, message: str, files: DataFrame | None = None):
+        super().__init__(message)
+        self.files = files
 
 
 def check_column_count(actual: int, expected: int, where: str = "") -> None:
@@ -20,12 +24,6 @@ def check_column_count(actual: int, expected: int, where: str = "") -> None:
             f"wrong number of columns: {actual}; allowed: {expected}" + (f" ({where})" if where else ""))
 
 
-def rename_positional(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    """Rename every column by position; the count must match exactly."""
-    check_column_count(len(df.columns), len(names))
-    return df.toDF(*names)
-
-
 def select_positions(df: DataFrame, cells: str, positions: Sequence[int], names: Sequence[str],
                      keep: Sequence[str] = ()) -> DataFrame:
     """Pick cells of an ``array<string>`` column by 0-based position and name them.

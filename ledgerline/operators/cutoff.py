@@ -26,6 +26,7 @@ def pre_cutoff_metrics(date_column: str, cutoff: _dt.date) -> list[Column]:
     return [
         F.count(F.lit(1)).alias("n_in"),
         F.max(d).alias("last_date"),
+        F.count_if(d <= F.lit(cutoff)).alias("n_kept"),
         F.count_if(d > F.lit(cutoff)).alias("excluded"),
         F.count_if(d.isNull()).alias("null_date_rows"),
     ]

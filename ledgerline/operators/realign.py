@@ -18,15 +18,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.text import date_shape
+from ledgerline.spec import SD_MOVABLE
 
-# Cell names, in row order after TIPO_DOC and NRO_DOC:
-# N NOMBRE_CLIENTE, FN FECHA_NAC, TE TIPO_ENTIDAD, FR FECHA_REG, FU FUENTE,
-# NA NACIONALIDAD, RA RAMOS, CB COD_BROKER, BK BROKER, VD VALIDO_DESDE,
-# VH VALIDO_HASTA, US USUARIO, RD REGISTRATION_DATE.
+# Short codes of the movable cells, in row order; spec.SD_MOVABLE has their column names.
 CELLS = ("N", "FN", "TE", "FR", "FU", "NA", "RA", "CB", "BK", "VD", "VH", "US", "RD")
-CELL_COLUMNS = dict(zip(CELLS, (
-    "NOMBRE_CLIENTE", "FECHA_NAC", "TIPO_ENTIDAD", "FECHA_REG", "FUENTE", "NACIONALIDAD", "RAMOS",
-    "COD_BROKER", "BROKER", "VALIDO_DESDE", "VALIDO_HASTA", "USUARIO", "REGISTRATION_DATE")))
+CELL_COLUMNS = dict(zip(CELLS, SD_MOVABLE, strict=True))
 
 
 @dataclass(frozen=True)

@@ -20,17 +20,20 @@ from ledgerline.functions.dates import (
 from ledgerline.functions.text import blank_to_null, date_shape, flag_blank, normalize_doc_type
 from ledgerline.operators.chunks import chunk_columns
 from ledgerline.operators.columns import select_positions, strip_all
-from ledgerline.operators.cutoff import audit_one_scan, dedupe, keep_until, newest
+from ledgerline.operators.cutoff import audit_one_scan, dedupe, keep_until
 from ledgerline.operators.realign import realign
 from ledgerline.plans import raw_views as rv
 from ledgerline.plans.reports import (
-    LoadContext, finish, load_os, load_sd_text, sd_text_parsed, sd_workbook_parsed,
+    LoadContext, finish, load_os, load_sd_text, os_parsed, sd_text_parsed, sd_workbook_parsed,
 )
 from ledgerline.plans.sql_fixtures import OS_LOADED, SD_BASE, SD_LOADED
 from ledgerline.session import scratch_path
+from ledgerline.sinks.publish import AlreadyLoaded, LoadError, publish, run_reports, status_frame
+from ledgerline.sinks.targets import ParquetTarget
 from ledgerline.sources.csv_text import (
     decode_as, detect_encoding, parse_cells, read_report_csv, repair_line,
 )
+from ledgerline.sources.files import SourceError
 from ledgerline.sources.workbooks import decode_workbooks, workbook_files
 from ledgerline.spec import OS_SPEC, SD_SPEC
 
@@ -311,25 +314,27 @@ def q_dedupe_rows(spark, sf):
     return dedupe(src)
 
 
-@register("newest_20", """
-SELECT o_orderkey, o_custkey, o_orderdate, o_orderstatus
-FROM orders ORDER BY o_orderdate DESC, o_orderkey ASC LIMIT 20
+@register("newest_20", f"""
+WITH {SD_BASE}, {SD_LOADED}
+SELECT {", ".join(SD_SPEC.preview)} FROM loaded
+ORDER BY {SD_SPEC.date_column} DESC, {", ".join(SD_SPEC.preview)} LIMIT 20
 """)
 def q_newest_20(spark, sf):
-    return newest(_orders(spark, sf), "o_orderdate", ["o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus"],
-                  20, tie_breakers=["o_orderkey"])
+    """The preview of a published SD load."""
+    result = publish(spark, sd_text_parsed(rv.sd_raw(spark, sf), CTX), SD_SPEC, CTX, ParquetTarget(scratch_path(spark, "target")))
+    return result.preview(spark, SD_SPEC)
 
 
 @register("union_folder", """
-SELECT c_custkey, c_name, c_nationkey, c_mktsegment FROM customer
+SELECT CAST(c_custkey AS VARCHAR) AS ID, c_name AS NAME, CAST(c_nationkey AS VARCHAR) AS NATION, c_mktsegment AS SEGMENT FROM customer
 """)
 def q_union_folder(spark, sf):
-    c = rv.table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
-    k = F.col("c_custkey")
-    a = c.filter(k % 3 == 0)
-    b = c.filter(k % 3 == 1).select("c_mktsegment", "c_nationkey", "c_name", "c_custkey")
-    d = c.filter(k % 3 == 2).select("c_name", "c_custkey", "c_mktsegment", "c_nationkey")
-    return a.unionByName(b).unionByName(d)
+    """Several report files of one folder as one frame."""
+    c = rv.table(spark, sf, "customer")
+    line = F.concat_ws(",", F.col("c_custkey").cast("string"), quoted(F.col("c_name")), F.col("c_nationkey").cast("string"), "c_mktsegment")
+    folder = written_files(c.select(three("c_custkey"), line.alias("line")), scratch_path(spark, "csv-union"), "ID,NAME,NATION,SEGMENT")
+    cells, _ = read_report_csv(spark, folder, ["ID", "NAME", "NATION", "SEGMENT"])
+    return cells.drop("source_file")
 
 
 @register("chunk_plan", """
@@ -394,24 +399,110 @@ def q_csv_wrapped_repair(spark, sf):
 
 
 @register("csv_latin1", r"""
-WITH d AS (
-  SELECT doc_id, regexp_replace(text, '[^\x{01}-\x{FF}]', '', 'g') AS t FROM documents
-)
 SELECT doc_id,
-  CASE WHEN doc_id % 2 = 0 OR NOT regexp_matches(t, '[^\x{01}-\x{7F}]') THEN 'UTF-8' ELSE 'ISO-8859-1' END
-    AS encoding,
-  t AS text
-FROM d
+  CASE WHEN doc_id % 2 = 0 OR NOT regexp_matches(text, '[^\x{00}-\x{7F}]') OR regexp_matches(text, '[^\x{00}-\x{FF}]')
+       THEN 'UTF-8' ELSE 'ISO-8859-1' END AS encoding, text
+FROM documents
 """)
 def q_csv_latin1(spark, sf):
+    """Whole texts as bytes, every second one in ISO-8859-1 where it can be, and back by the readers' encoding rule."""
     d = rv.table(spark, sf, "documents")
-    t = F.regexp_replace("text", r"[^\x{01}-\x{FF}]", "")
-    enc = F.when(F.col("doc_id") % 2 == 0, F.encode(t, "UTF-8")).otherwise(F.encode(t, "ISO-8859-1"))
+    as_utf8 = (F.col("doc_id") % 2 == 0) | F.col("text").rlike(r"[^\x{00}-\x{FF}]")
+    enc = F.when(as_utf8, F.encode("text", "UTF-8")).otherwise(
+        F.encode(F.when(as_utf8, F.lit("")).otherwise(F.col("text")), "ISO-8859-1"))
     raw = d.select("doc_id", enc.alias("content"))
     detected = raw.withColumn("encoding", detect_encoding(F.col("content")))
     return detected.select("doc_id", "encoding", decode_as(F.col("content"), F.col("encoding")).alias("text"))
 
 
+def written_files(lines: DataFrame, folder: str, header: str) -> list[str]:
+    """Text files of whole ``line`` values, one per ``part``, each with a header line first; their paths."""
+    heads = lines.select("part").distinct().select("part", F.lit(0).alias("place"), F.lit(header).alias("line"))
+    rows = heads.unionByName(lines.where("line is not null").select("part", F.lit(1).alias("place"), "line"))
+    (rows.repartition("part").sortWithinPartitions("part", "place").select("part", F.col("line").alias("value"))
+     .write.partitionBy("part").option("lineSep", "\n").text(folder))
+    spark = lines.sparkSession
+    return [r.path for r in spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt")
+            .load(folder).select("path").collect()]
+
+
+def three(key: str):
+    return F.concat(F.lit("p"), (F.col(key) % 3).cast("string")).alias("part")
+
+
+def quoted(c):
+    return F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))
+
+
+@register("csv_quoted_newline", """
+SELECT CAST(doc_id AS VARCHAR) AS ID, replace(text, chr(13), ' ') AS TEXT, source AS SOURCE FROM documents
+""")
+def q_csv_quoted_newline(spark, sf):
+    """Files whose quoted cells hold line breaks and quotes, read back whole."""
+    d = rv.table(spark, sf, "documents")
+    text = F.replace("text", F.lit("\r"), F.lit(" "))
+    line = F.concat_ws(",", F.col("doc_id").cast("string"), quoted(text), "source")
+    folder = written_files(d.select(three("doc_id"), line.alias("line")), scratch_path(spark, "csv-newline"), "ID,TEXT,SOURCE")
+    cells, _ = read_report_csv(spark, folder, ["ID", "TEXT", "SOURCE"])
+    return cells.select("ID", "TEXT", "SOURCE")
+
+
+@register("csv_wrapped_header", """
+SELECT CAST(o_orderkey AS VARCHAR) AS K, o_orderstatus || ', ' || o_orderpriority AS TEXT, CAST(o_custkey AS VARCHAR) AS CUST,
+       'repaired' AS read_mode
+FROM orders
+""")
+def q_csv_wrapped_header(spark, sf):
+    """Files in which a tool has wrapped whole lines in quotes, the header too."""
+    o = _orders(spark, sf)
+    text = F.concat("o_orderstatus", F.lit(", "), "o_orderpriority")
+    line = quoted(F.concat_ws(",", F.col("o_orderkey").cast("string"), quoted(text), F.col("o_custkey").cast("string")))
+    folder = written_files(o.select(three("o_orderkey"), line.alias("line")), scratch_path(spark, "csv-header"), '"K,""TEXT"",CUST"')
+    cells, facts = read_report_csv(spark, folder, ["K", "TEXT", "CUST"])
+    return cells.select("K", "TEXT", "CUST", F.lit(facts["read_mode"]).alias("read_mode"))
+
+
+@register("csv_wrapped_terminators", """
+SELECT CAST(o_orderkey AS VARCHAR) AS K,
+       o_orderstatus || CASE o_orderkey % 3 WHEN 0 THEN chr(133) WHEN 1 THEN chr(8232) ELSE chr(8233) END || '"' || o_orderpriority AS TEXT
+FROM orders
+""")
+def q_csv_wrapped_terminators(spark, sf):
+    """Wrapped lines that hold U+0085, U+2028 or U+2029."""
+    o = _orders(spark, sf)
+    m = F.col("o_orderkey") % 3
+    mark = F.when(m == 0, F.lit("\u0085")).when(m == 1, F.lit("\u2028")).otherwise(F.lit("\u2029"))
+    text = F.concat("o_orderstatus", mark, F.lit('"'), "o_orderpriority")
+    line = quoted(F.concat_ws(",", F.col("o_orderkey").cast("string"), quoted(text)))
+    folder = written_files(o.select(three("o_orderkey"), line.alias("line")), scratch_path(spark, "csv-marks"), "K,TEXT")
+    cells, _ = read_report_csv(spark, folder, ["K", "TEXT"])
+    return cells.select("K", "TEXT")
+
+
+@register("csv_mixed_encodings", r"""
+WITH d AS (SELECT doc_id, replace(replace(text, chr(13), ' '), chr(10), ' ') AS t FROM documents), l AS (
+  SELECT doc_id, t, CASE WHEN doc_id % 3 = 0 THEN 'UTF-16LE' WHEN doc_id % 3 = 1 OR regexp_matches(t, '[^\x{00}-\x{FF}]') THEN 'UTF-8'
+                         ELSE 'ISO-8859-1' END AS e FROM d)
+SELECT e AS folder_part, CAST(doc_id AS VARCHAR) AS ID, t AS TEXT, 'plain' AS read_mode, 3 AS n_encodings FROM l
+""")
+def q_csv_mixed_encodings(spark, sf):
+    """One folder of UTF-8, ISO-8859-1 and UTF-16 files, read in one call; whole texts."""
+    d = rv.table(spark, sf, "documents")
+    t = F.replace(F.replace("text", F.lit("\r"), F.lit(" ")), F.lit("\n"), F.lit(" "))
+    k = F.col("doc_id")
+    kind = (F.when(k % 3 == 0, F.lit("UTF-16LE")).when((k % 3 == 1) | t.rlike(r"[^\x{00}-\x{FF}]"), F.lit("UTF-8"))
+             .otherwise(F.lit("ISO-8859-1")))
+    rows = d.select(kind.alias("kind"), F.concat_ws(",", kind, k.cast("string"), quoted(t)).alias("line"))
+    folder = scratch_path(spark, "csv-mixed")
+    for enc, charset in (("UTF-8", "UTF-8"), ("ISO-8859-1", "ISO-8859-1"), ("UTF-16LE", "UTF-16")):
+        body = rows.where(F.col("kind") == enc)
+        (body.select(F.col("line").alias("PART,ID,TEXT")).coalesce(1).write.mode("append").option("header", True)
+         .option("sep", "\u0001").option("quote", "").option("escape", "").option("encoding", charset).csv(folder))
+    cells, facts = read_report_csv(spark, folder, ["PART", "ID", "TEXT"])
+    return cells.select(F.col("PART").alias("folder_part"), "ID", "TEXT", F.lit(facts["read_mode"]).alias("read_mode"),
+                        F.lit(len(facts["encodings"])).alias("n_encodings"))
+
+
 # ---------------------------------------------------------------- whole loads
 
 @register("load_sd", f"""
@@ -529,3 +620,135 @@ def q_load_os_workbook(spark, sf):
     cells = decode_workbooks(files, [i + 1 for i in OS_SPEC.positions])
     named = cells.select(*[F.get("cells", i).alias(n) for i, n in enumerate(OS_SPEC.raw_names)])
     return load_os(named, CTX)
+
+
+# ---------------------------------------------------------------- load control
+
+AUDIT_SQL = f"""
+WITH {SD_BASE}, {SD_LOADED},
+pre AS (
+  SELECT CAST(count(*) AS BIGINT) AS n_in, max(CASE WHEN FECHA_REG IS NOT NULL THEN od END) AS last_date,
+         CAST(count(*) FILTER (WHERE FECHA_REG IS NOT NULL AND od > DATE 'CUTOFF') AS BIGINT) AS excluded,
+         CAST(count(*) FILTER (WHERE FECHA_REG IS NULL) AS BIGINT) AS null_date_rows
+  FROM rows_sd
+), post AS (
+  SELECT CAST(count(*) AS BIGINT) AS n_out, CAST(min(FECHA_REG) AS DATE) AS first_date FROM loaded
+  WHERE CAST(FECHA_REG AS DATE) <= DATE 'CUTOFF'
+)
+SELECT 'SD' AS report, n_in, n_out, excluded, null_date_rows, first_date, last_date, 'plain' AS read_mode, 'loaded' AS status
+FROM pre, post
+"""
+
+
+def _published_audit(spark, sf, cutoff):
+    ctx = LoadContext(cutoff, LOAD_TS, LOAD_USER)
+    result = publish(spark, sd_text_parsed(rv.sd_raw(spark, sf), ctx), SD_SPEC, ctx, ParquetTarget(scratch_path(spark, "target")), on_empty="ok")
+    return result.audit_frame(spark).drop("elapsed_s")
+
+
+@register("publish_audit", AUDIT_SQL.replace("CUTOFF", "2000-01-01"))
+def q_publish_audit(spark, sf):
+    """The audit row that publishing the SD view returns."""
+    return _published_audit(spark, sf, CUTOFF)
+
+
+@register("publish_audit_all_excluded", AUDIT_SQL.replace("CUTOFF", "1980-01-01"))
+def q_publish_audit_all_excluded(spark, sf):
+    """The same where the cut-off excludes every row."""
+    return _published_audit(spark, sf, _dt.date(1980, 1, 1))
+
+
+@register("append_guard", f"""
+WITH {SD_BASE}, {SD_LOADED}, n AS (SELECT CAST(count(*) AS BIGINT) AS n FROM loaded)
+SELECT 1 AS step, 'loaded' AS status, n AS n_rows, DATE '2024-06-30' AS last_load FROM n
+UNION ALL SELECT 2, 'skipped', n, DATE '2024-06-30' FROM n
+UNION ALL SELECT 3, 'refused', n, DATE '2024-06-30' FROM n
+UNION ALL SELECT 4, 'loaded', 2 * n, DATE '2024-06-30' FROM n
+""")
+def q_append_guard(spark, sf):
+    """Load, skip, refuse and append on one target: its rows and last load date after each."""
+    target = ParquetTarget(scratch_path(spark, "target"))
+    parsed = sd_text_parsed(rv.sd_raw(spark, sf), CTX)
+    out = []
+    for step, guard in enumerate(("fail", "skip", "fail", "append"), 1):
+        try:
+            status = publish(spark, parsed, SD_SPEC, CTX, target, guard=guard).audit["status"]
+        except AlreadyLoaded:
+            status = "refused"
+        out.append((step, status, target.read(spark).count(), target.last_load_date(spark)))
+    return spark.createDataFrame(out, "step int, status string, n_rows bigint, last_load date")
+
+
+@register("load_status", f"""
+WITH {SD_BASE}, {SD_LOADED}
+SELECT 'SD' AS report, 'loaded' AS status, CAST(count(*) AS BIGINT) AS n_out FROM loaded
+UNION ALL SELECT 'OS', 'failed', NULL
+UNION ALL SELECT 'OS2', 'not run', NULL
+""")
+def q_load_status(spark, sf):
+    """Outcomes of a run whose second report fails."""
+    def fails():
+        os_rows = rv.os_raw(spark, sf).withColumn("FECHA_CREA", F.lit("not a date"))
+        return publish(spark, os_parsed(os_rows, CTX), OS_SPEC, CTX, ParquetTarget(scratch_path(spark, "target")))
+    try:
+        audits = run_reports([
+            ("SD", lambda: publish(spark, sd_text_parsed(rv.sd_raw(spark, sf), CTX), SD_SPEC, CTX, ParquetTarget(scratch_path(spark, "target")))),
+            ("OS", fails), ("OS2", fails)])
+    except LoadError as e:
+        audits = e.audits
+    return status_frame(spark, audits).select("report", F.split("status", ":")[0].alias("status"), "n_out")
+
+
+@register("schema_report", "SELECT * FROM (VALUES " + ", ".join(
+    f"({i}, '{n}', '{t}')" for i, (n, t) in enumerate(
+        (n, {"FECHA_NAC": "date", "FECHA_REG": "timestamp_ntz", "FECHA_DATA": "timestamp_ntz"}.get(n, "string")) for n in SD_SPEC.output_names)) + ') t(position, "column", "type")')
+def q_schema_report(spark, sf):
+    """Schema of a published SD load, read from the target."""
+    result = publish(spark, sd_text_parsed(rv.sd_raw(spark, sf), CTX), SD_SPEC, CTX, ParquetTarget(scratch_path(spark, "target")))
+    return result.schema_frame(spark)
+
+
+@register("empty_files", """
+SELECT DISTINCT 'nation' || CAST(c_nationkey AS VARCHAR) AS part, CAST(1 AS BIGINT) AS lines FROM customer WHERE c_nationkey % 2 = 1
+""")
+def q_empty_files(spark, sf):
+    """The files without data rows that a read reports: one file per nation, those of odd nations with a header only."""
+    c = rv.table(spark, sf, "customer")
+    even = F.when(F.col("c_nationkey") % 2 == 0, F.concat_ws(",", F.col("c_custkey").cast("string"), "c_name"))
+    lines = c.select(F.concat(F.lit("nation"), F.col("c_nationkey").cast("string")).alias("part"), even.alias("line"))
+    try:
+        read_report_csv(spark, written_files(lines, scratch_path(spark, "csv-empty"), "ID,NAME"), ["ID", "NAME"])
+        raise AssertionError("empty files were read")
+    except SourceError as e:
+        return e.files.select(F.regexp_extract("path", "part=(nation[0-9]+)", 1).alias("part"), "lines")
+
+
+@register("load_sd_serial", """
+WITH b AS (
+  SELECT o.o_orderkey AS k, CAST(o.o_orderdate AS DATE) AS od, o.o_orderstatus, c.c_custkey, c.c_name
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+)
+SELECT DISTINCT compat, lpad(CAST(c_custkey AS VARCHAR), 11, '0') AS NRO_DOC, c_name AS NOMBRE_CLIENTE,
+       od - CAST(7300 + k % 9000 AS INTEGER) AS FECHA_NAC, o_orderstatus AS TIPO_ENTIDAD,
+       CASE WHEN k % 2 = 0 THEN CAST(od AS TIMESTAMP) + INTERVAL '10:11:12'
+            ELSE CAST(od AS TIMESTAMP) + INTERVAL '12:00:00' END AS FECHA_REG
+FROM b, (VALUES (FALSE), (TRUE)) t(compat) WHERE od <= DATE '2000-01-01'
+""")
+def q_load_sd_serial(spark, sf):
+    """SD rows of a folder that mixes ISO text (even orders) and serial dates (odd ones), by default and by the compatible rule."""
+    base = rv.order_customer(spark, sf)
+    k, od = F.col("k"), F.col("o_orderdate").cast("date")
+    days = F.datediff(od, F.lit("1899-12-30").cast("date"))
+    born = F.date_sub(od, (F.lit(7300) + k % 9000).cast("int"))
+    text = k % 2 == 0
+    cells = {n: F.lit("") for n in SD_SPEC.raw_names} | {
+        "NRO_DOC": F.lpad(F.col("c_custkey").cast("string"), 11, "0"), "NOMBRE_CLIENTE": F.col("c_name"), "TIPO_ENTIDAD": F.col("o_orderstatus"),
+        "FECHA_NAC": F.when(text, F.date_format(born, "yyyy-MM-dd 00:00:00")).otherwise(F.datediff(born, F.lit("1899-12-30").cast("date")).cast("string")),
+        "FECHA_REG": F.when(text, F.date_format(od, "yyyy-MM-dd 10:11:12")).otherwise(F.concat(days.cast("string"), F.lit(".5")))}
+    raw = base.select(F.when(text, F.lit("xlsx")).otherwise(F.lit("xls")).alias("source_format"), *[v.alias(n) for n, v in cells.items()])
+    out = None
+    for compat in (False, True):
+        rows = finish(sd_workbook_parsed(raw, CTX, F.col("source_format"), compat=compat), SD_SPEC, CTX)
+        part = rows.select(F.lit(compat).alias("compat"), "NRO_DOC", "NOMBRE_CLIENTE", "FECHA_NAC", "TIPO_ENTIDAD", "FECHA_REG")
+        out = part if out is None else out.unionByName(part)
+    return out

@@ -132,10 +132,5 @@ def load_sd_text(raw: DataFrame, ctx: LoadContext, realign_rows: bool = True) ->
     return finish(sd_text_parsed(raw, ctx, realign_rows), SD_SPEC, ctx)
 
 
-def load_sd_workbook(raw: DataFrame, ctx: LoadContext, source_format: str | Column = "xlsx",
-                     compat: bool = False) -> DataFrame:
-    return finish(sd_workbook_parsed(raw, ctx, source_format, compat), SD_SPEC, ctx)
-
-
 def load_os(raw: DataFrame, ctx: LoadContext) -> DataFrame:
     return finish(os_parsed(raw, ctx), OS_SPEC, ctx)

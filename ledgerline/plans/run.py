@@ -17,8 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.plans.reports import LoadContext, os_parsed, sd_text_parsed, sd_workbook_parsed
-from ledgerline.sinks.publish import LoadResult, publish, run_reports
-from ledgerline.sinks.targets import ParquetTarget
+from ledgerline.sinks.publish import LoadError, LoadResult, publish, run_reports
+from ledgerline.sinks.targets import JdbcTarget, ParquetTarget
 from ledgerline.sources.csv_text import read_report_csv
 from ledgerline.sources.files import list_files
 from ledgerline.sources.workbooks import read_workbooks
@@ -37,17 +37,15 @@ def _source_kind(spark: SparkSession, folder: str) -> str:
 
 def parsed_report(spark: SparkSession, report: str, folder: str, ctx: LoadContext,
                   source: str = "auto", encoding: str = "auto", compat: bool = False,
-                  check: bool = True, per_sheet: bool = False) -> tuple[DataFrame, str]:
+                  per_sheet: bool = False) -> tuple[DataFrame, str]:
     """Parsed (pre cut-off) rows of one report folder, and the read mode.
 
-    ``encoding``/``check`` go to the CSV reader (``'per-line'`` with
-    ``check=False`` is the single-pass read); ``per_sheet`` to the workbook
-    reader."""
+    ``encoding`` goes to the CSV reader; ``per_sheet`` to the workbook reader."""
     spec = SPECS[report]
     kind = _source_kind(spark, folder) if source == "auto" else source
     if kind == "csv":
         names = spec.raw_names
-        cells, facts = read_report_csv(spark, folder, names, encoding=encoding, compat=compat, check=check)
+        cells, facts = read_report_csv(spark, folder, names, encoding=encoding, compat=compat)
         if report == "SD":
             return sd_text_parsed(cells, ctx), facts["read_mode"]
         return os_parsed(cells, ctx), facts["read_mode"]
@@ -59,10 +57,10 @@ def parsed_report(spark: SparkSession, report: str, folder: str, ctx: LoadContex
 
 def load_report(spark: SparkSession, report: str, folder: str, cutoff, target, guard: str = "fail",
                 source: str = "auto", load_ts: _dt.datetime | None = None, load_user: str | None = None,
-                encoding: str = "auto", compat: bool = False, check: bool = True,
+                encoding: str = "auto", compat: bool = False,
                 per_sheet: bool = False) -> LoadResult:
     ctx = LoadContext.of(cutoff, load_ts, load_user)
-    parsed, mode = parsed_report(spark, report, folder, ctx, source, encoding, compat, check, per_sheet)
+    parsed, mode = parsed_report(spark, report, folder, ctx, source, encoding, compat, per_sheet)
     return publish(spark, parsed, SPECS[report], ctx, target, guard=guard, read_mode=mode)
 
 
@@ -80,18 +78,32 @@ def load_reports(spark: SparkSession, jobs: Sequence[tuple[str, str, object]], c
 def main(argv: Sequence[str] | None = None) -> int:
     from ledgerline.session import build_session
 
-    p = argparse.ArgumentParser(description="Load SD/OS report folders into Parquet tables.")
+    p = argparse.ArgumentParser(description="Load SD/OS report folders into Parquet or JDBC tables.")
     p.add_argument("--sd", help="SD report folder")
     p.add_argument("--os", help="OS report folder")
     p.add_argument("--cutoff", required=True, help="cut-off date DD-MM-YYYY")
-    p.add_argument("--target-dir", required=True, help="folder holding DATA_SD / DATA_OS tables")
+    to = p.add_mutually_exclusive_group(required=True)
+    to.add_argument("--target-dir", help="folder holding DATA_SD / DATA_OS tables")
+    to.add_argument("--jdbc-url", help="database holding the tables instead")
+    p.add_argument("--jdbc-table", default="{}.DATA_{}", help="table name, filled with the schema and the report")
+    p.add_argument("--jdbc-schema", default="CLI")
+    p.add_argument("--jdbc-property", action="append", default=[], metavar="KEY=VALUE", help="connection property; repeatable")
+    p.add_argument("--jdbc-connections", type=int, default=5, help="parallel connections of the append")
     p.add_argument("--guard", default="fail", choices=["fail", "skip", "append"])
     a = p.parse_args(argv)
     spark = build_session()
-    jobs = [(r, f, ParquetTarget(f"{a.target_dir.rstrip('/')}/DATA_{r}")) for r, f in (("SD", a.sd), ("OS", a.os)) if f]
-    audits = load_reports(spark, jobs, a.cutoff, a.guard)
+    if a.jdbc_url:
+        props = dict(x.split("=", 1) for x in a.jdbc_property)
+        target = lambda r: JdbcTarget(a.jdbc_url, a.jdbc_table.format(a.jdbc_schema, r), props, a.jdbc_connections)
+    else:
+        target = lambda r: ParquetTarget(f"{a.target_dir.rstrip('/')}/DATA_{r}")
+    jobs = [(r, f, target(r)) for r, f in (("SD", a.sd), ("OS", a.os)) if f]
+    try:
+        audits, code = load_reports(spark, jobs, a.cutoff, a.guard), 0
+    except LoadError as e:
+        audits, code = e.audits, 1
     print(json.dumps(audits, default=str))
-    return 0
+    return code
 
 
 if __name__ == "__main__":

@@ -16,6 +16,8 @@ REQUIRED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # rows may hold whole files or texts, so batches to Python workers are bounded by bytes
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
 }
 
 

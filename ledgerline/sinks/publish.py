@@ -1,13 +1,19 @@
 """Consolidate, audit and append one report, in one pass over the input.
 
-1. The final rows are written once to a staging table in the shared folder
+1. The already-loaded guard compares the target's last load date with the
+   run date: ``fail`` raises, ``skip`` stops without reading anything,
+   ``append`` goes on.
+2. The final rows are written once to a staging table in the shared folder
    (``spark.checkpoint.dir``).  Two Observations ride on that write: one
-   before the cut-off (rows in, last date, excluded, null dates) and one
+   before the cut-off (rows in, kept, last date, excluded, null dates) and one
    after de-duplication (rows out, first date).  Strict parse errors surface
    here, before anything reaches the target.
-2. The already-loaded guard compares the target's last load date with the
-   run date: ``fail`` raises, ``skip`` stops without error, ``append`` goes on.
-3. The staged table is appended to the target.
+3. The counts are checked against the staged table and against each other; when
+   the observed part of the plan was replaced at run time (adaptive execution
+   does so over an empty stage), or a re-run task was counted twice, they are
+   computed from the rows instead.
+4. The guard is checked again and the target takes over the staged table.  No
+   staged table is left behind, whatever the outcome.
 
 Only the one-row audit (and per-file facts) reach the driver.
 """
@@ -18,11 +24,14 @@ import datetime as _dt
 import time
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession
 
-from ledgerline.operators.cutoff import newest, post_dedupe_metrics
+from ledgerline.operators.cutoff import newest, post_dedupe_metrics, pre_cutoff_metrics
 from ledgerline.plans.reports import LoadContext, finish
 from ledgerline.session import scratch_path
+from ledgerline.sinks.targets import remove
 from ledgerline.spec import ReportSpec
 
 AUDIT_DDL = ("report string, n_in bigint, n_out bigint, excluded bigint, null_date_rows bigint, "
@@ -30,7 +39,11 @@ AUDIT_DDL = ("report string, n_in bigint, n_out bigint, excluded bigint, null_da
 
 
 class LoadError(RuntimeError):
-    pass
+    """``audits`` holds the outcome of every report of the run, where there is one."""
+
+    def __init__(self, message: str, audits: list[dict] | None = None):
+        super().__init__(message)
+        self.audits = audits or []
 
 
 class AlreadyLoaded(LoadError):
@@ -40,77 +53,101 @@ class AlreadyLoaded(LoadError):
 @dataclass
 class LoadResult:
     audit: dict
-    staged_path: str | None
+    target: object
+    load_ts: _dt.datetime
 
     def audit_frame(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame([self.audit], AUDIT_DDL)
 
+    def loaded(self, spark: SparkSession) -> DataFrame:
+        """The rows of this load, from the target."""
+        return self.target.read_load(spark, self.load_ts)
+
     def schema_frame(self, spark: SparkSession) -> DataFrame:
-        """The staged table's resolved schema as rows (position, column, type)."""
-        fields = spark.read.parquet(self.staged_path).schema.fields
+        """The loaded table's resolved schema as rows (position, column, type)."""
+        fields = self.loaded(spark).schema.fields
         return spark.createDataFrame([(i, f.name, f.dataType.simpleString()) for i, f in enumerate(fields)],
                                      "position int, column string, type string")
 
     def preview(self, spark: SparkSession, spec: ReportSpec, n: int = 20) -> DataFrame:
-        """Newest rows of the staged load (top-k, no full sort)."""
-        staged = spark.read.parquet(self.staged_path)
-        return newest(staged, spec.date_column, list(spec.preview), n)
+        """Newest rows of the load (top-k, no full sort)."""
+        return newest(self.loaded(spark), spec.date_column, list(spec.preview), n)
 
 
-def _metrics(obs: Observation) -> dict:
-    """Observed metrics; {} when the observed part of the plan never ran
-    (AQE replaces a plan over an empty stage output with an empty relation)."""
+def _observed(obs: Observation) -> dict:
+    """Observed metrics, or {} when the observed part of the plan never ran; the counts then come from the rows."""
     try:
         return dict(obs.get)
-    except Exception:  # noqa: BLE001
+    except (PySparkException, Py4JJavaError):
         return {}
 
 
+def checked_metrics(parsed: DataFrame, written: DataFrame, spec: ReportSpec, ctx: LoadContext,
+                    observed_in: dict, observed_out: dict) -> dict:
+    """Audit counts that agree with the written table.
+
+    Observed counts are taken when they are there, add up, and match what was
+    written; else both sides are aggregated from the rows.
+    """
+    n_out = written.count()  # from the file footers
+    m = observed_in | observed_out
+    sound = m.get("n_in") is not None and m.get("n_out") == n_out \
+        and m["n_in"] == m["n_kept"] + m["excluded"] + m["null_date_rows"] and m["n_kept"] >= n_out
+    if not sound:
+        m = parsed.agg(*pre_cutoff_metrics(spec.date_column, ctx.cutoff)).first().asDict() \
+            | written.agg(*post_dedupe_metrics(spec.date_column)).first().asDict()
+    return {k: m[k] for k in ("n_in", "n_out", "excluded", "null_date_rows", "first_date", "last_date")}
+
+
+GUARDS = ("fail", "skip", "append")
+
+
+def _already_loaded(spark: SparkSession, target, spec: ReportSpec, today: _dt.date, guard: str) -> bool:
+    last = target.last_load_date(spark)
+    if last < today or guard == "append":
+        return False
+    if guard == "fail":
+        raise AlreadyLoaded(f"report {spec.name} was already loaded on {last:%d-%m-%Y}")
+    return True
+
+
 def publish(spark: SparkSession, parsed: DataFrame, spec: ReportSpec, ctx: LoadContext, target,
             guard: str = "fail", on_empty: str = "fail", read_mode: str = "plain",
             run_date: _dt.date | None = None) -> LoadResult:
-    if guard not in ("fail", "skip", "append"):
-        raise ValueError("guard must be 'fail', 'skip' or 'append'")
+    if guard not in GUARDS:
+        raise ValueError(f"guard must be one of {GUARDS}")
     t0 = time.time()
+    today = run_date or ctx.load_ts.date()
+    audit = {"report": spec.name, "n_in": None, "n_out": None, "excluded": None, "null_date_rows": None,
+             "first_date": None, "last_date": None, "read_mode": read_mode, "status": "skipped", "elapsed_s": 0}
+    if _already_loaded(spark, target, spec, today, guard):
+        return LoadResult(audit, target, ctx.load_ts)
     obs_in = Observation(f"{spec.name.lower()}_in")
     obs_out = Observation(f"{spec.name.lower()}_out")
     loaded = finish(parsed, spec, ctx, observation=obs_in)
     loaded = loaded.observe(obs_out, *post_dedupe_metrics(spec.date_column))
     staged_path = scratch_path(spark, f"stage-{spec.name.lower()}")
-    loaded.write.mode("overwrite").parquet(staged_path)
-    m_in, m_out = _metrics(obs_in), _metrics(obs_out)
-    audit = {
-        "report": spec.name,
-        "n_in": int(m_in.get("n_in") or 0),
-        "n_out": int(m_out.get("n_out") or 0),
-        "excluded": int(m_in.get("excluded") or 0),
-        "null_date_rows": int(m_in.get("null_date_rows") or 0),
-        "first_date": m_out.get("first_date"),
-        "last_date": m_in.get("last_date"),
-        "read_mode": read_mode,
-        "status": "staged",
-        "elapsed_s": 0,
-    }
-    if audit["n_out"] == 0 and on_empty == "fail":
-        raise LoadError(f"report {spec.name}: no rows on or before the cut-off {ctx.cutoff:%d-%m-%Y}")
-    last = target.last_load_date(spark)
-    today = run_date or ctx.load_ts.date()
-    if last >= today and guard != "append":
-        if guard == "fail":
-            raise AlreadyLoaded(f"report {spec.name} was already loaded on {last:%d-%m-%Y}")
-        audit["status"] = "skipped"
-    else:
-        target.append(spark.read.parquet(staged_path), audit["n_out"])
-        audit["status"] = "loaded"
+    try:
+        loaded.write.mode("overwrite").parquet(staged_path)
+        written = spark.read.schema(loaded.schema).parquet(staged_path)
+        audit |= checked_metrics(parsed, written, spec, ctx, _observed(obs_in), _observed(obs_out))
+        if audit["n_out"] == 0 and on_empty == "fail":
+            raise LoadError(f"report {spec.name}: no rows on or before the cut-off {ctx.cutoff:%d-%m-%Y}")
+        if not _already_loaded(spark, target, spec, today, guard):
+            target.take_over(spark, staged_path)
+            audit["status"] = "loaded"
+    finally:
+        remove(spark, staged_path)
     audit["elapsed_s"] = int(time.time() - t0)
-    return LoadResult(audit, staged_path)
+    return LoadResult(audit, target, ctx.load_ts)
 
 
 def run_reports(jobs) -> list[dict]:
     """Run report loads in order (e.g. SD then OS); a failure stops the rest.
 
     ``jobs`` is a sequence of ``(name, callable -> LoadResult)``.  Returns one
-    audit dict per report, with ``status='failed'``/``'not run'`` as needed.
+    audit dict per report.  On a failure the raised :class:`LoadError` carries
+    them in ``audits``, with ``status='failed: ...'`` and ``'not run'``.
     """
     out, failed = [], None
     for name, job in jobs:
@@ -123,10 +160,16 @@ def run_reports(jobs) -> list[dict]:
             failed = e
             out.append({"report": name, "status": f"failed: {e}"})
     if failed is not None:
-        raise LoadError(f"load stopped: {failed}") from failed
+        raise LoadError(f"load stopped: {failed}", out) from failed
     return out
 
 
+def status_frame(spark: SparkSession, audits: list[dict]) -> DataFrame:
+    """Per-report outcome as rows; reports that failed or did not run have their status only."""
+    names = [f.split()[0] for f in AUDIT_DDL.split(", ")]
+    return spark.createDataFrame([tuple(a.get(n) for n in names) for a in audits], AUDIT_DDL)
+
+
 def audit_text(audit: dict) -> list[str]:
     """Report lines of an audit (dates as DD-MM-YYYY)."""
     fmt = lambda d: d.strftime("%d-%m-%Y") if d else "-"
@@ -139,4 +182,4 @@ def audit_text(audit: dict) -> list[str]:
     return lines
 
 
-__all__ = ["publish", "run_reports", "LoadResult", "LoadError", "AlreadyLoaded", "AUDIT_DDL", "audit_text"]
+__all__ = ["publish", "run_reports", "status_frame", "LoadResult", "LoadError", "AlreadyLoaded", "AUDIT_DDL", "audit_text"]

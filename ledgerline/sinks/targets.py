@@ -1,8 +1,10 @@
 """Report targets: a Parquet table folder or a JDBC table.
 
 Both answer the date of the last load (``MAX(FECHA_DATA)``, 1900-01-01 when
-empty) and append a DataFrame.  The JDBC append writes from the executors in
-``n_chunks`` parallel partitions with batches of 5,000 rows.
+empty), take over a staged table, and read one load back.  The Parquet target
+moves the staged files into its folder, so rows are written once.  The JDBC
+append writes from the executors over ``connections`` parallel connections in
+batches of 5,000 rows.
 """
 
 from __future__ import annotations
@@ -14,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
 
-from ledgerline.operators.chunks import MIN_CHUNK, plan_chunks
+from ledgerline.operators.chunks import MIN_CHUNK
 
 EMPTY_TARGET_DATE = _dt.date(1900, 1, 1)
 LOAD_STAMP = "FECHA_DATA"
@@ -26,6 +28,22 @@ def _as_date(v) -> _dt.date:
     return v.date() if isinstance(v, _dt.datetime) else v
 
 
+def _missing(e: AnalysisException) -> bool:
+    """The folder does not exist, or holds no table yet; any other failure is an error."""
+    return (e.getCondition() or "").split(".")[0] in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
+def _file_system(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a staged table."""
+    p, fs = _file_system(spark, path)
+    fs.delete(p, True)
+
+
 @dataclass(frozen=True)
 class ParquetTarget:
     path: str
@@ -33,8 +51,10 @@ class ParquetTarget:
     def read(self, spark: SparkSession) -> DataFrame | None:
         try:
             return spark.read.parquet(self.path)
-        except AnalysisException:  # no table yet
-            return None
+        except AnalysisException as e:
+            if _missing(e):
+                return None
+            raise
 
     def last_load_date(self, spark: SparkSession) -> _dt.date:
         df = self.read(spark)
@@ -42,8 +62,22 @@ class ParquetTarget:
             return EMPTY_TARGET_DATE
         return _as_date(df.agg(F.max(LOAD_STAMP).alias("m")).first().m)
 
-    def append(self, df: DataFrame, n_rows: int | None = None) -> None:
-        df.write.mode("append").parquet(self.path)
+    def read_load(self, spark: SparkSession, load_ts: _dt.datetime) -> DataFrame:
+        return spark.read.parquet(self.path).where(F.col(LOAD_STAMP) == F.lit(load_ts).cast("timestamp_ntz"))
+
+    def take_over(self, spark: SparkSession, staged_path: str) -> None:
+        """Move the files of a committed staged table into the folder.  Their names are unique to the stage."""
+        stage, fs = _file_system(spark, staged_path)
+        home, home_fs = _file_system(spark, self.path)
+        if fs.getUri() != home_fs.getUri():
+            spark.read.parquet(staged_path).write.mode("append").parquet(self.path)
+        else:
+            home_fs.mkdirs(home)
+            for f in fs.listStatus(stage):
+                name = f.getPath().getName()
+                if name.startswith("part-") and not fs.rename(f.getPath(), spark._jvm.org.apache.hadoop.fs.Path(home, name)):
+                    raise OSError(f"could not move {f.getPath().toString()} to {self.path}")
+        remove(spark, staged_path)
 
 
 @dataclass(frozen=True)
@@ -51,7 +85,7 @@ class JdbcTarget:
     url: str
     table: str
     properties: dict = field(default_factory=dict)
-    max_connections: int = 5
+    connections: int = 5
 
     def last_load_date(self, spark: SparkSession) -> _dt.date:
         q = f"SELECT MAX({LOAD_STAMP}) AS M FROM {self.table}"
@@ -59,8 +93,12 @@ class JdbcTarget:
               .options(**self.properties).load())
         return _as_date(df.first()[0])
 
-    def append(self, df: DataFrame, n_rows: int | None = None) -> None:
-        chunks = len(plan_chunks(n_rows)) if n_rows is not None else self.max_connections
-        parts = max(1, min(chunks, self.max_connections))
-        props = {"batchsize": str(MIN_CHUNK), "numPartitions": str(parts)} | dict(self.properties)
-        df.repartition(parts).write.jdbc(self.url, self.table, mode="append", properties=props)
+    def read_load(self, spark: SparkSession, load_ts: _dt.datetime) -> DataFrame:
+        return spark.read.jdbc(self.url, self.table, properties=dict(self.properties)) \
+            .where(F.col(LOAD_STAMP) == F.lit(load_ts).cast("timestamp_ntz"))
+
+    def take_over(self, spark: SparkSession, staged_path: str) -> None:
+        props = {"batchsize": str(MIN_CHUNK), "numPartitions": str(self.connections)} | dict(self.properties)
+        spark.read.parquet(staged_path).repartition(self.connections) \
+            .write.jdbc(self.url, self.table, mode="append", properties=props)
+        remove(spark, staged_path)

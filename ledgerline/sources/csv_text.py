@@ -6,6 +6,8 @@
   a line expression before parsing, so repair never rewrites the source.
 * Cells are parsed with ``from_csv``: short rows are null-filled, extra cells
   dropped; an unquoted empty cell is null and a quoted empty cell is ''.
+* A cell may hold line breaks inside its quotes; files with such cells are
+  found by the profile pass and put together record by record.
 * The encoding of each file is decided from its own bytes: a UTF-16 byte
   order mark (little or big endian), else valid UTF-8, else ISO-8859-1.
 """
@@ -15,22 +17,28 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerline.operators.columns import check_column_count
+from ledgerline.operators.columns import ColumnCountError
+from ledgerline.session import scratch_path
 from ledgerline.sources.files import SourceError, list_files, suffix_glob
 
 # Reader options.  The null sentinel makes an unquoted empty cell
 # null while a quoted empty cell stays ''.
 NULL_SENTINEL = "\u0001"
+# "multiLine" keeps line breaks inside quoted cells as they are.
 CSV_OPTIONS = {"sep": ",", "quote": '"', "escape": '"', "nullValue": NULL_SENTINEL,
-               "mode": "PERMISSIVE"}
+               "mode": "PERMISSIVE", "multiLine": "true"}
 # Separator for reading whole lines as one cell (quoting off); never in report text.
 LINE_SEP_TOKEN = "\u0001\u0002\u0003"
 # possessive runs: a plain (?:[^"]|"")* recurses once per character in Java's
 # regex engine and overflows the stack on long lines
-WRAPPED_LINE = r'^"(?:[^"]++|"")*+"$'
+WRAPPED_LINE = r'^"(?:[^"]++|"")*+"\z'
+# Bytes 0x80 to 0x9F of windows-1252 that are characters, in order.
+CP1252_BYTES = "".join(map(chr, [0x80, *range(0x82, 0x8D), 0x8E, *range(0x91, 0x9D), 0x9E, 0x9F]))
+CP1252_CHARS = "\u20ac\u201a\u0192\u201e\u2026\u2020\u2021\u02c6\u2030\u0160\u2039\u0152\u017d" \
+               "\u2018\u2019\u201c\u201d\u2022\u2013\u2014\u02dc\u2122\u0161\u203a\u0153\u017e\u0178"
 
 
 def is_wrapped(line: Column) -> Column:
@@ -43,11 +51,14 @@ def repair_line(line: Column, compat: bool = False) -> Column:
 
     By default only lines that are a single quoted field are touched, so a
     normally quoted line such as ``"a","b"`` is left alone.  ``compat=True``
-    applies the rule to every line that starts and ends with a quote.
+    drops the outer quotes of every line that starts and ends with one, and
+    replaces ``""`` on every line.
     """
-    unwrapped = F.regexp_replace(F.regexp_replace(line, r'^"(.*)"$', "$1"), '""', '"')
-    cond = (line.startswith('"') & line.endswith('"') & (F.length(line) >= 2)) if compat else is_wrapped(line)
-    return F.when(cond, unwrapped).otherwise(line)
+    inner = F.substr(line, F.lit(2), F.length(line) - 2)
+    if compat:
+        outer = line.startswith('"') & line.endswith('"') & (F.length(line) >= 2)
+        return F.replace(F.when(outer, inner).otherwise(line), F.lit('""'), F.lit('"'))
+    return F.when(is_wrapped(line), F.replace(inner, F.lit('""'), F.lit('"'))).otherwise(line)
 
 
 def cells_ddl(names: Sequence[str]) -> str:
@@ -59,12 +70,17 @@ def parse_cells(line: Column, names: Sequence[str]) -> Column:
     return F.from_csv(line, F.lit(cells_ddl(names)), dict(CSV_OPTIONS))
 
 
-def detect_encoding(content: Column) -> Column:
-    """Encoding of a byte column: UTF-16 BOM, else valid UTF-8, else ISO-8859-1."""
-    head = F.hex(F.substring(content, 1, 2))
+def encoding_rule(first_bytes: Column, valid_utf8: Column) -> Column:
+    """Encoding from a file's first bytes and whether all of it is valid UTF-8: UTF-16 byte-order mark,
+    else UTF-8, else ISO-8859-1."""
+    head = F.hex(F.substring(first_bytes, 1, 2))
     return (F.when(head == "FFFE", F.lit("UTF-16LE")).when(head == "FEFF", F.lit("UTF-16BE"))
-             .when(F.is_valid_utf8(content.cast("string")), F.lit("UTF-8"))
-             .otherwise(F.lit("ISO-8859-1")))
+             .when(valid_utf8, F.lit("UTF-8")).otherwise(F.lit("ISO-8859-1")))
+
+
+def detect_encoding(content: Column) -> Column:
+    """Encoding of a byte column."""
+    return encoding_rule(content, F.is_valid_utf8(content.cast("string")))
 
 
 def decode_as(content: Column, encoding: Column) -> Column:
@@ -72,9 +88,15 @@ def decode_as(content: Column, encoding: Column) -> Column:
     return (F.when(encoding == "UTF-8", F.decode(content, "UTF-8"))
              .when(encoding == "UTF-16LE", F.decode(body, "UTF-16LE"))
              .when(encoding == "UTF-16BE", F.decode(body, "UTF-16BE"))
+             .when(F.lower(encoding) == "windows-1252", cp1252(F.decode(content, "ISO-8859-1")))
              .otherwise(F.decode(content, "ISO-8859-1")))
 
 
+def cp1252(latin1: Column) -> Column:
+    """Text read as ISO-8859-1, as windows-1252 reads its bytes; the five undefined bytes stay as they are."""
+    return F.translate(latin1, CP1252_BYTES, CP1252_CHARS)
+
+
 @dataclass(frozen=True)
 class FileProfile:
     path: str
@@ -82,11 +104,18 @@ class FileProfile:
     encoding: str
     header_cells: int
     wrapped_lines: int
+    open_lines: int
 
 
 _QUOTED_FIELD = r'"(?:[^"]++|"")*+"'
 
 
+def odd_quotes(raw: Column) -> Column:
+    """An odd number of quotes in a line's bytes (no encoding here has the byte in another character)."""
+    line = F.decode(raw, "ISO-8859-1")
+    return (F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))) % 2 == 1
+
+
 def _sources(spark: SparkSession, src: str | Sequence[str], fmt: str):
     """A reader for a folder (non-recursive, ``*.csv`` any case) or a file list."""
     r = spark.read.format(fmt)
@@ -97,8 +126,10 @@ def _sources(spark: SparkSession, src: str | Sequence[str], fmt: str):
 
 def profile_frame(spark: SparkSession, src: str | Sequence[str]) -> DataFrame:
     """One row per file, computed by one pass over all lines: ``path``,
-    ``lines``, ``encoding``, ``header_cells`` (width of the header line) and
-    ``wrapped`` (quote-wrapped lines).  Nothing is collected here."""
+    ``lines`` (that are not blank), ``encoding``, ``header_cells`` (width of the header line, once
+    unwrapped), ``wrapped`` (quote-wrapped lines) and ``open`` (lines with an
+    odd number of quotes, so a cell goes on in the next line).  Nothing is
+    collected here."""
     reader, where = _sources(spark, src, "text")
     t = reader.load(where).select(
         "value", F.col("_metadata.file_path").alias("path"),
@@ -106,14 +137,13 @@ def profile_frame(spark: SparkSession, src: str | Sequence[str]) -> DataFrame:
     raw = F.col("value").cast("binary")
     first_block = F.col("block") == 0
     agg = t.groupBy("path").agg(
-        F.count(F.lit(1)).alias("lines"),
+        F.count_if(F.col("value").rlike(r"[^\s\x00]")).alias("lines"),
         F.bool_and(F.is_valid_utf8("value")).alias("utf8"),
         F.min_by(F.when(first_block, raw), F.when(first_block, F.col("pos"))).alias("header"),
         F.count_if(is_wrapped(F.col("value"))).alias("wrapped"),
+        F.count_if(odd_quotes(raw)).alias("open"),
     )
-    bom16 = F.hex(F.substring(F.col("header"), 1, 2))  # byte-order mark of the file's first line only
-    enc = (F.when(bom16 == "FFFE", F.lit("UTF-16LE")).when(bom16 == "FEFF", F.lit("UTF-16BE"))
-            .when(F.col("utf8"), F.lit("UTF-8")).otherwise(F.lit("ISO-8859-1")))
+    enc = encoding_rule(F.col("header"), F.col("utf8"))  # byte-order mark of the file's first line only
     # the header line split on raw "\n" bytes: for UTF-16 drop the BOM and the odd trailing byte
     h = F.col("header")
     h16 = F.substring(h, 3, 1 << 30)
@@ -122,16 +152,16 @@ def profile_frame(spark: SparkSession, src: str | Sequence[str]) -> DataFrame:
              .when(F.col("encoding") == "UTF-16BE", F.decode(h16, "UTF-16BE"))
              .when(F.col("encoding") == "UTF-8", F.decode(h, "UTF-8"))
              .otherwise(F.decode(h, "ISO-8859-1")))
-    text = F.regexp_replace(text, "^\ufeff|[\r\u0000]+$", "")
+    text = repair_line(F.regexp_replace(text, "^\ufeff|[\r\u0000]+$", ""))
     width = F.size(F.split(F.regexp_replace(text, _QUOTED_FIELD, "q"), ","))
     return (agg.withColumn("encoding", enc).withColumn("header_text", text)
-               .select("path", "lines", "encoding", width.alias("header_cells"), "wrapped"))
+               .select("path", "lines", "encoding", width.alias("header_cells"), "wrapped", "open"))
 
 
 def profile_files(spark: SparkSession, paths: Sequence[str] | str) -> list[FileProfile]:
     """The per-file profile as a list (for inspection and tests)."""
     rows = profile_frame(spark, paths).collect()
-    return sorted((FileProfile(r.path, r.lines, r.encoding, r.header_cells, r.wrapped) for r in rows),
+    return sorted((FileProfile(r.path, r.lines, r.encoding, r.header_cells, r.wrapped, r.open) for r in rows),
                   key=lambda p: p.path)
 
 
@@ -146,7 +176,7 @@ def read_lines(spark: SparkSession, paths: str | Sequence[str], encoding: str) -
         reader = reader.option("lineSep", "\n")
     df = reader.load(where)
     return df.select(F.rtrim(F.col("line"), F.lit("\r")).alias("line"),
-                     F.col("_metadata.file_name").alias("source_file"))
+                     F.col("_metadata.file_name").alias("source_file"), F.col("_metadata.file_path").alias("path"))
 
 
 def decode_line_per_line(line: Column) -> Column:
@@ -156,68 +186,102 @@ def decode_line_per_line(line: Column) -> Column:
     return F.when(F.is_valid_utf8(raw.cast("string")), F.decode(raw, "UTF-8")).otherwise(line)
 
 
+def decode_line(line: Column, encoding: str | Column) -> Column:
+    """A line read byte-for-byte as ISO-8859-1, in the given encoding (not UTF-16)."""
+    if isinstance(encoding, str):
+        if encoding == "per-line":
+            return decode_line_per_line(line)
+        encoding = F.lit(encoding)
+    return F.when(encoding == "UTF-8", F.decode(F.encode(line, "ISO-8859-1"), "UTF-8")) \
+            .when(F.lower(encoding) == "windows-1252", cp1252(line)).otherwise(line)
+
+
+def read_records(spark: SparkSession, src: str | Sequence[str], files: DataFrame, encoding: str) -> DataFrame:
+    """Records of files whose quoted cells hold line breaks, header dropped.
+
+    ``files`` has the ``path`` and ``encoding`` of those files.  A record goes on
+    while the number of quotes so far is odd; the running count streams over
+    each such file in order, and the lines of a record are then joined with
+    the line feeds between them.
+    """
+    reader, where = _sources(spark, src, "text")
+    lines = reader.option("lineSep", "\n").load(where).select(
+        F.decode(F.col("value").cast("binary"), "ISO-8859-1").alias("line"), F.col("value").cast("binary").alias("raw"),
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("source_file"),
+        F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("pos"))
+    lines = lines.join(files.select("path", "encoding"), "path")
+    in_file = Window.partitionBy("path").orderBy("block", "pos")
+    before = F.coalesce(F.sum(F.when(odd_quotes(F.col("raw")), 1).otherwise(0)).over(
+        in_file.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    first = lines.withColumn("first", F.when(before % 2 == 0, 1).otherwise(0))
+    numbered = first.withColumn("record", F.sum("first").over(in_file.rowsBetween(Window.unboundedPreceding, 0)))
+    joined = numbered.where("record > 1").groupBy("path", "source_file", "encoding", "record").agg(
+        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("block", "pos", "line"))), lambda x: x["line"]), "\n").alias("line"))
+    text = F.rtrim(F.col("line"), F.lit("\r"))
+    return joined.select(decode_line(text, F.col("encoding") if encoding == "auto" else encoding).alias("line"), "source_file")
+
+
 def read_report_csv(spark: SparkSession, folder_or_paths: str | Sequence[str], names: Sequence[str],
-                    encoding: str = "auto", compat: bool = False, check: bool = True
-                    ) -> tuple[DataFrame, dict]:
+                    encoding: str = "auto", compat: bool = False) -> tuple[DataFrame, dict]:
     """Read CSV report files into named string cells.
 
     Returns the frame (``source_file`` + one column per name) and a small
-    dict of per-read facts for the audit (files, encodings, read mode).
-    ``check`` runs the per-file profile pass: exact header width, no empty
-    file, and (with ``encoding='auto'``) the encoding of each file.  Only a
-    summary row per encoding reaches the driver; file names only when a check
-    fails (a few examples) or when a folder mixes encodings.
-
-    ``encoding='per-line'`` with ``check=False`` reads in a single pass, with
-    no profile: each line is UTF-8 when its bytes are valid UTF-8, else
-    ISO-8859-1.  It differs from the per-file rule only for ISO-8859-1 lines
-    whose bytes happen to form valid UTF-8.
+    dict of per-read facts for the audit (files, encodings, read mode).  A
+    profile pass checks every file: exact header width, at least one data row;
+    a failed check raises with the offending files as a DataFrame (``files``).
+    Only one summary row per encoding reaches the driver, and the paths of
+    UTF-16 files when they are mixed with others.
+
+    ``encoding`` is ``'auto'`` (per file, from its bytes), ``'per-line'`` (UTF-8
+    where a line's bytes are valid UTF-8, else ISO-8859-1), or a charset of all
+    files, ``windows-1252`` included.  Files with line breaks inside quoted
+    cells are read record by record.
     """
     src = folder_or_paths if isinstance(folder_or_paths, str) else list(folder_or_paths)
     if isinstance(src, str):
         list_files(spark, src, ("csv",))  # missing folder / no CSV files are errors
     elif not src:
         raise SourceError("no CSV files to read")
-
-    def cells_of(lines: DataFrame) -> DataFrame:
-        parsed = lines.select("source_file", parse_cells(repair_line(F.col("line"), compat), names).alias("c"))
-        return parsed.select("source_file", *[F.col("c")[n].alias(n) for n in names])
-
-    if encoding == "per-line" and not check:
-        lines = read_lines(spark, src, "ISO-8859-1")
-        lines = lines.withColumn("line", decode_line_per_line(F.col("line")))
-        return cells_of(lines), {"files": None, "read_mode": "unchecked", "encodings": {"per-line": None}}
-    if encoding == "per-line":
-        encoding = "auto"
-    if not check and encoding != "auto":
-        return cells_of(read_lines(spark, src, encoding)), {"files": None, "read_mode": "unchecked",
-                                                            "encodings": {encoding: None}}
-
-    prof = profile_frame(spark, src)
     n = len(names)
+    path = scratch_path(spark, "csv-profile")
+    profile_frame(spark, src).write.parquet(path)
+    prof = spark.read.parquet(path)
     summary = prof.groupBy("encoding").agg(
         F.count(F.lit(1)).alias("files"), F.sum("wrapped").alias("wrapped"),
-        F.count_if(F.col("lines") <= 1).alias("empty"),
+        F.count_if(F.col("open") > 0).alias("open"), F.count_if(F.col("lines") <= 1).alias("empty"),
         F.count_if(F.col("header_cells") != n).alias("bad_width")).collect()
-    if check and any(r.empty for r in summary):
-        bad = [r.path for r in prof.filter(F.col("lines") <= 1).select("path").limit(5).collect()]
-        raise SourceError(f"CSV file has no data rows: {', '.join(sorted(bad))}")
-    if check and any(r.bad_width for r in summary):
-        r = prof.filter(F.col("header_cells") != n).select("path", "header_cells").first()
-        check_column_count(r.header_cells, n, r.path)
+    empty, wide = sum(r.empty for r in summary), sum(r.bad_width for r in summary)
+    if empty:
+        bad = prof.where("lines <= 1").select("path", "lines")
+        raise SourceError(f"{empty} CSV files have no data rows, such as {bad.agg(F.min('path')).first()[0]}", bad)
+    if wide:
+        bad = prof.where(F.col("header_cells") != n).select("path", "header_cells")
+        worst = bad.agg(F.min(F.struct("path", "header_cells")).alias("w")).first().w
+        raise ColumnCountError(f"wrong number of columns: {worst.header_cells}; allowed: {n} ({worst.path}; {wide} files)", bad)
+    utf16 = [r for r in summary if r.encoding.startswith("UTF-16")] if encoding == "auto" else []
+    if encoding.upper().startswith("UTF-16") and sum(r.open for r in summary) or any(r.open for r in utf16):
+        bad = prof.where("open > 0").select("path", "encoding")
+        raise SourceError("UTF-16 files with line breaks inside quoted cells are not supported", bad)
     facts = {"files": sum(r.files for r in summary),
              "read_mode": "repaired" if any(r.wrapped for r in summary) else "plain",
-             "encodings": {r.encoding: r.files for r in summary}}
-    if encoding != "auto":
-        facts["encodings"] = {encoding: facts["files"]}
-        return cells_of(read_lines(spark, src, encoding)), facts
-    if len(summary) == 1:
-        return cells_of(read_lines(spark, src, summary[0].encoding)), facts
-    groups: dict[str, list[str]] = {}
-    for r in prof.select("path", "encoding").collect():  # mixed folder: file names per encoding
-        groups.setdefault(r.encoding, []).append(r.path)
-    parts = [read_lines(spark, ps, enc) for enc, ps in sorted(groups.items())]
-    lines = parts[0]
-    for p in parts[1:]:
-        lines = lines.unionByName(p)
-    return cells_of(lines), facts
+             "encodings": {r.encoding: r.files for r in summary} if encoding == "auto" else {encoding: sum(r.files for r in summary)}}
+
+    if encoding == "auto" and len(summary) == 1:
+        lines = read_lines(spark, src, summary[0].encoding)
+    elif encoding.upper().startswith("UTF-") and encoding != "auto":
+        lines = read_lines(spark, src, encoding)
+    elif encoding != "auto":
+        lines = read_lines(spark, src, "ISO-8859-1").withColumn("line", decode_line(F.col("line"), encoding))
+    else:
+        by_file = prof.where(~F.col("encoding").startswith("UTF-16")).select("path", "encoding")
+        lines = read_lines(spark, src, "ISO-8859-1").join(by_file, "path") \
+            .withColumn("line", decode_line(F.col("line"), F.col("encoding"))).drop("encoding")
+        for r in utf16:
+            paths = [p.path for p in prof.where(F.col("encoding") == r.encoding).select("path").collect()]
+            lines = lines.unionByName(read_lines(spark, paths, r.encoding))
+    if any(r.open for r in summary):
+        broken = prof.where("open > 0")
+        lines = lines.join(broken.select("path"), "path", "left_anti").select("line", "source_file") \
+            .unionByName(read_records(spark, src, broken, encoding))
+    parsed = lines.select("source_file", parse_cells(repair_line(F.col("line"), compat), names).alias("c"))
+    return parsed.select("source_file", *[F.col("c")[x].alias(x) for x in names]), facts

@@ -9,7 +9,11 @@ from pyspark.sql import functions as F
 
 
 class SourceError(RuntimeError):
-    pass
+    """``files`` holds the offending files as a DataFrame, where there are any."""
+
+    def __init__(self, message: str, files: DataFrame | None = None):
+        super().__init__(message)
+        self.files = files
 
 
 def suffix_glob(suffixes: Sequence[str]) -> str:

@@ -20,17 +20,6 @@ from ledgerline.sources.xlsx import Workbook, WorkbookError, sheet_records
 
 ROW_SCHEMA = "source_file string, source_format string, sheet string, row_no int, cells array<string>"
 BATCH_ROWS = 20_000
-# Each input record holds a whole workbook, so Arrow batches into the Python
-# workers are capped at a few records (the setting is per session; it is only
-# ever lowered).
-WORKBOOKS_PER_BATCH = 8
-
-
-def _bound_arrow_batches(spark: SparkSession) -> None:
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    cur = int(spark.conf.get(key, "10000"))
-    if cur <= 0 or cur > WORKBOOKS_PER_BATCH:
-        spark.conf.set(key, str(WORKBOOKS_PER_BATCH))
 WORKBOOK_SUFFIXES = ("xlsx", "xls")
 
 
@@ -48,6 +37,11 @@ def _decode(path: str, content: bytes, positions: Sequence[int], only_sheet: int
         raise WorkbookError(f"{e} (file: {path})") from e
 
 
+def _has_rows(path: str, content: bytes, positions: Sequence[int]) -> bool:
+    """Whether any sheet of a workbook has a data row; asked by the task of its first sheet, if that one is empty."""
+    return next(iter(_decode(path, content, positions)), None) is not None
+
+
 def split_sheets(files: DataFrame) -> DataFrame:
     """One record per sheet: ``(path, content, sheet_index)``.
 
@@ -56,7 +50,6 @@ def split_sheets(files: DataFrame) -> DataFrame:
     here.
     """
     ship_package(files.sparkSession)
-    _bound_arrow_batches(files.sparkSession)
 
     def run(batches):
         for pdf in batches:
@@ -83,7 +76,6 @@ def decode_workbooks(files: DataFrame, positions: Sequence[int], spread: int | N
     """
     positions = [int(p) for p in positions]
     ship_package(files.sparkSession)
-    _bound_arrow_batches(files.sparkSession)
     if per_sheet:
         files = split_sheets(files)
         if spread:
@@ -106,6 +98,8 @@ def decode_workbooks(files: DataFrame, positions: Sequence[int], spread: int | N
                         buf = []
                 if not seen and only is None:
                     raise WorkbookError(f"workbook has no data rows (file: {path})")
+                if not seen and only == 0 and not _has_rows(path, bytes(content), positions):
+                    raise WorkbookError(f"workbook has no data rows (file: {path})")
                 if buf:
                     yield pd.DataFrame(buf, columns=["source_file", "source_format", "sheet", "row_no", "cells"])
 
@@ -113,26 +107,23 @@ def decode_workbooks(files: DataFrame, positions: Sequence[int], spread: int | N
 
 
 def read_workbooks(spark: SparkSession, folder: str, positions: Sequence[int], names: Sequence[str],
-                   partitions: int | None = None, per_sheet: bool = False) -> DataFrame:
+                   partitions: int | None = None, per_sheet: bool = False,
+                   spread: int | None = None) -> DataFrame:
     """Read every ``.xlsx`` of a folder into named string cells (by position).
 
     ``.xls`` (BIFF) files are rejected up front: there is no decoder for them.
     ``partitions`` spreads decoded rows over more tasks (one extra shuffle).
-    ``per_sheet`` decodes each sheet in its own task (for workbooks with many
-    large sheets); a workbook without any data row is then not reported.
+    ``per_sheet`` makes a sheet the unit of work (for workbooks with many large
+    sheets).  ``spread`` deals the files, or sheets, over that many tasks first.
+    A workbook without any data row is an error either way.
     """
     listed = list_files(spark, folder, WORKBOOK_SUFFIXES)
-    old = [r.name for r in listed.filter(F.col("suffix") == "xls").select("name").collect()]
-    if old:
-        raise SourceError(f".xls workbooks are not supported: {', '.join(sorted(old))}")
+    old = listed.filter(F.col("suffix") == "xls").select("path", "name")
+    count, name = old.agg(F.count(F.lit(1)), F.min("name")).first()
+    if count:
+        raise SourceError(f".xls workbooks are not supported: {count} files, such as {name}", old)
     files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.[xX][lL][sS][xX]")
              .option("recursiveFileLookup", "false").load(folder))
-    n_files = listed.count()
-    cores = spark.sparkContext.defaultParallelism
-    # many files already spread over the scan's partitions; few files do not
-    spread = min(n_files, cores) if 1 < n_files < 4 * cores else None
-    if per_sheet:
-        spread = cores
     rows = decode_workbooks(files, positions, spread, per_sheet)
     if partitions:
         rows = rows.repartition(partitions)

@@ -18,7 +18,6 @@ class ReportSpec:
     date_column: str                    # drives cut-off and audit dates
     table: str                          # target table
     preview: tuple[str, ...]            # columns of the newest-rows preview
-    dropped: tuple[str, ...] = ()       # raw columns not carried to the output
 
     @property
     def raw_schema(self) -> StructType:
@@ -54,7 +53,6 @@ SD_SPEC = ReportSpec(
     table="CLI.DATA_SD",
     preview=("TIPO_DOC", "NRO_DOC", "NOMBRE_CLIENTE", "FECHA_NAC", "TIPO_ENTIDAD", "FECHA_REG",
              "COD_BROKER", "BROKER"),
-    dropped=("VALIDO_DESDE", "VALIDO_HASTA", "REGISTRATION_DATE"),
 )
 
 OS_SPEC = ReportSpec(

@@ -64,29 +64,27 @@ def start_report_intake(stream: DataFrame, spec, parse: Callable, ctx, target_pa
 
     ``parse`` is a report transform such as ``sd_text_parsed`` (raw cells ->
     parsed rows).  Each batch writes its rows to ``<target>/batch=<id>`` and a
-    one-row audit (the same metrics as ``publish``, from two Observations on
-    that one write) to ``<target>/_audit/batch=<id>``, which readers of the
+    one-row audit (the same checked metrics as ``publish``) to ``<target>/_audit/batch=<id>``, which readers of the
     target skip; both are overwritten if the batch is replayed.
     """
     from pyspark.sql import Observation
 
     from ledgerline.operators.cutoff import post_dedupe_metrics
     from ledgerline.plans.reports import finish
-    from ledgerline.sinks.publish import AUDIT_DDL, _metrics
+    from ledgerline.sinks.publish import AUDIT_DDL, _observed, checked_metrics
 
     base = target_path.rstrip("/")
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         obs_in = Observation(f"{spec.name.lower()}_in_{batch_id}")
         obs_out = Observation(f"{spec.name.lower()}_out_{batch_id}")
-        loaded = finish(parse(batch, ctx), spec, ctx, observation=obs_in)
-        loaded.observe(obs_out, *post_dedupe_metrics(spec.date_column)) \
-              .write.mode("overwrite").parquet(f"{base}/batch={batch_id}")
-        m_in, m_out = _metrics(obs_in), _metrics(obs_out)
-        audit = {"report": spec.name, "n_in": int(m_in.get("n_in") or 0), "n_out": int(m_out.get("n_out") or 0),
-                 "excluded": int(m_in.get("excluded") or 0), "null_date_rows": int(m_in.get("null_date_rows") or 0),
-                 "first_date": m_out.get("first_date"), "last_date": m_in.get("last_date"),
-                 "read_mode": "stream", "status": "loaded", "elapsed_s": 0}
+        parsed = parse(batch, ctx)
+        loaded = finish(parsed, spec, ctx, observation=obs_in)
+        path = f"{base}/batch={batch_id}"
+        loaded.observe(obs_out, *post_dedupe_metrics(spec.date_column)).write.mode("overwrite").parquet(path)
+        written = batch.sparkSession.read.schema(loaded.schema).parquet(path)
+        audit = {"report": spec.name, "read_mode": "stream", "status": "loaded", "elapsed_s": 0} \
+            | checked_metrics(parsed, written, spec, ctx, _observed(obs_in), _observed(obs_out))
         (batch.sparkSession.createDataFrame([audit], AUDIT_DDL).withColumn("batch_id", F.lit(batch_id))
              .write.mode("overwrite").parquet(f"{base}/_audit/batch={batch_id}"))
 

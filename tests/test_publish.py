@@ -83,10 +83,78 @@ def test_strict_error_surfaces_before_append(spark, scratch):
 
 
 def test_run_reports_stops_after_failure():
+    class Done:
+        audit = {"report": "SD", "status": "loaded"}
+
+    ran = []
+
     def boom():
         raise RuntimeError("x")
-    with pytest.raises(LoadError):
-        run_reports([("SD", boom), ("OS", lambda: None)])
+    with pytest.raises(LoadError) as e:
+        run_reports([("SD", Done), ("OS", boom), ("OS2", lambda: ran.append(1))])
+    assert not ran
+    assert e.value.audits == [{"report": "SD", "status": "loaded"}, {"report": "OS", "status": "failed: x"},
+                              {"report": "OS2", "status": "not run"}]
+
+
+def stages(spark):
+    import os
+
+    from ledgerline.session import shared_dir
+    base = shared_dir(spark).removeprefix("file:")
+    return {d for d in os.listdir(base) if d.startswith("stage-")} if os.path.isdir(base) else set()
+
+
+def test_no_stage_remains_and_failures_leave_the_target(spark, scratch):
+    before, target = stages(spark), ParquetTarget(f"{scratch}/T")
+    parsed = sd_text_parsed(rv.sd_raw(spark, SF), CTX)
+    n = publish(spark, parsed, SD_SPEC, CTX, target).audit["n_out"]
+    bad = rv.sd_raw(spark, SF).withColumn("FECHA_REG", F.lit("31/02/1999"))
+    later = LoadContext(CTX.cutoff, CTX.load_ts + dt.timedelta(days=1), CTX.load_user)
+    with pytest.raises(Exception, match="31/02/1999"):
+        publish(spark, sd_text_parsed(bad, later), SD_SPEC, later, target)
+    none = LoadContext(dt.date(1900, 1, 1), later.load_ts, CTX.load_user)
+    with pytest.raises(LoadError, match="no rows"):
+        publish(spark, sd_text_parsed(rv.sd_raw(spark, SF), none), SD_SPEC, none, target)
+    assert target.read(spark).count() == n and stages(spark) == before
+
+
+def test_audit_is_true_when_every_row_is_excluded(spark, scratch):
+    ctx = LoadContext(dt.date(1980, 1, 1), CTX.load_ts, CTX.load_user)
+    parsed = sd_text_parsed(rv.sd_raw(spark, SF), ctx)
+    a = publish(spark, parsed, SD_SPEC, ctx, ParquetTarget(f"{scratch}/T"), on_empty="ok").audit
+    want = audit_frame(parsed, finish(parsed, SD_SPEC, ctx), "SD", "FECHA_REG", ctx.cutoff).first()
+    assert (a["n_in"], a["n_out"], a["excluded"], a["null_date_rows"], a["last_date"]) == (
+        want.n_in, 0, want.excluded, want.null_date_rows, want.last_date)
+    assert a["n_in"] > 0 and a["last_date"] is not None
+
+
+def test_guard_is_checked_before_anything_is_read(spark, scratch):
+    target = ParquetTarget(f"{scratch}/T")
+    publish(spark, sd_text_parsed(rv.sd_raw(spark, SF), CTX), SD_SPEC, CTX, target)
+    bad = sd_text_parsed(rv.sd_raw(spark, SF).withColumn("FECHA_REG", F.lit("31/02/1999")), CTX)
+    assert publish(spark, bad, SD_SPEC, CTX, target, guard="skip").audit["status"] == "skipped"
+    with pytest.raises(AlreadyLoaded):
+        publish(spark, bad, SD_SPEC, CTX, target)
+
+
+def test_only_a_missing_table_counts_as_none(spark, scratch):
+    import os
+    os.makedirs(f"{scratch}/T")
+    assert ParquetTarget(f"{scratch}/T").read(spark) is None
+    with open(f"{scratch}/T/part-0.parquet", "w") as f:
+        f.write("not parquet")
+    with pytest.raises(Exception):
+        ParquetTarget(f"{scratch}/T").last_load_date(spark)
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace as N
+
+    from ledgerline.session import shared_dir
+    none = N(conf=N(get=lambda k, d=None: d), sparkContext=N(getCheckpointDir=lambda: None, master="spark://host:7077"))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(none)
 
 
 def test_audit_text():

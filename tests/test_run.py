@@ -59,8 +59,8 @@ def test_load_report_csv_os(spark, scratch):
     res = load_report(spark, "OS", src, "31-01-2024", target, load_ts=TS, load_user="u")
     rows = target.read(spark).collect()
     single = load_report(spark, "OS", src, "31-01-2024", ParquetTarget(f"{scratch}/OS2"), load_ts=TS,
-                         load_user="u", encoding="per-line", check=False)
-    assert single.audit["n_out"] == 1 and single.audit["read_mode"] == "unchecked"
+                         load_user="u", encoding="per-line")
+    assert single.audit["n_out"] == 1 and single.audit["read_mode"] == "plain"
     assert len(rows) == 1 and rows[0].ID == 1 and rows[0].USUARIO_CREA is None
     assert res.audit["excluded"] == 1 and res.audit["read_mode"] == "plain"
 
@@ -79,3 +79,17 @@ def test_command_line(spark, scratch, capsys):
     assert audits[0]["report"] == "OS" and audits[0]["n_out"] == 1 and audits[0]["status"] == "loaded"
     assert main(["--os", src, "--cutoff", "31-01-2024", "--target-dir", f"{scratch}/wh", "--guard", "skip"]) == 0
     assert json.loads(capsys.readouterr().out.strip().splitlines()[-1])[0]["status"] == "skipped"
+
+
+def test_command_line_reports_every_outcome(spark, scratch, capsys):
+    import json
+
+    from ledgerline.plans.run import main
+
+    src = f"{scratch}/os"
+    os.makedirs(src)
+    with open(f"{src}/o.csv", "w") as f:
+        f.write(",".join(OS_SPEC.raw_names) + "\n1,DNI,007,ANA,99/99/2024,,BK,,U2,OK\n")
+    assert main(["--sd", f"{scratch}/none", "--os", src, "--cutoff", "31-01-2024", "--target-dir", f"{scratch}/wh"]) == 1
+    audits = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert audits[0]["status"].startswith("failed") and audits[1]["status"] == "not run"

@@ -65,12 +65,16 @@ def test_utf16_and_utf8_bom_files(spark, scratch):
     assert facts["encodings"] == {"UTF-16BE": 1, "UTF-16LE": 1, "UTF-8": 1}
 
 
-def test_single_pass_per_line_encoding(spark, scratch):
+def test_per_line_encoding_keeps_the_checks(spark, scratch):
     write(f"{scratch}/l.csv", "h1,h2,h3\ncaf\xe9,ni\xf1o,x\n\"7,\"\"a, b\"\"\"\n".encode("latin-1"))
     write(f"{scratch}/u.csv", "h1,h2,h3\ncaf\u00e9,ni\u00f1o,y\n".encode("utf-8"))
-    df, facts = read_report_csv(spark, scratch, NAMES, encoding="per-line", check=False)
+    df, facts = read_report_csv(spark, scratch, NAMES, encoding="per-line")
     assert rows(df) == [("7", "a, b", None), ("caf\u00e9", "ni\u00f1o", "x"), ("caf\u00e9", "ni\u00f1o", "y")]
-    assert facts["read_mode"] == "unchecked"
+    assert facts["read_mode"] == "repaired"
+    write(f"{scratch}/w.csv", b"h1,h2\n1,2\n")
+    with pytest.raises(ColumnCountError) as e:
+        read_report_csv(spark, scratch, NAMES, encoding="per-line")
+    assert [os.path.basename(r.path) for r in e.value.files.collect()] == ["w.csv"]
 
 
 def test_latin1_line_starting_like_a_bom_stays_latin1(spark, scratch):
@@ -90,6 +94,48 @@ def test_long_wrapped_line_whole_text(spark, scratch):
     assert facts["read_mode"] == "repaired"
 
 
+def test_line_breaks_inside_quotes_are_kept(spark, scratch):
+    write(f"{scratch}/q.csv", b'h1,h2,h3\n1,"U\n1",x\n"a ""b"",\r\n\nc",2,\n3,4,5\n')
+    write(f"{scratch}/p.csv", b"h1,h2,h3\n6,7,8\n")
+    write(f"{scratch}/l.csv", 'h1,h2,h3\n9,"caf\u00e9\nx",y\n'.encode("latin-1"))
+    df, _ = read_report_csv(spark, scratch, NAMES)
+    want = [("1", "U\n1", "x"), ('a "b",\r\n\nc', "2", None), ("3", "4", "5"), ("6", "7", "8"), ("9", "caf\u00e9\nx", "y")]
+    assert rows(df) == sorted(want, key=lambda t: tuple((v is not None, v or "") for v in t))
+
+
+def test_utf16_with_line_breaks_inside_quotes_is_an_error(spark, scratch):
+    write(f"{scratch}/u.csv", 'h1,h2,h3\n1,"a\nb",c\n'.encode("utf-16"))
+    with pytest.raises(SourceError, match="UTF-16") as e:
+        read_report_csv(spark, scratch, NAMES)
+    assert e.value.files.count() == 1
+
+
+def test_wrapped_header_and_line_marks(spark, scratch):
+    write(f"{scratch}/w.csv", '"h1,""h2"",h3"\n"1,""a\u2028b"",c"\n"2,""d\u2029""""e"",f"\n'.encode("utf-8"))
+    write(f"{scratch}/l.csv", 'h1,h2,h3\n"3,""x\u0085y"",\u00e9"\n'.encode("latin-1"))
+    df, facts = read_report_csv(spark, scratch, NAMES)
+    assert rows(df) == [("1", "a\u2028b", "c"), ("2", 'd\u2029"e', "f"), ("3", "x\u0085y", "\u00e9")]
+    assert facts["read_mode"] == "repaired"
+
+
+def test_compatible_repair_touches_every_line(spark):
+    from pyspark.sql import functions as F
+
+    from ledgerline.sources.csv_text import repair_line
+    lines = ['"a,""b"""', '"a","b"', 'x,""y""', '""', '"', "p"]
+    df = spark.createDataFrame([(x,) for x in lines], "v string")
+    got = [tuple(r) for r in df.select(repair_line(F.col("v")), repair_line(F.col("v"), compat=True)).collect()]
+    assert got == [('a,"b"', 'a,"b"'), ('"a","b"', 'a","b'), ('x,""y""', 'x,"y"'), ("", ""), ('"', '"'), ("p", "p")]
+
+
+def test_windows_1252_when_asked_for(spark, scratch):
+    body = bytes(b for b in range(0x80, 0xA0) if b not in (0x81, 0x8D, 0x8F, 0x90, 0x9D))
+    write(f"{scratch}/c.csv", b"h1,h2,h3\n" + body + b',"\xe9",z\n')
+    df, facts = read_report_csv(spark, scratch, NAMES, encoding="windows-1252")
+    assert rows(df) == [(body.decode("cp1252"), "\u00e9", "z")]
+    assert facts["encodings"] == {"windows-1252": 1}
+
+
 def test_wrong_width_fails(spark, scratch):
     write(f"{scratch}/w.csv", b"h1,h2\n1,2\n")
     with pytest.raises(ColumnCountError, match="allowed: 3"):
@@ -147,6 +193,19 @@ def test_workbook_header_only_fails(spark, scratch):
         read_workbooks(spark, scratch, [0, 1], ["A", "B"]).collect()
 
 
+def test_workbook_header_only_fails_by_sheet_too(spark, scratch):
+    write(f"{scratch}/e.xlsx", write_workbook([("s", [["h0", "h1"]]), ("t", [["h0", "h1"]])]))
+    with pytest.raises(PySparkException, match="no data rows"):
+        read_workbooks(spark, scratch, [0, 1], ["A", "B"], per_sheet=True).collect()
+
+
+def test_workbook_read_leaves_session_settings(spark, scratch):
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    write(f"{scratch}/e.xlsx", write_workbook([("s", [["h0"]]), ("t", [["h0"], ["a"]])]))
+    assert read_workbooks(spark, scratch, [0], ["A"], per_sheet=True, spread=3).count() == 1
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
+
+
 def test_workbook_too_narrow_fails(spark, scratch):
     write(f"{scratch}/n.xlsx", write_workbook([("s", [["h0", "h1"], ["a", "b"]])]))
     with pytest.raises(PySparkException, match="wrong number of columns"):

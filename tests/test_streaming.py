@@ -47,3 +47,18 @@ def test_report_intake_writes_audit_per_batch(spark, scratch):
     a = spark.read.parquet(f"{out}/_audit").first()
     assert (a.n_in, a.n_out, a.excluded, a.null_date_rows) == (3, 1, 1, 0)
     assert a.first_date == dt.date(2024, 1, 5) and a.last_date == dt.date(2025, 1, 5)
+
+
+def test_batch_with_only_late_rows_has_a_true_audit(spark, scratch):
+    from ledgerline.plans.reports import sd_text_parsed
+    from ledgerline.streaming.intake import start_report_intake
+
+    src, out, ck = f"{scratch}/in", f"{scratch}/out", f"{scratch}/ck"
+    os.makedirs(src)
+    late = ROW.format(n=9, vh="").replace("05/01/2024", "05/01/2025")
+    with open(f"{src}/a.csv", "w") as f:
+        f.write(HEADER + late + late)
+    start_report_intake(csv_report_stream(spark, src, SD_SPEC.raw_names), SD_SPEC, sd_text_parsed, CTX, out, ck).awaitTermination(120)
+    a = spark.read.parquet(f"{out}/_audit").first()
+    assert (a.n_in, a.n_out, a.excluded, a.null_date_rows) == (2, 0, 2, 0)
+    assert a.last_date == dt.date(2025, 1, 5) and a.first_date is None

@@ -12,16 +12,11 @@ from ledgerline.session import apply_required_conf, scratch_path, ship_package
 # White space of every word rule here: space and U+0009 to U+000D.
 SPACE_CHARS = " \t\n\x0b\x0c\r"
 
-# Bytes of one Arrow batch handed to a Python worker.  Rows hold whole texts,
-# so a row count alone does not bound a batch.
-ARROW_BATCH_BYTES = 8 << 20
-
 
 def prepare(spark: SparkSession) -> None:
-    """Make the package importable in Python workers and bound their batches by bytes."""
+    """Session settings (batches to Python workers bounded by bytes among them), and the package for the workers."""
     apply_required_conf(spark)
     ship_package(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BATCH_BYTES))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -7,7 +7,10 @@
 * Cells are parsed with ``from_csv``: short rows are null-filled, extra cells
   dropped; an unquoted empty cell is null and a quoted empty cell is ''.
 * A cell may hold line breaks inside its quotes; files with such cells are
-  found by the profile pass and put together record by record.
+  found by the profile pass and put together record by record.  Only a quote
+  at the start of a cell opens it; other quotes of an unquoted cell are text.
+  Files whose last quote stays open, or with a record of several lines that is
+  too wide or whose quotes do not pair, are errors: rows may be hidden in it.
 * The encoding of each file is decided from its own bytes: a UTF-16 byte
   order mark (little or big endian), else valid UTF-8, else ISO-8859-1.
 """
@@ -110,10 +113,25 @@ class FileProfile:
 _QUOTED_FIELD = r'"(?:[^"]++|"")*+"'
 
 
-def odd_quotes(raw: Column) -> Column:
-    """An odd number of quotes in a line's bytes (no encoding here has the byte in another character)."""
-    line = F.decode(raw, "ISO-8859-1")
-    return (F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))) % 2 == 1
+# A line's cells as from_csv reads them: a cell that starts with a quote ends at the next lone quote, with
+# whatever follows up to the separator; a quote elsewhere is text.
+_QUOTED_PART = r'(?:[^"]++|"")*+'
+_WHOLE_CELLS = rf'(?:(?:"{_QUOTED_PART}"[^,]*+|[^",][^,]*+)?+,)*+'
+# Lines that end inside quotes, of those that start outside and inside of them.
+OPENS = rf'\A{_WHOLE_CELLS}"{_QUOTED_PART}\z'
+STAYS_OPEN = rf'\A{_QUOTED_PART}(?:"[^,]*+,{_WHOLE_CELLS}"{_QUOTED_PART})?+\z'
+# A record whose quoted cells end where their quotes do.
+PAIRED = r'\A(?:(?:"(?:[^"]++|"")*+"[ \t\r]*+|[^",][^,]*+)?+(?:,|\z))*+\z'
+
+
+def opens_quote(line: Column) -> Column:
+    """A line that starts outside quotes ends inside them, so a cell goes on in the next line."""
+    return line.contains('"') & line.rlike(OPENS)
+
+
+def stays_open(line: Column) -> Column:
+    """A line that starts inside quotes ends inside them."""
+    return ~line.contains('"') | line.rlike(STAYS_OPEN)
 
 
 def _sources(spark: SparkSession, src: str | Sequence[str], fmt: str):
@@ -127,21 +145,23 @@ def _sources(spark: SparkSession, src: str | Sequence[str], fmt: str):
 def profile_frame(spark: SparkSession, src: str | Sequence[str]) -> DataFrame:
     """One row per file, computed by one pass over all lines: ``path``,
     ``lines`` (that are not blank), ``encoding``, ``header_cells`` (width of the header line, once
-    unwrapped), ``wrapped`` (quote-wrapped lines) and ``open`` (lines with an
-    odd number of quotes, so a cell goes on in the next line).  Nothing is
-    collected here."""
+    unwrapped), ``wrapped`` (quote-wrapped lines) and ``open`` (lines that
+    open a quoted cell which goes on in the next line).  Nothing is collected
+    here."""
     reader, where = _sources(spark, src, "text")
     t = reader.load(where).select(
         "value", F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("pos"))
     raw = F.col("value").cast("binary")
+    bytes_text = F.decode(raw, "ISO-8859-1")
     first_block = F.col("block") == 0
     agg = t.groupBy("path").agg(
         F.count_if(F.col("value").rlike(r"[^\s\x00]")).alias("lines"),
         F.bool_and(F.is_valid_utf8("value")).alias("utf8"),
         F.min_by(F.when(first_block, raw), F.when(first_block, F.col("pos"))).alias("header"),
         F.count_if(is_wrapped(F.col("value"))).alias("wrapped"),
-        F.count_if(odd_quotes(raw)).alias("open"),
+        F.count_if(opens_quote(bytes_text)).alias("open8"),
+        F.count_if(opens_quote(F.replace(bytes_text, F.lit("\u0000"), F.lit("")))).alias("open16"),
     )
     enc = encoding_rule(F.col("header"), F.col("utf8"))  # byte-order mark of the file's first line only
     # the header line split on raw "\n" bytes: for UTF-16 drop the BOM and the odd trailing byte
@@ -154,8 +174,9 @@ def profile_frame(spark: SparkSession, src: str | Sequence[str]) -> DataFrame:
              .otherwise(F.decode(h, "ISO-8859-1")))
     text = repair_line(F.regexp_replace(text, "^\ufeff|[\r\u0000]+$", ""))
     width = F.size(F.split(F.regexp_replace(text, _QUOTED_FIELD, "q"), ","))
+    opened = F.when(F.col("encoding").startswith("UTF-16"), F.col("open16")).otherwise(F.col("open8")).alias("open")
     return (agg.withColumn("encoding", enc).withColumn("header_text", text)
-               .select("path", "lines", "encoding", width.alias("header_cells"), "wrapped", "open"))
+               .select("path", "lines", "encoding", width.alias("header_cells"), "wrapped", opened))
 
 
 def profile_files(spark: SparkSession, paths: Sequence[str] | str) -> list[FileProfile]:
@@ -196,29 +217,49 @@ def decode_line(line: Column, encoding: str | Column) -> Column:
             .when(F.lower(encoding) == "windows-1252", cp1252(line)).otherwise(line)
 
 
-def read_records(spark: SparkSession, src: str | Sequence[str], files: DataFrame, encoding: str) -> DataFrame:
+def read_records(spark: SparkSession, src: str | Sequence[str], files: DataFrame, encoding: str,
+                 names: Sequence[str]) -> DataFrame:
     """Records of files whose quoted cells hold line breaks, header dropped.
 
     ``files`` has the ``path`` and ``encoding`` of those files.  A record goes on
-    while the number of quotes so far is odd; the running count streams over
-    each such file in order, and the lines of a record are then joined with
-    the line feeds between them.
+    while a quoted cell is open.  Each line sets that state (to open or closed),
+    turns it over, or leaves it; the state streams over each such file in order,
+    and the lines of a record are then joined with the line feeds between them.
+    The records are written once; files with a record that may hide rows raise
+    with the files as a DataFrame.
     """
     reader, where = _sources(spark, src, "text")
     lines = reader.option("lineSep", "\n").load(where).select(
-        F.decode(F.col("value").cast("binary"), "ISO-8859-1").alias("line"), F.col("value").cast("binary").alias("raw"),
+        F.decode(F.col("value").cast("binary"), "ISO-8859-1").alias("line"),
         F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("source_file"),
         F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("pos"))
-    lines = lines.join(files.select("path", "encoding"), "path")
+    lines = lines.join(files.select("path", "encoding"), "path") \
+        .withColumn("opens", opens_quote(F.col("line")).cast("int")).withColumn("stays", stays_open(F.col("line")).cast("int"))
     in_file = Window.partitionBy("path").orderBy("block", "pos")
-    before = F.coalesce(F.sum(F.when(odd_quotes(F.col("raw")), 1).otherwise(0)).over(
-        in_file.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    first = lines.withColumn("first", F.when(before % 2 == 0, 1).otherwise(0))
-    numbered = first.withColumn("record", F.sum("first").over(in_file.rowsBetween(Window.unboundedPreceding, 0)))
-    joined = numbered.where("record > 1").groupBy("path", "source_file", "encoding", "record").agg(
-        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("block", "pos", "line"))), lambda x: x["line"]), "\n").alias("line"))
+    so_far = in_file.rowsBetween(Window.unboundedPreceding, 0)
+    turned = lines.withColumn("turns", F.sum(F.when(F.col("opens") > F.col("stays"), 1).otherwise(0)).over(so_far))
+    was_set = F.last(F.when(F.col("opens") == F.col("stays"), F.col("opens") - F.col("turns")), ignorenulls=True).over(so_far)
+    state = turned.withColumn("open", F.pmod(F.coalesce(was_set, F.lit(0)) + F.col("turns"), F.lit(2)))
+    first = state.withColumn("first", 1 - F.lag("open", 1, 0).over(in_file))
+    numbered = first.withColumn("record", F.sum("first").over(so_far))
+    joined = numbered.groupBy("path", "source_file", "encoding", "record").agg(
+        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("block", "pos", "line"))), lambda x: x["line"]), "\n").alias("line"),
+        F.count(F.lit(1)).alias("n_lines"), F.max(F.struct("block", "pos", "open"))["open"].alias("open"))
     text = F.rtrim(F.col("line"), F.lit("\r"))
-    return joined.select(decode_line(text, F.col("encoding") if encoding == "auto" else encoding).alias("line"), "source_file")
+    whole = repair_line(text)
+    extra = parse_cells(whole, [*(f"c{i}" for i in range(len(names))), "more"])["more"]
+    fault = F.when(F.col("open") == 1, F.lit("a quote is never closed")).when(F.col("n_lines") > 1, F.when(
+        ~whole.rlike(PAIRED), F.lit("quotes do not pair")).when(extra.isNotNull(), F.lit("too many cells")))
+    records = scratch_path(spark, "csv-records")
+    joined.select("path", "source_file", "record", fault.alias("fault"),
+                  decode_line(text, F.col("encoding") if encoding == "auto" else encoding).alias("line")).write.parquet(records)
+    done = spark.read.parquet(records)
+    bad = done.where("fault is not null").groupBy("path").agg(F.min("fault").alias("fault"))
+    worst = bad.agg(F.count(F.lit(1)).alias("files"), F.min(F.struct("path", "fault")).alias("w")).first()
+    if worst.files:
+        raise SourceError(f"{worst.files} CSV files have cells over several lines that may hide rows, "
+                          f"such as {worst.w.path} ({worst.w.fault})", bad)
+    return done.where("record > 1").select("line", "source_file")
 
 
 def read_report_csv(spark: SparkSession, folder_or_paths: str | Sequence[str], names: Sequence[str],
@@ -282,6 +323,6 @@ def read_report_csv(spark: SparkSession, folder_or_paths: str | Sequence[str], n
     if any(r.open for r in summary):
         broken = prof.where("open > 0")
         lines = lines.join(broken.select("path"), "path", "left_anti").select("line", "source_file") \
-            .unionByName(read_records(spark, src, broken, encoding))
+            .unionByName(read_records(spark, src, broken, encoding, names))
     parsed = lines.select("source_file", parse_cells(repair_line(F.col("line"), compat), names).alias("c"))
     return parsed.select("source_file", *[F.col("c")[x].alias(x) for x in names]), facts

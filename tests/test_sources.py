@@ -103,6 +103,29 @@ def test_line_breaks_inside_quotes_are_kept(spark, scratch):
     assert rows(df) == sorted(want, key=lambda t: tuple((v is not None, v or "") for v in t))
 
 
+def test_stray_quotes_of_unquoted_cells_are_text(spark, scratch):
+    write(f"{scratch}/s.csv", b'h1,h2,h3\na,5" pipe,c\nd,e,f\n"O""B",x"y"z,"1" 2\ng,h,i\n')
+    write(f"{scratch}/m.csv", b'h1,h2,h3\nj,6" rod,k\n7,"U\n"" 1",4" x\nl,"m\nn, 2""",o\np,q,r"\ns,t,u\n')
+    write(f"{scratch}/u.csv", 'h1,h2,h3\nv,8" \u2264,w\n'.encode("utf-16"))
+    df, _ = read_report_csv(spark, scratch, NAMES)
+    want = [("a", '5" pipe', "c"), ("d", "e", "f"), ('O"B', 'x"y"z', '"1" 2'), ("g", "h", "i"), ("j", '6" rod', "k"),
+            ("7", 'U\n" 1', '4" x'), ("l", 'm\nn, 2"', "o"), ("p", "q", 'r"'), ("s", "t", "u"), ("v", '8" \u2264', "w")]
+    assert rows(df) == sorted(want)
+
+
+@pytest.mark.parametrize("body", [
+    b'1,"a,x\nd,e,f\ng,h,i\n',                 # never closed
+    b'1,"a,x\nd,"e",f\ng,h,i\n',               # closed by another row's opening quote
+    b'1,2,"a\nd,e",f,g\nh,i,j\n',              # wider than the header
+])
+def test_records_that_may_hide_rows_are_an_error(spark, scratch, body):
+    write(f"{scratch}/bad.csv", b"h1,h2,h3\n" + body)
+    write(f"{scratch}/good.csv", b'h1,h2,h3\n1,"a\nb",c\n')
+    with pytest.raises(SourceError, match="hide rows") as e:
+        read_report_csv(spark, scratch, NAMES)
+    assert [os.path.basename(r.path) for r in e.value.files.collect()] == ["bad.csv"]
+
+
 def test_utf16_with_line_breaks_inside_quotes_is_an_error(spark, scratch):
     write(f"{scratch}/u.csv", 'h1,h2,h3\n1,"a\nb",c\n'.encode("utf-16"))
     with pytest.raises(SourceError, match="UTF-16") as e:

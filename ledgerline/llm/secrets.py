@@ -37,9 +37,11 @@ CANDIDATE = "[A-Za-z0-9+/_=-]{20,}"
 HEX_CLASS, HEX_BITS = "[0-9a-fA-F]+", 3.0
 TOKEN_BITS = 3.8
 # Whole candidates that are no secrets: words, also joined; capitals; numbers; UUIDs; ruled lines.
+# Repeated groups are possessive: Java's regex engine recurses once per repetition of any other, and overflows the stack.
+PLAIN = "(?:[a-z]++|[A-Z][a-z]++|[A-Z]++|[0-9]{1,4}+)"
 ALLOWED = "|".join([
-    "[+/_=-]*[A-Za-z]?[a-z]+(?:[+/_=-]+[A-Za-z]?[a-z]+)*[+/_=-]*", "[A-Z+/_=-]+", "[0-9+/_=-]+",
-    "[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}", "(?:[+/_=-]*(?:[a-z]+|[A-Z]+|[A-Z][a-z]+|[0-9]{1,4}))(?:[+/_=-]+(?:[a-z]+|[A-Z]+|[A-Z][a-z]+|[0-9]{1,4}))*[+/_=-]*"])
+    "[+/_=-]*+[A-Za-z]?[a-z]++(?:[+/_=-]++[A-Za-z]?[a-z]++)*+[+/_=-]*+", "[A-Z+/_=-]+", "[0-9+/_=-]+",
+    "[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}", f"[+/_=-]*+{PLAIN}(?:[+/_=-]++{PLAIN})*+[+/_=-]*+"])
 KINDS = ("assign", "access", "hex", "entropy_hex", "entropy_token")
 MARK = "[SECRET]"
 

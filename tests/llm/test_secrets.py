@@ -60,6 +60,13 @@ def test_spans_match_brute_force(spark):
     assert sum("entropy" in x[4] for x in got.values()) > 20
 
 
+def test_long_hyphenated_candidates_do_not_overflow(spark):
+    texts = ["ab-" * 100_000, "Ab-12_" * 50_000, "path/" * 60_000, "ab-" * 100_000 + "aB", "x token=hunter22 " + "a-" * 150_000]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r.doc_id: r.spans for r in S.digest(S.scan(df)).collect()}
+    assert got == {0: "", 1: "", 2: "", 3: "", 4: "assign:2:16"}
+
+
 def test_edge_rows(spark):
     docs = edge_docs(spark, clash=["found", "spans"])
     got = S.digest(S.scan(docs))

@@ -4,15 +4,18 @@ A page is cut into blocks at block-level tags.  Scripts, styles, comments and
 other unseen parts never become text.  The first pass decides each block:
 
 - parts of menus, site headers, footers, sidebars, forms, notices, adverts and
-  reader comments (by element, role, class or id) are rejected;
+  reader comments (by element, role, or whole names of class or id) are rejected;
 - blocks that are mostly link text are rejected;
-- where the page marks its article, blocks inside it are accepted and blocks
-  outside rejected; else long blocks rich in stop words are accepted, long ones
-  without them rejected;
-- short blocks, and middling ones, stay undecided.
+- long blocks rich in stop words are accepted; on pages in a language without
+  listed stop words, long blocks are accepted by their length;
+- an article (else main) element that holds most of the unmarked text is a
+  further sign: blocks inside it are accepted, short and middling ones outside
+  rejected;
+- other blocks stay undecided.
 
 The second pass lets undecided blocks inherit the label of their nearest
-decided neighbours.  Accepted blocks are joined in page order.
+decided neighbours; longer ones ask unmarked neighbours only.  Accepted blocks
+are joined in page order.
 
 Defined cases: null or empty html gives an empty text; markup without a close
 runs to the end of the page; pages of any length are read whole; repeated rows
@@ -50,6 +53,10 @@ SOFT = {"nav", "menu", "form", "button", "select", "option", "optgroup", "search
         "topbar", "toolbar", "masthead", "breadcrumb", "breadcrumbs", "pagination", "pager", "notice", "notices", "popup",
         "modal", "overlay", "newsletter", "subscribe", "subscription", "signup", "login", "share", "sharing", "social",
         "gdpr", "widget", "skip", "copyright", "legal", "disclaimer"}
+# Words that say where a marked part is or what holds it, not what it is.
+PLACE = {"site", "page", "global", "top", "bottom", "left", "right", "primary", "secondary", "main", "box", "container", "wrapper",
+         "wrap", "list", "section", "block", "area", "inner", "outer", "bar", "links", "link", "item", "items", "menu", "posts",
+         "articles", "stories", "buttons", "icons", "text", "slot", "unit", "col", "column", "row", "form", "media", "user", "reader", "google"}
 # Function words of English, German, French and Spanish.
 STOP_WORDS = frozenset("""
 a an and are as at be been but by for from had has have he her his if in into is it its not of on or she so than that the
@@ -64,7 +71,7 @@ sobre son su sus también un una uno y ya
 
 SHORT = 70          # characters under which a block is not decided by its words
 LONG = 200          # characters from which a block rich in stop words is accepted
-STOP_LOW, STOP_HIGH = 0.15, 0.25
+STOP_LOW, STOP_HIGH = 0.15, 0.25  # shares of stop words: of a page in a listed language, of an accepted block
 LINKS_HIGH = 0.5
 
 CUE_WORDS = re.compile("[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
@@ -72,6 +79,7 @@ ATTRIBUTE = re.compile(r"""([^\s=/"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>
 TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*"|'[^']*')*+)>""")
 WORD = re.compile(r"[^\W\d_]+")
 NONE, MILD, HARD = 0, 1, 2
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 
 
 def boilerplate(name: str, attributes: str) -> int:
@@ -86,10 +94,14 @@ def boilerplate(name: str, attributes: str) -> int:
             if key == "role":
                 cues.add(value.lower())
             elif key in ("class", "id"):
-                cues.update(w.lower() for w in CUE_WORDS.findall(value))
-    if name in ("html", "body", "main"):
+                for token in value.split():
+                    words = {w.lower() for w in CUE_WORDS.findall(token) if len(w) > 1}
+                    cues.add("".join(re.findall("[a-z]+", token.lower())))
+                    if all(w in FIRM or w in SOFT or w in PLACE or w.startswith(FIRM_START) for w in words):
+                        cues |= words - PLACE | words & SOFT
+    if name in ("html", "body", "main") or name in HEADINGS:
         return NONE
-    if cues & FIRM or any(c.startswith(FIRM_START) for c in cues):
+    if cues & FIRM or any(c.startswith(FIRM_START) and c != "commentary" for c in cues):
         return HARD
     return MILD if name != "article" and cues & SOFT else NONE
 
@@ -200,25 +212,27 @@ def blocks(html: str) -> list[Block]:
     return out
 
 
+def stop_share(texts: list[str]) -> float:
+    words = [w for t in texts for w in WORD.findall(t.lower())]
+    return sum(w in STOP_WORDS for w in words) / max(len(words), 1)
+
+
 def first_pass(found: list[Block]) -> None:
-    """Decide blocks by marks, links, the article's bounds, length and stop words; None: undecided."""
-    usable = [b for b in found if not b.marked]
-    where = "in_article" if any(b.in_article for b in usable) else "in_main" if any(b.in_main for b in usable) else None
+    """Decide blocks by marks, links, length, stop words and the article's bounds; None: undecided."""
+    usable = [b for b in found if not b.marked and b.in_link <= LINKS_HIGH * len(b.text)]
+    total = sum(len(b.text) for b in usable)
+    where = next((w for w in ("in_article", "in_main") if 2 * sum(len(b.text) for b in usable if getattr(b, w)) > total), None)
+    listed = stop_share([b.text for b in usable if len(b.text) >= SHORT]) >= STOP_LOW
     for b in found:
         n = len(b.text)
-        if b.marked or where and not getattr(b, where) or b.in_link > LINKS_HIGH * n:
+        if b.marked or b.in_link > LINKS_HIGH * n:
             b.label = False
+        elif n >= LONG and (not listed or stop_share([b.text]) >= STOP_HIGH):
+            b.label = True
         elif where:
-            b.label = True if n >= SHORT or not b.in_link else None
+            b.label = False if not getattr(b, where) else True if n >= SHORT or not b.in_link else None
         elif n < SHORT:
             b.label = False if b.in_link else None
-        else:
-            words = WORD.findall(b.text.lower())
-            stops = sum(w in STOP_WORDS for w in words) / max(len(words), 1)
-            if stops >= STOP_HIGH:
-                b.label = True if n >= LONG else None
-            elif stops < STOP_LOW:
-                b.label = False
     # A page without one long block is judged by what is left of it.
     if not where and not any(b.label for b in found):
         for b in found:
@@ -227,19 +241,27 @@ def first_pass(found: list[Block]) -> None:
 
 def second_pass(found: list[Block]) -> None:
     """Undecided blocks take the label of their nearest decided neighbours; where the two differ, the nearer
-    one's, and at equal distance they are accepted."""
+    one's, and at equal distance they are accepted.  For blocks that are not short, marked parts of the page
+    and link lists are no neighbours."""
     n = len(found)
-    before, after, last = [None] * n, [None] * n, None
-    for i, b in enumerate(found):
-        last = (i, b.label) if b.label is not None else last
-        before[i] = last
-    last = None
-    for i in range(n - 1, -1, -1):
-        last = (i, found[i].label) if found[i].label is not None else last
-        after[i] = last
+
+    def nearest(order, counts):
+        last, out = None, [None] * n
+        for i in order:
+            last = (i, found[i].label) if counts(found[i]) else last
+            out[i] = last
+        return out
+
+    def decided(b):
+        return b.label is not None
+
+    def unmarked(b):
+        return b.label is not None and not b.marked and not b.in_link
+
+    sides_of = {f: (nearest(range(n), f), nearest(range(n - 1, -1, -1), f)) for f in (decided, unmarked)}
     for i, b in enumerate(found):
         if b.label is None:
-            sides = [(abs(i - s[0]), not s[1]) for s in (before[i], after[i]) if s]
+            sides = [(abs(i - s[0]), not s[1]) for s in (x[i] for x in sides_of[decided if len(b.text) < SHORT else unmarked]) if s]
             b.label = not min(sides)[1] if sides else True
 
 

@@ -19,6 +19,31 @@ def test_article_keeps_short_blocks_and_drops_boilerplate():
     assert H.main_text(html) == "Title x <b> y z & One twothree"
 
 
+def test_article_decides_only_if_it_holds_most_of_the_text():
+    main = f"<div><p>{PROSE * 3}</p><p>{PROSE * 4}</p></div>"
+    got = H.main_text(f"<body>{main}<article><p>Teaser of the day</p></article><footer>{PROSE}</footer>")
+    assert (PROSE * 3).strip() in got and (PROSE * 4).strip() in got
+    got = H.main_text(f"<body><article><p>{PROSE * 9}</p><p>End.</p></article><p>Shop now</p><div><p>{PROSE * 3}</p></div>")
+    assert got == " ".join([(PROSE * 9).strip(), "End.", (PROSE * 3).strip()])
+
+
+def test_long_blocks_without_listed_stop_words_are_kept():
+    russian = "\u0411\u044b\u0441\u0442\u0440\u0430\u044f \u043b\u0438\u0441\u0430 \u0431\u0435\u0436\u0438\u0442 \u0447\u0435\u0440\u0435\u0437 \u043b\u0435\u0441. " * 9
+    page = f"<body><nav><a href=x>a</a></nav><p>{russian}</p><blockquote>{PROSE * 2}</blockquote><p>{russian}</p><p>{russian}</p><footer>x</footer>"
+    assert H.main_text(page).count(russian.strip()) == 3
+    chinese = "\u5feb\u901f\u7684\u72d0\u72f8\u8df3\u8fc7\u61d2\u72d7\u3002" * 9
+    assert H.main_text(f"<div><p>{chinese}</p><p>{chinese}</p></div>") == f"{chinese} {chinese}"
+    code = "result = compute(alpha, beta); print(result); value += result ** 2; " * 3
+    page = f"<body><p>{PROSE * 4}</p><p>{PROSE * 4}</p><pre>{code}</pre><pre>{code}</pre><footer>x</footer><footer>y</footer>"
+    assert H.main_text(page).count(code.strip()) == 2
+
+
+def test_cues_are_whole_names_and_not_heading_ids():
+    page = (f"<div class='content-with-sidebar'><h2 id=related-work>Related work</h2><p>{PROSE * 3}</p>"
+            f"<div class='left-sidebar'>{PROSE * 3}</div><div class='site-footer x'>{PROSE * 3}</div><div id=commentList>{PROSE * 3}</div></div>")
+    assert H.main_text(page) == "Related work " + (PROSE * 3).strip()
+
+
 def test_broken_markup():
     assert H.main_text('<p>abc <a href="x>foo</a> <b') == "abc foo"
     assert H.main_text("plain text & more < 3") == "plain text & more < 3"

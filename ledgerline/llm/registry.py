@@ -128,7 +128,7 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op8_licenses")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence notices and texts found in every document."""
-    return licenses.summary(licenses.scan(table(spark, sf_dir, "documents")))
+    return licenses.summary(licenses.scan(table(spark, sf_dir, "documents"), windows=True))
 
 
 OP5_SQL = r"""

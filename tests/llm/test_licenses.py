@@ -44,6 +44,28 @@ def test_anchors_lose_no_match():
         assert len(untouched) < len(t.bigrams) * L.LEAST / (2 - L.LEAST)
 
 
+def test_windows_find_licences_inside_longer_documents(spark):
+    other = " ".join(f"other{i} words{i % 7} of the{i % 5} text" for i in range(300))
+    def parts(text):
+        return re.sub(r"(?<=[.:]) (?=[A-Z0-9])", "\n\n", " ".join(text.split()))
+    want, texts = [], []
+    for name, text in L.TEXTS.items():
+        want.append(name)
+        texts.append(f"{other}\n\n{parts(text)}\n\n{other}")
+    want += ["MIT", "GPL-2.0", "LGPL-3.0", "Apache-2.0", "GPL-3.0,MIT", "", "MIT"]
+    texts += ["Copyright 2020 The Authors. Licensed under the MIT License.", f"{other} This project is licensed under the GNU General Public License, "
+              f"version 2. {other}", "(c) x y z. This project is licensed under the GNU Lesser General Public License, version 3, as is.",
+              "// a line of code  SPDX-License-Identifier: Apache-2.0 */", f"{other}\n# SPDX-License-Identifier: (MIT OR GPL-3.0-or-later)\n",
+              other, L.TEXTS["MIT"]]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r.doc_id: (r.n_matches, r.licenses) for r in L.summary(L.scan(df, windows=True)).collect()}
+    assert [got[i][1] for i in range(len(texts))] == want
+    assert got[len(texts) - 1][0] == 1
+    docs = edge_docs(spark, clash=["found"])
+    got = L.summary(L.scan(docs, windows=True))
+    assert got.count() == docs.count() and got.where("n_matches > 0").count() == 0
+
+
 def test_edge_rows_and_empty_table(spark):
     docs = edge_docs(spark, clash=["found", "licenses"])
     got = L.summary(L.scan(docs))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import bpe, dac, decontaminate, html_text, licenses, ngram_join, quality, repeats, secrets, warc
+from ledgerline.llm import bpe, dac, decontaminate, exact_dedup, html_text, licenses, ngram_join, quality, repeats, secrets, warc
 from ledgerline.llm.common import prepare, table, word_bpe
 from ledgerline.session import scratch_path
 
@@ -166,3 +166,16 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the 400-byte strings that occur elsewhere."""
     out = repeats.dedup(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP11_SQL = """
+with t as (select doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t from documents),
+g as (select t, max(doc_id) as keep_id, count(*) as group_size from t group by t)
+select doc_id, keep_id, group_size, doc_id = keep_id as kept, sha256(t) as text_sha256 from t join g using (t)
+"""
+
+
+@register("op11_exact_dedup", OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the one that stays of its exact copies."""
+    return exact_dedup.dedup(table(spark, sf_dir, "documents"))

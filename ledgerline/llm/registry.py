@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import bpe, dac, decontaminate, exact_dedup, html_text, licenses, ngram_join, quality, repeats, secrets, warc
+from ledgerline.llm import bpe, dac, decontaminate, exact_dedup, html_text, licenses, max_sketch, ngram_join, quality, repeats, secrets, warc
 from ledgerline.llm.common import prepare, table, word_bpe
 from ledgerline.session import scratch_path
 
@@ -179,3 +179,30 @@ select doc_id, keep_id, group_size, doc_id = keep_id as kept, sha256(t) as text_
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the one that stays of its exact copies."""
     return exact_dedup.dedup(table(spark, sf_dir, "documents"))
+
+
+OP12_SQL = r"""
+with words as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                 '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as ws from documents),
+d as (select row_number() over () as row, doc_id, ws, cast(len(ws) as bigint) as n from words where len(ws) > 0),
+total as (select count(*) as big_n, cast(sum(n) as bigint) as l from d),
+items as (select item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term from benchmark),
+wanted as (select item_id, term, count(*) as times from items group by all),
+tf as (select row, doc_id, n, term, count(*) as tf from (select row, doc_id, n, unnest(ws) as term from d)
+       where term in (select term from wanted) group by all),
+w as (select term, cast(floor(1000 * ln((2 * big_n + 2) / (2 * count(*) + 1))) as bigint) as w from tf, total group by term, big_n),
+part as (select row, doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * big_n) // l))) as part
+         from tf join w using (term), total),
+score as (select item_id, row, doc_id, cast(sum(times * part) as bigint) as score from wanted join part using (term) group by all),
+ranked as (select item_id, row_number() over (partition by item_id order by score desc, doc_id) as rank, doc_id, score
+           from score where score > 0)
+select item_id, cast(rank as integer) as rank, doc_id, score from ranked where rank <= 10
+"""
+
+
+@register("op12_max_sketch_search", OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents for every benchmark item."""
+    index = max_sketch.build_index(table(spark, sf_dir, "documents"))
+    return max_sketch.search(index, table(spark, sf_dir, "benchmark"))

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import bpe, dac, decontaminate, exact_dedup, html_text, licenses, max_sketch, ngram_join, quality, repeats, secrets, warc
+from ledgerline.llm import bpe, dac, decontaminate, exact_dedup, html_text, licenses, max_sketch, ngram_join, \
+    periodic_runs, quality, repeats, secrets, warc
 from ledgerline.llm.common import prepare, table, word_bpe
 from ledgerline.session import scratch_path
 
@@ -206,3 +207,9 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten best documents for every benchmark item."""
     index = max_sketch.build_index(table(spark, sf_dir, "documents"))
     return max_sketch.search(index, table(spark, sf_dir, "benchmark"))
+
+
+@register("op13_periodic_runs")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words of every document, and the text without their repeats."""
+    return periodic_runs.digest(periodic_runs.find_runs(periodic_runs.with_periods(table(spark, sf_dir, "documents"))))

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as _dt
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -679,6 +680,71 @@ def q_append_guard(spark, sf):
     return spark.createDataFrame(out, "step int, status string, n_rows bigint, last_load date")
 
 
+class _Stops(ParquetTarget):
+    """A target whose writer dies after its files are in place and before the version is."""
+
+    def _publish(self, spark, snapshot):
+        raise ConnectionError("the driver stops here")
+
+
+class _Overtaken(ParquetTarget):
+    """A target on which another writer publishes a load after this one was let through and before its version is there."""
+
+    def _publish(self, spark, snapshot):
+        rival, last = ParquetTarget(self.path), snapshot.loads[-1]
+        if snapshot.version == 1:
+            rival._publish(spark, snapshot.__class__(snapshot.version, (*snapshot.loads[:-1], _copy_of(spark, self.path, last))))
+        super()._publish(spark, snapshot)
+
+
+def _copy_of(spark, home, load):
+    """The rival's load: the same rows in files of its own."""
+    folder = f"{load.folder}-rival"
+    spark.read.parquet(f"{home}/{load.folder}").write.parquet(f"{home}/{folder}")
+    return replace(load, folder=folder)
+
+
+@register("publish_atomic", f"""
+WITH {SD_BASE}, {SD_LOADED}, n AS (SELECT CAST(count(*) AS BIGINT) AS n FROM loaded)
+SELECT 1 AS step, 'loaded' AS status, n AS n_rows, 1 AS version, n AS n_first FROM n
+UNION ALL SELECT 2, 'stopped', n, 1, n FROM n
+UNION ALL SELECT 3, 'loaded', 2 * n, 2, n FROM n
+""")
+def q_publish_atomic(spark, sf):
+    """A load, one that stops when its files are in the folder, and its repeat: what readers see after each."""
+    home = scratch_path(spark, "target")
+    parsed = sd_text_parsed(rv.sd_raw(spark, sf), CTX)
+    out = []
+    for step, kind in enumerate((ParquetTarget, _Stops, ParquetTarget), 1):
+        try:
+            status = publish(spark, parsed, SD_SPEC, CTX, kind(home), guard="append").audit["status"]
+        except ConnectionError:
+            status = "stopped"
+        target = ParquetTarget(home)
+        out.append((step, status, target.read(spark).count(), target.snapshot(spark).version, target.read(spark, 1).count()))
+    return spark.createDataFrame(out, "step int, status string, n_rows bigint, version int, n_first bigint")
+
+
+@register("guard_concurrent", f"""
+WITH {SD_BASE}, {SD_LOADED}, n AS (SELECT CAST(count(*) AS BIGINT) AS n FROM loaded)
+SELECT 'fail' AS guard, 'refused' AS status, n AS n_rows, 1 AS loads FROM n
+UNION ALL SELECT 'skip', 'skipped', n, 1 FROM n
+UNION ALL SELECT 'append', 'loaded', 2 * n, 2 FROM n
+""")
+def q_guard_concurrent(spark, sf):
+    """Two loads of one day that both pass the first check: one is in the table, the other as its guard says."""
+    parsed = sd_text_parsed(rv.sd_raw(spark, sf), CTX)
+    out = []
+    for guard in ("fail", "skip", "append"):
+        target = _Overtaken(scratch_path(spark, "target"))
+        try:
+            status = publish(spark, parsed, SD_SPEC, CTX, target, guard=guard).audit["status"]
+        except AlreadyLoaded:
+            status = "refused"
+        out.append((guard, status, target.read(spark).count(), len(target.snapshot(spark).loads)))
+    return spark.createDataFrame(out, "guard string, status string, n_rows bigint, loads int")
+
+
 @register("load_status", f"""
 WITH {SD_BASE}, {SD_LOADED}
 SELECT 'SD' AS report, 'loaded' AS status, CAST(count(*) AS BIGINT) AS n_out FROM loaded

@@ -12,8 +12,10 @@
    the observed part of the plan was replaced at run time (adaptive execution
    does so over an empty stage), or a re-run task was counted twice, they are
    computed from the rows instead.
-4. The guard is checked again and the target takes over the staged table.  No
-   staged table is left behind, whatever the outcome.
+4. The target takes over the staged table: it asks the guard again, with the
+   version that the new one will follow, and publishes the load as a whole.  Of
+   two runs that both passed the first check, one loads and the other is refused
+   or skipped.  No staged table is left behind, whatever the outcome.
 
 Only the one-row audit (and per-file facts) reach the driver.
 """
@@ -31,7 +33,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from ledgerline.operators.cutoff import newest, post_dedupe_metrics, pre_cutoff_metrics
 from ledgerline.plans.reports import LoadContext, finish
 from ledgerline.session import scratch_path
-from ledgerline.sinks.targets import remove
+from ledgerline.sinks.targets import LoadFacts, remove
 from ledgerline.spec import ReportSpec
 
 AUDIT_DDL = ("report string, n_in bigint, n_out bigint, excluded bigint, null_date_rows bigint, "
@@ -102,13 +104,10 @@ def checked_metrics(parsed: DataFrame, written: DataFrame, spec: ReportSpec, ctx
 GUARDS = ("fail", "skip", "append")
 
 
-def _already_loaded(spark: SparkSession, target, spec: ReportSpec, today: _dt.date, guard: str) -> bool:
-    last = target.last_load_date(spark)
-    if last < today or guard == "append":
-        return False
+def _refused(spec: ReportSpec, last: _dt.date, guard: str) -> None:
+    """A load of the run date is there: an error under ``fail``."""
     if guard == "fail":
         raise AlreadyLoaded(f"report {spec.name} was already loaded on {last:%d-%m-%Y}")
-    return True
 
 
 def publish(spark: SparkSession, parsed: DataFrame, spec: ReportSpec, ctx: LoadContext, target,
@@ -120,7 +119,14 @@ def publish(spark: SparkSession, parsed: DataFrame, spec: ReportSpec, ctx: LoadC
     today = run_date or ctx.load_ts.date()
     audit = {"report": spec.name, "n_in": None, "n_out": None, "excluded": None, "null_date_rows": None,
              "first_date": None, "last_date": None, "read_mode": read_mode, "status": "skipped", "elapsed_s": 0}
-    if _already_loaded(spark, target, spec, today, guard):
+    seen = []
+
+    def allowed(last: _dt.date) -> bool:
+        seen.append(last)
+        return last < today or guard == "append"
+
+    if not allowed(target.last_load_date(spark)):
+        _refused(spec, seen[-1], guard)
         return LoadResult(audit, target, ctx.load_ts)
     obs_in = Observation(f"{spec.name.lower()}_in")
     obs_out = Observation(f"{spec.name.lower()}_out")
@@ -133,9 +139,11 @@ def publish(spark: SparkSession, parsed: DataFrame, spec: ReportSpec, ctx: LoadC
         audit |= checked_metrics(parsed, written, spec, ctx, _observed(obs_in), _observed(obs_out))
         if audit["n_out"] == 0 and on_empty == "fail":
             raise LoadError(f"report {spec.name}: no rows on or before the cut-off {ctx.cutoff:%d-%m-%Y}")
-        if not _already_loaded(spark, target, spec, today, guard):
-            target.take_over(spark, staged_path)
+        facts = LoadFacts(ctx.load_ts, audit["n_out"], audit["first_date"], audit["last_date"])
+        if target.take_over(spark, staged_path, facts, allowed):
             audit["status"] = "loaded"
+        else:
+            _refused(spec, seen[-1], guard)
     finally:
         remove(spark, staged_path)
     audit["elapsed_s"] = int(time.time() - t0)

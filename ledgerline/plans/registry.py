@@ -435,19 +435,48 @@ def quoted(c):
     return F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))
 
 
-@register("csv_quoted_newline", """
+def spread_files(lines: DataFrame, folder: str, header: str, encoding: str = "UTF-8") -> str:
+    """A text file of whole ``line`` values per task, each with a header line first (after a byte-order mark in UTF-16)."""
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    mark = "\ufeff" if encoding.startswith("UTF-16") else ""
+    text = F.when(place == 0, F.concat(F.lit(f"{mark}{header}\n"), "line")).otherwise(F.col("line"))
+    value = F.encode(text, encoding).cast("string")  # bytes pass through the text writer as they are
+    lines.select(value.alias("value")).write.mode("append").option("encoding", encoding).option("lineSep", "\n").text(folder)
+    return folder
+
+
+def _text_files(spark, folder: str) -> list[str]:
+    return [r.path for r in spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(folder).select("path").collect()]
+
+
+QUOTED_NEWLINE_SQL = """
 SELECT CAST(doc_id AS VARCHAR) AS ID, replace(text, chr(13), ' ') AS TEXT, source AS SOURCE FROM documents
-""")
-def q_csv_quoted_newline(spark, sf):
-    """Files whose quoted cells hold line breaks and quotes, read back whole."""
+"""
+
+
+def _quoted_newline(spark, sf, encodings):
     d = rv.table(spark, sf, "documents")
     text = F.replace("text", F.lit("\r"), F.lit(" "))
     line = F.concat_ws(",", F.col("doc_id").cast("string"), quoted(text), "source")
-    folder = written_files(d.select(three("doc_id"), line.alias("line")), scratch_path(spark, "csv-newline"), "ID,TEXT,SOURCE")
-    cells, _ = read_report_csv(spark, folder, ["ID", "TEXT", "SOURCE"])
+    folder = scratch_path(spark, "csv-newline")
+    for k, encoding in enumerate(encodings):
+        spread_files(d.where(F.pmod("doc_id", F.lit(len(encodings))) == k).select(line.alias("line")), folder, "ID,TEXT,SOURCE", encoding)
+    cells, _ = read_report_csv(spark, _text_files(spark, folder), ["ID", "TEXT", "SOURCE"])
     return cells.select("ID", "TEXT", "SOURCE")
 
 
+@register("csv_quoted_newline", QUOTED_NEWLINE_SQL)
+def q_csv_quoted_newline(spark, sf):
+    """Files whose quoted cells hold line breaks and quotes, read back whole."""
+    return _quoted_newline(spark, sf, ["UTF-8"])
+
+
+@register("csv_quoted_newline_utf16", QUOTED_NEWLINE_SQL)
+def q_csv_quoted_newline_utf16(spark, sf):
+    """The same with files in UTF-16 of either byte order and in UTF-8."""
+    return _quoted_newline(spark, sf, ["UTF-16LE", "UTF-16BE", "UTF-8"])
+
+
 @register("csv_wrapped_header", """
 SELECT CAST(o_orderkey AS VARCHAR) AS K, o_orderstatus || ', ' || o_orderpriority AS TEXT, CAST(o_custkey AS VARCHAR) AS CUST,
        'repaired' AS read_mode

@@ -7,7 +7,7 @@
 * Cells are parsed with ``from_csv``: short rows are null-filled, extra cells
   dropped; an unquoted empty cell is null and a quoted empty cell is ''.
 * A cell may hold line breaks inside its quotes; files with such cells are
-  found by the profile pass and put together record by record.  Only a quote
+  found by the profile pass and cut into records block by block.  Only a quote
   at the start of a cell opens it; other quotes of an unquoted cell are text.
   Files whose last quote stays open, or with a record of several lines that is
   too wide or whose quotes do not pair, are errors: rows may be hidden in it.
@@ -20,11 +20,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.operators.columns import ColumnCountError
 from ledgerline.session import scratch_path
+from ledgerline.sources.csv_records import file_lines, joined, pieces
 from ledgerline.sources.files import SourceError, list_files, suffix_glob
 
 # Reader options.  The null sentinel makes an unquoted empty cell
@@ -221,45 +222,44 @@ def read_records(spark: SparkSession, src: str | Sequence[str], files: DataFrame
                  names: Sequence[str]) -> DataFrame:
     """Records of files whose quoted cells hold line breaks, header dropped.
 
-    ``files`` has the ``path`` and ``encoding`` of those files.  A record goes on
-    while a quoted cell is open.  Each line sets that state (to open or closed),
-    turns it over, or leaves it; the state streams over each such file in order,
-    and the lines of a record are then joined with the line feeds between them.
-    The records are written once; files with a record that may hide rows raise
-    with the files as a DataFrame.
+    ``files`` has the ``path`` and ``encoding`` of those files.  Blocks of a
+    file are cut in parallel (:mod:`ledgerline.sources.csv_records`).  The
+    records are written once; files with a record that may hide rows raise with
+    the files as a DataFrame.
     """
-    reader, where = _sources(spark, src, "text")
-    lines = reader.option("lineSep", "\n").load(where).select(
-        F.decode(F.col("value").cast("binary"), "ISO-8859-1").alias("line"),
-        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("source_file"),
-        F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("pos"))
-    lines = lines.join(files.select("path", "encoding"), "path") \
-        .withColumn("opens", opens_quote(F.col("line")).cast("int")).withColumn("stays", stays_open(F.col("line")).cast("int"))
-    in_file = Window.partitionBy("path").orderBy("block", "pos")
-    so_far = in_file.rowsBetween(Window.unboundedPreceding, 0)
-    turned = lines.withColumn("turns", F.sum(F.when(F.col("opens") > F.col("stays"), 1).otherwise(0)).over(so_far))
-    was_set = F.last(F.when(F.col("opens") == F.col("stays"), F.col("opens") - F.col("turns")), ignorenulls=True).over(so_far)
-    state = turned.withColumn("open", F.pmod(F.coalesce(was_set, F.lit(0)) + F.col("turns"), F.lit(2)))
-    first = state.withColumn("first", 1 - F.lag("open", 1, 0).over(in_file))
-    numbered = first.withColumn("record", F.sum("first").over(so_far))
-    joined = numbered.groupBy("path", "source_file", "encoding", "record").agg(
-        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("block", "pos", "line"))), lambda x: x["line"]), "\n").alias("line"),
-        F.count(F.lit(1)).alias("n_lines"), F.max(F.struct("block", "pos", "open"))["open"].alias("open"))
-    text = F.rtrim(F.col("line"), F.lit("\r"))
-    whole = repair_line(text)
-    extra = parse_cells(whole, [*(f"c{i}" for i in range(len(names))), "more"])["more"]
-    fault = F.when(F.col("open") == 1, F.lit("a quote is never closed")).when(F.col("n_lines") > 1, F.when(
-        ~whole.rlike(PAIRED), F.lit("quotes do not pair")).when(extra.isNotNull(), F.lit("too many cells")))
-    records = scratch_path(spark, "csv-records")
-    joined.select("path", "source_file", "record", fault.alias("fault"),
-                  decode_line(text, F.col("encoding") if encoding == "auto" else encoding).alias("line")).write.parquet(records)
-    done = spark.read.parquet(records)
-    bad = done.where("fault is not null").groupBy("path").agg(F.min("fault").alias("fault"))
-    worst = bad.agg(F.count(F.lit(1)).alias("files"), F.min(F.struct("path", "fault")).alias("w")).first()
+    kinds = [r.encoding for r in files.select("encoding").distinct().collect()] if encoding == "auto" else [encoding]
+    out, bad = None, None
+    for utf16 in [None, *(k for k in kinds if k.upper().startswith("UTF-16"))]:
+        own = files.where(F.col("encoding") == utf16 if utf16 and encoding == "auto" else ~F.col("encoding").startswith("UTF-16") if not utf16 else F.lit(True))
+        if not utf16 and all(k.upper().startswith("UTF-16") for k in kinds):
+            continue
+        reader, where = _sources(spark, src, "text")
+        # UTF-16 files are read by path, for their line feeds are other bytes
+        paths = [r.path for r in own.select("path").collect()] if utf16 else None
+        lines = file_lines(spark, paths, where, spark.read.format("text") if paths else reader, utf16)
+        lines = lines.join(F.broadcast(own.select("path", "encoding")), "path") if not utf16 else lines.withColumn("encoding", F.lit(utf16))
+        kind = own.select("path", F.col("encoding").alias("file_encoding"))
+        parts, unclosed = pieces(lines.drop("encoding"), opens_quote(F.col("line")), stays_open(F.col("line")))
+        records = joined(parts)
+        text = F.rtrim(F.col("text"), F.lit("\r"))
+        whole = repair_line(text)
+        extra = parse_cells(whole, [*(f"c{i}" for i in range(len(names))), "more"])["more"]
+        fault = F.when(~whole.rlike(PAIRED), F.lit("quotes do not pair")).when(extra.isNotNull(), F.lit("too many cells"))
+        faults = unclosed.withColumn("fault", F.lit("a quote is never closed")).unionByName(
+            records.where("n_lines > 1").select("path", fault.alias("fault")).where("fault is not null"))
+        bad = faults if bad is None else bad.unionByName(faults)
+        records = records.where(~F.col("first")).select("path", "source_file", text.alias("line"))
+        if not utf16:
+            charset = F.col("file_encoding") if encoding == "auto" else encoding
+            records = records.join(kind, "path").withColumn("line", decode_line(F.col("line"), charset))
+        records = records.select("line", "source_file")
+        out = records if out is None else out.unionByName(records)
+    found = bad.groupBy("path").agg(F.min("fault").alias("fault"))
+    worst = found.agg(F.count(F.lit(1)).alias("files"), F.min(F.struct("path", "fault")).alias("w")).first()
     if worst.files:
         raise SourceError(f"{worst.files} CSV files have cells over several lines that may hide rows, "
-                          f"such as {worst.w.path} ({worst.w.fault})", bad)
-    return done.where("record > 1").select("line", "source_file")
+                          f"such as {worst.w.path} ({worst.w.fault})", found)
+    return out
 
 
 def read_report_csv(spark: SparkSession, folder_or_paths: str | Sequence[str], names: Sequence[str],
@@ -300,9 +300,6 @@ def read_report_csv(spark: SparkSession, folder_or_paths: str | Sequence[str], n
         worst = bad.agg(F.min(F.struct("path", "header_cells")).alias("w")).first().w
         raise ColumnCountError(f"wrong number of columns: {worst.header_cells}; allowed: {n} ({worst.path}; {wide} files)", bad)
     utf16 = [r for r in summary if r.encoding.startswith("UTF-16")] if encoding == "auto" else []
-    if encoding.upper().startswith("UTF-16") and sum(r.open for r in summary) or any(r.open for r in utf16):
-        bad = prof.where("open > 0").select("path", "encoding")
-        raise SourceError("UTF-16 files with line breaks inside quoted cells are not supported", bad)
     facts = {"files": sum(r.files for r in summary),
              "read_mode": "repaired" if any(r.wrapped for r in summary) else "plain",
              "encodings": {r.encoding: r.files for r in summary} if encoding == "auto" else {encoding: sum(r.files for r in summary)}}

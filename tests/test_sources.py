@@ -126,11 +126,68 @@ def test_records_that_may_hide_rows_are_an_error(spark, scratch, body):
     assert [os.path.basename(r.path) for r in e.value.files.collect()] == ["bad.csv"]
 
 
-def test_utf16_with_line_breaks_inside_quotes_is_an_error(spark, scratch):
-    write(f"{scratch}/u.csv", 'h1,h2,h3\n1,"a\nb",c\n'.encode("utf-16"))
-    with pytest.raises(SourceError, match="UTF-16") as e:
-        read_report_csv(spark, scratch, NAMES)
-    assert e.value.files.count() == 1
+@pytest.fixture()
+def small_blocks(spark):
+    """Files are cut into blocks of 200 bytes."""
+    conf = {"spark.sql.files.maxPartitionBytes": "200", "spark.sql.files.openCostInBytes": "0"}
+    was = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in was.items():
+        spark.conf.set(k, v)
+
+
+def quoted_rows(rng, n):
+    """Rows with quotes, separators and line breaks in every place, and a long cell over many blocks."""
+    cell = lambda: "".join(rng.choice(['"', ",", "\n", "a", "b c", "\u00e9", "\n\n"]) for _ in range(rng.randrange(12)))
+    out = [(f"r{k}", cell(), rng.choice(["", "x", cell()])) for k in range(n)]
+    return [*out[:n // 2], ("long", 'li"ne, \n' * 150, "\n"), *out[n // 2:]]
+
+
+@pytest.mark.parametrize("encoding", ["utf-8", "latin-1", "utf-16-le", "utf-16-be"])
+def test_records_across_blocks_as_the_csv_module_writes_them(spark, scratch, small_blocks, encoding):
+    import csv
+    import io
+    import random
+
+    from ledgerline.sources.csv_records import file_lines
+    want, mark = [], "\ufeff" if "16" in encoding else ""
+    for k in range(2):
+        lines = quoted_rows(random.Random(k), 60)
+        text = io.StringIO(newline="")
+        writer = csv.writer(text, quoting=csv.QUOTE_ALL if k else csv.QUOTE_MINIMAL, lineterminator="\r\n" if k else "\n")
+        writer.writerows([("h1", "h2", "h3"), *lines])
+        write(f"{scratch}/f{k}.csv", (mark + text.getvalue()).encode(encoding))
+        want += [tuple(None if v == "" and not k else v for v in r) for r in lines]
+    df, facts = read_report_csv(spark, scratch, NAMES)
+    key = lambda t: tuple((v is not None, v or "") for v in t)
+    assert rows(df) == sorted(want, key=key) and facts["files"] == 2
+    blocks = file_lines(spark, [f"{scratch}/f0.csv"], None, spark.read.format("text"), None).select("block").distinct().count()
+    assert blocks >= 8
+
+
+def test_utf16_line_feeds_across_characters(spark, scratch):
+    """The bytes of a line feed that lie in two characters are no line break."""
+    for name, encoding, body in (("l", "utf-16-le", "1,\u0a05\u0100x,\"a\nb\"\n"), ("b", "utf-16-be", "2,\u4e00\u0a05,\"a\nb\"\n")):
+        write(f"{scratch}/{name}.csv", ("\ufeffh1,h2,h3\n" + body).encode(encoding))
+    df, _ = read_report_csv(spark, scratch, NAMES)
+    assert rows(df) == [("1", "\u0a05\u0100x", "a\nb"), ("2", "\u4e00\u0a05", "a\nb")]
+
+
+def test_no_window_or_shuffle_over_the_lines_of_a_file(spark, scratch):
+    from ledgerline.sources import csv_records
+    from ledgerline.sources.csv_text import opens_quote, stays_open
+    from pyspark.sql import functions as F
+    write(f"{scratch}/q.csv", b'h1,h2,h3\n1,"a\nb",c\n')
+    lines = csv_records.file_lines(spark, [f"{scratch}/q.csv"], None, spark.read.format("text"), None)
+    flagged = lines.withColumn("opens", opens_quote(F.col("line"))).withColumn("stays", stays_open(F.col("line")))
+    plan = csv_records.block_maps(flagged)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Window" not in plan and "Sort" not in plan
+    starts = csv_records.block_starts(csv_records.block_maps(flagged)).select("path", "block", "start")
+    placed = flagged.join(F.broadcast(starts), ["path", "block"]).select("path", "source_file", "block", "start", "opens", "stays", "line")
+    top = csv_records.cut_records(placed)._jdf.queryExecution().executedPlan().toString().split("BroadcastExchange")[0]
+    assert "Exchange" not in top.replace("BroadcastHashJoin", "") and "SortMergeJoin" not in top
 
 
 def test_wrapped_header_and_line_marks(spark, scratch):

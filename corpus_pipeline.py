@@ -3,7 +3,8 @@
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame, which is
 written and read again as the next stage's ``docs``.  All but the last return
 the columns of ``docs``.  A row without an id is kept or dropped like any other;
-near-duplicate removal keeps it unless it is linked to a row with an id.
+near-duplicate removal keeps it unless its group holds a row with an id, or
+another row without one that it keeps.
 """
 
 from __future__ import annotations
@@ -25,13 +26,19 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def keep_one_of_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of near-duplicates, the document with the smallest id; of repeated rows, one."""
+    """Of each group of near-duplicates, one row: that with the smallest id, or any if no row has one.
+
+    Rows are told apart by two hashes of id and text, so rows that repeat both are one row."""
     prepare(spark)
-    found = ngram_join.join_components(docs)
-    keep = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept_id")).distinct()
-    mark = fresh(docs.columns, "text_hash")
-    held = docs.join(keep, docs["doc_id"].eqNullSafe(keep["kept_id"]), "left_semi").withColumn(mark, F.xxhash64("text"))
-    return held.dropDuplicates(["doc_id", mark]).select(*[col(c) for c in docs.columns])
+    row = [F.xxhash64("doc_id", "text", F.lit(k)) for k in (1, 2)]
+    found = ngram_join.join_groups(docs, marks=tuple(row))
+    mine = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "mark_a", "mark_b")
+    of_groups = found.where("grp is not null").groupBy("grp").agg(F.min(mine).alias("m")).select("m.mark_a", "m.mark_b")
+    keep = of_groups.unionByName(found.where("grp is null").select("mark_a", "mark_b"))
+    a, b = fresh(docs.columns, "mark_a"), fresh(docs.columns, "mark_b")
+    marked = docs.withColumn(a, row[0]).withColumn(b, row[1])
+    held = marked.join(keep, (marked[a] == keep["mark_a"]) & (marked[b] == keep["mark_b"]), "left_semi")
+    return held.dropDuplicates([a, b]).select(*[col(c) for c in docs.columns])
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

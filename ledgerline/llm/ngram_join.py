@@ -41,7 +41,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -59,6 +59,9 @@ HOT_LIMIT = 1_000_000
 BLOCK_GRAMS = 1 << 18      # n-grams of the queries that a task of the last comparison holds
 PART_GRAMS = 1 << 20       # and of the classes that they meet there
 LOW_BITS = 48              # bits of an n-gram's hash that travel to its bucket
+BUCKET_GRAMS = 1 << 20     # n-grams of a bucket, on average; buckets are powers of two in number
+HITS = 1 << 21             # places where n-grams of two sides of a block agree that are expanded at once
+CELLS = 1 << 20            # pairs of a block whose overlaps are counted at once
 HOT_DF = np.uint32(2**32 - 1)
 
 
@@ -114,13 +117,14 @@ class Sets:
         return grams[first][n >= least], n[n >= least]
 
 
-PROFILE = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("n", T.LongType()),
+PROFILE = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("mark_a", T.LongType()),
+                        T.StructField("mark_b", T.LongType()), T.StructField("n", T.LongType()),
                         T.StructField("cls", T.LongType()), T.StructField("second", T.LongType()),
                         T.StructField("gram", T.LongType())])
 
 
 def profile(src: DataFrame, words: int) -> DataFrame:
-    """Rows of texts (doc_id, n, cls, second) and of frequent n-grams (gram, with the count in n)."""
+    """Rows of texts (doc_id, marks, n, cls, second) and of frequent n-grams (gram, with the count in n)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gathered = Sets()
 
@@ -128,7 +132,7 @@ def profile(src: DataFrame, words: int) -> DataFrame:
             grams, n = gathered.frequent()
             gathered.clear()
             none = pa.nulls(len(n), pa.int64())
-            return pa.RecordBatch.from_arrays([none, pa.array(n, pa.int64()), none, none, pa.array(grams.view(np.int64))], PROFILE.names)
+            return pa.RecordBatch.from_arrays([none, none, none, pa.array(n, pa.int64()), none, none, pa.array(grams.view(np.int64))], PROFILE.names)
 
         for batch in batches:
             for at, rows in slices(batch.column(1), 2 << 20):
@@ -140,13 +144,14 @@ def profile(src: DataFrame, words: int) -> DataFrame:
                         gathered.add(a, grams)
                 n, a, b = zip(*out)
                 yield pa.RecordBatch.from_arrays([
-                    batch.column(0).slice(at, len(rows)), pa.array(n, pa.int64()), pa.array(a, pa.int64()),
+                    *(batch.column(c).slice(at, len(rows)) for c in (0, 2, 3)), pa.array(n, pa.int64()), pa.array(a, pa.int64()),
                     pa.array(b, pa.int64()), pa.nulls(len(n), pa.int64())], PROFILE.names)
                 if gathered.size >= FLUSH:
                     yield hot()
         yield hot()
 
-    return src.mapInArrow(run, PROFILE)
+    marks = [F.col(c) if c in src.columns else F.lit(None).cast("bigint").alias(c) for c in ("mark_a", "mark_b")]
+    return src.select("doc_id", "text", *marks).mapInArrow(run, PROFILE)
 
 
 SEGMENT = T.StructType([T.StructField("bucket", T.IntegerType()), T.StructField("keys", T.BinaryType()),
@@ -171,7 +176,7 @@ def segments(src: DataFrame, words: int, hot: np.ndarray, buckets: int) -> DataF
             sizes = np.fromiter(map(len, gathered.parts), np.int64, len(gathered.parts))
             grams, owner = np.concatenate(gathered.parts), np.repeat(np.arange(len(keys)), sizes)
             gathered.clear()
-            bucket = ((grams >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+            bucket = leading(grams, buckets)
             if len(frequent):
                 at = np.minimum(np.searchsorted(frequent, grams), len(frequent) - 1)
                 is_hot = frequent[at] == grams
@@ -200,8 +205,19 @@ def segments(src: DataFrame, words: int, hot: np.ndarray, buckets: int) -> DataF
     return src.mapInArrow(run, SEGMENT)
 
 
+def leading(hashes: np.ndarray, buckets: int) -> np.ndarray:
+    """Bucket of each hash: its leading bits, of a power of two of buckets."""
+    bits = buckets.bit_length() - 1
+    return (hashes >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(hashes), np.int64)
+
+
 def class_bucket(keys: np.ndarray, buckets: int) -> np.ndarray:
-    return ((keys.view(np.uint64) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+    return leading(keys.view(np.uint64), buckets)
+
+
+def bucket_count(grams: int) -> int:
+    """Buckets for so many n-grams in all: a fixed number of them in each, however many there are."""
+    return 1 << min(30, max(0, (max(1, grams) - 1) // BUCKET_GRAMS).bit_length())
 
 
 SHARED = T.StructType([T.StructField("part", T.IntegerType()), T.StructField("keys", T.BinaryType()),
@@ -210,13 +226,17 @@ SHARED = T.StructType([T.StructField("part", T.IntegerType()), T.StructField("ke
 
 
 def unpack(segment: dict, bucket: int, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(class keys, set sizes, n-grams) of a segment, one entry per n-gram.  An n-gram's low bits and its bucket identify it."""
+    """(class keys, set sizes, n-grams) of a segment, one entry per n-gram.  An n-gram's low bits and its bucket identify it;
+    with 16 bits of buckets or more, that is the whole hash."""
     keys, sizes = np.frombuffer(segment["keys"], "<i8"), np.frombuffer(segment["sizes"], "<i4")
     low = np.frombuffer(segment["low"], "<u4").astype(np.uint64)
     high = np.frombuffer(segment["high"], "<u2" if bucket >= 0 else "<u4").astype(np.uint64)
     owner = np.frombuffer(segment["owner"], "<u4" if len(keys) > 65536 else "<u2")
-    own_bucket = np.uint64(bucket) if bucket >= 0 else high * np.uint64(buckets) >> np.uint64(32)
-    grams = own_bucket << np.uint64(LOW_BITS) | (high & np.uint64(0xFFFF)) << np.uint64(32) | low
+    bits = buckets.bit_length() - 1
+    own_bucket = np.uint64(bucket) if bucket >= 0 else (high << np.uint64(32)) >> np.uint64(64 - bits) if bits else np.uint64(0)
+    low_bits = min(LOW_BITS, 64 - bits)
+    low = ((high & np.uint64(0xFFFF)) << np.uint64(32) | low) & np.uint64(2**low_bits - 1)
+    grams = own_bucket << np.uint64(low_bits) | low
     return keys[owner], sizes[owner], grams
 
 
@@ -286,7 +306,8 @@ def fragment_of(grams: np.ndarray) -> np.ndarray:
 def by_rows(fn, schema: T.StructType, limit: int = 1 << 22):
     """A grouped Arrow function from one over row dictionaries that yields tuples; a group is one bucket."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = [r for b in batches for r in b.to_pylist()]
+        rows = [{c: x.as_buffer() if pa.types.is_binary(x.type) else x.as_py() for c, x in zip(b.schema.names, values)}
+                for b in batches for values in zip(*b.columns)]
         out, size = [], 0
         for row in fn(rows):
             out.append(row)
@@ -379,13 +400,13 @@ def compared_block(rows: dict[str, list], least: int) -> tuple[np.ndarray, np.nd
         order = np.argsort(grams)
         index[f] = grams[order], owner[order]
     y_keys = np.unique(cls[y_at])
-    step = max(1, (1 << 22) // (len(x_keys) * 64 + 1))
+    step = max(1, CELLS // len(x_keys))
     by_class = y_at[np.argsort(cls[y_at], kind="stable")]
     bounds = np.searchsorted(cls[by_class], y_keys[::step])
     for lo, hi in zip(bounds.tolist(), [*bounds[1:].tolist(), len(by_class)]):
         at = by_class[lo:hi]
         keys, comps, n, owner = gathered(at)
-        overlap = np.zeros(len(x_keys) * len(keys), np.int64)
+        overlap = np.zeros(len(x_keys) * len(keys), np.int32)
         for f, (grams, of) in index.items():
             own = np.flatnonzero(fragment[at] == f)
             if not len(own):
@@ -394,9 +415,19 @@ def compared_block(rows: dict[str, list], least: int) -> tuple[np.ndarray, np.nd
             o = np.repeat(owner[own], [len(rows["grams"][at[i]]) for i in own])
             left = np.searchsorted(grams, g)
             hits = np.searchsorted(grams, g, side="right") - left
-            pos = np.repeat(left - np.cumsum(hits) + hits, hits) + np.arange(hits.sum())
-            overlap += np.bincount(of[pos] * len(keys) + np.repeat(o, hits), minlength=len(overlap))
-        overlap = overlap.reshape(len(x_keys), len(keys))
+            met = np.flatnonzero(hits)  # an n-gram meets at most the queries of the block
+            left, hits, o = left[met], hits[met], o[met]
+            total = np.cumsum(hits)
+            cuts = np.searchsorted(total, np.arange(HITS, int(total[-1]) if len(total) else 0, HITS)).tolist()
+            for a, b in zip([0, *cuts], [*cuts, len(hits)]):
+                if a == b:
+                    continue
+                h = hits[a:b]
+                pos = np.repeat(left[a:b] - np.cumsum(h) + h, h) + np.arange(h.sum())
+                cell = of[pos] * len(keys) + np.repeat(o[a:b], h)
+                cell, times = np.unique(cell, return_counts=True)
+                overlap[cell] += times.astype(np.int32)
+        overlap = overlap.reshape(len(x_keys), len(keys)).astype(np.int64)
         ok = (100 * overlap >= least * (x_n[:, None] + n[None, :] - overlap)) & (x_comp[:, None] != comps[None, :])
         i, j = np.nonzero(ok)
         found.append(np.unique(np.stack([x_comp[i], comps[j]]), axis=1))
@@ -464,8 +495,18 @@ def similar_components(classes: DataFrame, least: int) -> DataFrame | None:
 def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = SHINGLE,
                     least: int = LEAST) -> DataFrame:
     """``id_col``, ``n_shingles`` and ``component_id``, the smallest id reachable by links, for every text."""
+    return join_groups(docs, id_col, text_col, words, least).select(F.col("doc_id").alias(id_col), "n_shingles", "component_id")
+
+
+def join_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = SHINGLE,
+                least: int = LEAST, marks: tuple[Column, Column] | None = None) -> DataFrame:
+    """The same (as ``doc_id``), with two ``marks`` of the row and the ``grp`` that it belongs to, of linked texts: null
+    without words.  A group of rows without ids has no ``component_id``, but is a group like any other."""
+    none = F.lit(None).cast("bigint")
+    mark_a, mark_b = marks or (none, none)
+    src = docs.select(col(id_col).cast("bigint").alias("doc_id"), col(text_col).cast("string").alias("text"),
+                      mark_a.alias("mark_a"), mark_b.alias("mark_b"))
     spark = docs.sparkSession
-    src = docs.select(col(id_col).cast("bigint").alias("doc_id"), col(text_col).cast("string").alias("text"))
     prof, prof_path = staged(profile(src, words), "shingle-profile")
     texts = prof.where("gram is null")
     classes = texts.where("n > 0").groupBy("cls").agg(
@@ -479,18 +520,19 @@ def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     enough = max(64, HOT_SHARE * total[0] / 2, total[1] / HOT_LIMIT)
     hot = prof.where("gram is not null").groupBy("gram").agg(F.sum("n").alias("n")).where(F.col("n") >= enough).select("gram")
     hot = np.array([r.gram for r in hot.collect()], np.int64).view(np.uint64)
-    buckets = min(int(spark.conf.get("spark.sql.shuffle.partitions")), 1 << 15)
+    buckets = bucket_count(total[1])
     counted = segments(src, words, hot, buckets).groupBy("bucket").applyInArrow(
         by_rows(lambda rows: count_bucket(rows, buckets), SHARED), SHARED)
     held, held_path = staged(counted.groupBy("part").applyInArrow(
         by_rows(lambda rows: class_rows(rows, least), CLASSES), CLASSES), "shingle-classes")
     comp = similar_components(held, least)
     unstage(spark, held_path)
-    named = classes.select("cls", "rep")
+    named = classes.select("cls", "rep", F.col("cls").alias("grp"))
     if comp is not None:
-        linked = named.join(comp.withColumnRenamed("node", "cls"), "cls")
+        linked = classes.select("cls", "rep").join(comp.withColumnRenamed("node", "cls"), "cls")
         least_id = linked.groupBy("component").agg(F.min("rep").alias("least_id"))
-        moved = linked.join(least_id, "component").select("cls", "least_id")
-        named = named.join(moved, "cls", "left").select("cls", F.coalesce("least_id", "rep").alias("rep"))
+        moved = linked.join(least_id, "component").select("cls", "least_id", "component")
+        named = named.join(moved, "cls", "left") \
+            .select("cls", F.coalesce("least_id", "rep").alias("rep"), F.coalesce("component", "grp").alias("grp"))
     return texts.join(named, "cls", "left").select(
-        F.col("doc_id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("rep", "doc_id").alias("component_id"))
+        "doc_id", "mark_a", "mark_b", F.col("n").alias("n_shingles"), F.coalesce("rep", "doc_id").alias("component_id"), "grp")

@@ -76,6 +76,7 @@ def test_frequent_ngrams_and_many_blocks(spark, monkeypatch):
     assert sorted(map(tuple, J.join_components(df).collect()), key=str) == brute(rows)
     monkeypatch.setattr(J, "BLOCK_GRAMS", 300)
     monkeypatch.setattr(J, "PART_GRAMS", 500)
+    monkeypatch.setattr(J, "BUCKET_GRAMS", 200)
     assert sorted(map(tuple, J.join_components(df).collect()), key=str) == brute(rows)
 
 
@@ -107,3 +108,59 @@ def test_components_of_chains_and_stars(spark):
             break
     assert got == root
     assert components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
+def test_a_block_of_long_near_copies_stays_in_memory():
+    """131 queries of 2,000 n-grams against 500 classes: links are right, and few hits are expanded at once."""
+    import tracemalloc
+
+    rng = np.random.default_rng(3)
+    base = np.sort(rng.integers(0, 2**63, 2000).astype(np.uint64))
+    sets = []
+    for k in range(631):
+        own = base.copy()
+        own[rng.choice(2000, (k % 9) * 60, replace=False)] = rng.integers(0, 2**63, (k % 9) * 60)
+        sets.append(np.unique(own))
+    rows = {"query": [k < 131 for k in range(631)], "cls": list(range(631)), "comp": list(range(631)), "n": [len(x) for x in sets],
+            "fragment": [0] * 631, "grams": [x.view(np.int64) for x in sets]}
+    tracemalloc.start()
+    a, b = J.compared_block(rows, 75)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 200 << 20
+
+    def parts(links):
+        root = list(range(631))
+
+        def find(i):
+            while root[i] != i:
+                i = root[i]
+            return i
+
+        for i, j in links:
+            root[find(i)] = find(j)
+        return [find(i) for i in range(631)]
+
+    similar = []
+    for i in range(131):
+        for j in range(131, 631):
+            o = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+            if 100 * o >= 75 * (len(sets[i]) + len(sets[j]) - o):
+                similar.append((i, j))
+    want, got = parts(similar), parts(zip(a.tolist(), b.tolist()))
+    assert len(set(zip(want, got))) == len(set(want)) == len(set(got)) > 1
+    assert len(a) == 631 - len(set(want))  # no circles
+
+
+def test_bucket_bits_identify_ngrams():
+    grams = np.array([2**63 + 5, 2**63 + 5 + 2**40, 17, 2**64 - 1], np.uint64)
+    for bits in (0, 3, 15, 16, 24, 30):
+        buckets = 1 << bits
+        for bucket in np.unique(J.leading(grams, buckets)).tolist():
+            own = grams[J.leading(grams, buckets) == bucket]
+            seg = {"keys": np.array([9], "<i8").tobytes(), "sizes": np.array([4], "<i4").tobytes(),
+                   "low": (own & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes(), "high": (own >> np.uint64(32)).astype("<u2").tobytes(),
+                   "owner": np.zeros(len(own), "<u2").tobytes()}
+            got = J.unpack(seg, bucket, buckets)[2]
+            assert len(np.unique(got)) == len(own) and (bits < 16 or (got == own).all())
+    assert J.bucket_count(0) == J.bucket_count(J.BUCKET_GRAMS) == 1 and J.bucket_count(5 * J.BUCKET_GRAMS) == 8

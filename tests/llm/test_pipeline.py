@@ -65,3 +65,16 @@ def test_one_of_repeated_rows_stays(spark):
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, kept_id string")
     got = sorted(((r.doc_id, r.kept_id) for r in P.keep_one_of_group(spark, docs, SF).collect()))
     assert got == [(2, "c"), (7, "d"), (8, "f")]
+
+
+def test_rows_without_ids_and_repeated_ids_go_by_their_own_text(spark):
+    text, other = " ".join(f"w{i}" for i in range(80)), " ".join(f"v{i}" for i in range(80))
+    rows = [(1, text, "kept"), (None, text, "copy"), (None, text.replace("w5 ", "x "), "near copy"),
+            (None, "some quite different words that stand alone", "alone"), (None, other, "first of two"), (None, other + " more", "second of two"),
+            (None, None, "null"), (None, "", "empty"), (1, other, "near copy under a kept id")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, mark_a string")
+    got = {r.mark_a for r in P.keep_one_of_group(spark, docs, SF).collect()}
+    # the rows of the other text: that with an id stays
+    assert got == {"kept", "alone", "null", "empty", "near copy under a kept id"}
+    got = {r.mark_a for r in P.keep_one_of_group(spark, docs.where("doc_id is null"), SF).collect()}
+    assert len(got) == 5 and len(got & {"copy", "near copy"}) == 1 and len(got & {"first of two", "second of two"}) == 1

@@ -21,18 +21,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.llm.bpe import TextEncoder, Vocabulary, slices
+from ledgerline.llm.bpe import LATIN_BYTES, LATIN_CUT, TextEncoder, Vocabulary, slices
 from ledgerline.llm.common import col
 
 MAGIC = b"DACTOK1\n"
 WORD = 512                   # bits between two entries of a rank directory
 SEGMENT_TOKENS = 1 << 20     # a segment ends with the document that reaches this
 SEGMENTS_PER_FILE = 8
+MAX_KEPT = 400_000           # distinct words whose ids a worker keeps
+# What stands apart from words of letters, which white space is put around to cut as LATIN_CUT does.
+LATIN_APART = "(" + LATIN_CUT.pattern.replace("[a-zß-öø-ÿ]+|", "") + ")"
 HEADER = struct.Struct("<8sqqqqq")  # magic, bytes after this header, shard, number in the shard, documents, tokens
 
 
@@ -134,20 +138,22 @@ def headers(data: bytes) -> list[tuple[int, int, int]]:
 
 
 class LibraryWords:
-    """Ids of byte-mapped words by the tokenizers library itself, one call for many words."""
+    """Ids of byte-mapped words by the tokenizers library's own model, one call for many words."""
 
     def __init__(self, spec: str, vocab: Vocabulary):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import WhitespaceSplit
 
         self.library = Tokenizer.from_str(spec)
         self.library.no_truncation()
         self.library.no_padding()
-        self.char_byte = {ord(c): b for b, c in vocab.byte_char.items()}
+        # the words are normalised, cut and byte-mapped already; byte-mapped text has no white space
+        self.library.normalizer, self.library.pre_tokenizer = None, WhitespaceSplit()
         self.ends = np.array([t.endswith("</w>") for t in vocab.token])
 
     def __call__(self, words: list[str]) -> list[bytes]:
-        text = " ".join(w if w.isascii() else w.translate(self.char_byte).encode("latin-1").decode() for w in words)
-        ids = np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4")
+        found = self.library.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0]
+        ids = np.array(found.ids, "<u4")
         cuts = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
         if len(cuts) != len(words):
             raise ValueError("a word was cut by the library")
@@ -155,15 +161,81 @@ class LibraryWords:
         return [raw[a:b] for a, b in zip([0, *cuts], cuts)]
 
 
-_ENCODERS: dict[int, TextEncoder] = {}
+class BatchEncoder:
+    """Ids of many texts at once: their words become numbers, and each distinct word is looked up once.
 
+    Texts beyond LATIN_BYTES go through the text encoder one by one.
+    """
 
-def library_encoder(spec: str) -> TextEncoder:
+    def __init__(self, spec: str):
+        self.vocab = Vocabulary(spec)
+        self.words = LibraryWords(spec, self.vocab)
+        self.texts = TextEncoder(self.vocab, self.words)
+        self.met: dict[str, bytes] = {}
+
+    def ids_of(self, words: list[str]) -> list[bytes]:
+        """Ids of distinct words; those not met before go to the library in one call."""
+        met = self.met
+        new = [w for w in words if w not in met]
+        if len(met) + len(new) > MAX_KEPT:
+            met.clear()
+            new = words
+        if new:
+            met.update(zip(new, self.words([self.vocab.byte_mapped(w) for w in new])))
+        return list(map(met.__getitem__, words))
+
+    def latin(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts in a row, number of each) of texts of LATIN_BYTES in lower case."""
+        spaced = pc.replace_substring_regex(pa.array(texts, pa.large_string()), LATIN_APART, r" \1 ")
+        split = pc.ascii_split_whitespace(spaced)
+        word, ends = split.flatten().dictionary_encode(), split.offsets.to_numpy()
+        which, known = word.indices.to_numpy(), word.dictionary.to_pylist()
+        found = dict.fromkeys(known, b"")
+        real = [w for w in known if w]  # white space at a text's ends leaves an empty word
+        found.update(zip(real, self.ids_of(real)))
+        ids = list(found.values())
+        size = np.fromiter(map(len, ids), np.int32, len(ids)) // 4
+        table = np.frombuffer(b"".join(ids), "<u4")
+        n = size[which]
+        total = np.concatenate([[0], np.cumsum(n, dtype=np.int32)]).astype(np.int32)  # of a few MB of text
+        at = np.repeat((np.cumsum(size, dtype=np.int32) - size)[which] - total[:-1], n)
+        at += np.arange(total[-1], dtype=np.int32)
+        return table[at], np.diff(total[ends - ends[0]]).astype(np.int64)
+
+    def __call__(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts in a row, number of each); a null text has none."""
+        lower: list[str] = []
+        other: dict[int, np.ndarray] = {}
+        for i, text in enumerate(texts):
+            text = text or ""
+            try:
+                if self.vocab.latin and "<|" not in text and not text.encode("latin-1").translate(None, LATIN_BYTES):
+                    lower.append(text.lower())
+                    continue
+            except UnicodeEncodeError:
+                pass
+            lower.append("")
+            other[i] = np.frombuffer(self.texts(text), "<u4")
+        ids, n = self.latin(lower)
+        if not other:
+            return ids, n
+        cuts = np.cumsum(n)
+        parts, at = [], 0
+        for i, own in other.items():
+            end = int(cuts[i])
+            parts += [ids[at:end], own]
+            at, n[i] = end, len(own)
+        return np.concatenate([*parts, ids[at:]]), n
+
+
+_ENCODERS: dict[int, BatchEncoder] = {}
+
+
+def library_encoder(spec: str) -> BatchEncoder:
     key = hash(spec)
     if key not in _ENCODERS:
         _ENCODERS.clear()
-        vocab = Vocabulary(spec)
-        _ENCODERS[key] = TextEncoder(vocab, LibraryWords(spec, vocab))
+        _ENCODERS[key] = BatchEncoder(spec)
     return _ENCODERS[key]
 
 
@@ -185,24 +257,31 @@ def write_tokens(df: DataFrame, path: str, vocabulary_path: str, end_id: int = 2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, shard, number = library_encoder(spec.value), TaskContext.get().partitionId(), 0
-        end = struct.pack("<I", end_id)
-        docs, parts, tokens = [], [], 0
+        docs, counts, parts, tokens = [], [], [], 0
 
         def flush():
-            nonlocal docs, parts, tokens, number
-            seg = pack_segment(shard, number, docs, [len(p) // 4 for p in parts], np.frombuffer(b"".join(parts), "<u4"))
-            docs, parts, tokens, number = [], [], 0, number + 1
+            nonlocal docs, counts, parts, tokens, number
+            seg = pack_segment(shard, number, docs, counts, np.concatenate(parts))
+            docs, counts, parts, tokens, number = [], [], [], 0, number + 1
             return pa.RecordBatch.from_arrays([pa.array([seg], pa.binary())], ["segment"])
 
         for batch in batches:
             ids = batch.column(0).to_pylist()
             for at, rows in slices(batch.column(1)):
-                for d, text in zip(ids[at:at + len(rows)], rows):
+                own, n = enc(rows)
+                own = np.insert(own, np.cumsum(n), end_id)  # each document's end
+                n = (n + 1).tolist()
+                first = done = 0
+                for d, k in zip(ids[at:at + len(rows)], n):
                     docs.append(d)
-                    parts.append(enc(text or "") + end)
-                    tokens += len(parts[-1]) // 4
+                    counts.append(k)
+                    done += k
+                    tokens += k
                     if tokens >= SEGMENT_TOKENS:
+                        parts.append(own[first:done])
+                        first = done
                         yield flush()
+                parts.append(own[first:])
         if docs:
             yield flush()
 
@@ -255,10 +334,13 @@ def segment_starts(spark: SparkSession, path: str) -> DataFrame:
     Sums within shards are windows by shard; only one row per shard meets in
     the ordering over shards, so that step is as small as the shard count.
     """
-    from pyspark.sql import Window as W
-    seg = read_segments(spark, path)
-    in_shard = W.partitionBy("shard").orderBy("number").rowsBetween(W.unboundedPreceding, -1)
-    before = W.orderBy("shard").rowsBetween(W.unboundedPreceding, -1)
+    return starts_of(read_segments(spark, path))
+
+
+def starts_of(seg: DataFrame) -> DataFrame:
+    """The same from (shard, number, n_tokens) of the segments."""
+    in_shard = Window.partitionBy("shard").orderBy("number").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     shards = seg.groupBy("shard").agg(F.sum("n_tokens").alias("n")) \
         .select("shard", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
     inner = seg.select("shard", "number", F.coalesce(F.sum("n_tokens").over(in_shard), F.lit(0)).alias("inner"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm import bpe, dac, decontaminate, exact_dedup, html_text, licenses, max_sketch, ngram_join, \
     periodic_runs, quality, repeats, secrets, warc
-from ledgerline.llm.common import prepare, table, word_bpe
+from ledgerline.llm.common import prepare, staged, table, word_bpe
 from ledgerline.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -82,8 +82,11 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token-id files of all documents, written and read back."""
     path = scratch_path(spark, "token-files")
     dac.write_tokens(table(spark, sf_dir, "documents"), path, word_bpe())
-    docs = dac.read_documents(spark, path).withColumn("ids_crc32", F.crc32("ids")).drop("ids", "place")
-    return dac.with_starts(docs, dac.segment_starts(spark, path)).select("doc_id", "start", "n_tokens", "ids_crc32")
+    # the files are read once: digests of the documents, from which the segments' lengths follow
+    read = dac.read_documents(spark, path).withColumn("ids_crc32", F.crc32("ids")).drop("ids", "place")
+    docs, _ = staged(read, "token-digests")
+    starts = dac.starts_of(docs.groupBy("shard", "number").agg(F.sum("n_tokens").alias("n_tokens")))
+    return dac.with_starts(docs, starts).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
 OP3_SQL = """

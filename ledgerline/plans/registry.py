@@ -32,7 +32,7 @@ from ledgerline.session import scratch_path
 from ledgerline.sinks.publish import AlreadyLoaded, LoadError, publish, run_reports, status_frame
 from ledgerline.sinks.targets import ParquetTarget
 from ledgerline.sources.csv_text import (
-    decode_as, detect_encoding, parse_cells, read_report_csv, repair_line,
+    CP1252_BYTES, CP1252_CHARS, decode_as, detect_encoding, parse_cells, read_report_csv, repair_line,
 )
 from ledgerline.sources.files import SourceError
 from ledgerline.sources.workbooks import decode_workbooks, workbook_files
@@ -440,6 +440,8 @@ def spread_files(lines: DataFrame, folder: str, header: str, encoding: str = "UT
     place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
     mark = "\ufeff" if encoding.startswith("UTF-16") else ""
     text = F.when(place == 0, F.concat(F.lit(f"{mark}{header}\n"), "line")).otherwise(F.col("line"))
+    if encoding == "windows-1252":
+        text, encoding = F.translate(text, CP1252_CHARS, CP1252_BYTES), "ISO-8859-1"
     value = F.encode(text, encoding).cast("string")  # bytes pass through the text writer as they are
     lines.select(value.alias("value")).write.mode("append").option("encoding", encoding).option("lineSep", "\n").text(folder)
     return folder
@@ -449,6 +451,9 @@ def _text_files(spark, folder: str) -> list[str]:
     return [r.path for r in spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(folder).select("path").collect()]
 
 
+CP1252_TAIL = " \u20ac\u201c\u0178\u201d \u00e9"  # characters that ISO-8859-1 lacks, and one that makes the bytes no UTF-8
+
+
 QUOTED_NEWLINE_SQL = """
 SELECT CAST(doc_id AS VARCHAR) AS ID, replace(text, chr(13), ' ') AS TEXT, source AS SOURCE FROM documents
 """
@@ -511,24 +516,24 @@ def q_csv_wrapped_terminators(spark, sf):
 
 @register("csv_mixed_encodings", r"""
 WITH d AS (SELECT doc_id, replace(replace(text, chr(13), ' '), chr(10), ' ') AS t FROM documents), l AS (
-  SELECT doc_id, t, CASE WHEN doc_id % 3 = 0 THEN 'UTF-16LE' WHEN doc_id % 3 = 1 OR regexp_matches(t, '[^\x{00}-\x{FF}]') THEN 'UTF-8'
-                         ELSE 'ISO-8859-1' END AS e FROM d)
-SELECT e AS folder_part, CAST(doc_id AS VARCHAR) AS ID, t AS TEXT, 'plain' AS read_mode, 3 AS n_encodings FROM l
-""")
+  SELECT doc_id, t, CASE WHEN doc_id % 4 = 0 THEN 'UTF-16LE' WHEN doc_id % 4 = 1 OR regexp_matches(t, '[^\x{00}-\x{7F}\x{A0}-\x{FF}]') THEN 'UTF-8'
+                         WHEN doc_id % 4 = 2 THEN 'ISO-8859-1' ELSE 'windows-1252' END AS e FROM d)
+SELECT e AS folder_part, CAST(doc_id AS VARCHAR) AS ID, CASE WHEN e = 'windows-1252' THEN t || '{TAIL}' ELSE t END AS TEXT,
+       'plain' AS read_mode, 4 AS n_encodings FROM l
+""".replace("{TAIL}", CP1252_TAIL))
 def q_csv_mixed_encodings(spark, sf):
-    """One folder of UTF-8, ISO-8859-1 and UTF-16 files, read in one call; whole texts."""
+    """One folder of UTF-8, ISO-8859-1, windows-1252 and UTF-16 files, read in one call; whole texts."""
     d = rv.table(spark, sf, "documents")
     t = F.replace(F.replace("text", F.lit("\r"), F.lit(" ")), F.lit("\n"), F.lit(" "))
     k = F.col("doc_id")
-    kind = (F.when(k % 3 == 0, F.lit("UTF-16LE")).when((k % 3 == 1) | t.rlike(r"[^\x{00}-\x{FF}]"), F.lit("UTF-8"))
-             .otherwise(F.lit("ISO-8859-1")))
+    kind = (F.when(k % 4 == 0, F.lit("UTF-16LE")).when((k % 4 == 1) | t.rlike(r"[^\x{00}-\x{7F}\x{A0}-\x{FF}]"), F.lit("UTF-8"))
+             .when(k % 4 == 2, F.lit("ISO-8859-1")).otherwise(F.lit("windows-1252")))
+    t = F.when(kind == "windows-1252", F.concat(t, F.lit(CP1252_TAIL))).otherwise(t)
     rows = d.select(kind.alias("kind"), F.concat_ws(",", kind, k.cast("string"), quoted(t)).alias("line"))
     folder = scratch_path(spark, "csv-mixed")
-    for enc, charset in (("UTF-8", "UTF-8"), ("ISO-8859-1", "ISO-8859-1"), ("UTF-16LE", "UTF-16")):
-        body = rows.where(F.col("kind") == enc)
-        (body.select(F.col("line").alias("PART,ID,TEXT")).coalesce(1).write.mode("append").option("header", True)
-         .option("sep", "\u0001").option("quote", "").option("escape", "").option("encoding", charset).csv(folder))
-    cells, facts = read_report_csv(spark, folder, ["PART", "ID", "TEXT"])
+    for encoding in ("UTF-8", "ISO-8859-1", "windows-1252", "UTF-16LE"):
+        spread_files(rows.where(F.col("kind") == encoding).select("line"), folder, "PART,ID,TEXT", encoding)
+    cells, facts = read_report_csv(spark, _text_files(spark, folder), ["PART", "ID", "TEXT"])
     return cells.select(F.col("PART").alias("folder_part"), "ID", "TEXT", F.lit(facts["read_mode"]).alias("read_mode"),
                         F.lit(len(facts["encodings"])).alias("n_encodings"))
 

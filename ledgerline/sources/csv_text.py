@@ -12,7 +12,9 @@
   Files whose last quote stays open, or with a record of several lines that is
   too wide or whose quotes do not pair, are errors: rows may be hidden in it.
 * The encoding of each file is decided from its own bytes: a UTF-16 byte
-  order mark (little or big endian), else valid UTF-8, else ISO-8859-1.
+  order mark (little or big endian), else valid UTF-8, else by a count of its
+  bytes 0x80 to 0x9F: windows-1252 if there are some (besides 0x85, a line mark
+  in ISO-8859-1) and all are characters of it, else ISO-8859-1.
 """
 
 from __future__ import annotations
@@ -39,8 +41,9 @@ LINE_SEP_TOKEN = "\u0001\u0002\u0003"
 # possessive runs: a plain (?:[^"]|"")* recurses once per character in Java's
 # regex engine and overflows the stack on long lines
 WRAPPED_LINE = r'^"(?:[^"]++|"")*+"\z'
-# Bytes 0x80 to 0x9F of windows-1252 that are characters, in order.
+# Bytes 0x80 to 0x9F of windows-1252 that are characters, in order; those that are none.
 CP1252_BYTES = "".join(map(chr, [0x80, *range(0x82, 0x8D), 0x8E, *range(0x91, 0x9D), 0x9E, 0x9F]))
+CP1252_UNDEFINED = "\u0081\u008d\u008f\u0090\u009d"
 CP1252_CHARS = "\u20ac\u201a\u0192\u201e\u2026\u2020\u2021\u02c6\u2030\u0160\u2039\u0152\u017d" \
                "\u2018\u2019\u201c\u201d\u2022\u2013\u2014\u02dc\u2122\u0161\u203a\u0153\u017e\u0178"
 
@@ -74,17 +77,33 @@ def parse_cells(line: Column, names: Sequence[str]) -> Column:
     return F.from_csv(line, F.lit(cells_ddl(names)), dict(CSV_OPTIONS))
 
 
-def encoding_rule(first_bytes: Column, valid_utf8: Column) -> Column:
-    """Encoding from a file's first bytes and whether all of it is valid UTF-8: UTF-16 byte-order mark,
-    else UTF-8, else ISO-8859-1."""
+def encoding_rule(first_bytes: Column, valid_utf8: Column, letters: Column, controls: Column) -> Column:
+    """Encoding from a file's first bytes, whether all of it is valid UTF-8, and its numbers of bytes that windows-1252
+    has as characters in place of control codes (``letters``) and of those that it does not define (``controls``):
+    UTF-16 byte-order mark, else UTF-8, else windows-1252, else ISO-8859-1."""
     head = F.hex(F.substring(first_bytes, 1, 2))
     return (F.when(head == "FFFE", F.lit("UTF-16LE")).when(head == "FEFF", F.lit("UTF-16BE"))
-             .when(valid_utf8, F.lit("UTF-8")).otherwise(F.lit("ISO-8859-1")))
+             .when(valid_utf8, F.lit("UTF-8")).when((letters > 0) & (controls == 0), F.lit("windows-1252"))
+             .otherwise(F.lit("ISO-8859-1")))
+
+
+def _count_of(latin1: Column, chars: str) -> Column:
+    """Characters of ``chars`` in a text."""
+    return F.length(latin1) - F.length(F.translate(latin1, chars, ""))
+
+
+def byte_counts(valid_utf8: Column, latin1: Column) -> tuple[Column, Column]:
+    """``letters`` and ``controls`` of :func:`encoding_rule` for bytes as ISO-8859-1; valid UTF-8 is not counted.  Sums of
+    parts are the counts of the whole, so they add up over lines, blocks and tasks."""
+    some = ~valid_utf8 & latin1.rlike("[\u0080-\u009f]")
+    letters = CP1252_BYTES.replace("\u0085", "")  # a line mark in the one, an ellipsis in the other: it decides nothing
+    return tuple(F.when(some, _count_of(latin1, x)).otherwise(0) for x in (letters, CP1252_UNDEFINED))
 
 
 def detect_encoding(content: Column) -> Column:
     """Encoding of a byte column."""
-    return encoding_rule(content, F.is_valid_utf8(content.cast("string")))
+    valid = F.is_valid_utf8(content.cast("string"))
+    return encoding_rule(content, valid, *byte_counts(valid, F.decode(content, "ISO-8859-1")))
 
 
 def decode_as(content: Column, encoding: Column) -> Column:
@@ -155,16 +174,18 @@ def profile_frame(spark: SparkSession, src: str | Sequence[str]) -> DataFrame:
         F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("pos"))
     raw = F.col("value").cast("binary")
     bytes_text = F.decode(raw, "ISO-8859-1")
+    valid = F.is_valid_utf8("value")
+    letters, controls = byte_counts(valid, bytes_text)
     first_block = F.col("block") == 0
     agg = t.groupBy("path").agg(
         F.count_if(F.col("value").rlike(r"[^\s\x00]")).alias("lines"),
-        F.bool_and(F.is_valid_utf8("value")).alias("utf8"),
+        F.bool_and(valid).alias("utf8"), F.sum(letters).alias("letters"), F.sum(controls).alias("controls"),
         F.min_by(F.when(first_block, raw), F.when(first_block, F.col("pos"))).alias("header"),
         F.count_if(is_wrapped(F.col("value"))).alias("wrapped"),
         F.count_if(opens_quote(bytes_text)).alias("open8"),
         F.count_if(opens_quote(F.replace(bytes_text, F.lit("\u0000"), F.lit("")))).alias("open16"),
     )
-    enc = encoding_rule(F.col("header"), F.col("utf8"))  # byte-order mark of the file's first line only
+    enc = encoding_rule(F.col("header"), F.col("utf8"), F.col("letters"), F.col("controls"))  # byte-order mark of the file's first line only
     # the header line split on raw "\n" bytes: for UTF-16 drop the BOM and the odd trailing byte
     h = F.col("header")
     h16 = F.substring(h, 3, 1 << 30)
@@ -172,6 +193,7 @@ def profile_frame(spark: SparkSession, src: str | Sequence[str]) -> DataFrame:
     text = (F.when(F.col("encoding") == "UTF-16LE", F.decode(h16, "UTF-16LE"))
              .when(F.col("encoding") == "UTF-16BE", F.decode(h16, "UTF-16BE"))
              .when(F.col("encoding") == "UTF-8", F.decode(h, "UTF-8"))
+             .when(F.col("encoding") == "windows-1252", cp1252(F.decode(h, "ISO-8859-1")))
              .otherwise(F.decode(h, "ISO-8859-1")))
     text = repair_line(F.regexp_replace(text, "^\ufeff|[\r\u0000]+$", ""))
     width = F.size(F.split(F.regexp_replace(text, _QUOTED_FIELD, "q"), ","))
@@ -304,7 +326,7 @@ def read_report_csv(spark: SparkSession, folder_or_paths: str | Sequence[str], n
              "read_mode": "repaired" if any(r.wrapped for r in summary) else "plain",
              "encodings": {r.encoding: r.files for r in summary} if encoding == "auto" else {encoding: sum(r.files for r in summary)}}
 
-    if encoding == "auto" and len(summary) == 1:
+    if encoding == "auto" and len(summary) == 1 and summary[0].encoding != "windows-1252":
         lines = read_lines(spark, src, summary[0].encoding)
     elif encoding.upper().startswith("UTF-") and encoding != "auto":
         lines = read_lines(spark, src, encoding)

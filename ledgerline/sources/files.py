@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,7 +34,9 @@ def list_files(spark: SparkSession, folder: str, suffixes: Sequence[str]) -> Dat
     try:
         df = (spark.read.format("binaryFile").option("pathGlobFilter", suffix_glob(suffixes))
               .option("recursiveFileLookup", "false").load(folder))
-    except Exception as e:  # AnalysisException: path does not exist
+    except AnalysisException as e:
+        if (e.getCondition() or "").split(".")[0] != "PATH_NOT_FOUND":
+            raise
         raise SourceError(f"folder not found: {folder}") from e
     out = df.select(
         "path", F.regexp_extract("path", r"([^/]*)$", 1).alias("name"),

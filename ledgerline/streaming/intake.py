@@ -19,7 +19,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ledgerline.sources.csv_text import LINE_SEP_TOKEN, decode_line_per_line, parse_cells, repair_line
+from ledgerline.sources.csv_text import (
+    LINE_SEP_TOKEN, PAIRED, decode_line_per_line, opens_quote, parse_cells, read_report_csv, repair_line,
+)
 from ledgerline.sources.files import suffix_glob
 
 
@@ -28,7 +30,10 @@ def csv_report_stream(spark: SparkSession, folder: str, names: Sequence[str],
     """Streaming frame of named string cells from CSV report files in ``folder``.
 
     ``encoding`` is a charset, or ``'per-line'`` (UTF-8 where a line's bytes
-    are valid UTF-8, else ISO-8859-1), since a stream has no profile pass.
+    are valid UTF-8, else ISO-8859-1), since a stream has no profile pass.  A
+    line that opens a quoted cell without ending it, or has more cells than
+    names, ends the batch with an error that names the file: its cells cannot be
+    told from single lines.  :func:`csv_file_stream` reads such files whole.
     """
     per_line = encoding == "per-line"
     reader = (spark.readStream.schema("line string").option("header", True).option("sep", LINE_SEP_TOKEN)
@@ -40,9 +45,37 @@ def csv_report_stream(spark: SparkSession, folder: str, names: Sequence[str],
     line = F.rtrim(F.col("line"), F.lit("\r"))
     if per_line:
         line = decode_line_per_line(line)
-    cells = lines.select(F.col("_metadata.file_name").alias("source_file"),
-                         parse_cells(repair_line(line), names).alias("c"))
-    return cells.select("source_file", *[F.col("c")[n].alias(n) for n in names])
+    whole = repair_line(line)
+    wider = [*(f"c{i}" for i in range(len(names))), "more"]
+    cells = lines.select(F.col("_metadata.file_name").alias("source_file"), whole.alias("line"), parse_cells(whole, wider).alias("c"))
+    fault = F.when(opens_quote(F.col("line")) | ~F.col("line").rlike(PAIRED) & F.col("line").startswith('"'), F.lit("a quoted cell goes on in the next line")) \
+        .when(F.col("c")["more"].isNotNull(), F.lit(f"a line has more than {len(names)} cells"))
+    refused = F.raise_error(F.concat(F.lit("CSV file "), "source_file", F.lit(": "), fault)).cast("string")
+    first = F.when(fault.isNotNull(), refused).otherwise(F.col("c")[wider[0]])
+    return cells.select("source_file", first.alias(names[0]), *[F.col("c")[w].alias(n) for w, n in zip(wider[1:], names[1:])])
+
+
+def csv_file_stream(spark: SparkSession, folder: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Streaming frame of the ``path`` of each CSV file in ``folder``; contents are not read.
+
+    With :func:`read_batch`, each micro-batch goes through the batch reader and
+    all of its checks: encodings by the bytes, header width, line breaks in cells.
+    """
+    reader = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length bigint, content binary") \
+        .option("pathGlobFilter", suffix_glob(("csv",)))
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    return reader.load(folder).select("path")
+
+
+def read_batch(batch: DataFrame, names: Sequence[str], encoding: str = "auto") -> DataFrame:
+    """The cells of a micro-batch's files, by :func:`read_report_csv`; the paths of one batch are listed on the driver
+    (``max_files_per_trigger`` bounds them)."""
+    paths = [r.path for r in batch.select("path").collect()]
+    if not paths:
+        empty = ", ".join(f"`{n}` string" for n in ["source_file", *names])
+        return batch.sparkSession.createDataFrame([], empty)
+    return read_report_csv(batch.sparkSession, paths, names, encoding)[0]
 
 
 def start_intake(stream: DataFrame, load: Callable[[DataFrame], DataFrame], target_path: str,

@@ -216,6 +216,25 @@ def test_windows_1252_when_asked_for(spark, scratch):
     assert facts["encodings"] == {"windows-1252": 1}
 
 
+def test_windows_1252_from_the_bytes(spark, scratch):
+    body = bytes(b for b in range(0x80, 0xA0) if b not in (0x81, 0x8D, 0x8F, 0x90, 0x9D))
+    write(f"{scratch}/w.csv", b"h1,h2,h3\nplain,b,c\n" * 1 + b"w," + body + b',"\xe9 ""x"""\n')
+    write(f"{scratch}/l.csv", b"h1,h2,h3\nl,\x85,\xe9\n")              # a line mark only
+    write(f"{scratch}/c.csv", b"h1,h2,h3\nc,\x93\x81,\xe9\n")          # a byte that windows-1252 lacks
+    write(f"{scratch}/u.csv", "h1,h2,h3\nu,\u0093,\u20ac\n".encode())   # valid UTF-8
+    write(f"{scratch}/q.csv", b'h1,h2,h3\nq,"\x80\n\x99",\xe9\n')       # with a line break in a cell
+    df, facts = read_report_csv(spark, scratch, NAMES)
+    assert facts["encodings"] == {"windows-1252": 2, "ISO-8859-1": 2, "UTF-8": 1}
+    assert rows(df) == sorted([("plain", "b", "c"), ("w", body.decode("cp1252"), '\u00e9 "x"'), ("l", "\u0085", "\u00e9"),
+                               ("c", "\u0093\u0081", "\u00e9"), ("u", "\u0093", "\u20ac"), ("q", "\u20ac\n\u2122", "\u00e9")])
+
+
+def test_one_windows_1252_file(spark, scratch):
+    write(f"{scratch}/w.csv", "h1,h2,h3\n\u20ac,\u00e9,\u201cz\u201d\n".encode("cp1252"))
+    df, facts = read_report_csv(spark, scratch, NAMES)
+    assert facts["encodings"] == {"windows-1252": 1} and rows(df) == [("\u20ac", "\u00e9", "\u201cz\u201d")]
+
+
 def test_wrong_width_fails(spark, scratch):
     write(f"{scratch}/w.csv", b"h1,h2\n1,2\n")
     with pytest.raises(ColumnCountError, match="allowed: 3"):

@@ -3,6 +3,8 @@
 import datetime as dt
 import os
 
+import pytest
+
 from ledgerline.plans.reports import LoadContext, load_sd_text
 from ledgerline.spec import SD_SPEC
 from ledgerline.streaming.intake import csv_report_stream, start_intake
@@ -62,3 +64,33 @@ def test_batch_with_only_late_rows_has_a_true_audit(spark, scratch):
     a = spark.read.parquet(f"{out}/_audit").first()
     assert (a.n_in, a.n_out, a.excluded, a.null_date_rows) == (2, 0, 2, 0)
     assert a.last_date == dt.date(2025, 1, 5) and a.first_date is None
+
+
+def stream_rows(spark, scratch, body, names=("a", "b", "c"), whole=False):
+    from ledgerline.streaming.intake import csv_file_stream, read_batch
+    src, out, ck = f"{scratch}/in", f"{scratch}/out", f"{scratch}/ck"
+    os.makedirs(src)
+    with open(f"{src}/f.csv", "wb") as f:
+        f.write(body)
+    stream = csv_file_stream(spark, src) if whole else csv_report_stream(spark, src, names)
+    load = (lambda b: read_batch(b, names)) if whole else (lambda b: b)
+    start_intake(stream, load, out, ck).awaitTermination(120)
+    return sorted((tuple(r[n] for n in names) for r in spark.read.parquet(out).collect()), key=str)
+
+
+@pytest.mark.parametrize("body, what", [(b'h1,h2,h3\na,"5\npipe",c\n', "goes on"), (b"h1,h2,h3\na,b,c,d\n", "more than 3")])
+def test_lines_that_hide_cells_stop_the_stream(spark, scratch, body, what):
+    with pytest.raises(Exception, match=what):
+        stream_rows(spark, scratch, body)
+
+
+def test_lines_of_the_stream_with_quotes(spark, scratch):
+    body = b'h1,h2,h3\na,5" pipe,c\n"x, y","a ""b""",\n"p,""q r"",s"\n'
+    assert stream_rows(spark, scratch, body) == sorted([("a", '5" pipe', "c"), ("x, y", 'a "b"', None), ("p", "q r", "s")], key=str)
+
+
+def test_whole_files_of_the_stream_have_the_batch_checks(spark, scratch):
+    body = 'h1,h2,h3\n1,"a\nb",\u20ac\n'.encode("cp1252")
+    assert stream_rows(spark, scratch, body, whole=True) == [("1", "a\nb", "\u20ac")]
+    with pytest.raises(Exception, match="wrong number of columns"):
+        stream_rows(spark, f"{scratch}/2", b"h1,h2,h3,h4\na,b,c,d\n", whole=True)

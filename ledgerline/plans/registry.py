@@ -29,6 +29,8 @@ from ledgerline.plans.reports import (
 )
 from ledgerline.plans.sql_fixtures import OS_LOADED, SD_BASE, SD_LOADED
 from ledgerline.session import scratch_path
+from ledgerline.plans.run import load_reports
+from ledgerline.sinks.manifest import file_system, listed
 from ledgerline.sinks.publish import AlreadyLoaded, LoadError, publish, run_reports, status_frame
 from ledgerline.sinks.targets import ParquetTarget
 from ledgerline.sources.csv_text import (
@@ -779,6 +781,64 @@ def q_guard_concurrent(spark, sf):
     return spark.createDataFrame(out, "guard string, status string, n_rows bigint, loads int")
 
 
+@register("quarantine_dates", """
+WITH k AS (SELECT o_orderkey AS k, CAST(o_orderdate AS DATE) AS od, CASE WHEN o_orderkey % 17 = 0 THEN 2 ELSE 1 END AS c FROM orders)
+SELECT 'FECHA_CREA is no date' AS what, CAST(coalesce(sum(c) FILTER (k % 29 = 0 AND k % 31 <> 0), 0) AS BIGINT) AS n_rows FROM k
+UNION ALL SELECT 'ID is no number', CAST(coalesce(sum(c) FILTER (k % 31 = 0 AND k % 29 <> 0), 0) AS BIGINT) FROM k
+UNION ALL SELECT 'ID is no number; FECHA_CREA is no date', CAST(coalesce(sum(c) FILTER (k % 31 = 0 AND k % 29 = 0), 0) AS BIGINT) FROM k
+UNION ALL SELECT 'loaded', count(*) FILTER (k % 29 <> 0 AND k % 31 <> 0 AND k % 23 <> 0 AND od <= DATE '2000-01-01') FROM k
+UNION ALL SELECT 'excluded', CAST(coalesce(sum(c) FILTER (k % 29 <> 0 AND k % 31 <> 0 AND k % 23 <> 0 AND od > DATE '2000-01-01'), 0) AS BIGINT) FROM k
+UNION ALL SELECT 'undated', CAST(coalesce(sum(c) FILTER (k % 29 <> 0 AND k % 31 <> 0 AND k % 23 = 0), 0) AS BIGINT) FROM k
+UNION ALL SELECT 'all', CAST(sum(c) AS BIGINT) FROM k
+UNION ALL SELECT 'quarantined', CAST(coalesce(sum(c) FILTER (k % 29 = 0 OR k % 31 = 0), 0) AS BIGINT) FROM k
+""")
+def q_quarantine_dates(spark, sf):
+    """An OS load in which every 29th date and every 31st id do not parse: good rows are loaded, bad ones set aside."""
+    k = F.col("row_id")
+    raw = rv.os_raw(spark, sf).withColumn("FECHA_CREA", F.when(k % 29 == 0, F.lit("31/02/2024")).otherwise(F.col("FECHA_CREA"))) \
+        .withColumn("ID", F.when(k % 31 == 0, F.concat(F.lit("n"), "ID")).otherwise(F.col("ID")))
+    target, aside = ParquetTarget(scratch_path(spark, "target")), scratch_path(spark, "quarantine")
+    a = publish(spark, os_parsed(raw, CTX, on_bad="quarantine"), OS_SPEC, CTX, target, quarantine=aside).audit
+    bad = spark.read.parquet(aside).groupBy(F.col("fault").alias("what")).agg(F.sum("copies").alias("n_rows"))
+    rest = [("loaded", target.read(spark).count()), ("excluded", a["excluded"]), ("undated", a["null_date_rows"]), ("all", a["n_in"]),
+            ("quarantined", a["quarantined"])]
+    return bad.unionByName(spark.createDataFrame(rest, "what string, n_rows bigint"))
+
+
+@register("load_reports_folders", f"""
+WITH {SD_BASE}, {SD_LOADED}
+SELECT 'SD' AS report, 'loaded' AS status, 'repaired' AS read_mode, CAST(count(*) AS BIGINT) AS n_out FROM loaded
+UNION ALL SELECT 'OS', 'failed: wrong number of columns', NULL, NULL
+UNION ALL SELECT 'SD', 'not run', NULL, NULL
+""")
+def q_load_reports_folders(spark, sf):
+    """``load_reports`` over written CSV folders: wrapped SD lines are repaired, an OS folder of the wrong width stops the run."""
+    sd, narrow = scratch_path(spark, "sd-csv"), scratch_path(spark, "os-csv")
+    rows = rv.sd_raw(spark, sf)
+    cell = lambda c: F.coalesce(quoted(F.col(c)), F.lit(""))
+    line = F.concat_ws(",", *[cell(c) for c in SD_SPEC.raw_names])
+    spread_files(rows.select(F.when(F.col("row_id") % 2 == 0, quoted(line)).otherwise(line).alias("line")), sd, ",".join(SD_SPEC.raw_names))
+    spread_files(rv.os_raw(spark, sf).select(F.concat_ws(",", cell("ID"), cell("TIPO_DOC")).alias("line")), narrow, "ID,TIPO_DOC")
+    sources = [_csv_folder(spark, x) for x in (sd, narrow)]
+    jobs = [("SD", sources[0], ParquetTarget(scratch_path(spark, "target"))), ("OS", sources[1], ParquetTarget(scratch_path(spark, "target"))),
+            ("SD", sources[0], ParquetTarget(scratch_path(spark, "target")))]
+    try:
+        audits = load_reports(spark, jobs, CUTOFF, load_ts=LOAD_TS, load_user=LOAD_USER)
+    except LoadError as e:
+        audits = e.audits
+    status = F.regexp_extract("status", "^(failed: wrong number of columns|[a-z ]+)", 1)
+    return status_frame(spark, audits).select("report", status.alias("status"), "read_mode", "n_out")
+
+
+def _csv_folder(spark, folder: str) -> str:
+    """The folder with its text files named as CSV files."""
+    for f in listed(spark, folder):
+        p, fs = file_system(spark, f.getPath().toString())
+        if p.getName().endswith(".txt"):
+            fs.rename(p, p.suffix(".csv"))
+    return folder
+
+
 @register("load_status", f"""
 WITH {SD_BASE}, {SD_LOADED}
 SELECT 'SD' AS report, 'loaded' AS status, CAST(count(*) AS BIGINT) AS n_out FROM loaded

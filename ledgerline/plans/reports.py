@@ -56,12 +56,37 @@ def _stamp(ctx: LoadContext) -> dict[str, Column]:
             "USUARIO_DATA": F.lit(ctx.load_user)}
 
 
+#: What ``on_bad="quarantine"`` adds: why a row is set aside (null for good rows), and its raw cells as JSON.
+FAULT, RAW = "__fault", "__raw"
+
+
+def _set_aside(df: DataFrame, raw_names: tuple[str, ...], strict: dict[str, tuple[Column, str]]) -> DataFrame:
+    """Parse each column of ``strict`` (name -> lenient parse, what it should be): a value that does not parse makes a
+    fault instead of an error."""
+    faults = [F.when(F.col(c).isNotNull() & parsed.isNull(), F.lit(f"{c} is no {what}")) for c, (parsed, what) in strict.items()]
+    text = F.concat_ws("; ", *faults)
+    fault = F.when(text != "", text)
+    return df.withColumns({FAULT: fault, RAW: F.when(fault.isNotNull(), F.to_json(F.struct(*raw_names)))}) \
+        .withColumns({c: parsed for c, (parsed, _) in strict.items()})
+
+
 def sd_text_parsed(raw: DataFrame, ctx: LoadContext, realign_rows: bool = True,
-                   keep: tuple[str, ...] = ()) -> DataFrame:
-    """SD rows from a day-first text source (CSV): trim, realign, classify, parse."""
+                   keep: tuple[str, ...] = (), on_bad: str = "fail") -> DataFrame:
+    """SD rows from a day-first text source (CSV): trim, realign, classify, parse.
+
+    A registration date that does not parse is an error, or with
+    ``on_bad="quarantine"`` a fault of its row (for ``publish(quarantine=...)``).
+    """
     df = strip_all(raw.select(*keep, *SD_SPEC.raw_names), list(SD_SPEC.raw_names))
     if realign_rows:
         df = realign(df)
+    if on_bad == "quarantine":
+        lenient = {"FECHA_REG": (parse_date_dmy("FECHA_REG").cast("timestamp_ntz"), "date")}
+        return _set_aside(df, SD_SPEC.raw_names, lenient).withColumns({
+            "TIPO_DOC": normalize_doc_type("TIPO_DOC"),
+            "AGENCIAMIENTO": flag_blank("VALIDO_HASTA", "A", "C"),
+            "FECHA_NAC": parse_date_dmy("FECHA_NAC", strict=False),
+        })
     return df.withColumns({
         "TIPO_DOC": normalize_doc_type("TIPO_DOC"),
         "AGENCIAMIENTO": flag_blank("VALIDO_HASTA", "A", "C"),
@@ -90,8 +115,16 @@ def sd_workbook_parsed(raw: DataFrame, ctx: LoadContext, source_format: str | Co
     }).drop("__fmt")
 
 
-def os_parsed(raw: DataFrame, ctx: LoadContext, keep: tuple[str, ...] = ()) -> DataFrame:
+def os_parsed(raw: DataFrame, ctx: LoadContext, keep: tuple[str, ...] = (), on_bad: str = "fail") -> DataFrame:
+    """OS rows; an id or creation date that does not parse is an error, or a fault of its row as in :func:`sd_text_parsed`."""
     df = strip_all(raw.select(*keep, *OS_SPEC.raw_names), list(OS_SPEC.raw_names))
+    if on_bad == "quarantine":
+        lenient = {"ID": (F.col("ID").try_cast("int"), "number"), "FECHA_CREA": (parse_date_dmy("FECHA_CREA"), "date")}
+        return _set_aside(df, OS_SPEC.raw_names, lenient).withColumns({
+            "FECHA_CARTA": parse_date_dmy("FECHA_CARTA", strict=False),
+            "USUARIO_CREA": blank_to_null("USUARIO_CREA"),
+            "USUARIO_CARTA": blank_to_null("USUARIO_CARTA"),
+        })
     return df.withColumns({
         "ID": F.col("ID").cast("int"),
         "FECHA_CREA": parse_date_dmy("FECHA_CREA", strict=True),
@@ -128,6 +161,28 @@ def finish(parsed: DataFrame, spec: ReportSpec, ctx: LoadContext,
     return dedupe(kept).withColumns(stamp).select(*spec.output_names)
 
 
+def finish_split(parsed: DataFrame, spec: ReportSpec, ctx: LoadContext) -> DataFrame:
+    """Good and bad rows in one frame, for one write split by ``part``.
+
+    ``part`` is ``good`` (on or before the cut-off), ``late``, ``undated`` or
+    ``bad``.  Equal rows are one with their number in ``copies``, which is the
+    de-duplication; late and undated rows are folded into one row a date.  So
+    the sums of ``copies`` are the audit's counts, from the very rows that were
+    written, whatever tasks ran twice.
+    """
+    stamp = _stamp(ctx)
+    body = [n for n in spec.output_names if n not in stamp]
+    day = F.col(spec.date_column).cast("date")
+    part = (F.when(F.col(FAULT).isNotNull(), F.lit("bad")).when(day.isNull(), F.lit("undated"))
+             .when(day > F.lit(ctx.cutoff), F.lit("late")).otherwise(F.lit("good")))
+    source = F.col("source_file") if "source_file" in parsed.columns else F.lit(None).cast("string")
+    rows = parsed.withColumn("part", part)
+    good, bad = F.col("part") == "good", F.col("part") == "bad"
+    rows = rows.select(*[F.when(good, F.col(c)).alias(c) for c in body], "part", day.alias("day"),
+                       *[F.when(bad, c).alias(n) for n, c in (("source_file", source), ("fault", F.col(FAULT)), ("raw", F.col(RAW)))])
+    return rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("copies")).withColumns(stamp)
+
+
 def load_sd_text(raw: DataFrame, ctx: LoadContext, realign_rows: bool = True) -> DataFrame:
     return finish(sd_text_parsed(raw, ctx, realign_rows), SD_SPEC, ctx)
 

@@ -37,7 +37,7 @@ def _source_kind(spark: SparkSession, folder: str) -> str:
 
 def parsed_report(spark: SparkSession, report: str, folder: str, ctx: LoadContext,
                   source: str = "auto", encoding: str = "auto", compat: bool = False,
-                  per_sheet: bool = False) -> tuple[DataFrame, str]:
+                  per_sheet: bool = False, on_bad: str = "fail") -> tuple[DataFrame, str]:
     """Parsed (pre cut-off) rows of one report folder, and the read mode.
 
     ``encoding`` goes to the CSV reader; ``per_sheet`` to the workbook reader."""
@@ -46,9 +46,11 @@ def parsed_report(spark: SparkSession, report: str, folder: str, ctx: LoadContex
     if kind == "csv":
         names = spec.raw_names
         cells, facts = read_report_csv(spark, folder, names, encoding=encoding, compat=compat)
-        if report == "SD":
-            return sd_text_parsed(cells, ctx), facts["read_mode"]
-        return os_parsed(cells, ctx), facts["read_mode"]
+        keep = ("source_file",) if on_bad == "quarantine" else ()
+        parse = sd_text_parsed if report == "SD" else os_parsed
+        return parse(cells, ctx, keep=keep, on_bad=on_bad), facts["read_mode"]
+    if on_bad != "fail":
+        raise ValueError("rows of workbooks are not set aside; load them with on_bad='fail'")
     cells = read_workbooks(spark, folder, spec.positions, spec.raw_names, per_sheet=per_sheet)
     if report == "SD":
         return sd_workbook_parsed(cells, ctx, F.col("source_format"), compat=compat), "workbook"
@@ -58,10 +60,12 @@ def parsed_report(spark: SparkSession, report: str, folder: str, ctx: LoadContex
 def load_report(spark: SparkSession, report: str, folder: str, cutoff, target, guard: str = "fail",
                 source: str = "auto", load_ts: _dt.datetime | None = None, load_user: str | None = None,
                 encoding: str = "auto", compat: bool = False,
-                per_sheet: bool = False) -> LoadResult:
+                per_sheet: bool = False, quarantine: str | None = None) -> LoadResult:
+    """Load one report folder; bad rows of CSV reports go to the folder ``quarantine``, if there is one, and else fail the load."""
     ctx = LoadContext.of(cutoff, load_ts, load_user)
-    parsed, mode = parsed_report(spark, report, folder, ctx, source, encoding, compat, per_sheet)
-    return publish(spark, parsed, SPECS[report], ctx, target, guard=guard, read_mode=mode)
+    on_bad = "fail" if quarantine is None else "quarantine"
+    parsed, mode = parsed_report(spark, report, folder, ctx, source, encoding, compat, per_sheet, on_bad)
+    return publish(spark, parsed, SPECS[report], ctx, target, guard=guard, read_mode=mode, quarantine=quarantine)
 
 
 def load_reports(spark: SparkSession, jobs: Sequence[tuple[str, str, object]], cutoff, guard: str = "fail",

@@ -24,14 +24,16 @@ from __future__ import annotations
 
 import datetime as _dt
 import time
+import uuid
 from dataclasses import dataclass
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerline.operators.cutoff import newest, post_dedupe_metrics, pre_cutoff_metrics
-from ledgerline.plans.reports import LoadContext, finish
+from ledgerline.plans.reports import LoadContext, finish, finish_split
 from ledgerline.session import scratch_path
 from ledgerline.sinks.targets import LoadFacts, remove
 from ledgerline.spec import ReportSpec
@@ -112,7 +114,11 @@ def _refused(spec: ReportSpec, last: _dt.date, guard: str) -> None:
 
 def publish(spark: SparkSession, parsed: DataFrame, spec: ReportSpec, ctx: LoadContext, target,
             guard: str = "fail", on_empty: str = "fail", read_mode: str = "plain",
-            run_date: _dt.date | None = None) -> LoadResult:
+            run_date: _dt.date | None = None, quarantine: str | None = None) -> LoadResult:
+    """Load one report.  ``quarantine`` is a folder for the bad rows of a frame parsed with ``on_bad="quarantine"``: good
+    and bad rows are split by one write, and the load's bad rows go to ``<quarantine>/load=<stamp>-<id>``, with file,
+    fault, raw cells and number of copies.  The audit then has ``quarantined``, and adds up:
+    ``n_in = rows kept with their copies + excluded + null_date_rows + quarantined``."""
     if guard not in GUARDS:
         raise ValueError(f"guard must be one of {GUARDS}")
     t0 = time.time()
@@ -128,6 +134,8 @@ def publish(spark: SparkSession, parsed: DataFrame, spec: ReportSpec, ctx: LoadC
     if not allowed(target.last_load_date(spark)):
         _refused(spec, seen[-1], guard)
         return LoadResult(audit, target, ctx.load_ts)
+    if quarantine is not None:
+        return _publish_split(spark, parsed, spec, ctx, target, guard, on_empty, audit, allowed, seen, quarantine, t0)
     obs_in = Observation(f"{spec.name.lower()}_in")
     obs_out = Observation(f"{spec.name.lower()}_out")
     loaded = finish(parsed, spec, ctx, observation=obs_in)
@@ -150,6 +158,41 @@ def publish(spark: SparkSession, parsed: DataFrame, spec: ReportSpec, ctx: LoadC
     return LoadResult(audit, target, ctx.load_ts)
 
 
+def split_metrics(written: DataFrame) -> dict:
+    """Audit counts from the split table: sums of the copies that were written, no second parse."""
+    of = lambda part: F.coalesce(F.sum(F.when(F.col("part") == part, F.col("copies"))), F.lit(0))
+    good = F.col("part") == "good"
+    return written.agg(
+        F.coalesce(F.sum("copies"), F.lit(0)).alias("n_in"), F.count_if(good).alias("n_out"), of("late").alias("excluded"),
+        of("undated").alias("null_date_rows"), of("bad").alias("quarantined"),
+        F.min(F.when(good, F.col("day"))).alias("first_date"), F.max("day").alias("last_date")).first().asDict()
+
+
+def _publish_split(spark, parsed, spec, ctx, target, guard, on_empty, audit, allowed, seen, quarantine, t0) -> LoadResult:
+    staged_path, good_path = (scratch_path(spark, f"stage-{spec.name.lower()}") for _ in range(2))
+    try:
+        split = finish_split(parsed, spec, ctx)
+        split.write.partitionBy("part").parquet(staged_path)
+        written = spark.read.schema(split.schema).parquet(staged_path)
+        audit |= split_metrics(written)
+        if audit["n_out"] == 0 and on_empty == "fail":
+            raise LoadError(f"report {spec.name}: no rows on or before the cut-off {ctx.cutoff:%d-%m-%Y}")
+        written.where("part = 'good'").select(*spec.output_names).write.parquet(good_path)
+        facts = LoadFacts(ctx.load_ts, audit["n_out"], audit["first_date"], audit["last_date"])
+        if target.take_over(spark, good_path, facts, allowed):
+            audit["status"] = "loaded"
+            if audit["quarantined"]:
+                to = f"{quarantine.rstrip('/')}/load={ctx.load_ts:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
+                written.where("part = 'bad'").select("source_file", "fault", "raw", "copies").write.parquet(to)
+        else:
+            _refused(spec, seen[-1], guard)
+    finally:
+        remove(spark, staged_path)
+        remove(spark, good_path)
+    audit["elapsed_s"] = int(time.time() - t0)
+    return LoadResult(audit, target, ctx.load_ts)
+
+
 def run_reports(jobs) -> list[dict]:
     """Run report loads in order (e.g. SD then OS); a failure stops the rest.
 

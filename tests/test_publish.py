@@ -179,3 +179,26 @@ def test_one_scan_audit_equals_two_pass(spark):
     body = [c for c in SD_SPEC.output_names if c not in ("FECHA_DATA", "USUARIO_DATA")]
     assert (audit_one_scan(parsed, "SD", "FECHA_REG", CTX.cutoff, body).first()
             == audit_frame(parsed, finish(parsed, SD_SPEC, CTX), "SD", "FECHA_REG", CTX.cutoff).first())
+
+
+def test_quarantine_sets_bad_rows_aside(spark, scratch):
+    from ledgerline.plans.run import load_report
+    import os
+    row = "DNI,{n},ANA PAZ,01/01/1980,P,{d},WEB,PERU,VIDA,77,BK SUR,06/01/2024,,U1,08/01/2024\n"
+    os.makedirs(f"{scratch}/in")
+    with open(f"{scratch}/in/a.csv", "w") as f:
+        f.write(",".join(SD_SPEC.raw_names) + "\n" + row.format(n=1, d="05/01/1999") * 2 + row.format(n=2, d="99/99/1999") * 2
+                + row.format(n=3, d="soon") + row.format(n=4, d="05/01/2024") + row.format(n=5, d=""))
+    with open(f"{scratch}/in/b.csv", "w") as f:
+        f.write(",".join(SD_SPEC.raw_names) + "\n" + row.format(n=2, d="99/99/1999"))
+    target = ParquetTarget(f"{scratch}/T")
+    a = load_report(spark, "SD", f"{scratch}/in", "01-01-2000", target, load_ts=CTX.load_ts, quarantine=f"{scratch}/bad").audit
+    assert {k: a[k] for k in ("status", "n_in", "n_out", "excluded", "null_date_rows", "quarantined")} == {
+        "status": "loaded", "n_in": 8, "n_out": 1, "excluded": 1, "null_date_rows": 1, "quarantined": 4}
+    assert (a["first_date"], a["last_date"]) == (dt.date(1999, 1, 5), dt.date(2024, 1, 5))
+    bad = spark.read.parquet(f"{scratch}/bad").collect()
+    assert sorted((r.source_file, r.copies, r.fault) for r in bad) == [
+        ("a.csv", 1, "FECHA_REG is no date"), ("a.csv", 2, "FECHA_REG is no date"), ("b.csv", 1, "FECHA_REG is no date")]
+    assert all('"NRO_DOC"' in r.raw for r in bad) and target.read(spark).columns == SD_SPEC.output_names
+    with pytest.raises(Exception):
+        load_report(spark, "SD", f"{scratch}/in", "01-01-2000", ParquetTarget(f"{scratch}/T2"), load_ts=CTX.load_ts)

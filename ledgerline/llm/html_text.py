@@ -56,7 +56,8 @@ SOFT = {"nav", "menu", "form", "button", "select", "option", "optgroup", "search
 # Words that say where a marked part is or what holds it, not what it is.
 PLACE = {"site", "page", "global", "top", "bottom", "left", "right", "primary", "secondary", "main", "box", "container", "wrapper",
          "wrap", "list", "section", "block", "area", "inner", "outer", "bar", "links", "link", "item", "items", "menu", "posts",
-         "articles", "stories", "buttons", "icons", "text", "slot", "unit", "col", "column", "row", "form", "media", "user", "reader", "google"}
+         "articles", "stories", "buttons", "icons", "text", "slot", "unit", "col", "column", "row", "form", "media", "user", "reader", "google",
+         "thread", "threads", "feed", "count", "body", "content"}
 # Function words of English, German, French and Spanish.
 STOP_WORDS = frozenset("""
 a an and are as at be been but by for from had has have he her his if in into is it its not of on or she so than that the
@@ -83,8 +84,13 @@ HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 
 
 def boilerplate(name: str, attributes: str) -> int:
-    """How firmly an element is marked as boilerplate."""
-    cues = {name}
+    """How firmly an element is marked as boilerplate.
+
+    A class or id counts if it is a cue as a whole (``side-bar``), or if all of
+    its words are cues or say where something is; only such single words match
+    by their start, so ``comment-list`` is a mark and ``comment-on-policy`` is not.
+    """
+    cues, starts = {name}, set()
     if attributes:
         for key, a, b, c in ATTRIBUTE.findall(attributes):
             key, value = key.lower(), a or b or c
@@ -93,15 +99,17 @@ def boilerplate(name: str, attributes: str) -> int:
                 return HARD
             if key == "role":
                 cues.add(value.lower())
+                starts.add(value.lower())
             elif key in ("class", "id"):
                 for token in value.split():
                     words = {w.lower() for w in CUE_WORDS.findall(token) if len(w) > 1}
                     cues.add("".join(re.findall("[a-z]+", token.lower())))
                     if all(w in FIRM or w in SOFT or w in PLACE or w.startswith(FIRM_START) for w in words):
                         cues |= words - PLACE | words & SOFT
+                        starts |= words
     if name in ("html", "body", "main") or name in HEADINGS:
         return NONE
-    if cues & FIRM or any(c.startswith(FIRM_START) and c != "commentary" for c in cues):
+    if cues & FIRM or any(c.startswith(FIRM_START) and c != "commentary" for c in starts):
         return HARD
     return MILD if name != "article" and cues & SOFT else NONE
 

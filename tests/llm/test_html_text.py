@@ -1,3 +1,6 @@
+import random
+
+import pytest
 from helpers import LONG
 
 from ledgerline.llm import html_text as H
@@ -73,3 +76,31 @@ def test_template_pages_equal_their_article(spark):
         parts = (" ".join(html.unescape(re.sub("</?b>", "", x)).split()) for x in re.split("</?(?:p|h1)>|<br>", article))
         want[r.page_id] = " ".join(filter(None, parts))
     assert {r.page_id: r.text for r in H.extract(pages).collect()} == want
+
+
+PARAGRAPH = "The council has decided that it will not change the rules for the market in the old town before the end of the year, and that the " \
+            "people who live there are to be asked what they would like to see in its place when the work on the river is done. "
+
+
+@pytest.mark.parametrize("mark, kept", [
+    ('id="comment-on-policy"', True), ('class="cookie-recipes"', True), ('class="sponsorship-history"', True), ('id="consent-of-the-governed"', True),
+    ('id="commentary"', True), ('class="comment"', False), ('class="comments-list"', False), ('id="comment-12"', False), ('class="CommentThread"', False),
+    ('class="cookie-banner"', False), ('id="cookieConsent"', False), ('class="sponsored"', False), ('class="advertisement-box"', False),
+    ('class="side-bar"', False), ('role="comment"', False)])
+def test_cues_are_whole_words(mark, kept):
+    page = f"<html><body><article><p>{PARAGRAPH}</p><div {mark}><p>Marked. {PARAGRAPH}</p></div></article></body></html>"
+    assert ("Marked." in H.main_text(page)) == kept
+
+
+def test_pages_without_article_by_density_and_neighbours():
+    """Brute force of what such a page's text is: its paragraphs and heading, none of its menus, notices and comments."""
+    rng = random.Random(3)
+    words = "the of and in to is that was for on with as his they be at one have this from".split()
+    for k in range(40):
+        prose = lambda n: " ".join(rng.choice(words) if rng.random() < 0.5 else f"word{rng.randrange(500)}" for _ in range(n)).capitalize() + "."
+        body = [("h1", f"Title number {k} of the day")] + [("p", prose(rng.randrange(60, 120))) for _ in range(rng.randrange(2, 6))]
+        links = "".join(f'<li><a href="/{i}">Entry {i}</a></li>' for i in range(rng.randrange(3, 20)))
+        junk = f'<ul>{links}</ul><div class="cookie-banner"><p>{prose(70)}</p></div>'
+        after = f'<div id="comments"><div class="comment"><p>{prose(80)}</p></div></div><footer><p>{prose(50)}</p></footer>'
+        page = f"<html><head><title>x</title></head><body>{junk}<div>" + "".join(f"<{t}>{x}</{t}>\n" for t, x in body) + f"</div>{after}</body></html>"
+        assert H.main_text(page) == " ".join(x for _, x in body)

@@ -17,9 +17,16 @@ document-at-a-time pruning with block maxima, done for many passages at once:
 3. items of the remaining blocks get the same bound, and what is left its full
    score.
 
-No item above the threshold is missed.  Retrieved pairs are then verified by
-the overlap of word n-grams with the item's question (its text up to the last
-sentence) and answer (the last sentence).
+No item above the threshold is missed.  Items of more than ``PART`` words are
+indexed as parts of that length, every ``PART_STEP`` words, so a copied stretch
+of ``PART`` words holds most of one.  Retrieved pairs are then verified by the
+overlap of word n-grams with the item's question (its text up to the last
+sentence) and answer (the last sentence), or with the whole item, or with the
+part that was retrieved: a copy counts whichever sentence it lies in.
+
+Statistics (number of parts, their mean length, parts that hold a term) are of
+all items, also where the items are too many for one broadcast index and are
+searched lot by lot; so scores and pairs do not depend on the lots.
 
 Defined cases: null and empty texts have no passages; items without words are
 never found; equal items are found each; repeated rows are done one by one; a
@@ -31,6 +38,7 @@ from __future__ import annotations
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -39,10 +47,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.llm.bpe import slices
-from ledgerline.llm.common import col
+from ledgerline.llm.common import col, staged, unstage
 from ledgerline.llm.textwords import alnum_table, hash_words
 
 PART = 64            # words of an indexed part of an item, at most
+PART_STEP = 16       # words from one part of a long item to the next
 STEP = 128           # words from one passage to the next
 THRESHOLD = 0.6      # of the item's own score
 K1, B = 0.9, 0.4
@@ -50,6 +59,7 @@ ASIDE = 0.5          # share of the threshold that the terms set aside may reach
 BLOCK_ITEMS = 8      # indexed parts to a block
 GRAM = 3             # words of an n-gram in verification
 QUESTION_OVERLAP, ANSWER_OVERLAP, QUESTION_ALONE = 0.6, 0.5, 0.8
+WHOLE_OVERLAP = 0.6  # of the whole item's n-grams, or of the part's
 INDEX_ITEMS = 20_000           # items of one broadcast index, at most; more are searched index by index
 INDEX_CHARS = 32_000_000       # and their text
 WORD = re.compile("[0-9A-Za-z_\u0080-\U0010ffff]+")  # as textwords.alnum_table
@@ -64,6 +74,18 @@ def grams(words: list[str]) -> set[tuple[str, ...]]:
     return {tuple(words[i:i + n]) for i in range(len(words) - n + 1)} if n else set()
 
 
+def parts_of(words: list[str]) -> list[list[str]]:
+    """The parts of an item that are indexed: all of it, or stretches of ``PART`` words, the last one at its end."""
+    last = max(0, len(words) - PART)
+    return [words[a:a + PART] for a in [*range(0, last, PART_STEP), last]] if words else []
+
+
+def share(part: list[str], words: list[str]) -> float:
+    """Share of the n-grams of ``part`` among those of ``words``."""
+    own, n = grams(part), min(GRAM, len(part))
+    return len(own & set(zip(*(words[i:] for i in range(n))))) / len(own) if own else 1.0
+
+
 class Item:
     def __init__(self, item_id, text: str):
         self.item_id, self.words = item_id, words_of(text)
@@ -73,30 +95,33 @@ class Item:
 
     def overlaps(self, words: list[str]) -> tuple[float, float]:
         """Shares of the question's and the answer's n-grams among those of ``words``."""
-        shares = []
-        for part in (self.question, self.answer):
-            own = grams(part)
-            n = min(GRAM, len(part))
-            found = {g for g in zip(*(words[i:] for i in range(n)))} if n else set()
-            shares.append(len(own & found) / len(own) if own else 1.0)
-        return shares[0], shares[1]
+        return share(self.question, words), share(self.answer, words)
+
+
+@dataclass
+class Statistics:
+    """Of all items' parts: their number, mean length, and how many hold a term."""
+
+    parts: int
+    mean: float
+    df: dict[str, int]
 
 
 class Index:
     """Inverted lists of the parts of items, by term in order of falling list length."""
 
-    def __init__(self, rows: list[tuple[object, str]]):
+    def __init__(self, rows: list[tuple[object, str]], statistics: Statistics | None = None):
         self.items = [i for i in (Item(*r) for r in rows) if i.words]
-        parts = [(k, i.words[a:a + PART]) for k, i in enumerate(self.items) for a in range(0, len(i.words), PART)]
-        self.part_item = np.array([k for k, _ in parts], np.int64)
+        parts = [(k, w) for k, i in enumerate(self.items) for w in parts_of(i.words)]
+        self.part_item, self.part_words = np.array([k for k, _ in parts], np.int64), [w for _, w in parts]
         counts = [Counter(w) for _, w in parts]
-        df = Counter(t for c in counts for t in c)
+        own = statistics or Statistics(len(parts), sum(len(w) for _, w in parts) / max(len(parts), 1), Counter(t for c in counts for t in c))
+        df, n_parts, mean = {t: own.df[t] for c in counts for t in c}, own.parts, own.mean
         self.terms = {t: i for i, (t, _) in enumerate(sorted(df.items(), key=lambda x: (-x[1], x[0])))}
-        mean = sum(len(w) for _, w in parts) / max(len(parts), 1)
         self.weights: list[dict[int, float]] = []
         for (_, words), c in zip(parts, counts):
             norm = K1 * (1 - B + B * len(words) / mean)
-            w = {self.terms[t]: np.log1p((len(parts) - df[t] + 0.5) / (df[t] + 0.5)) * n * (K1 + 1) / (n + norm)
+            w = {self.terms[t]: np.log1p((n_parts - df[t] + 0.5) / (df[t] + 0.5)) * n * (K1 + 1) / (n + norm)
                  for t, n in c.items()}
             total = sum(w.values())
             self.weights.append({t: x / total for t, x in w.items()})
@@ -205,24 +230,54 @@ def search(index: Index, texts: list[str | None]) -> dict[tuple[int, int], tuple
         lo = passage * STEP - len(item.words)
         near = words[k][max(0, lo):passage * STEP + STEP + PART + len(item.words)]
         question, answer = item.overlaps(near)
-        if question >= QUESTION_OVERLAP and (answer >= ANSWER_OVERLAP or question >= QUESTION_ALONE):
+        if question >= QUESTION_OVERLAP and (answer >= ANSWER_OVERLAP or question >= QUESTION_ALONE) \
+                or share(item.words, near) >= WHOLE_OVERLAP or share(index.part_words[part], near) >= WHOLE_OVERLAP:
             old = found.get((k, item_no))
             if old is None or score > old[0]:
                 found[k, item_no] = (score, question, answer)
     return found
 
 
-def indexes(items: DataFrame, id_col: str, text_col: str) -> Iterator[Index]:
-    """Indexes of at most about ``INDEX_ITEMS`` items and ``INDEX_CHARS`` characters, built from collected rows of that size.
+PART_TERMS = T.StructType([T.StructField("lot", T.IntegerType()), T.StructField("term", T.StringType()), T.StructField("n", T.LongType())])
 
-    Each is an index of its own, with the statistics of its items.
-    """
+
+def part_terms(lots: DataFrame) -> DataFrame:
+    """Terms of all items' parts and the number of parts that hold them, by lot; the null term counts parts, and the empty
+    one their words."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found: Counter = Counter()
+            for lot, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                for words in parts_of(words_of(text)):
+                    found.update((lot, t) for t in {*words, None})
+                    found[lot, ""] += len(words)
+            cols = list(zip(*((lot, t, n) for (lot, t), n in found.items()))) or [[]] * 3
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.int32(), pa.string(), pa.int64()))], PART_TERMS.names)
+
+    return lots.select("lot", "text").mapInArrow(run, PART_TERMS).groupBy("lot", "term").agg(F.sum("n").alias("n"))
+
+
+def indexes(items: DataFrame, id_col: str, text_col: str) -> Iterator[Index]:
+    """Indexes of about ``INDEX_ITEMS`` items and ``INDEX_CHARS`` characters, built from collected rows of that size and
+    the statistics of all items; of these, those of a lot's terms reach the driver."""
     src = items.select(col(id_col).alias("id"), col(text_col).cast("string").alias("text"))
     n, chars = src.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.length("text")), F.lit(0))).first()
     lots = max(1, -(-n // INDEX_ITEMS), -(-chars // INDEX_CHARS))
+    placed = src.withColumn("lot", F.pmod(F.xxhash64("id", "text"), F.lit(lots)).cast("int"))
+    order = lambda r: (r.id is not None, r.id)
+    if lots == 1:
+        yield Index([(r.id, r.text) for r in sorted(src.collect(), key=order)])
+        return
+    terms, path = staged(part_terms(placed), "item-terms")
+    totals = terms.where("term is null or term = ''").groupBy("term").agg(F.sum("n").alias("n"))
+    total = {r.term: r.n for r in totals.collect()}
+    df = terms.where("term <> ''").groupBy("term").agg(F.sum("n").alias("n"))
     for k in range(lots):
-        lot = src if lots == 1 else src.where(F.pmod(F.xxhash64("id", "text"), F.lit(lots)) == k)
-        yield Index([(r.id, r.text) for r in sorted(lot.collect(), key=lambda r: (r.id is not None, r.id))])
+        own = terms.where(F.col("lot") == k).select("term")
+        known = {r.term: r.n for r in df.join(own, "term", "left_semi").collect()}
+        statistics = Statistics(total.get(None, 0), total.get("", 0) / max(total.get(None, 0), 1), known)
+        yield Index([(r.id, r.text) for r in sorted(placed.where(F.col("lot") == k).select("id", "text").collect(), key=order)], statistics)
+    unstage(items.sparkSession, path)
 
 
 def contaminated_pairs(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",

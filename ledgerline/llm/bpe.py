@@ -22,9 +22,10 @@ import json
 import re
 from array import array
 from collections.abc import Iterator
-from itertools import islice
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -32,7 +33,7 @@ from ledgerline.llm.common import col
 
 END = "</w>"
 MAX_WORDS = 400_000
-MAX_NODES = 400_000
+MAX_NODES = 600_000
 NEVER = 1 << 60  # rank of a merge that does not exist
 
 
@@ -202,75 +203,125 @@ LATIN_SPEC = {
 }
 
 
-class TextEncoder:
-    """Ids of whole texts through a bounded table of the words met."""
+# What stands apart from words of letters, which white space is put around to cut as LATIN_CUT does.
+LATIN_APART = "(" + LATIN_CUT.pattern.replace("[a-zß-öø-ÿ]+|", "") + ")"
+
+
+class BatchEncoder:
+    """Ids of many texts at once, through a bounded table of the words met.
+
+    Words of a batch become numbers, and each distinct one is looked up once.
+    Texts of LATIN_BYTES are cut together; the others one by one, by the
+    library's own normaliser and pre-tokeniser.
+    """
 
     def __init__(self, vocab: Vocabulary, encode_words=None):
         self.v = vocab
         self.encode_words = encode_words or TrieEncoder(vocab).encode
         self.words: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
 
-    def ids_of(self, words: list[str], mapped) -> list[bytes]:
-        """Ids of words, new ones encoded in byte-mapped order."""
-        new = set(words).difference(self.words)
-        if new:
-            if len(self.words) > MAX_WORDS:
-                self.words.clear()
-                new = set(words)
-            pairs = sorted((mapped(w), w) for w in new)
-            self.words.update(zip([w for _, w in pairs], self.encode_words([m for m, _ in pairs])))
-        return list(map(self.words.__getitem__, words))
-
-    def latin(self, text: str) -> bytes:
-        """Ids of a text of LATIN_BYTES, by its pieces between spaces."""
-        pieces = text.lower().split()
-        new = set(pieces).difference(self.pieces)
+    def ids_of(self, words: list[str]) -> list[bytes]:
+        """Ids of distinct words, new ones encoded in byte-mapped order.
+
+        A word that is byte-mapped already has a space after it, which tells it
+        from words of Latin texts."""
+        known = self.words
+        new = [w for w in words if w not in known]
+        if len(known) + len(new) > MAX_WORDS:
+            known.clear()
+            new = words
         if new:
-            if len(self.pieces) > MAX_WORDS:
-                self.pieces.clear()
-                new = set(pieces)
-            new = list(new)
-            cut = [LATIN_CUT.findall(p) for p in new]
-            ids = iter(self.ids_of([w for c in cut for w in c], self.v.byte_mapped))
-            self.pieces.update((p, b"".join(islice(ids, len(c)))) for p, c in zip(new, cut))
-        return b"".join(map(self.pieces.__getitem__, pieces))
-
-    def __call__(self, text: str) -> bytes:
-        v = self.v
-        if v.latin and "<|" not in text:
+            pairs = sorted((w[:-1] if w[-1] == " " else self.v.byte_mapped(w), w) for w in new)
+            known.update(zip([w for _, w in pairs], self.encode_words([m for m, _ in pairs])))
+        return list(map(known.__getitem__, words))
+
+    def latin(self, texts: list[str]) -> tuple[pa.Array, np.ndarray]:
+        """(words of all texts as a dictionary array, number of each text's) of texts of LATIN_BYTES in lower case."""
+        spaced = pc.replace_substring_regex(pa.array(texts, pa.large_string()), LATIN_APART, r" \1 ")
+        split = pc.ascii_split_whitespace(pc.ascii_trim_whitespace(spaced))
+        return split.flatten().dictionary_encode(), np.diff(split.offsets.to_numpy())
+
+    def other(self, text: str) -> list[str]:
+        """A text's byte-mapped words, each with a space after it, and added tokens, with a line feed."""
+        out = []
+        for span in (self.v.added_at.split(text) if self.v.added_at else [text]):
+            if span in self.v.added:
+                out.append(span + "\n")
+            elif span:
+                out += [w + " " for w, _ in self.v.pre_tokenise(self.v.normalise(span))]
+        return out
+
+    def __call__(self, texts: list[str | None], decoded: bool = False) -> tuple[np.ndarray, np.ndarray, pa.Array | None]:
+        """(ids of all texts in a row, number of each, decoded texts if asked); a null text is an empty one."""
+        lower, others = [], {}
+        for i, text in enumerate(texts):
+            text = text or ""
             try:
-                if not text.encode("latin-1").translate(None, LATIN_BYTES):
-                    return self.latin(text)
+                if self.v.latin and "<|" not in text and not text.encode("latin-1").translate(None, LATIN_BYTES):
+                    lower.append(text.lower())
+                    continue
             except UnicodeEncodeError:
                 pass
-        out = []
-        for span in (v.added_at.split(text) if v.added_at else [text]):
-            if span in v.added:
-                out.append(v.added[span].to_bytes(4, "little"))
-            elif span:
-                # told apart from words of Latin texts, which are not byte-mapped, by a space
-                words = [w + " " for w, _ in v.pre_tokenise(v.normalise(span))]
-                out.extend(self.ids_of(words, lambda w: w[:-1]))
-        return b"".join(out)
+            lower.append("")
+            others[i] = self.other(text)
+        words, n = self.latin(lower)
+        if others:  # an empty text stands for each of them, as one empty word
+            at = np.cumsum(n) - n
+            flat, parts, last = words.dictionary_decode(), [], 0
+            for i, own in others.items():
+                parts += [flat.slice(last, int(at[i]) - last), pa.array(own, pa.large_string())]
+                last, n[i] = int(at[i] + n[i]), len(own)
+            words = pa.concat_arrays([*parts, flat.slice(last)]).dictionary_encode()
+        which, known = words.indices.to_numpy(), words.dictionary.to_pylist()
+        found = dict.fromkeys(known, b"")
+        plain = [w for w in known if w and w[-1] != "\n"]
+        found.update(zip(plain, self.ids_of(plain)))
+        found.update((w, self.v.added[w[:-1]].to_bytes(4, "little")) for w in known if w and w[-1] == "\n")
+        ids = list(found.values())
+        size = np.fromiter(map(len, ids), np.int32, len(ids)) // 4
+        table = np.frombuffer(b"".join(ids), "<u4")
+        k = size[which]
+        total = np.concatenate([[0], np.cumsum(k, dtype=np.int32)]).astype(np.int32)  # of a few MB of text
+        at = np.repeat((np.cumsum(size, dtype=np.int32) - size)[which] - total[:-1], k)
+        at += np.arange(total[-1], dtype=np.int32)
+        ends = np.concatenate([[0], np.cumsum(n)])
+        shown = None
+        if decoded:
+            each = pa.array([self.decode(x) for x in ids], pa.string()).take(words.indices)
+            shown = pc.binary_join(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), each), " ")
+        return table[at], np.diff(total[ends]).astype(np.int64), shown
 
     def decode(self, ids: bytes) -> str:
         """Tokens joined by one space, as a file without a decoder decodes."""
         return " ".join(map(self.v.token.__getitem__, memoryview(ids).cast("I").tolist()))
 
 
-_ENCODERS: dict[int, TextEncoder] = {}
+class TextEncoder(BatchEncoder):
+    """Ids of one text at a time, as little-endian unsigned 32-bit integers."""
+
+    def __call__(self, text: str | None) -> bytes:
+        return super().__call__([text])[0].tobytes()
 
 
-def encoder(spec: str) -> TextEncoder:
+_ENCODERS: dict[int, BatchEncoder] = {}
+
+
+def encoder(spec: str) -> BatchEncoder:
     """This worker's encoder of a vocabulary file's text."""
     key = hash(spec)
     if key not in _ENCODERS:
         _ENCODERS.clear()
-        _ENCODERS[key] = TextEncoder(Vocabulary(spec))
+        _ENCODERS[key] = BatchEncoder(Vocabulary(spec))
     return _ENCODERS[key]
 
 
+def binaries(values: np.ndarray, counts: np.ndarray) -> pa.Array:
+    """One binary value for each run of ``values`` of the given lengths."""
+    offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int64) * values.itemsize
+    parts = [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(values))]
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(counts), parts).cast(pa.binary())
+
+
 def encode(df: DataFrame, vocabulary_path: str, id_col: str = "doc_id", text_col: str = "text",
            decoded: bool = False) -> DataFrame:
     """``id_col``, ``n_tokens``, ``ids`` (little-endian unsigned 32-bit integers) and, if asked, ``decoded``.
@@ -293,12 +344,9 @@ def encode(df: DataFrame, vocabulary_path: str, id_col: str = "doc_id", text_col
         enc = encoder(spec.value)
         for batch in batches:
             for at, rows in slices(batch.column(1)):
-                ids = [enc(t or "") for t in rows]
-                cols = [batch.column(0).slice(at, len(ids)), pa.array([len(x) // 4 for x in ids], pa.int64()),
-                        pa.array(ids, pa.binary())]
-                if decoded:
-                    cols.append(pa.array([enc.decode(x) for x in ids], pa.string()))
-                yield pa.RecordBatch.from_arrays(cols, names)
+                ids, n, shown = enc(rows, decoded)
+                cols = [batch.column(0).slice(at, len(rows)), pa.array(n, pa.int64()), binaries(ids, n)]
+                yield pa.RecordBatch.from_arrays([*cols, shown] if decoded else cols, names)
 
     return src.mapInArrow(run, T.StructType(fields))
 

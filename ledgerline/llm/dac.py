@@ -21,22 +21,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.llm.bpe import LATIN_BYTES, LATIN_CUT, TextEncoder, Vocabulary, slices
+from ledgerline.llm.bpe import BatchEncoder, Vocabulary, slices
 from ledgerline.llm.common import col
 
 MAGIC = b"DACTOK1\n"
 WORD = 512                   # bits between two entries of a rank directory
 SEGMENT_TOKENS = 1 << 20     # a segment ends with the document that reaches this
 SEGMENTS_PER_FILE = 8
-MAX_KEPT = 400_000           # distinct words whose ids a worker keeps
-# What stands apart from words of letters, which white space is put around to cut as LATIN_CUT does.
-LATIN_APART = "(" + LATIN_CUT.pattern.replace("[a-zß-öø-ÿ]+|", "") + ")"
 HEADER = struct.Struct("<8sqqqqq")  # magic, bytes after this header, shard, number in the shard, documents, tokens
 
 
@@ -161,73 +157,6 @@ class LibraryWords:
         return [raw[a:b] for a, b in zip([0, *cuts], cuts)]
 
 
-class BatchEncoder:
-    """Ids of many texts at once: their words become numbers, and each distinct word is looked up once.
-
-    Texts beyond LATIN_BYTES go through the text encoder one by one.
-    """
-
-    def __init__(self, spec: str):
-        self.vocab = Vocabulary(spec)
-        self.words = LibraryWords(spec, self.vocab)
-        self.texts = TextEncoder(self.vocab, self.words)
-        self.met: dict[str, bytes] = {}
-
-    def ids_of(self, words: list[str]) -> list[bytes]:
-        """Ids of distinct words; those not met before go to the library in one call."""
-        met = self.met
-        new = [w for w in words if w not in met]
-        if len(met) + len(new) > MAX_KEPT:
-            met.clear()
-            new = words
-        if new:
-            met.update(zip(new, self.words([self.vocab.byte_mapped(w) for w in new])))
-        return list(map(met.__getitem__, words))
-
-    def latin(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts in a row, number of each) of texts of LATIN_BYTES in lower case."""
-        spaced = pc.replace_substring_regex(pa.array(texts, pa.large_string()), LATIN_APART, r" \1 ")
-        split = pc.ascii_split_whitespace(spaced)
-        word, ends = split.flatten().dictionary_encode(), split.offsets.to_numpy()
-        which, known = word.indices.to_numpy(), word.dictionary.to_pylist()
-        found = dict.fromkeys(known, b"")
-        real = [w for w in known if w]  # white space at a text's ends leaves an empty word
-        found.update(zip(real, self.ids_of(real)))
-        ids = list(found.values())
-        size = np.fromiter(map(len, ids), np.int32, len(ids)) // 4
-        table = np.frombuffer(b"".join(ids), "<u4")
-        n = size[which]
-        total = np.concatenate([[0], np.cumsum(n, dtype=np.int32)]).astype(np.int32)  # of a few MB of text
-        at = np.repeat((np.cumsum(size, dtype=np.int32) - size)[which] - total[:-1], n)
-        at += np.arange(total[-1], dtype=np.int32)
-        return table[at], np.diff(total[ends - ends[0]]).astype(np.int64)
-
-    def __call__(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts in a row, number of each); a null text has none."""
-        lower: list[str] = []
-        other: dict[int, np.ndarray] = {}
-        for i, text in enumerate(texts):
-            text = text or ""
-            try:
-                if self.vocab.latin and "<|" not in text and not text.encode("latin-1").translate(None, LATIN_BYTES):
-                    lower.append(text.lower())
-                    continue
-            except UnicodeEncodeError:
-                pass
-            lower.append("")
-            other[i] = np.frombuffer(self.texts(text), "<u4")
-        ids, n = self.latin(lower)
-        if not other:
-            return ids, n
-        cuts = np.cumsum(n)
-        parts, at = [], 0
-        for i, own in other.items():
-            end = int(cuts[i])
-            parts += [ids[at:end], own]
-            at, n[i] = end, len(own)
-        return np.concatenate([*parts, ids[at:]]), n
-
-
 _ENCODERS: dict[int, BatchEncoder] = {}
 
 
@@ -235,7 +164,8 @@ def library_encoder(spec: str) -> BatchEncoder:
     key = hash(spec)
     if key not in _ENCODERS:
         _ENCODERS.clear()
-        _ENCODERS[key] = BatchEncoder(spec)
+        vocab = Vocabulary(spec)
+        _ENCODERS[key] = BatchEncoder(vocab, LibraryWords(spec, vocab))
     return _ENCODERS[key]
 
 
@@ -268,7 +198,7 @@ def write_tokens(df: DataFrame, path: str, vocabulary_path: str, end_id: int = 2
         for batch in batches:
             ids = batch.column(0).to_pylist()
             for at, rows in slices(batch.column(1)):
-                own, n = enc(rows)
+                own, n, _ = enc(rows)
                 own = np.insert(own, np.cumsum(n), end_id)  # each document's end
                 n = (n + 1).tolist()
                 first = done = 0

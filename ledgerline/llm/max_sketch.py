@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.llm.bpe import slices
+from ledgerline.llm.bpe import binaries, slices
 from ledgerline.llm.common import col, staged
 from ledgerline.llm.textwords import hash_words, runs
 
@@ -63,13 +63,6 @@ def term_table() -> np.ndarray:
     return t
 
 
-def binaries(values: np.ndarray, counts: np.ndarray) -> pa.Array:
-    """One binary value for each run of ``values`` of the given lengths."""
-    offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int64) * values.itemsize
-    big = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(counts), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(values))])
-    return big.cast(pa.binary())
-
-
 def numbers(column: pa.Array, kind: str) -> tuple[np.ndarray, np.ndarray]:
     """(numbers of all values in a row, how many each value has) of a binary column."""
     sizes = np.array([len(x.as_buffer()) for x in column], np.int64) // np.dtype(kind).itemsize

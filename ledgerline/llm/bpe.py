@@ -8,8 +8,8 @@ and whose pair with the last token of the shorter prefix before it survives
 merging.  A word's ids follow from the pointers to those shorter prefixes, so
 the encoding of a prefix shared by many words is computed once.
 
-The words' ids and the trie are kept by a Python worker up to fixed numbers of
-entries, then dropped and rebuilt; that bounds memory and changes no result.
+The words' ids and the trie are kept by a task up to fixed numbers of entries,
+then dropped and rebuilt; that bounds memory and changes no result.
 
 Defined cases: a null text encodes like an empty one (no ids); null ids of the
 id column pass through; repeated rows are encoded one by one; an empty table
@@ -217,9 +217,18 @@ class BatchEncoder:
 
     def __init__(self, vocab: Vocabulary, encode_words=None):
         self.v = vocab
-        self.encode_words = encode_words or TrieEncoder(vocab).encode
+        self.trie = None if encode_words else TrieEncoder(vocab)
+        self.encode_words = encode_words or self.trie.encode
         self.words: dict[str, bytes] = {}
 
+    def release(self) -> None:
+        """Give back the memory of the words and the trie; what the worker keeps is the vocabulary."""
+        self.words = {}
+        if self.trie:
+            self.trie.clear()
+            self.trie.pair_ok.clear()
+        pa.default_memory_pool().release_unused()
+
     def ids_of(self, words: list[str]) -> list[bytes]:
         """Ids of distinct words, new ones encoded in byte-mapped order.
 
@@ -342,11 +351,14 @@ def encode(df: DataFrame, vocabulary_path: str, id_col: str = "doc_id", text_col
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(spec.value)
-        for batch in batches:
-            for at, rows in slices(batch.column(1)):
-                ids, n, shown = enc(rows, decoded)
-                cols = [batch.column(0).slice(at, len(rows)), pa.array(n, pa.int64()), binaries(ids, n)]
-                yield pa.RecordBatch.from_arrays([*cols, shown] if decoded else cols, names)
+        try:
+            for batch in batches:
+                for at, rows in slices(batch.column(1)):
+                    ids, n, shown = enc(rows, decoded)
+                    cols = [batch.column(0).slice(at, len(rows)), pa.array(n, pa.int64()), binaries(ids, n)]
+                    yield pa.RecordBatch.from_arrays([*cols, shown] if decoded else cols, names)
+        finally:
+            enc.release()  # idle workers of later stages hold no tables
 
     return src.mapInArrow(run, T.StructType(fields))
 

@@ -214,6 +214,7 @@ def write_tokens(df: DataFrame, path: str, vocabulary_path: str, end_id: int = 2
                 parts.append(own[first:])
         if docs:
             yield flush()
+        enc.release()
 
     src.mapInArrow(run, "segment binary").select(F.col("segment").cast("string").alias("value")) \
         .write.option("compression", "none").option("maxRecordsPerFile", SEGMENTS_PER_FILE).text(path)

@@ -60,6 +60,7 @@ BLOCK_ITEMS = 8      # indexed parts to a block
 GRAM = 3             # words of an n-gram in verification
 QUESTION_OVERLAP, ANSWER_OVERLAP, QUESTION_ALONE = 0.6, 0.5, 0.8
 WHOLE_OVERLAP = 0.6  # of the whole item's n-grams, or of the part's
+SLICE = 1 << 20                # characters of the texts that are searched at once
 INDEX_ITEMS = 20_000           # items of one broadcast index, at most; more are searched index by index
 INDEX_CHARS = 32_000_000       # and their text
 WORD = re.compile("[0-9A-Za-z_\u0080-\U0010ffff]+")  # as textwords.alnum_table
@@ -298,7 +299,7 @@ def contaminated_pairs(docs: DataFrame, items: DataFrame, id_col: str = "doc_id"
             index = shared.value
             for batch in batches:
                 ids = batch.column(0)
-                for at, rows in slices(batch.column(1)):
+                for at, rows in slices(batch.column(1), SLICE):
                     found = search(index, rows)
                     if found:
                         yield pa.RecordBatch.from_arrays([
@@ -322,7 +323,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, text_col: str = "text", ite
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for at, rows in slices(batch.column(place)):
+                for at, rows in slices(batch.column(place), SLICE):
                     hit = {k for k, _ in search(shared.value, rows)}
                     yield batch.take(pa.array([at + k for k in range(len(rows)) if k not in hit], pa.int64()))
         out = out.mapInArrow(run, out.schema)

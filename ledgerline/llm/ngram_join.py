@@ -135,7 +135,7 @@ def profile(src: DataFrame, words: int) -> DataFrame:
             return pa.RecordBatch.from_arrays([none, none, none, pa.array(n, pa.int64()), none, none, pa.array(grams.view(np.int64))], PROFILE.names)
 
         for batch in batches:
-            for at, rows in slices(batch.column(1), 2 << 20):
+            for at, rows in slices(batch.column(1), 1 << 20):
                 out = []
                 for grams in shingle_sets(rows, words):
                     a, b = fingerprints(grams) if len(grams) else (None, None)
@@ -194,7 +194,7 @@ def segments(src: DataFrame, words: int, hot: np.ndarray, buckets: int) -> DataF
                     pa.array([own.astype("<u4" if len(used) > 65536 else "<u2").tobytes()])], SEGMENT.names)
 
         for batch in batches:
-            for _, texts in slices(batch.column(1), 2 << 20):
+            for _, texts in slices(batch.column(1), 1 << 20):
                 for grams in shingle_sets(texts, words):
                     if len(grams):
                         gathered.add(fingerprints(grams)[0], grams)

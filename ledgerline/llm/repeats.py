@@ -1,12 +1,14 @@
 """Removal of long repeated byte strings, by merging sorted suffixes with interleave refinement.
 
 The suffix order is sparse: of every ``LENGTH``-byte string one anchor, the
-least hash of its ``GRAM``-byte strings (the first of equal ones), is kept, so
-equal strings have their anchors at equal places.  An anchor stands for a run of
+least 32-bit hash of its ``GRAM``-byte strings (the first of equal ones), is
+kept, so equal strings have their anchors at equal places, whatever other texts
+a task looks at with them.  An anchor stands for a run of
 windows and for the text these cover, its context.
 
 1. Every task gives the anchors of its texts.  Anchors whose whole context
-   occurs twice are repeated in full.
+   occurs twice are repeated in full; these are told equal by a 64-bit hash of
+   the context and one of the gram, not by their bytes.
 2. What is left, and only where an anchor's gram meets different contexts, is
    compared byte by byte: the contexts that shards of the input bring to a bucket
    are merged by refining their interleave.  It starts as the order by gram;
@@ -18,7 +20,7 @@ windows and for the text these cover, its context.
    far enough: the two orders cut by common prefix give repeated intervals.
 
 A gram with more than ``GROUP_LIMIT`` contexts is not brought together: its
-windows are counted by hash, pre-aggregated, and joined back.
+windows are counted by 64-bit hash, pre-aggregated, and joined back.
 
 Matches never cross texts; strings are judged on the input.
 
@@ -44,6 +46,7 @@ from ledgerline.llm.textwords import mix, powers
 LENGTH = 400
 GRAM = 32
 GROUP_LIMIT = 20_000
+PLACE_BITS = 32  # an Arrow batch of texts holds at most 2 GB
 SLICE = 1 << 20  # bytes that a task looks at together, or one longer text
 
 
@@ -81,7 +84,7 @@ def anchors(texts: list[bytes], length: int, gram: int) -> tuple[np.ndarray, ...
     at = np.arange(len(data) - gram + 1)
     h = string_hashes(total, at, at + gram)
     # hash above, place below: the first of equal hashes is the least
-    bits = np.uint64(max(1, int(len(data)).bit_length()))
+    bits = np.uint64(PLACE_BITS)
     packed = (h >> bits) << bits | at.astype(np.uint64)
     least = sliding_least(packed, length - gram + 1)
     text_of = np.repeat(np.arange(len(texts)), sizes)[:len(least)]

@@ -90,3 +90,13 @@ def test_every_window_has_its_anchor():
     covered = sorted((int(t), i) for t, a, b in zip(text, lo, hi) for i in range(a, b + 1))
     assert covered == [(k, i) for k, t in enumerate(texts) for i in range(len(t) - 39)]
     assert all(b <= p <= a + 32 for p, a, b in zip(place, lo, hi))
+
+
+def test_anchors_do_not_depend_on_the_texts_beside():
+    rnd = random.Random(4)
+    own = "".join(rnd.choices("abc", k=600)).encode()
+    others = ["".join(rnd.choices("abc", k=n)).encode() for n in (5_000, 200_000)]
+    alone = np.stack(R.anchors([own], 40, 8)[1:])
+    for beside in ([others[0]], others):
+        text, *rest = R.anchors([*beside, own], 40, 8)
+        assert (np.stack(rest)[:, text == len(beside)] == alone).all()

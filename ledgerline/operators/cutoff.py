@@ -8,6 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.dates import format_dmy
+from ledgerline.session import scratch_path
+
+#: Repeated fingerprints that are sent to every task, at 16 bytes each.
+FINGERPRINT_BROADCAST = 1_000_000
 
 
 def _day(c: Column | str) -> Column:
@@ -41,6 +45,37 @@ def dedupe(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     return df.dropDuplicates(columns) if columns else df.dropDuplicates()
 
 
+def dedupe_stored(df: DataFrame, broadcast_limit: int = FINGERPRINT_BROADCAST) -> DataFrame:
+    """The rows of ``dedupe``, where only rows that may have a copy are shuffled.
+
+    A first pass counts 128-bit fingerprints (two 64-bit hashes of the row) and
+    writes those that occur more than once to the shared folder.  Rows with any
+    other fingerprint have no copy and stay where they are; the rest are compared
+    in full, so rows of equal fingerprint that differ both stay.  Beyond
+    ``broadcast_limit`` repeated fingerprints, every row meets its equals in the
+    one shuffle of ``dedupe``.
+
+    ``df`` is read three times, so it must be a stored table, or otherwise give the
+    same rows at every read and be cheap to read.  Nulls compare equal; an empty
+    frame gives no rows.
+    """
+    spark = df.sparkSession
+    taken = {c.lower() for c in df.columns}
+    a, b = (next(n for n in (f"{mark}{'_' * k}" for k in range(len(taken) + 1)) if n not in taken)
+            for mark in ("mark_a", "mark_b"))
+    cells = [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+    marked = df.select(*cells, F.xxhash64(*cells).alias(a), F.xxhash64(F.lit(1), *cells).alias(b))
+    path = scratch_path(spark, "repeated-fingerprints")
+    marked.groupBy(a, b).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(a, b) \
+        .write.mode("overwrite").parquet(path)
+    repeated = spark.read.schema(marked.select(a, b).schema).parquet(path)
+    if repeated.count() > broadcast_limit:
+        return dedupe(df)
+    alone = marked.join(F.broadcast(repeated), [a, b], "left_anti").select(*cells)
+    copies = marked.join(F.broadcast(repeated), [a, b], "left_semi").select(*cells)
+    return alone.unionByName(dedupe(copies))
+
+
 def audit_frame(parsed: DataFrame, loaded: DataFrame, report: str, date_column: str,
                 cutoff: _dt.date) -> DataFrame:
     """One-row audit from the parsed (pre cut-off) and loaded (final) frames.

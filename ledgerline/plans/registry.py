@@ -21,7 +21,7 @@ from ledgerline.functions.dates import (
 from ledgerline.functions.text import blank_to_null, date_shape, flag_blank, normalize_doc_type
 from ledgerline.operators.chunks import chunk_columns
 from ledgerline.operators.columns import select_positions, strip_all
-from ledgerline.operators.cutoff import audit_one_scan, dedupe, keep_until
+from ledgerline.operators.cutoff import audit_one_scan, dedupe, dedupe_stored, keep_until
 from ledgerline.operators.realign import realign
 from ledgerline.plans import raw_views as rv
 from ledgerline.plans.reports import (
@@ -317,6 +317,11 @@ def q_dedupe_rows(spark, sf):
     return dedupe(src)
 
 
+@register("dedupe_stored_rows", "SELECT DISTINCT text, lang, source, n_chars FROM documents")
+def q_dedupe_stored_rows(spark, sf):
+    return dedupe_stored(rv.table(spark, sf, "documents").select("text", "lang", "source", "n_chars"))
+
+
 @register("newest_20", f"""
 WITH {SD_BASE}, {SD_LOADED}
 SELECT {", ".join(SD_SPEC.preview)} FROM loaded

@@ -45,22 +45,40 @@ ALLOWED = "|".join([
 KINDS = ("assign", "access", "hex", "entropy_hex", "entropy_token")
 MARK = "[SECRET]"
 
+CHUNK = 64  # values of a running sum that are appended to one array
+
 EMPTY = "array<struct<s:int,e:int,v:string>>"
 REGIONS = "array<struct<s:int,e:int>>"
 
 
+def running(values: Column, merge=lambda a, x: a + x) -> Column:
+    """Sums of an array of non-negative integers up to each of them, or its running ``merge`` (0 changes nothing).
+
+    Chunks are summed first, so appending a value copies at most a chunk, not all values before it."""
+    def along(part: Column, start: Column) -> Column:
+        zero = F.struct(start.alias("at"), F.array().cast("array<int>").alias("out"))
+        return F.aggregate(part, zero, lambda acc, x: let(merge(acc["at"], x), lambda at: F.struct(
+            at.alias("at"), F.concat(acc["out"], F.array(at)).alias("out"))), lambda acc: acc["out"])
+
+    def of_chunks(chunks: Column) -> Column:
+        totals = F.transform(chunks, lambda c: F.aggregate(c, F.lit(0), merge))
+        return let(along(totals, F.lit(0)), lambda before: F.flatten(F.transform(
+            chunks, lambda c, i: along(c, F.coalesce(F.get(before, i - 1), F.lit(0))))))
+
+    return let(values, lambda v: let(F.transform(
+        F.sequence(F.lit(0), F.floor((F.size(v) - 1) / CHUNK).cast("int")),
+        lambda c: F.slice(v, c * CHUNK + 1, F.lit(CHUNK))), of_chunks))
+
+
 def matches(text: Column, pattern: str, group: int = 0) -> Column:
     """Array of (s, e, v): start, end and group of each leftmost non-overlapping match."""
     def place(parts: Column) -> Column:
         def run(found: Column) -> Column:
             value = found if group == 0 else F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
-            return let(value, lambda v: F.aggregate(
-                F.sequence(F.lit(0), F.size(found) - 1),
-                F.struct(F.lit(0).alias("at"), F.array().cast(EMPTY).alias("out")),
-                lambda acc, i: let(acc["at"] + F.length(F.get(parts, i)), lambda s: let(
-                    s + F.length(F.get(found, i)), lambda e: F.struct(e.alias("at"), F.concat(
-                        acc["out"], F.array(F.struct(s.alias("s"), e.alias("e"), F.get(v, i).alias("v")))).alias("out")))),
-                lambda acc: acc["out"]))
+            steps = F.zip_with(F.slice(parts, F.lit(1), F.size(found)), found, lambda p, f: F.length(p) + F.length(f))
+            return let(value, lambda v: let(running(steps), lambda ends: F.transform(
+                found, lambda f, i: let(F.get(ends, i), lambda e: F.struct(
+                    (e - F.length(f)).alias("s"), e.alias("e"), F.get(v, i).alias("v"))))))
         return let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), run)
     return F.when(text.rlike(pattern), let(F.split(text, pattern, -1), place)).otherwise(F.array().cast(EMPTY))
 
@@ -154,14 +172,25 @@ def digest(scanned: DataFrame) -> DataFrame:
 def redacted(text: Column) -> Column:
     """The text with each union of overlapping spans replaced by ``[SECRET]``."""
     def rebuild(t: Column) -> Column:
-        zero = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
-        return let(spans(t), lambda found: F.when(F.size(found) == 0, t).otherwise(F.aggregate(
-            found, zero,
-            lambda acc, x: F.struct(
-                F.when(x["s"] < acc["at"], acc["out"]).otherwise(
-                    F.concat(acc["out"], F.substring(t, acc["at"] + 1, x["s"] - acc["at"]), F.lit(MARK))).alias("out"),
-                F.greatest(acc["at"], x["e"]).alias("at")),
-            lambda acc: F.concat(acc["out"], F.substring(t, acc["at"] + 1, F.length(t))))))
+        def joined(found: Column, to: Column) -> Column:
+            def before(i: Column) -> Column:
+                return F.coalesce(F.get(to, i - 1), F.lit(0))
+
+            def chunk(first: Column) -> Column:
+                """Text from the end of the spans before this chunk's to the end of its own, cut out once."""
+                last = F.get(to, F.least(first + CHUNK, F.size(found)) - 1)
+                return let(before(first), lambda base: let(F.substring(t, base + 1, last - base), lambda piece: F.array_join(
+                    F.transform(F.slice(found, first + 1, F.lit(CHUNK)), lambda x, j: let(before(first + j), lambda at: F.when(
+                        x["s"] < at, F.lit("")).otherwise(F.concat(F.substring(piece, at - base + 1, x["s"] - at), F.lit(MARK))))), "")))
+
+            chunks = F.transform(F.sequence(F.lit(0), F.floor((F.size(found) - 1) / CHUNK).cast("int")), lambda c: chunk(c * CHUNK))
+            return F.concat(F.array_join(chunks, ""), F.substring(t, before(F.size(found)) + 1, F.length(t)))
+
+        def ends(found: Column) -> Column:
+            return running(F.transform(found, lambda x: x["e"]), lambda a, x: F.greatest(a, x))
+
+        return let(spans(t), lambda found: F.when(F.size(found) == 0, t).otherwise(
+            let(ends(found), lambda to: joined(found, to))))
     return F.when(text.isNotNull(), let(F.coalesce(text, F.lit("")), rebuild))
 
 

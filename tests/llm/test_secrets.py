@@ -67,6 +67,16 @@ def test_long_hyphenated_candidates_do_not_overflow(spark):
     assert got == {0: "", 1: "", 2: "", 3: "", 4: "assign:2:16"}
 
 
+def test_texts_with_very_many_matches(spark):
+    """Matches of more than one chunk of the running sums, and as many that the order of the time taken shows."""
+    texts = [" ".join(f"token=abc{i}def" for i in range(n)) for n in (63, 64, 65, 129, 4097, 9_000)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r.doc_id: tuple(r)[1:] for r in S.digest(S.scan(df)).collect()}
+    assert got == {i: brute(t) for i, t in enumerate(texts)}
+    assert {r.doc_id: r.text for r in S.redact(df).collect()} == {
+        i: " ".join([S.MARK] * n) for i, n in enumerate((63, 64, 65, 129, 4097, 9_000))}
+
+
 def test_edge_rows(spark):
     docs = edge_docs(spark, clash=["found", "spans"])
     got = S.digest(S.scan(docs))

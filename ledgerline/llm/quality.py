@@ -103,6 +103,12 @@ def passes(bits: Column, policy: str = CURRENT_POLICY) -> Column:
     return bits.bitwiseAND(F.lit(rule_mask(POLICIES[policy])).cast("bigint")) == 0
 
 
+def only_rule(bits: Column, policy: str = CURRENT_POLICY) -> Column:
+    """Name of the rule that alone rejects a text under the policy; null for texts it keeps or rejects twice."""
+    b = bits.bitwiseAND(F.lit(rule_mask(POLICIES[policy])).cast("bigint"))
+    return F.coalesce(*[F.when(b == rule_mask([n]), F.lit(n)) for n in POLICIES[policy]])
+
+
 def ablation(led: DataFrame, policy: str = CURRENT_POLICY, bits: str = "ledger.failed_bits") -> DataFrame:
     """Per rule of a policy: texts that fail it, and texts that it alone rejects.
 

@@ -53,20 +53,24 @@ b as (select m.*, cast(
         + (case when n_lines >= 4 and 100 * n_dup_lines > 50 * n_lines then 64 else 0 end) as bigint) as failed_bits
       from m)
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-       (failed_bits & 3) <> 0 as base_failed, failed_bits = 0 as kept, failed_bits from b
+       (failed_bits & 3) <> 0 as base_failed, failed_bits = 0 as kept, failed_bits, only_rule,
+       case when only_rule is not null then count(*) over (partition by only_rule) end as n_only_rule
+from (select b.*, case failed_bits when 1 then 'few_words' when 2 then 'repeated_words' when 4 then 'short_words'
+             when 8 then 'long_words' when 16 then 'symbols' when 32 then 'exclaiming' when 64 then 'repeated_lines' end as only_rule from b)
 """
 
 
 @register("op9_quality_rules", OP9_SQL)
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Quality ledger of every document under the current policy."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    led = quality.ledger(docs)
+    """Quality ledger of every document, stored once; the policies and the ablation read the stored bits only."""
+    led, _ = staged(quality.ledger(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "ledger"), "quality-ledger")
     bits = F.col("ledger.failed_bits")
-    return led.select(
+    # one row per rule: what the current policy would keep more without it
+    alone = quality.ablation(led).select(F.col("rule").alias("only_rule"), F.col("n_only").alias("n_only_rule"))
+    return led.withColumn("only_rule", quality.only_rule(bits)).join(F.broadcast(alone), "only_rule", "left").select(
         "doc_id", *[f"ledger.{c}" for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")],
         (~quality.passes(bits, "v1")).alias("base_failed"), quality.passes(bits).alias("kept"),
-        bits.alias("failed_bits"))
+        bits.alias("failed_bits"), "only_rule", "n_only_rule")
 
 
 @register("op7_bpe")

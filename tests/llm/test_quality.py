@@ -48,6 +48,31 @@ def test_policies_and_ablation_use_the_stored_bits(spark):
     assert ab["symbols"] == (2, 1) and ab["few_words"] == (2, 1) and ab["long_words"] == (0, 0)
 
 
+def test_stored_ledger_gives_policies_and_ablation(spark, scratch):
+    """Bits written once and read again; brute force from the texts, under both policies."""
+    texts = ["x " * 60, "a b", "!! " * 80, "# $ % & word " * 30, " ".join(f"w{i}" for i in range(90)), None,
+             " ".join(f"extraordinarily{i}long" for i in range(70)), "one two\n" * 40 + " ".join(f"v{i}" for i in range(400)),
+             "\n".join(["same line here"] * 9 + [f"q{i}" for i in range(3)]), " ".join(chr(97 + i % 26) + str(i % 9) for i in range(300))]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    Q.ledger(df).select("doc_id", "ledger").write.parquet(scratch + "/ledger")
+    led = spark.read.parquet(scratch + "/ledger")
+
+    def failed(text):
+        n, chars, symbols, marks, lines, dup, rep = brute(text)
+        return {name for name, bad in zip([name for name, _ in Q.RULES], (
+            n < 50, 100 * rep > 50 * n, chars < 3 * n, chars > 12 * n, 100 * symbols > 30 * n, 100 * marks > 50 * n,
+            lines >= 4 and 100 * dup > 50 * lines)) if bad}
+
+    for policy, rules in Q.POLICIES.items():
+        want = [failed(t) & set(rules) for t in texts]
+        bits = led.ledger.failed_bits
+        got = led.select("doc_id", Q.passes(bits, policy).alias("kept"), Q.only_rule(bits, policy).alias("only")).collect()
+        assert {r.doc_id: (r.kept, r.only) for r in got} == {
+            i: (not w, next(iter(w)) if len(w) == 1 else None) for i, w in enumerate(want)}
+        ab = {r.rule: (r.n_failed, r.n_only) for r in Q.ablation(led, policy).collect()}
+        assert ab == {r: (sum(r in w for w in want), sum(w == {r} for w in want)) for r in rules}
+
+
 def test_filter_keeps_rows_and_columns(spark):
     docs = edge_docs(spark, clash=["quality_ledger"])
     kept = Q.filter_quality(docs)

@@ -26,13 +26,16 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.llm.bpe import BatchEncoder, Vocabulary, slices
+from ledgerline.llm.bpe import END, BatchEncoder, Vocabulary, laid_out, slices
 from ledgerline.llm.common import col
 
 MAGIC = b"DACTOK1\n"
 WORD = 512                   # bits between two entries of a rank directory
 SEGMENT_TOKENS = 1 << 20     # a segment ends with the document that reaches this
 SEGMENTS_PER_FILE = 8
+SLICE = 8 << 20              # length of the texts that are encoded together
+WORDS = 400_000              # words whose ids a worker keeps
+WORD_IDS = 1 << 23           # and ids of them
 HEADER = struct.Struct("<8sqqqqq")  # magic, bytes after this header, shard, number in the shard, documents, tokens
 
 
@@ -133,39 +136,80 @@ def headers(data: bytes) -> list[tuple[int, int, int]]:
     return rows
 
 
-class LibraryWords:
-    """Ids of byte-mapped words by the tokenizers library's own model, one call for many words."""
+class LibraryEncoder(BatchEncoder):
+    """Ids of many texts by the tokenizers library's own model: one call for the new words of a batch.
+
+    The ids of the words met are stretches of one array.  A worker keeps up to
+    ``WORDS`` of them, or ``WORD_IDS`` ids, between its tasks; beyond, it begins
+    anew, which changes no result.
+    """
 
     def __init__(self, spec: str, vocab: Vocabulary):
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import WhitespaceSplit
 
+        self.v = vocab
         self.library = Tokenizer.from_str(spec)
         self.library.no_truncation()
         self.library.no_padding()
         # the words are normalised, cut and byte-mapped already; byte-mapped text has no white space
         self.library.normalizer, self.library.pre_tokenizer = None, WhitespaceSplit()
-        self.ends = np.array([t.endswith("</w>") for t in vocab.token])
-
-    def __call__(self, words: list[str]) -> list[bytes]:
-        found = self.library.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0]
-        ids = np.array(found.ids, "<u4")
-        cuts = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
-        if len(cuts) != len(words):
-            raise ValueError("a word was cut by the library")
-        raw = ids.tobytes()
-        return [raw[a:b] for a, b in zip([0, *cuts], cuts)]
-
-
-_ENCODERS: dict[int, BatchEncoder] = {}
-
-
-def library_encoder(spec: str) -> BatchEncoder:
+        self.ends = np.array([t.endswith(END) for t in vocab.token])
+        self.clear()
+
+    def clear(self) -> None:
+        self.words: dict[str, int] = {}
+        self.table, self.start, self.size = np.zeros(0, "<u4"), np.zeros(0, np.int32), np.zeros(0, np.int32)
+
+    def release(self) -> None:
+        """Give back what tasks have used; the words are kept, for the next task."""
+        pa.default_memory_pool().release_unused()
+
+    def learn(self, new: list[str]) -> None:
+        """Ids of words not met before: byte-mapped ones have a space after them, added tokens a line feed."""
+        odd = [w for w in new if not w or w[-1] in " \n"]
+        plain = [w for w in new if w and w[-1] not in " \n"] if odd else new
+        ready = [w for w in odd if w and w[-1] == " "]
+        tokens = [w for w in odd if w and w[-1] == "\n"]
+        none = [w for w in odd if not w]
+        mapped = [w if w.isascii() else self.v.byte_mapped(w) for w in plain] + [w[:-1] for w in ready]
+        ids, size = np.zeros(0, "<u4"), np.zeros(0, np.int32)
+        if mapped:
+            ids = np.array(self.library.encode_batch_fast([" ".join(mapped)], add_special_tokens=False)[0].ids, "<u4")
+            size = np.diff(np.flatnonzero(self.ends[ids]), prepend=-1).astype(np.int32)
+            if len(size) != len(mapped) or size.sum() != len(ids):
+                raise ValueError("a word was cut by the library")
+        size = np.concatenate([size, np.ones(len(tokens), np.int32), np.zeros(len(none), np.int32)])
+        added = np.array([self.v.added[w[:-1]] for w in tokens], "<u4")
+        at = len(self.words)
+        self.words.update(zip([*plain, *ready, *tokens, *none], range(at, at + len(new))))
+        self.start = np.concatenate([self.start, np.cumsum(size, dtype=np.int32) - size + np.int32(len(self.table))])
+        self.size = np.concatenate([self.size, size])
+        self.table = np.concatenate([self.table, ids, added])
+
+    def __call__(self, texts: list[str | None], decoded: bool = False) -> tuple[np.ndarray, np.ndarray, None]:
+        if decoded:
+            raise ValueError("this encoder gives ids only")
+        words, n = self.cut(texts)
+        distinct = words.dictionary.to_pylist()
+        new = [w for w in distinct if w not in self.words]
+        if len(self.words) + len(new) > WORDS or len(self.table) > WORD_IDS:
+            self.clear()
+            new = distinct
+        if new:
+            self.learn(new)
+        number = np.fromiter(map(self.words.__getitem__, distinct), np.int64, len(distinct))
+        return *laid_out(self.table, self.start, self.size, number[words.indices.to_numpy()], n), None
+
+
+_ENCODERS: dict[int, LibraryEncoder] = {}
+
+
+def library_encoder(spec: str) -> LibraryEncoder:
     key = hash(spec)
     if key not in _ENCODERS:
         _ENCODERS.clear()
-        vocab = Vocabulary(spec)
-        _ENCODERS[key] = BatchEncoder(vocab, LibraryWords(spec, vocab))
+        _ENCODERS[key] = LibraryEncoder(spec, Vocabulary(spec))
     return _ENCODERS[key]
 
 
@@ -197,7 +241,7 @@ def write_tokens(df: DataFrame, path: str, vocabulary_path: str, end_id: int = 2
 
         for batch in batches:
             ids = batch.column(0).to_pylist()
-            for at, rows in slices(batch.column(1)):
+            for at, rows in slices(batch.column(1), SLICE):
                 own, n, _ = enc(rows)
                 own = np.insert(own, np.cumsum(n), end_id)  # each document's end
                 n = (n + 1).tolist()

@@ -99,3 +99,28 @@ def test_empty_table_gives_no_segments(spark):
     path = scratch_path(spark, "tokens-test")
     dac.write_tokens(empty_docs(spark), path, word_bpe())
     assert dac.read_documents(spark, path).count() == 0 and dac.segment_starts(spark, path).count() == 0
+
+
+def test_library_encoder_equals_library_and_keeps_words_between_tasks(library, spec, monkeypatch):
+    enc = dac.LibraryEncoder(spec, bpe.Vocabulary(spec))
+    own = [library.encode(t, add_special_tokens=False).ids for t in ODD]
+    texts = [*ODD, None, *ODD[::-1]]
+    for _ in range(2):
+        ids, n, _ = enc(texts)
+        assert n.tolist() == [len(x) for x in [*own, [], *own[::-1]]]
+        assert ids.tolist() == [i for x in [*own, [], *own[::-1]] for i in x]
+        enc.release()  # as at a task's end; the library is not asked again for words met by the task before
+        monkeypatch.setattr(enc, "library", None)
+
+
+@pytest.mark.parametrize("words, ids", [(30, 1 << 23), (400_000, 40), (1, 1)])
+def test_library_encoder_begins_anew_when_full(library, spec, monkeypatch, words, ids):
+    monkeypatch.setattr(dac, "WORDS", words)
+    monkeypatch.setattr(dac, "WORD_IDS", ids)
+    rnd = random.Random(4)
+    enc = dac.LibraryEncoder(spec, bpe.Vocabulary(spec))
+    for _ in range(20):
+        texts = [" ".join("".join(rnd.choices("etaoinshrdlué.'١", k=rnd.randint(1, 9))) for _ in range(rnd.randint(0, 25))) for _ in range(3)]
+        got, n, _ = enc([*texts, "a<|endoftext|>b"])
+        want = [library.encode(t, add_special_tokens=False).ids for t in [*texts, "a<|endoftext|>b"]]
+        assert n.tolist() == list(map(len, want)) and got.tolist() == [i for x in want for i in x]

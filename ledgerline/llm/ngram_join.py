@@ -5,8 +5,9 @@ classes whose sets have a Jaccard similarity of at least ``LEAST`` / 100 are
 linked.  N-grams have one global order, by the number of classes that have
 them, then by value.  It is cut two ways:
 
-- *counting*: ranges of values are buckets, so a class's set travels as one
-  segment per bucket, and each bucket counts its n-grams on its own.  Only
+- *counting*: ranges of values are buckets, and a few neighbouring ones a load,
+  so a class's set travels as one segment per load, and each bucket of it counts
+  its n-grams on its own.  Only
   n-grams of two classes or more go on: a class that cannot reach the
   similarity with those alone is done.
 - *joining*: of each class only the first n-grams in the global order (those
@@ -60,6 +61,7 @@ BLOCK_GRAMS = 1 << 18      # n-grams of the queries that a task of the last comp
 PART_GRAMS = 1 << 20       # and of the classes that they meet there
 LOW_BITS = 48              # bits of an n-gram's hash that travel to its bucket
 BUCKET_GRAMS = 1 << 20     # n-grams of a bucket, on average; buckets are powers of two in number
+TOGETHER = 4               # neighbouring buckets that travel as one load, at most; they are counted one after another
 HITS = 1 << 21             # places where n-grams of two sides of a block agree that are expanded at once
 CELLS = 1 << 20            # pairs of a block whose overlaps are counted at once
 HOT_DF = np.uint32(2**32 - 1)
@@ -154,16 +156,43 @@ def profile(src: DataFrame, words: int) -> DataFrame:
     return src.select("doc_id", "text", *marks).mapInArrow(run, PROFILE)
 
 
-SEGMENT = T.StructType([T.StructField("bucket", T.IntegerType()), T.StructField("keys", T.BinaryType()),
-                        T.StructField("sizes", T.BinaryType()), T.StructField("low", T.BinaryType()),
-                        T.StructField("high", T.BinaryType()), T.StructField("owner", T.BinaryType())])
+SEGMENT = T.StructType([T.StructField("load", T.IntegerType()), T.StructField("keys", T.BinaryType()),
+                        T.StructField("sizes", T.BinaryType()), T.StructField("counts", T.BinaryType()),
+                        T.StructField("low", T.BinaryType()), T.StructField("high", T.BinaryType()),
+                        T.StructField("place", T.BinaryType())])
+
+
+def narrow(values: np.ndarray) -> bytes:
+    """Numbers from 0 to 2**32 - 1, in the least bytes each that hold the largest."""
+    top = int(values.max()) if len(values) else 0
+    return values.astype("<u1" if top < 1 << 8 else "<u2" if top < 1 << 16 else "<u4").tobytes()
+
+
+def widened(data: bytes, n: int) -> np.ndarray:
+    """The ``n`` numbers that :func:`narrow` has packed."""
+    return np.frombuffer(data, f"<u{len(data) // n}" if n else "<u1")
+
+
+def quarters(values: np.ndarray) -> bytes:
+    """Numbers from 0 to 3, four to a byte."""
+    four = np.concatenate([values, np.zeros(-len(values) % 4, values.dtype)]).astype(np.uint8).reshape(-1, 4)
+    return (four << np.array([0, 2, 4, 6], np.uint8)).sum(axis=1, dtype=np.uint8).tobytes()
+
+
+def from_quarters(data: bytes, n: int) -> np.ndarray:
+    four = np.frombuffer(data, np.uint8)[:, None] >> np.array([0, 2, 4, 6], np.uint8) & np.uint8(3)
+    return four.ravel()[:n]
 
 
 def segments(src: DataFrame, words: int, hot: np.ndarray, buckets: int) -> DataFrame:
-    """Each task's sets, cut into bucket segments: class keys and set sizes, and per n-gram its low bits and owner.
+    """Each task's sets, cut into segments of a load: class keys, set sizes and numbers of n-grams, and per n-gram its
+    low bits and the place of its bucket in the load.
 
-    Frequent n-grams go to the class's own bucket, numbered from -1 down.
+    A class's key stands once in a segment, so buckets that travel together
+    share it.  Frequent n-grams go to the class's own bucket, which travels
+    alone; these are numbered from -1 down.
     """
+    together = min(TOGETHER, buckets)
     shared = src.sparkSession.sparkContext.broadcast(np.sort(hot))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -177,21 +206,22 @@ def segments(src: DataFrame, words: int, hot: np.ndarray, buckets: int) -> DataF
             grams, owner = np.concatenate(gathered.parts), np.repeat(np.arange(len(keys)), sizes)
             gathered.clear()
             bucket = leading(grams, buckets)
+            load, place = bucket // together, bucket % together
             if len(frequent):
                 at = np.minimum(np.searchsorted(frequent, grams), len(frequent) - 1)
                 is_hot = frequent[at] == grams
-                bucket[is_hot] = -1 - class_bucket(keys[owner[is_hot]], buckets)
-            order = np.argsort(bucket, kind="stable")
-            bucket, grams, owner = bucket[order], grams[order], owner[order]
-            first = np.flatnonzero(np.diff(bucket, prepend=bucket[0] - 1))
-            for a, b in zip(first.tolist(), [*first[1:].tolist(), len(bucket)]):
-                used, own = np.unique(owner[a:b], return_inverse=True)
+                load[is_hot] = -1 - class_bucket(keys[owner[is_hot]], buckets)
+            order = np.argsort(load, kind="stable")
+            load, grams, owner, place = load[order], grams[order], owner[order], place[order]
+            first = np.flatnonzero(np.diff(load, prepend=load[0] - 1))
+            for a, b in zip(first.tolist(), [*first[1:].tolist(), len(load)]):
+                used, n = np.unique(owner[a:b], return_counts=True)  # a class's n-grams stand together
                 g = grams[a:b]
                 yield pa.RecordBatch.from_arrays([
-                    pa.array([bucket[a]], pa.int32()), pa.array([keys[used].tobytes()]), pa.array([sizes[used].astype("<i4").tobytes()]),
-                    pa.array([(g & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes()]),
-                    pa.array([(g >> np.uint64(32)).astype("<u2" if bucket[a] >= 0 else "<u4").tobytes()]),
-                    pa.array([own.astype("<u4" if len(used) > 65536 else "<u2").tobytes()])], SEGMENT.names)
+                    pa.array([load[a]], pa.int32()), pa.array([keys[used].tobytes()]), pa.array([narrow(sizes[used])]),
+                    pa.array([narrow(n)]), pa.array([(g & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes()]),
+                    pa.array([(g >> np.uint64(32)).astype("<u2" if load[a] >= 0 else "<u4").tobytes()]),
+                    pa.array([quarters(place[a:b])])], SEGMENT.names)
 
         for batch in batches:
             for _, texts in slices(batch.column(1), 1 << 20):
@@ -240,30 +270,66 @@ def unpack(segment: dict, bucket: int, buckets: int) -> tuple[np.ndarray, np.nda
     return keys[owner], sizes[owner], grams
 
 
-def count_bucket(segment_rows: list[dict], buckets: int) -> Iterator[tuple]:
-    """Of one bucket: n-grams of two classes or more with their number, by the bucket of the class."""
-    bucket = segment_rows[0]["bucket"]
-    keys, sizes, grams = (np.concatenate(x) for x in zip(*(unpack(r, bucket, buckets) for r in segment_rows)))
+def bucket_segment(row: dict, place: int) -> dict:
+    """The segment of one bucket of a load's row, or of a class's own bucket."""
+    alone = row["load"] < 0
+    n = len(row["keys"]) // 8
+    owner = np.repeat(np.arange(n), widened(row["counts"], n))
+    low, high = np.frombuffer(row["low"], "<u4"), np.frombuffer(row["high"], "<u4" if alone else "<u2")
+    if not alone:
+        at = np.flatnonzero(from_quarters(row["place"], len(low)) == place)
+        low, high, owner = low[at], high[at], owner[at]
+    return {"keys": row["keys"], "sizes": widened(row["sizes"], n).astype("<i4"), "low": low, "high": high,
+            "owner": owner.astype("<u4" if n > 65536 else "<u2")}
+
+
+def counted_bucket(load_rows: list[dict], place: int, buckets: int) -> tuple[np.ndarray, ...]:
+    """(class keys, set sizes, n-grams, number of classes) of one bucket's n-grams of two classes or more."""
+    load = load_rows[0]["load"]
+    bucket = load * min(TOGETHER, buckets) + place if load >= 0 else load
+    keys, sizes, grams = (np.concatenate(x) for x in zip(*(unpack(bucket_segment(r, place), bucket, buckets) for r in load_rows)))
     order = np.lexsort((keys, grams))
     keys, sizes, grams = keys[order], sizes[order], grams[order]
-    once = np.concatenate([[True], (grams[1:] != grams[:-1]) | (keys[1:] != keys[:-1])])
+    once = np.ones(len(grams), bool)
+    once[1:] = (grams[1:] != grams[:-1]) | (keys[1:] != keys[:-1])
     keys, sizes, grams = keys[once], sizes[once], grams[once]
-    if bucket >= 0:
-        first = np.flatnonzero(np.concatenate([[True], grams[1:] != grams[:-1]]))
-        n = np.diff(np.append(first, len(grams)))
-        df = np.repeat(n, n).astype(np.uint32)
-        keep = df > 1
-        keys, sizes, grams, df = keys[keep], sizes[keep], grams[keep], df[keep]
-    else:
-        df = np.full(len(grams), HOT_DF, np.uint32)
+    if load < 0:
+        return keys, sizes, grams, np.full(len(grams), HOT_DF, np.uint32)
+    new = np.ones(len(grams), bool)
+    new[1:] = grams[1:] != grams[:-1]
+    first = np.flatnonzero(new)
+    n = np.diff(np.append(first, len(grams)))
+    df = np.repeat(n, n).astype(np.uint32)
+    keep = df > 1
+    return keys[keep], sizes[keep], grams[keep], df[keep]
+
+
+def count_load(load_rows: list[dict], buckets: int) -> Iterator[tuple]:
+    """Of the buckets of one load: n-grams of two classes or more with their number, by the bucket of the class.
+
+    One bucket is unpacked and counted at a time; what is shared is handed on
+    together until it is as much as a bucket."""
+    held: list[tuple[np.ndarray, ...]] = []
+    for place in range(min(TOGETHER, buckets) if load_rows[0]["load"] >= 0 else 1):
+        held.append(counted_bucket(load_rows, place, buckets))
+        if sum(len(x[0]) for x in held) >= BUCKET_GRAMS:
+            yield from by_class(held, buckets)
+            held = []
+    if held:
+        yield from by_class(held, buckets)
+
+
+def by_class(held: list[tuple[np.ndarray, ...]], buckets: int) -> Iterator[tuple]:
+    """Rows of ``SHARED``."""
+    keys, sizes, grams, df = (np.concatenate(x) for x in zip(*held))
     order = np.argsort(keys.view(np.uint64), kind="stable")
     keys, sizes, grams, df = keys[order], sizes[order], grams[order], df[order]
     part = class_bucket(keys, buckets)
     first = np.flatnonzero(np.diff(part, prepend=-1))
     for a, b in zip(first.tolist(), [*first[1:].tolist(), len(part)]):
         own = np.flatnonzero(np.concatenate([[True], keys[a + 1:b] != keys[a:b - 1]]))
-        yield (int(part[a]), keys[a:b][own].tobytes(), sizes[a:b][own].astype("<i4").tobytes(),
-               np.diff(np.append(own, b - a)).astype("<i4").tobytes(), grams[a:b].tobytes(), df[a:b].tobytes())
+        yield (int(part[a]), keys[a:b][own].tobytes(), narrow(sizes[a:b][own]),
+               narrow(np.diff(np.append(own, b - a))), grams[a:b].tobytes(), narrow(df[a:b]))
 
 
 CLASSES = T.StructType([T.StructField("cls", T.LongType()), T.StructField("n", T.LongType()),
@@ -275,12 +341,13 @@ def class_rows(parts: list[dict], least: int) -> Iterator[tuple]:
     """Of one class bucket: per class that can still reach the similarity, its fragments, the first with the prefix."""
     keys, sizes = [], []
     for r in parts:
-        n = np.frombuffer(r["counts"], "<i4")
-        keys.append(np.repeat(np.frombuffer(r["keys"], "<i8"), n))
-        sizes.append(np.repeat(np.frombuffer(r["sizes"], "<i4"), n))
+        own = np.frombuffer(r["keys"], "<i8")
+        n = widened(r["counts"], len(own))
+        keys.append(np.repeat(own, n))
+        sizes.append(np.repeat(widened(r["sizes"], len(own)).astype(np.int64), n))
     keys, sizes = np.concatenate(keys), np.concatenate(sizes)
     grams = np.concatenate([np.frombuffer(r["grams"], "<u8") for r in parts])
-    df = np.concatenate([np.frombuffer(r["df"], "<u4") for r in parts])
+    df = np.concatenate([widened(r["df"], len(r["grams"]) // 8).astype(np.uint32) for r in parts])
     order = np.lexsort((grams, df, keys))
     keys, sizes, grams, df = keys[order], sizes[order], grams[order], df[order]
     first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
@@ -521,8 +588,8 @@ def join_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     hot = prof.where("gram is not null").groupBy("gram").agg(F.sum("n").alias("n")).where(F.col("n") >= enough).select("gram")
     hot = np.array([r.gram for r in hot.collect()], np.int64).view(np.uint64)
     buckets = bucket_count(total[1])
-    counted = segments(src, words, hot, buckets).groupBy("bucket").applyInArrow(
-        by_rows(lambda rows: count_bucket(rows, buckets), SHARED), SHARED)
+    counted = segments(src, words, hot, buckets).groupBy("load").applyInArrow(
+        by_rows(lambda rows: count_load(rows, buckets), SHARED), SHARED)
     held, held_path = staged(counted.groupBy("part").applyInArrow(
         by_rows(lambda rows: class_rows(rows, least), CLASSES), CLASSES), "shingle-classes")
     comp = similar_components(held, least)

@@ -164,3 +164,34 @@ def test_bucket_bits_identify_ngrams():
             got = J.unpack(seg, bucket, buckets)[2]
             assert len(np.unique(got)) == len(own) and (bits < 16 or (got == own).all())
     assert J.bucket_count(0) == J.bucket_count(J.BUCKET_GRAMS) == 1 and J.bucket_count(5 * J.BUCKET_GRAMS) == 8
+
+
+def test_buckets_that_travel_together_share_class_keys(spark):
+    rnd = random.Random(6)
+    texts = [" ".join("".join(rnd.choices("abcdefgh", k=3)) for _ in range(rnd.choice([1, 30, 300]))) for _ in range(40)]
+    sets = {J.fingerprints(g)[0]: g for g in J.shingle_sets(texts)}
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").coalesce(1)
+    hot = np.sort(next(g for g in sets.values() if len(g) > 250))[:3]
+    for buckets in (1, 2, 4, 64):
+        together, bits = min(J.TOGETHER, buckets), buckets.bit_length() - 1
+        rows = [r.asDict() for r in J.segments(df, 5, hot, buckets).collect()]
+        assert sum(len(r["keys"]) // 8 for r in rows if r["load"] >= 0) <= len(sets) * buckets // together
+        got = []
+        for r in rows:
+            for place in range(together if r["load"] >= 0 else 1):
+                bucket = r["load"] * together + place if r["load"] >= 0 else r["load"]
+                keys, sizes, grams = J.unpack(J.bucket_segment(r, place), bucket, buckets)
+                got += zip(keys.tolist(), sizes.tolist(), grams.tolist(), [bucket < 0] * len(keys))
+        low = min(J.LOW_BITS, 64 - bits)
+        want = [(k, len(g), (int(x) >> 64 - bits << low if bits else 0) | int(x) & 2**low - 1, x in hot) for k, g in sets.items() for x in g]
+        assert sorted(got) == sorted(want)
+
+
+def test_small_numbers_are_packed_narrowly():
+    for top, width in ((0, 1), (255, 1), (256, 2), (65536, 4), (2**32 - 1, 4)):
+        x = np.array([0, 1, top, 3, top], np.int64)
+        assert len(J.narrow(x)) == 5 * width and J.widened(J.narrow(x), 5).tolist() == x.tolist()
+    assert J.widened(J.narrow(np.zeros(0, np.int64)), 0).tolist() == []
+    for n in (0, 1, 4, 7):
+        x = np.arange(n) % 4
+        assert len(J.quarters(x)) == -(-n // 4) and J.from_quarters(J.quarters(x), n).tolist() == x.tolist()

@@ -100,3 +100,19 @@ def test_anchors_do_not_depend_on_the_texts_beside():
     for beside in ([others[0]], others):
         text, *rest = R.anchors([*beside, own], 40, 8)
         assert (np.stack(rest)[:, text == len(beside)] == alone).all()
+
+
+def test_planted_passages_are_cut_from_400_bytes_on(spark):
+    # passages of 52 words and more, each in two documents that share nothing else: bytes decide, not words
+    rnd = random.Random(6)
+    words = lambda n: " ".join("".join(rnd.choices("abcdefgh", k=6)) for _ in range(n))
+    rows, want = [], []
+    for size in (370, 399, 400, 401, 700):
+        passage = words(size // 7 + 1)[:size].strip().ljust(size, "x")
+        assert len(passage) == size and len(passage.split()) >= 52
+        for side in "01":
+            rows.append((len(rows), words(40) + side + passage + side + words(40)))
+            want.append((size if size >= 400 else 0, int(size >= 400)))
+    got = found(R.dedup(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)))
+    assert got == brute(rows, 400)
+    assert [g[2:4] for g in got] == want
